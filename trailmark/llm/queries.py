@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ogg, packing, quality_rules, secrets, sharding, simhash
+from . import mixing, ogg, packing, quality_classifier, quality_rules, secrets, sharding, simhash, substring_dedup, url_filter
 from ._shared import table
 
 SHARDS = 40
@@ -32,6 +32,46 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.find_secrets(table(spark, sf_dir, "documents")))
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(F.crc32(F.col("id").cast("string")) % 3 == 1, F.lit(False))
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), F.col("quality").alias("label")).where(~held_out)
+    scored = quality_classifier.score(table(spark, sf_dir, "documents"), labels)
+    return scored.select(F.col("id").alias("doc_id"), held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+#: The rules of the URL query, and the words that mark a host as listed.
+URL_RULES = [url_filter.Rule("net/", "block"), url_filter.Rule("example.net/en/", "allow"), url_filter.Rule("example.com/de/", "block"), url_filter.Rule("org/fr/", "allow")]
+LISTED_HOSTS = "adult|ads|bets|casino|pills|spam"
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listed are the addresses (host and path) of hosts with a listed word between dots and hyphens."""
+    pages = table(spark, sf_dir, "pages")
+    host, path = url_filter.host_and_path(F.col("url"))
+    listed = pages.select(host.alias("host"), path.alias("path")).where(F.col("host").rlike(rf"(^|[.-])({LISTED_HOSTS})([.-]|$)"))
+    judged = url_filter.judge(pages, listed.select(F.concat("host", "path").alias("key")).distinct(), URL_RULES)
+    return judged.withColumnRenamed("id", "page_id")
+
+
+OP4_SQL = f"""
+WITH u AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), p AS (
+  SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{url_filter.UPPER}', '{url_filter.LOWER}') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u
+), r AS (
+  SELECT page_id, host, path, CASE
+    WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule FROM p
+)
+SELECT page_id, host, path, rule, CASE
+  WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+  WHEN regexp_matches(host, '(^|[.-])({LISTED_HOSTS})([.-]|$)') THEN 'block' ELSE 'allow' END AS verdict FROM r
+"""
+
+
 def op5_kd_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard(table(spark, sf_dir, "documents"), SHARDS)
     return placed.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -45,6 +85,27 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = substring_dedup.dedup(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return cleaned.select(F.col("id").alias("doc_id"), "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: Target shares of tokens. Clean documents keep theirs; the others are thinned out.
+MIX = {"clean": 0.90, "low": 0.05, "toxic": 0.05}
+
+
+def domains(labels: DataFrame) -> DataFrame:
+    """(id, domain) from the labels: toxic, else low quality, else clean."""
+    kind = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 0, "low").when(F.col("quality") == 1, "clean")
+    return labels.select(F.col("doc_id").alias("id"), kind.alias("domain"))
+
+
+def op8_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), domains(table(spark, sf_dir, "labels")), MIX, anchor="clean")
+    return mixed.select(F.col("id").alias("doc_id"), "n_tokens", "domain", *(F.col("p")[i].alias(f"p_{d}") for i, d in enumerate(MIX)), "rate", "copies")
+
+
 def op9_ogg_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ogg.digest(ogg.read_media(ogg.to_media(table(spark, sf_dir, "documents"))))
 
@@ -55,7 +116,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_near_dedup, op2_secret_scan, op5_kd_tree_shards, op6_quality_rules, op9_ogg_media, op10_best_fit_packing)
+    f.__name__: f for f in (
+        op1_simhash_near_dedup, op2_secret_scan, op3_quality_classifier, op4_url_filter, op5_kd_tree_shards, op6_quality_rules, op7_suffix_array_dedup, op8_soft_mixing,
+        op9_ogg_media, op10_best_fit_packing,
+    )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_url_filter": OP4_SQL}

@@ -45,6 +45,19 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     return int(np.packbits(2 * total > n, bitorder="little").view("<i8")[0])
 
 
+def with_fingerprint(docs: DataFrame, text_col: str = "text", shingle: int = 3, name: str = "fp") -> DataFrame:
+    """``docs`` with the fingerprint of ``text_col`` as a last column ``name``."""
+    at = docs.columns.index(text_col)
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            fps = pa.array([fingerprint(t.as_py(), shingle) for t in b.column(at)], pa.int64())
+            yield pa.RecordBatch.from_arrays([*b.columns, fps], names=schema.names)
+
+    return docs.mapInArrow(run, schema)
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
     """(id, fp) for every row of ``docs``; null and empty texts get 0."""
     kind = docs.schema[id_col].dataType
@@ -127,3 +140,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = classes.join(linked, classes.fp == linked.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     least = roots.groupBy("root").agg(F.min("first").alias("component"))
     return marked.join(roots.join(least, "root").select("fp", "component"), "fp").select("id", "fp", "component")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 3, bucket: int = BUCKET) -> DataFrame:
+    """One row of ``docs`` for each class of near-duplicates, with all its columns: that of the smallest id.
+
+    Null ids come last; rows of one id and one text count as one. The text of a row is shuffled only if it is kept.
+    """
+    found = near_duplicates(docs, id_col, text_col, shingle, radius, bucket)
+    order = F.struct(F.col("id").isNull().alias("blank"), "id", "fp")
+    kept = found.groupBy("component").agg(F.min(order).alias("kept")).select("kept.id", "kept.fp")
+    marked = with_fingerprint(docs, text_col, shingle, "_fp")
+    ours = marked.join(kept, marked[id_col].eqNullSafe(kept["id"]) & (marked["_fp"] == kept["fp"]), "left_semi")
+    return ours.dropDuplicates([id_col, "_fp"]).drop("_fp")
