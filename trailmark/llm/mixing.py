@@ -23,8 +23,8 @@ LABELLED = 20_000
 #: Marker words of a domain: at most so many, in that share of its documents at least, so many times as frequent as elsewhere.
 MARKERS, MARKER_SHARE, MARKER_LIFT = 40, 0.01, 5.0
 BINS = 8
-#: Steps at most, largest error of a domain's total as a share of all tokens, steps between lineage cuts.
-STEPS, TOLERANCE, CUT_EVERY = 60, 1e-4, 6
+#: Steps at most, and the largest error of a domain's total as a share of all tokens.
+STEPS, TOLERANCE = 60, 1e-4
 
 
 def _shape(docs: DataFrame, id_col: str, text_col: str, carried: list[str] | None = None) -> DataFrame:
@@ -110,11 +110,12 @@ def fit(docs: DataFrame, labels: DataFrame, domains: list[str], id_col: str = "d
 
 
 def rate(p: Column, multipliers: list[list[float]]) -> Column:
-    """The rate of a document with posterior ``p`` after the steps ``multipliers``."""
-    r = F.lit(1.0)
-    for by in multipliers:
-        r = F.greatest(F.lit(0.0), r - sum((p[d] * by[d] for d in range(len(by))), F.lit(0.0)))
-    return r
+    """The rate of a document with posterior ``p`` after the steps ``multipliers``; p stands in it once, however many there are."""
+    if not multipliers:
+        return F.lit(1.0)
+    steps = F.array(*(F.array(*map(F.lit, by)) for by in multipliers))
+    dot = lambda by: F.aggregate(F.zip_with(p, by, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    return F.aggregate(steps, F.lit(1.0), lambda r, by: F.greatest(F.lit(0.0), r - dot(by)))
 
 
 def fit_rates(members: DataFrame, targets: list[float], steps: int = STEPS, tolerance: float = TOLERANCE) -> tuple[list[list[float]], list[float]]:
@@ -139,9 +140,7 @@ def fit_rates(members: DataFrame, targets: list[float], steps: int = STEPS, tole
             return multipliers, totals
         m = np.array([[r[f"m{min(a, b)}_{max(a, b)}"] or 0.0 for b in range(k)] for a in range(k)])
         multipliers.append(np.linalg.solve(m + np.eye(k) * 1e-9 * scale, error).tolist())
-        now = now.withColumn("rate", F.greatest(F.lit(0.0), F.col("rate") - sum((p[d] * multipliers[-1][d] for d in range(k)), F.lit(0.0))))
-        if len(multipliers) % CUT_EVERY == 0:
-            now = cut(now)
+        now = members.select("n_tokens", "p", rate(F.col("p"), multipliers).alias("rate"))
 
 
 def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float], anchor: str | None = None, id_col: str = "doc_id", text_col: str = "text", labelled: int = LABELLED) -> DataFrame:
@@ -168,15 +167,15 @@ def resample(docs: DataFrame, labels: DataFrame, weights: dict[str, float], anch
 def _mixed(docs: DataFrame, labels: DataFrame, weights: dict[str, float], anchor: str | None, id_col: str, text_col: str, labelled: int, carried: list[str]) -> DataFrame:
     domains = list(weights)
     model = fit(docs, labels, domains, id_col, text_col, labelled)
-    members = model.posteriors(_shape(docs, id_col, text_col, carried), carried)
-    compact = cut(members.select("id", "n_tokens", "p"))
+    members = cut(model.posteriors(_shape(docs, id_col, text_col, carried), carried))  # computed once, as it is used often
+    compact = members.select("id", "n_tokens", "p")
     have = compact.agg(*(F.coalesce(F.sum(F.col("n_tokens") * F.col("p")[d]), F.lit(0.0)).alias(f"s{d}") for d in range(len(domains)))).first()
     share = {d: w / sum(weights.values()) for d, w in weights.items()}
     total = sum(have) if anchor is None else have[domains.index(anchor)] / share[anchor]
     multipliers, _ = fit_rates(compact, [total * share[d] for d in domains])
     luck = F.pmod(F.xxhash64("id", F.lit("mix")), F.lit(1 << 20)) / float(1 << 20)
     top = F.element_at(_strings(domains), F.array_position("p", F.array_max("p")).cast("int")).alias("domain")
-    rated = (members if carried else compact).withColumn("rate", rate(F.col("p"), multipliers))
+    rated = members.withColumn("rate", rate(F.col("p"), multipliers))
     copies = F.floor(F.col("rate") + luck).alias("copies")
     if carried:
         return rated.select("_row", F.struct(top, copies).alias("_mix"))
