@@ -100,8 +100,9 @@ def fit_numeric(rows: DataFrame, columns: tuple[str, ...] = NUMERIC) -> Numeric:
 
 def join_channels(parts: dict[str, Column], numeric: Column | None = None, weights: dict[str, float] = CHANNELS) -> Column:
     """One vector of the channels' unit vectors, each times its weight, and the behaviour block."""
-    blocks = [F.transform(v, lambda x, w=weights[n]: x * w) for n, v in parts.items()]
-    return F.concat(*blocks, *([F.transform(numeric, lambda x: x * NUMERIC_WEIGHT)] if numeric is not None else []))
+    times = lambda v, w: F.transform(v, lambda x: x * w)
+    blocks = [times(v, weights[n]) for n, v in parts.items()]
+    return F.concat(*blocks, *([times(numeric, NUMERIC_WEIGHT)] if numeric is not None else []))
 
 
 def reduce(rows: DataFrame, vector: str, k: int) -> DataFrame:
