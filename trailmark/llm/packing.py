@@ -15,6 +15,7 @@ within their length by a distributed rank and join the plan; the plan's size dep
 
 from __future__ import annotations
 
+import functools
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -31,8 +32,8 @@ from ._shared import cut, ranked
 
 CAPACITY, END = 4096, 1
 GROUPS, SMALL = 32, 8
-#: Words whose ids a worker keeps; beyond that it starts anew.
-CACHE = 1_000_000
+#: Words whose ids a worker keeps from batch to batch and task to task; beyond that it starts anew.
+CACHE = 600_000
 
 
 class WordTokenizer:
@@ -100,6 +101,11 @@ class WordTokenizer:
                 self.parts.clear()
 
 
+@functools.cache
+def _tokenizer(path: str) -> WordTokenizer:
+    return WordTokenizer(path)
+
+
 def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end: int = END) -> DataFrame:
     """(id, piece, start, length, ids_crc32): each document's ids and ``end``, cut at ``capacity``; null texts are empty."""
     schema = T.StructType([
@@ -109,7 +115,7 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
     last = np.array([end], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = WordTokenizer(tokenizer)
+        encode = _tokenizer(tokenizer)
         for b in batches:
             row, piece, start, length, crc = [], [], [], [], []
             for k, ids in enumerate(encode(b.column(1).to_pylist())):
@@ -247,7 +253,7 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROU
     return rows
 
 
-def pack(tokenized: DataFrame, id_col: str = "id", capacity: int = CAPACITY, groups: int = GROUPS, small: int = SMALL, per_task: int = 100_000) -> DataFrame:
+def pack(tokenized: DataFrame, id_col: str = "id", capacity: int = CAPACITY, groups: int = GROUPS, small: int = SMALL, per_task: int = 1_000_000) -> DataFrame:
     """``tokenized`` (id, piece, start, length, ids_crc32) with sequence_id and offset; lengths are 1 to ``capacity``."""
     spark = tokenized.sparkSession
     tokenized = cut(tokenized)
