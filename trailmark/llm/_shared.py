@@ -38,14 +38,14 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def ranked(df: DataFrame, key: str, order: list, name: str, rows: int, per_task: int = 100_000) -> DataFrame:
+def ranked(df: DataFrame, key: str, order: list, name: str, rows: int, per_task: int = 1_000_000) -> DataFrame:
     """``df`` with ``name``: a gapless number from 0 within each value of ``key``.
 
-    A key may hold any share of the rows: it is dealt over ``rows / per_task`` hash buckets, rows are numbered within
-    (key, bucket), and the running total of the bucket counts is added. Rows that are equal in ``order`` are equal in
+    A key may hold any share of the rows: it is dealt over hash buckets, as many as shuffle partitions and at least
+    ``rows / per_task``, rows are numbered within (key, bucket), and the running total of the bucket counts is added. Rows that are equal in ``order`` are equal in
     all that is returned, so a recomputed task gives the same rows.
     """
-    buckets = max(1, -(-rows // per_task))
+    buckets = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_task))
     dealt = df.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int"))
     within = Window.partitionBy(key, "_bucket").orderBy(*order)
     before = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -94,7 +94,7 @@ def build(points: DataFrame, shards: int, dims: list[str], weight: str = "size",
     return root
 
 
-def shard(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: str = "text", dims: tuple[str, ...] = ("source", "lang"), hot: float = 0.1, per_task: int = 100_000) -> DataFrame:
+def shard(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: str = "text", dims: tuple[str, ...] = ("source", "lang"), hot: float = 0.1, per_task: int = 1_000_000) -> DataFrame:
     """(id, size, text_crc32, shard, slot) for every row; shards hold nearly equal bytes, slots count from 0 in each.
 
     Dimensions are ``dims`` (strings by hash; null is a value of its own; copies take their group's least) and the size
