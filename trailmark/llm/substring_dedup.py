@@ -187,12 +187,13 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
                 yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
     seen = cut(docs.mapInArrow(anchor, schema))
-    twice = seen.groupBy("h").agg(F.count("*").alias("n"), F.min("c").alias("low"), F.max("c").alias("high")).where("n > 1").select("h", (F.col("low") != F.col("high")).alias("mixed"))
+    # written before it is joined, so that the join's shuffle on a hot anchor is one that adaptive execution can split
+    twice = cut(seen.groupBy("h").agg(F.count("*").alias("n"), F.min("c").alias("low"), F.max("c").alias("high")).where("n > 1").select("h", (F.col("low") != F.col("high")).alias("mixed")))
     hits = cut(seen.join(twice, "h"))
     mixed = hits.where("mixed")
     kinds = mixed.groupBy("h", "c").agg(F.count("*").alias("n"), F.min(F.struct("id", "tag", "first", "last")).alias("at"))
     kinds = cut(kinds)
-    sizes = kinds.groupBy("h").agg(F.count("*").alias("contexts"))
+    sizes = cut(kinds.groupBy("h").agg(F.count("*").alias("contexts")))
     kinds = kinds.join(sizes, "h").select("h", (F.col("n") == 1).alias("single"), (F.col("contexts") > bucket).alias("hot"), "at.*")
     spans = hits.where("not mixed").select("id", "tag", "first", "last")
     spans = spans.union(mixed.join(cut(mixed.groupBy("h", "c").count().where("count > 1").select("h", "c")), ["h", "c"]).select("id", "tag", "first", "last"))
@@ -243,23 +244,50 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
         if rows:
             yield done()
 
+    finer = (gram + length) // 2
+    schema_f = T.StructType([*who, *ints("first"), *longs("h", "c"), T.StructField("single", T.BooleanType()), T.StructField("bytes", T.BinaryType())])
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Contexts cut anew around anchors of ``finer`` bytes, which fewer of them share."""
+        for b in batches:
+            for k in range(0, b.num_rows, 256):
+                part, at, rest = b.slice(k, 256), [], []
+                for i, (f, data) in enumerate(zip(part.column(2).to_pylist(), part.column(6).to_pylist())):
+                    for a, z, h, c in zip(*anchors(data, length, finer)):
+                        at.append(i)
+                        rest.append((f + int(a), int(np.uint64(h).view(np.int64)), int(np.uint64(c).view(np.int64)), data[a : z + length]))
+                first, h, c, data = zip(*rest) if rest else ([],) * 4
+                at = pa.array(at, pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column(0).take(at), part.column(1).take(at), pa.array(first, pa.int32()), pa.array(h, pa.int64()), pa.array(c, pa.int64()), part.column(4).take(at), pa.array(data, pa.binary())], names=schema_f.names)
+
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for k in range(0, b.num_rows, 256):
                 part = b.slice(k, 256)
-                rows = list(zip(part.column(2).to_pylist(), part.column(4).to_pylist(), part.column(6).to_pylist()))
-                at = pa.array([i for i, r in enumerate(rows) for _ in range(len(r[2]) - length + 1)], pa.int64())
-                first = [f + j for f, _, c in rows for j in range(len(c) - length + 1)]
-                w = [xxhash.xxh3_64_intdigest(c[j : j + length]) - (1 << 63) for _, _, c in rows for j in range(len(c) - length + 1)]
-                yield pa.RecordBatch.from_arrays([part.column(i).take(at) for i in (0, 1, 3, 4)] + [pa.array(first, pa.int32()), pa.array(w, pa.int64())], names=["id", "tag", "h", "single", "first", "w"])
-
-    some = near.where("not hot").select("id", "tag", "first", "h", "single", "bytes").repartition("h").sortWithinPartitions("h")
-    spans = spans.union(some.mapInArrow(blocks, schema_s))
-    if not sizes.where(F.col("contexts") > bucket).isEmpty():
-        # too many different contexts of one anchor for a block: their windows are counted one by one
-        each = cut(near.where("hot").mapInArrow(windows, T.StructType([*who, *longs("h"), T.StructField("single", T.BooleanType()), *ints("first"), *longs("w")])))
-        often = each.groupBy("h", "w").agg(F.count("*").alias("n")).where("n > 1").select("h", "w")
-        spans = spans.union(each.where("single").join(often, ["h", "w"]).select("id", "tag", "first", F.col("first").alias("last")))
+                rows = [(h, f, c, len(c) - length + 1) for h, f, c in zip(*(part.column(i).to_pylist() for i in (3, 2, 5)))]
+                at = pa.array([i for i, r in enumerate(rows) for _ in range(r[3])], pa.int64())
+                first = [f + j for _, f, _, n in rows for j in range(n)]
+                w = [xxhash.xxh3_64_intdigest(c[j : j + length], seed=h + (1 << 63)) - (1 << 63) for h, _, c, n in rows for j in range(n)]
+                yield pa.RecordBatch.from_arrays([part.column(i).take(at) for i in (0, 1, 4)] + [pa.array(first, pa.int32()), pa.array(w, pa.int64())], names=["id", "tag", "single", "first", "w"])
+
+    def in_blocks(rows: DataFrame) -> DataFrame:
+        rows = rows.select("id", "tag", "first", "h", "single", "bytes").repartition("h").sortWithinPartitions("h")
+        return rows.mapInArrow(blocks, schema_s)
+
+    # Contexts of an anchor that has too many for a block are cut anew around finer anchors, counted, and met again. What
+    # even then has too many is counted window by window. It is all one plan: texts are shuffled once, for all of it.
+    last = (F.col("first") + F.octet_length("bytes") - length).alias("last")
+    fine = near.where("hot").mapInArrow(split, schema_f).withColumn("n", F.when(F.col("single"), 1).otherwise(2))
+    again = fine.groupBy("h").agg(F.sum("n").alias("in_h")).where("in_h > 1").select("h")
+    fine = fine.join(again, "h")
+    same_bytes = fine.groupBy("h", "c").agg(F.sum("n").alias("in_c"), F.min(F.struct("id", "tag", "first", "bytes")).alias("at"))
+    spans = spans.union(fine.where("single").join(same_bytes.where("in_c > 1").select("h", "c"), ["h", "c"]).select("id", "tag", "first", last))
+    many = same_bytes.groupBy("h").agg((F.count("*") > bucket).alias("hot"))
+    met = same_bytes.join(many, "h").select("at.id", "at.tag", "at.first", "h", (F.col("in_c") == 1).alias("single"), "at.bytes", "hot")
+    spans = spans.union(in_blocks(near.where("not hot"))).union(in_blocks(met.where("not hot")))
+    each = met.where("hot").select("id", "tag", "first", "h", "single", "bytes").mapInArrow(windows, T.StructType([*who, T.StructField("single", T.BooleanType()), *ints("first"), *longs("w")]))
+    often = each.groupBy("w").agg(F.count("*").alias("n")).where("n > 1").select("w")
+    spans = spans.union(each.where("single").join(often, "w").select("id", "tag", "first", F.col("first").alias("last")))
 
     merged = spans.groupBy("id", "tag").agg(F.collect_set(F.struct("first", "last")).alias("found"))
     rows = docs.join(merged, same(docs, merged), "left").select(docs["id"], docs["text"], "found")
