@@ -160,10 +160,12 @@ def to_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def read_media(media: DataFrame, id_col: str = "id", media_col: str = "media") -> DataFrame:
     """The rows of ``media`` with payload (samples read back), streams, packets, pages, seconds and error.
 
-    A null or damaged file gives null in all of these but ``error``, which says what is wrong.
+    A null or damaged file gives null in all of these but ``error``, which says what is wrong. Columns of ``media`` with
+    one of these names are replaced.
     """
-    at = media.columns.index(media_col)
     more = [("payload", T.BinaryType()), ("streams", T.IntegerType()), ("packets", T.IntegerType()), ("pages", T.IntegerType()), ("seconds", T.DoubleType()), ("error", T.StringType())]
+    media = media.drop(*(n for n, _ in more))
+    at = media.columns.index(media_col)
     schema = T.StructType([*media.schema.fields, *(T.StructField(n, t) for n, t in more)])
     types = [pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.float64(), pa.string()]
 

@@ -85,6 +85,27 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_Q = quality_rules
+OP6_SQL = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), i AS (
+  SELECT doc_id, i, array_to_string(w[i : i + 4], ' ') AS five FROM d, generate_series(1, len(w) - 4) g(i)
+), r AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, five) AS n FROM i), generate_series(0, 4) g(k) WHERE n > 1 GROUP BY doc_id
+), f AS (
+  SELECT d.doc_id, len(w) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars, length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines, coalesce(r.n, 0) AS n_repeat_words,
+    len(list_filter(w, lambda x: regexp_matches(x, '[A-Z]') AND NOT regexp_matches(x, '[a-z]'))) AS n_upper
+  FROM d LEFT JOIN r USING (doc_id)
+), b AS (
+  SELECT *, len(lines) - len(list_distinct(lines)) AS n_dup_lines, n_words < {_Q.MIN_WORDS} OR 100 * n_repeat_words > {_Q.REPEAT_PERCENT} * n_words AS base_failed FROM f
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR 100 * n_symbols > {_Q.SYMBOL_PERCENT} * word_chars OR 100 * n_dup_lines > {_Q.DUP_LINE_PERCENT} * len(lines) OR 100 * n_upper > {_Q.UPPER_PERCENT} * n_words OR word_chars > {_Q.MAX_WORD} * n_words) AS kept FROM b
+"""
+
+
 def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = substring_dedup.dedup(table(spark, sf_dir, "documents"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
@@ -122,4 +143,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLES: dict[str, str] = {"op4_url_filter": OP4_SQL}
+ORACLES: dict[str, str] = {"op4_url_filter": OP4_SQL, "op6_quality_rules": OP6_SQL}

@@ -189,8 +189,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     text of that class, by their sketches. Equal sets are one text from the start. Null ids come last; a tie is
     decided by position. Texts without words are one class. An empty table stays empty.
     """
+    names, kinds = docs.columns, docs.schema
+    docs = docs.toDF(*(f"c{i}" for i in range(len(names))))  # whatever the columns are called
+    id_col, text_col = f"c{names.index(id_col)}", f"c{names.index(text_col)}"
     added = [T.StructField("_fp", T.LongType()), T.StructField("_set", T.LongType()), T.StructField("_keys", T.ArrayType(T.LongType())), T.StructField("_sketch", T.BinaryType()), T.StructField("_at", T.LongType())]
-    columns, at = docs.columns, docs.columns.index(text_col)
+    at = docs.columns.index(text_col)
     plain = docs.withColumn("_at", F.monotonically_increasing_id())
     schema = T.StructType([*docs.schema.fields, *added])
 
@@ -226,4 +229,4 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     roots = components(equal.union(close).union(alike))
     classes = texts.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
     kept = cut(classes.select(F.col("first._at").alias("_at")))
-    return base.join(kept, "_at", "left_semi").select(*(F.col(f"`{c}`") for c in columns))
+    return base.join(kept, "_at", "left_semi").select(*(F.col(f"c{i}").alias(f.name, metadata=f.metadata) for i, f in enumerate(kinds.fields)))
