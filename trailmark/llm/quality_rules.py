@@ -85,11 +85,11 @@ class Rule:
 
 
 #: Thresholds of the default rules.
-MIN_WORDS, REPEAT_PERCENT, SYMBOL_PERCENT, DUP_LINE_PERCENT, UPPER_PERCENT, MAX_WORD = 10, 20, 15, 50, 60, 30
+MIN_WORDS, REPEAT_PERCENT, SYMBOL_PERCENT, DUP_LINE_PERCENT, UPPER_PERCENT, MAX_WORD = 10, 20, 10, 50, 60, 30
 RULES = (
     Rule("too_short", lambda f: f.n_words < MIN_WORDS, {"min_words": MIN_WORDS}),
     Rule("repeated_words", lambda f: 100 * f.n_repeat_words > REPEAT_PERCENT * f.n_words, {"percent": REPEAT_PERCENT}),
-    Rule("symbols", lambda f: 100 * f.n_symbols > SYMBOL_PERCENT * f.word_chars, {"percent": SYMBOL_PERCENT}),
+    Rule("symbols", lambda f: 100 * f.n_symbols > SYMBOL_PERCENT * f.n_words, {"percent": SYMBOL_PERCENT}),
     Rule("duplicate_lines", lambda f: 100 * f.n_dup_lines > DUP_LINE_PERCENT * f.n_lines, {"percent": DUP_LINE_PERCENT}),
     Rule("upper_case", lambda f: 100 * f.n_upper_words > UPPER_PERCENT * f.n_words, {"percent": UPPER_PERCENT}),
     Rule("long_words", lambda f: f.word_chars > MAX_WORD * f.n_words, {"mean_length": MAX_WORD}),

@@ -102,7 +102,7 @@ WITH d AS (
   SELECT *, len(lines) - len(list_distinct(lines)) AS n_dup_lines, n_words < {_Q.MIN_WORDS} OR 100 * n_repeat_words > {_Q.REPEAT_PERCENT} * n_words AS base_failed FROM f
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT (base_failed OR 100 * n_symbols > {_Q.SYMBOL_PERCENT} * word_chars OR 100 * n_dup_lines > {_Q.DUP_LINE_PERCENT} * len(lines) OR 100 * n_upper > {_Q.UPPER_PERCENT} * n_words OR word_chars > {_Q.MAX_WORD} * n_words) AS kept FROM b
+  NOT (base_failed OR 100 * n_symbols > {_Q.SYMBOL_PERCENT} * n_words OR 100 * n_dup_lines > {_Q.DUP_LINE_PERCENT} * len(lines) OR 100 * n_upper > {_Q.UPPER_PERCENT} * n_words OR word_chars > {_Q.MAX_WORD} * n_words) AS kept FROM b
 """
 
 
