@@ -64,8 +64,11 @@ def intake_report(raw: DataFrame) -> DataFrame:
     )
 
 
-def from_event_table(events: DataFrame) -> DataFrame:
-    """The generic ``events`` table as canonical events: k of its props stands for a screen, its type for an action."""
+def from_event_table(events: DataFrame, gaps: bool = True) -> DataFrame:
+    """The generic ``events`` table as canonical events: k of its props stands for a screen, its type for an action.
+
+    Streams have no windows over all rows, so for them ``gaps`` must be False.
+    """
     k = F.get_json_object("props", "$.k").cast("int")
     kind = F.when(F.col("event_type") == "view", "view").otherwise("action")
     out = events.select(
@@ -74,7 +77,7 @@ def from_event_table(events: DataFrame) -> DataFrame:
         F.when(F.col("event_type") == "view", F.concat(F.lit("k"), F.expr("cast(get_json_object(props, '$.k') as int) div 20"))).otherwise(F.col("event_type")).alias("segment_name"),
         F.lit(None).cast("string").alias("screen_id"), F.lit("events").alias("source_file"), F.col("event_id").alias("source_row_number"),
     )
-    return with_gaps(out)
+    return with_gaps(out) if gaps else out
 
 
 def out_of_order(events: DataFrame, key: str, order: str, time: str) -> DataFrame:

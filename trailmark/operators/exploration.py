@@ -143,3 +143,30 @@ def session_summary(rows: DataFrame, session: str, order: list[str], time: str,
     t = F.col(time).cast("timestamp")
     gaps = rows.withColumn("_gap", seconds(t, F.lag(t).over(Window.partitionBy(session).orderBy(*order))))
     return gaps.groupBy(session).agg(F.count("*").alias("events"), F.round(seconds(F.max(t), F.min(t)), 3).alias("span_s"), F.round(F.max("_gap"), 3).alias("max_gap_s"), *(F.count_distinct(c).alias(f"n_{c}") for c in distinct))
+
+
+def secondary_catalog(rows: DataFrame, catalog: DataFrame, flag: str) -> DataFrame:
+    """Per lenient cluster (b_cluster): rows, rows with ``flag``, strict clusters met; with the columns of ``catalog``."""
+    out = rows.where(F.col("b_cluster") != NOISE).groupBy("b_cluster").agg(F.count("*").alias("rows"), F.count_if(F.col(flag)).alias("flagged"), F.count_distinct(F.when(F.col("c_cluster") != NOISE, F.col("c_cluster"))).alias("c_clusters"))
+    return out.join(catalog, "b_cluster", "left")
+
+
+def choices(taxonomy: DataFrame, levels: list[str]) -> DataFrame:
+    """Distinct paths of a taxonomy with their order: that of their first id."""
+    return taxonomy.groupBy(*levels).agg(F.min("taxonomy_id").alias("first_id"), F.count("*").alias("leaves")).withColumn("position", F.row_number().over(Window.orderBy("first_id", *levels)))  # a taxonomy's size
+
+
+def assignment_status(assigned: DataFrame, taxonomy: DataFrame, levels: list[str]) -> DataFrame:
+    """``assigned`` with status: how deep its path is known: ``valid``, else ``unknown_`` and the first level that is not."""
+    out, status = assigned, F.lit("valid")
+    for n in range(len(levels), 0, -1):
+        known = taxonomy.select(*levels[:n]).distinct().withColumn(f"_k{n}", F.lit(True))
+        out = out.join(known, levels[:n], "left")
+        status = F.when(F.col(f"_k{n}").isNull(), f"unknown_{levels[n - 1]}").otherwise(status)
+    return out.withColumn("status", status).drop(*(f"_k{n}" for n in range(1, len(levels) + 1)))
+
+
+def crosstab(rows: DataFrame, new: str, old: str) -> DataFrame:
+    """(new, old, n, share of new)."""
+    n = rows.groupBy(new, old).agg(F.count("*").alias("n"))
+    return n.withColumn("share", F.round(F.col("n") / F.sum("n").over(Window.partitionBy(new)), 6))

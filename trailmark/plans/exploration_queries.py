@@ -125,3 +125,36 @@ def table_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         one = X.fingerprint(table(spark, sf_dir, name)).select(F.lit(name).alias("table"), "rows", "checksum")
         out = one if out is None else out.union(one)
     return out
+
+
+@query("""WITH p AS (SELECT label AS c, CASE WHEN vec_id % 10 = 0 THEN -1 ELSE label // 2 END AS b, vec_id FROM embeddings) SELECT b AS b_cluster, count(*) AS rows, count_if(vec_id % 3 = 0) AS flagged, count(DISTINCT c) AS c_clusters, 'cluster ' || b AS name FROM p WHERE b <> -1 GROUP BY b""")
+def secondary_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select(F.col("label").alias("c_cluster"), F.expr("case when vec_id % 10 = 0 then -1 else cast(label div 2 as int) end").alias("b_cluster"), (F.col("vec_id") % 3 == 0).alias("odd"))
+    names = rows.select("b_cluster").distinct().withColumn("name", F.concat(F.lit("cluster "), "b_cluster"))
+    return X.secondary_catalog(rows, names, "odd")
+
+
+@query("""WITH c AS (SELECT r_name AS family, n_name AS submodule, min('M' || n_nationkey) AS first_id, count(*) AS leaves FROM nation JOIN region ON r_regionkey = n_regionkey GROUP BY r_name, n_name)
+SELECT *, row_number() OVER (ORDER BY first_id, family, submodule) AS position FROM c""")
+def taxonomy_choices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return X.choices(_places(spark, sf_dir), ["family", "submodule"])
+
+
+def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("r_regionkey") == F.col("n_regionkey"))
+    return n.select(F.concat(F.lit("M"), "n_nationkey").alias("taxonomy_id"), F.col("r_name").alias("family"), F.col("n_name").alias("submodule"))
+
+
+@query("""WITH a AS (SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN 'NOWHERE' ELSE r_name END AS family, CASE WHEN c_custkey % 7 = 0 THEN 'NOTHING' ELSE n_name END AS submodule FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey)
+SELECT c_custkey, CASE WHEN family = 'NOWHERE' THEN 'unknown_family' WHEN submodule = 'NOTHING' THEN 'unknown_submodule' ELSE 'valid' END AS status FROM a""")
+def assignment_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("r_regionkey") == F.col("n_regionkey"))
+    rows = table(spark, sf_dir, "customer").join(n, F.col("n_nationkey") == F.col("c_nationkey")).select(
+        "c_custkey", F.when(F.col("c_custkey") % 5 == 0, "NOWHERE").otherwise(F.col("r_name")).alias("family"), F.when(F.col("c_custkey") % 7 == 0, "NOTHING").otherwise(F.col("n_name")).alias("submodule")
+    )
+    return X.assignment_status(rows, _places(spark, sf_dir), ["family", "submodule"]).select("c_custkey", "status")
+
+
+@query("""WITH n AS (SELECT label, vec_id % 4 AS old, count(*) AS n FROM embeddings GROUP BY ALL) SELECT label, old, n, round(n / sum(n) OVER (PARTITION BY label), 6) AS share FROM n""")
+def cluster_crosstab(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return X.crosstab(table(spark, sf_dir, "embeddings").withColumn("old", F.col("vec_id") % 4), "label", "old")

@@ -9,7 +9,8 @@ from ..contracts import STREAM, CleanRules, SegmentRules
 from ..functions import names as N
 from ..operators import events as E
 from ..operators import journeys as J
-from .registry import query, table
+from ..streaming import journey_stream
+from .registry import query, table, work_folder
 
 #: The table's users pause for hours, so journeys end after half a day.
 RULES = SegmentRules(idle_seconds=43200.0, roots=("k0",), auth_markers=("signup",))
@@ -217,3 +218,15 @@ def client_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Times written as milliseconds and as seconds, parsed back."""
     millis, secs = (F.expr(f"unix_micros(cast(ts as timestamp)) div {n}").cast("string") for n in (1000, 1000000))
     return table(spark, sf_dir, "events").select("event_id", F.unix_millis(N.client_time(millis)).alias("from_millis"), F.unix_millis(N.client_time_by_shape(secs)).alias("from_seconds"))
+
+
+@query(f"""WITH RECURSIVE {SEGMENT_SQL}, z AS (SELECT platform, session_id, journey_no, count(*) AS n_events, max(CASE WHEN journey_pos = 0 THEN boundary_reason END) AS start_reason, epoch_us(max(ts)) // 1000 AS end_ms
+FROM seg JOIN events USING (event_id) GROUP BY platform, session_id, journey_no), l AS (SELECT *, max(journey_no) OVER (PARTITION BY platform, session_id) AS newest FROM z), w AS (SELECT epoch_us(max(ts)) // 1000 - 2000 AS mark FROM events)
+SELECT platform, session_id, journey_no, n_events, start_reason FROM l, w WHERE journey_no < newest OR end_ms + 43200001 < mark""")
+def stream_journeys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event table as a stream: journeys that are closed by a boundary, or by the time that has passed since."""
+    schema = table(spark, sf_dir, "events").schema
+    raw = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    events = E.from_event_table(raw, gaps=False)
+    closed = journey_stream.closed_journeys(events, work_folder(spark), RULES)
+    return closed.where("kind = 'journey'").select("platform", "session_id", "journey_no", "n_events", "start_reason")

@@ -104,7 +104,7 @@ def journeys(events: DataFrame, rules: SegmentRules = SegmentRules(), late_secon
             rows.append(s.close("idle_timeout"))
             state.remove()
         else:
-            arrived = pd.concat(list(batches))
+            arrived = pd.concat(list(batches)).sort_values(["event_time", "source_row_number"])  # rows of one trigger have no order of arrival
             for t, n, kind, name in zip(arrived["event_time"], arrived["source_row_number"], arrived["event_type"], arrived["segment_name"]):
                 rows += s.append((None if pd.isna(t) else t.value // 1_000_000, int(n), kind, name)) if (key[1] or "").strip() else [error("missing_session_id")]
             if provisional and s.events:
@@ -120,6 +120,14 @@ def journeys(events: DataFrame, rules: SegmentRules = SegmentRules(), late_secon
     return marked.groupBy(*STREAM).applyInPandasWithState(advance, OUTPUT, _STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
+def closed_journeys(events: DataFrame, folder: str, rules: SegmentRules = SegmentRules()) -> DataFrame:
+    """Runs ``journeys`` over all that a stream holds now, into Parquet below ``folder``, and reads the result."""
+    out = f"{folder}/journeys"
+    query = journeys(events, rules).writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{folder}/state").outputMode("append").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return events.sparkSession.read.schema(OUTPUT).parquet(out)
+
+
 def fixed_durations(events: list[tuple[int, str]], seconds: float = 30.0) -> list[list[tuple[int, str]]]:
     """Windows that start at their first event and end before the first event ``seconds`` or more later."""
     out: list[list[tuple[int, str]]] = []
