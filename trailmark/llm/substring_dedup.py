@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -278,12 +278,11 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
     # even then has too many is counted window by window. It is all one plan: texts are shuffled once, for all of it.
     last = (F.col("first") + F.octet_length("bytes") - length).alias("last")
     fine = near.where("hot").mapInArrow(split, schema_f).withColumn("n", F.when(F.col("single"), 1).otherwise(2))
-    again = fine.groupBy("h").agg(F.sum("n").alias("in_h")).where("in_h > 1").select("h")
-    fine = fine.join(again, "h")
-    same_bytes = fine.groupBy("h", "c").agg(F.sum("n").alias("in_c"), F.min(F.struct("id", "tag", "first", "bytes")).alias("at"))
-    spans = spans.union(fine.where("single").join(same_bytes.where("in_c > 1").select("h", "c"), ["h", "c"]).select("id", "tag", "first", last))
-    many = same_bytes.groupBy("h").agg((F.count("*") > bucket).alias("hot"))
-    met = same_bytes.join(many, "h").select("at.id", "at.tag", "at.first", "h", (F.col("in_c") == 1).alias("single"), "at.bytes", "hot")
+    whole = fine.groupBy("h", "c").agg(F.sum("n").alias("in_c")).where("in_c > 1").select("h", "c")
+    spans = spans.union(fine.where("single").join(whole, ["h", "c"]).select("id", "tag", "first", last))
+    per_anchor = Window.partitionBy("h")
+    met = fine.groupBy("h", "c").agg(F.sum("n").alias("in_c"), F.min(F.struct("id", "tag", "first", "bytes")).alias("at")).withColumn("contexts", F.count("*").over(per_anchor)).where("contexts > 1")
+    met = met.select("at.id", "at.tag", "at.first", "h", (F.col("in_c") == 1).alias("single"), "at.bytes", (F.col("contexts") > bucket).alias("hot"))
     spans = spans.union(in_blocks(near.where("not hot"))).union(in_blocks(met.where("not hot")))
     each = met.where("hot").select("id", "tag", "first", "h", "single", "bytes").mapInArrow(windows, T.StructType([*who, T.StructField("single", T.BooleanType()), *ints("first"), *longs("w")]))
     often = each.groupBy("w").agg(F.count("*").alias("n")).where("n > 1").select("w")
