@@ -31,7 +31,8 @@ from pyspark.sql import types as T
 from ._shared import cut, ranked
 
 CAPACITY, END = 4096, 1
-GROUPS, SMALL = 32, 8
+#: Groups of large lengths, and the share of the capacity (one over) up to which a length is small: tried in turn.
+SCHEMES = ((8, 4), (16, 4), (16, 8), (32, 8))
 #: Words whose ids a worker keeps from batch to batch and task to task; beyond that it starts anew.
 CACHE = 600_000
 
@@ -174,7 +175,17 @@ def configurations(sizes: list[int], counts: list[int], capacity: int) -> list[t
     return [(tuple(int(round(x)) for x in basis[:, j]), int(use[j] + 1e-6)) for j in range(k) if use[j] + 1e-6 >= 1]
 
 
-def plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS, small: int = SMALL) -> list[tuple[int, int, int, int, int, int]]:
+def plan(histogram: dict[int, int], capacity: int = CAPACITY, schemes: tuple[tuple[int, int], ...] = SCHEMES) -> list[tuple[int, int, int, int, int, int]]:
+    """The plan of fewest sequences of those that ``schemes`` give; see ``plan_by``."""
+    return min((plan_by(histogram, capacity, groups, small) for groups, small in schemes), key=sequences)
+
+
+def sequences(rows: list[tuple[int, int, int, int, int, int]]) -> int:
+    """How many sequences a plan has."""
+    return max((sequence + (past - first - 1) // each + 1 for _, first, past, sequence, each, _ in rows), default=0)
+
+
+def plan_by(histogram: dict[int, int], capacity: int, groups: int, small: int) -> list[tuple[int, int, int, int, int, int]]:
     """Where each document goes: rows (length, first, past, sequence, each, offset).
 
     Number r within its length, first <= r < past, lies in sequence + (r - first) // each, at
@@ -253,17 +264,17 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROU
     return rows
 
 
-def pack(tokenized: DataFrame, id_col: str = "id", capacity: int = CAPACITY, groups: int = GROUPS, small: int = SMALL, per_task: int = 1_000_000) -> DataFrame:
+def pack(tokenized: DataFrame, id_col: str = "id", capacity: int = CAPACITY, schemes: tuple[tuple[int, int], ...] = SCHEMES, per_task: int = 1_000_000) -> DataFrame:
     """``tokenized`` (id, piece, start, length, ids_crc32) with sequence_id and offset; lengths are 1 to ``capacity``."""
     spark = tokenized.sparkSession
     tokenized = cut(tokenized)
     counts = {r["length"]: r["count"] for r in tokenized.groupBy("length").count().collect()}  # at most one row a length
-    places = plan(counts, capacity, groups, small)
+    places = plan(counts, capacity, schemes)
     schema = "length long, first long, past long, sequence long, each long, base long"
     table = spark.createDataFrame(places, schema)
     row = ranked(tokenized, "length", [id_col, "piece", "start", "ids_crc32"], "number", sum(counts.values()), per_task)
     return (
-        row.join(F.broadcast(table), "length")  # its size is bounded by capacity and groups
+        row.join(F.broadcast(table), "length")  # its size is bounded by the capacity and the numbers of groups
         .where("number >= first and number < past")
         .withColumn("sequence_id", F.col("sequence") + F.expr("(number - first) div each"))
         .withColumn("offset", F.col("base") + (F.col("number") - F.col("first")) % F.col("each") * F.col("length"))
