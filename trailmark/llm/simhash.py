@@ -183,11 +183,11 @@ def similarity(a: bytes, b: bytes) -> float:
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, radius: int = 3, least: float = 0.8, bucket: int = BUCKET) -> DataFrame:
     """One row of ``docs`` for each class of near-duplicates, with all its columns: that of the smallest id.
 
-    Linked are texts whose SimHash differs in ``radius`` bits at most, and texts with a similarity of ``least`` or more
-    of their sets of shingles. Of the latter pairs SimHash alone finds few (at a similarity of 0.8 some ten bits differ);
-    candidates for them share the set of a thinned class of shingles, and each is compared with the first and the last
-    text of that class, by their sketches. Equal sets are one text from the start. Null ids come last; a tie is
-    decided by position. Texts without words are one class. An empty table stays empty.
+    Linked are texts with a similarity of ``least`` or more of their sets of shingles. Candidates are texts whose SimHash
+    differs in ``radius`` bits at most, and, as SimHash alone finds few of the pairs that are asked for (at a similarity
+    of 0.8 some ten bits differ), texts that share the set of a thinned class of shingles, each with the first and the
+    last text of that class. All are compared by their sketches. Equal sets are one text from the start. Null ids come
+    last; a tie is decided by position. Texts without words are one class. An empty table stays empty.
     """
     names, kinds = docs.columns, docs.schema
     docs = docs.toDF(*(f"c{i}" for i in range(len(names))))  # whatever the columns are called
@@ -216,7 +216,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     ends = F.struct("node", "_fp")
     shared = cut(keyed.groupBy("key").agg(F.count("*").alias("n"), F.min(ends).alias("low"), F.max(ends).alias("high")).where("n > 1").drop("n"))
     met = keyed.join(shared, "key").select("node", "_fp", F.explode(F.array("low", "high")).alias("o")).where((F.col("node") != F.col("o.node")) & (F.bit_count(F.col("_fp").bitwiseXOR(F.col("o._fp"))) <= FAR))
-    met = cut(met.select(F.greatest("node", "o.node").alias("a"), F.least("node", "o.node").alias("b")).distinct())
+    met = met.select(F.col("node").alias("a"), F.col("o.node").alias("b")).union(equal).union(close).where("a <> b")
+    met = cut(met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     sketches = cut(base.select(F.col("_at").alias("node"), "_sketch").join(met.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi"))
     of = lambda name: sketches.select(F.col("node").alias(name), F.col("_sketch").alias(f"s_{name}"))
 
@@ -226,7 +227,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
             yield b.select([0, 1]).filter(near)
 
     alike = met.join(of("a"), "a").join(of("b"), "b").select("a", "b", "s_a", "s_b").mapInArrow(compare, "a long, b long")
-    roots = components(equal.union(close).union(alike))
+    roots = components(alike)
     classes = texts.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
     kept = cut(classes.select(F.col("first._at").alias("_at")))
-    return base.join(kept, "_at", "left_semi").select(*(F.col(f"c{i}").alias(f.name, metadata=f.metadata) for i, f in enumerate(kinds.fields)))
+    # a merge join at any size, as what is kept grows with the table
+    return base.join(kept.hint("merge"), "_at", "left_semi").select(*(F.col(f"c{i}").alias(f.name, metadata=f.metadata) for i, f in enumerate(kinds.fields)))
