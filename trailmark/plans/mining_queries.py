@@ -11,7 +11,7 @@ from ..operators import vocabulary as V
 from ..sources import writers
 from .journey_queries import JOURNEY_SQL, ROLLUP_SQL, journeys, rolled
 from .model_queries import _ROLES, _roles
-from .registry import query, table
+from .registry import kept, query, table
 
 
 @query(f"""WITH s AS ({_ROLES}), a AS (SELECT DISTINCT conv_id, s[i] AS x FROM s, generate_series(1, len(s)) t(i)), b AS (SELECT DISTINCT conv_id, s[i] AS x, s[j] AS y FROM s, generate_series(1, len(s)) t(i), generate_series(i + 1, len(s)) u(j)),
@@ -25,7 +25,7 @@ def prefixspan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def pattern_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Closed, ranked patterns of journeys, and each journey's own."""
-    rows = rolled(spark, sf_dir).where("n_events_final > 1")
+    rows = kept(rolled(spark, sf_dir).where("n_events_final > 1"))
     ranked = P.rank(P.close(P.mine(rows, "sequence_tokens", 0.02, longest=3)), 60)
     return P.candidates(rows, "journey_id", "sequence_tokens", ranked)
 
@@ -76,7 +76,7 @@ g AS (SELECT journey_id, s[i] AS ngram FROM k, generate_series(1, len(s)) t(i) U
 d AS (SELECT ngram, ln((1 + (SELECT count(*) FROM k)) / (1 + count(*))) + 1 AS idf FROM tf GROUP BY ngram HAVING count(*) >= 5), w AS (SELECT journey_id, (1 + ln(tf)) * idf AS w FROM tf JOIN d USING (ngram))
 SELECT journey_id, count(*) AS terms, round(max(w) / sqrt(sum(w * w)), 6) AS heaviest FROM w GROUP BY journey_id""")
 def tfidf_norms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = rolled(spark, sf_dir)
+    rows = kept(rolled(spark, sf_dir))
     weights = embedding.fit_tfidf(rows, "journey_id", "sequence_tokens").transform(rows, "journey_id", "sequence_tokens")
     return weights.groupBy("journey_id").agg(F.count("*").alias("terms"), F.round(F.max("w"), 6).alias("heaviest"))
 
@@ -84,9 +84,9 @@ def tfidf_norms(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def svd_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Journeys in eight dimensions: rows, dimension and length of the vectors."""
-    rows = rolled(spark, sf_dir)
+    rows = kept(rolled(spark, sf_dir))
     model = embedding.fit_tfidf(rows, "journey_id", "sequence_tokens", most=300)
-    weights = model.transform(rows, "journey_id", "sequence_tokens")
+    weights = kept(model.transform(rows, "journey_id", "sequence_tokens"))
     basis = embedding.fit_svd(weights, "journey_id", model.terms.count(), 8)
     v = embedding.project(weights, "journey_id", basis).withColumn("v", embedding.unit(F.col("v")))
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
@@ -97,7 +97,7 @@ def svd_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
 z AS (SELECT journey_id, (a - avg(a) OVER ()) / stddev_pop(a) OVER () AS a, (b - avg(b) OVER ()) / stddev_pop(b) OVER () AS b, (c - avg(c) OVER ()) / stddev_pop(c) OVER () AS c FROM x)
 SELECT journey_id, round(a / sqrt(a * a + b * b + c * c), 6) AS events, round(b / sqrt(a * a + b * b + c * c), 6) AS actions, round(c / sqrt(a * a + b * b + c * c), 6) AS span FROM z""")
 def numeric_block(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, columns = rolled(spark, sf_dir), ("n_events_final", "action_ratio", "span_seconds")
+    rows, columns = kept(rolled(spark, sf_dir)), ("n_events_final", "action_ratio", "span_seconds")
     v = embedding.fit_numeric(rows, columns).transform(columns)
     return rows.select("journey_id", v.alias("v")).select("journey_id", *(F.round(F.col("v")[i], 6).alias(n) for i, n in enumerate(("events", "actions", "span"))))
 

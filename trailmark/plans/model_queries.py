@@ -10,7 +10,7 @@ from ..operators import clusters as C
 from ..operators import markov as M
 from ..operators import vocabulary as V
 from .journey_queries import JOURNEY_SQL, ROLLUP_SQL, journeys, rolled
-from .registry import query, table
+from .registry import kept, query, table
 
 
 @query(f"""WITH RECURSIVE {JOURNEY_SQL} SELECT event_token, count(*) AS events, count(DISTINCT (platform, session_id)) AS sessions, epoch_us(min(event_time)) AS first_us, epoch_us(max(event_time)) AS last_us,
@@ -32,7 +32,7 @@ a AS (SELECT t, count(DISTINCT (platform, session_id, journey_no)) AS df_t FROM
 SELECT platform || '::' || session_id || '::' || journey_no AS journey_id, string_agg(CASE WHEN df_t >= 300 THEN t WHEN df_c >= 300 THEN c ELSE '<rare>' END, ' ' ORDER BY journey_pos) AS folded, count_if(df_t < 300 AND df_c >= 300) AS n_backed_off,
   count_if(df_t < 300 AND df_c < 300) AS n_rare FROM t JOIN a USING (t) JOIN b USING (c) GROUP BY ALL""")
 def rare_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = rolled(spark, sf_dir).withColumn("coarse", F.transform("sequence_tokens", lambda t: F.substring_index(t, "#", 1)))
+    rows = kept(rolled(spark, sf_dir)).withColumn("coarse", F.transform("sequence_tokens", lambda t: F.substring_index(t, "#", 1)))
     return V.fold_rare(rows, "journey_id", "sequence_tokens", "coarse", 300).withColumn("folded", F.array_join("folded", " "))
 
 
@@ -62,7 +62,7 @@ p AS (SELECT journey_id, cluster, s[i] AS src, s[i + 1] AS dst FROM k, generate_
 
 
 def _clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rolled(spark, sf_dir).withColumn("cluster", F.col("n_events_final") % 3)
+    return kept(rolled(spark, sf_dir).withColumn("cluster", F.col("n_events_final") % 3))
 
 
 @query(f"WITH RECURSIVE {_CLUSTERED} SELECT * FROM e")
@@ -75,7 +75,7 @@ l AS (SELECT journey_id, avg(ln((n + 0.1) / (total + 0.1 * v))) AS m FROM p JOIN
 SELECT journey_id, round(m, 6) AS markov_logprob FROM k LEFT JOIN l USING (journey_id)""")
 def markov_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _clustered(spark, sf_dir)
-    out = M.score(rows, "journey_id", "cluster", "sequence_tokens", M.fit(rows, "cluster", "sequence_tokens"))
+    out = M.score(rows, "journey_id", "cluster", "sequence_tokens", kept(M.fit(rows, "cluster", "sequence_tokens")))
     return out.select("journey_id", F.round("markov_logprob", 6).alias("markov_logprob"))
 
 
@@ -83,7 +83,7 @@ def markov_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 x AS (SELECT *, sum(n) OVER (PARTITION BY cluster, src) AS total, row_number() OVER (PARTITION BY cluster, src ORDER BY n DESC, dst) AS rank FROM e)
 SELECT cluster, src, rank, dst, round((n + 0.1) / (total + 0.1 * v), 6) AS probability, round(n / total, 6) AS share FROM x, v WHERE rank <= 3""")
 def next_token(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = M.next_tokens(M.fit(_clustered(spark, sf_dir), "cluster", "sequence_tokens"))
+    out = M.next_tokens(kept(M.fit(_clustered(spark, sf_dir), "cluster", "sequence_tokens")))
     return out.withColumns({c: F.round(c, 6) for c in ("probability", "share")})
 
 
@@ -168,7 +168,7 @@ _LIMITS = {"back_p90": ("back_rate", 0.9), "loops_p90": ("n_loop_removed", 0.9),
 @query(f"""WITH RECURSIVE {ROLLUP_SQL}, t AS (SELECT quantile_cont(revisit_ratio, 0.9) AS rv, quantile_cont(span_seconds, 0.95) AS sp FROM r)
 SELECT platform, concat_ws('|', CASE WHEN revisit_ratio > rv THEN 'revisits' END, CASE WHEN span_seconds > sp THEN 'long_span' END) AS flags, count(*) AS n FROM r, t GROUP BY ALL""")
 def friction_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = rolled(spark, sf_dir)
+    rows = kept(rolled(spark, sf_dir))
     limits = C.thresholds(rows, _LIMITS).first().asDict()
     return rows.groupBy("platform", C.friction_flags(limits).alias("flags")).agg(F.count("*").alias("n"))
 
@@ -193,8 +193,8 @@ SELECT CASE WHEN span_seconds > sp THEN -1 ELSE cluster END AS cluster, coalesce
 def frozen_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scoring against frozen thresholds; a journey's span stands in for its distance to a centroid."""
     rows = _clustered(spark, sf_dir).withColumnsRenamed({"cluster": "nearest_cluster"}).withColumn("distance", F.col("span_seconds"))
-    edges = M.fit(rows, "nearest_cluster", "sequence_tokens")
-    rows = rows.join(M.score(rows, "journey_id", "nearest_cluster", "sequence_tokens", edges), "journey_id")
+    edges = kept(M.fit(rows, "nearest_cluster", "sequence_tokens"))
+    rows = kept(rows.join(M.score(rows, "journey_id", "nearest_cluster", "sequence_tokens", edges), "journey_id"))
     at = _LIMITS | {"markov_p05": ("markov_logprob", 0.05), "markov_p01": ("markov_logprob", 0.01), "distance_p95": ("distance", 0.95)}
     limits = C.thresholds(rows, at).first().asDict()
     return C.judge(rows, limits).groupBy("cluster", "generative_anomaly", "severe_anomaly").agg(F.count("*").alias("n"))

@@ -36,3 +36,10 @@ def work_folder(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     return tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet and read again, for queries that use it several times."""
+    path = f"{work_folder(df.sparkSession)}/kept"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
