@@ -88,6 +88,26 @@ def test_one_of_each_class_stays(spark):
     assert simhash.keep_one(table(spark, rows)).columns == SCHEMA.replace(",", "").split()[::2]
 
 
+@pytest.mark.parametrize("block", [16, 256])
+def test_copies_join_an_original_in_the_middle(spark, monkeypatch, block):
+    monkeypatch.setattr(simhash.join_groups, "__defaults__", (block,))
+    rng = random.Random(3)
+    texts = []
+    for star in range(2):  # copies are like the original (about 0.85), not like each other (about 0.73)
+        words = [f"w{star}x{rng.randrange(10**6)}" for _ in range(160)]
+        copies = []
+        for c in range(60):
+            copy = list(words)
+            for at in rng.sample(range(4, 156, 8), 3):
+                copy[at] = f"edit{star}x{c}x{at}"
+            copies.append(" ".join(copy))
+        texts.append([*copies[:30], " ".join(words), *copies[30:]])
+    rows = [(star * 100 + i, t) for star in range(2) for i, t in enumerate(texts[star])]
+    sets = [shingles(t) for _, t in rows]
+    assert len(set(components(sets, lambda a, b: len(a & b) / len(a | b) >= 0.8))) == 2
+    assert [r.doc_id for r in simhash.keep_one(table(spark, rows).coalesce(1)).collect()] == [0, 100]
+
+
 @pytest.mark.parametrize("bucket", [2, 8, 1024])
 def test_links_of_dense_fingerprints(spark, bucket):
     rng = random.Random(bucket)

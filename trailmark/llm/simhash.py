@@ -138,6 +138,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 PER_CLASS, CLASSES, SKETCH = 5, 12, 192
 #: Pairs that differ in more bits than this are not compared; similar ones differ in 10 on average, with a deviation of 3.
 FAR = 24
+#: Rows of a group that are compared with each other by one task.
+BLOCK = 256
 
 
 def _scramble(h: np.ndarray, seed: int) -> np.ndarray:
@@ -180,13 +182,68 @@ def similarity(a: bytes, b: bytes) -> float:
     return float(np.isin(union, np.intersect1d(x, y)).sum() / len(union)) if len(union) else 1.0
 
 
+def _joined(table: pa.Table, least: float) -> pa.Table:
+    """Links (a, b) between components that the rows of one task (node, root, own, _sketch) join: every pair counts.
+
+    Pairs of one component, and of one side where the task stands for two blocks, need no look. Of the others those are
+    compared whose common hashes would be enough, which is never fewer than the comparison itself counts.
+    """
+    roots, own = table.column("root").to_numpy(), table.column("own").to_numpy()
+    sketches = [x.as_py() for x in table.column("_sketch")]
+    values = [np.unique(np.frombuffer(x, dtype="<u4")) for x in sketches]
+    size = np.array([len(v) for v in values])
+    _, which, times = np.unique(np.concatenate(values), return_inverse=True, return_counts=True)
+    row, often = np.repeat(np.arange(len(values)), size), times > 1
+    at = (np.cumsum(often) - 1)[which]
+    common = np.zeros((len(values), len(values)), dtype=np.float32)
+    for k in range(0, int(often.sum()), 4096):
+        held = np.zeros((len(values), 4096), dtype=np.float32)
+        here = often[which] & (at >= k) & (at < k + 4096)
+        held[row[here], at[here] - k] = 1
+        common += held @ held.T
+    union = np.minimum(SKETCH, size[:, None] + size[None, :] - common)
+    may = np.triu(common >= least * union - 1e-3, 1) & (roots[:, None] != roots[None, :])
+    if (own != own[0]).any():
+        may &= own[:, None] != own[None, :]
+    parent: dict[int, int] = {}
+
+    def top(i: int) -> int:
+        while (up := parent.get(i, i)) != i:
+            i = up
+        return i
+
+    a, b = [], []
+    for i, j in zip(*np.nonzero(may)):
+        x, y = top(int(roots[i])), top(int(roots[j]))
+        if x != y and similarity(sketches[i], sketches[j]) >= least:
+            parent[max(x, y)] = min(x, y)
+            a.append(max(x, y))
+            b.append(min(x, y))
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def join_groups(groups: DataFrame, sketches: DataFrame, least: float, block: int = BLOCK) -> DataFrame:
+    """(a, b) links between the roots of ``groups`` (group, node, root) such that each similar pair of a group has one component.
+
+    A group of more than ``block`` rows is dealt into blocks, and each two of them are compared by one task: nothing of
+    a group is left out, and no task holds more than about two blocks.
+    """
+    sizes = groups.groupBy("group").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    dealt = groups.join(sizes, "group").withColumn("own", F.pmod(F.xxhash64("node", "group"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    pairs = dealt.select("group", "node", "root", "own", other).select("group", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "node", "root", "own")
+    full = pairs.join(sketches, "node").select("group", "low", "high", "node", "root", "own", "_sketch")
+    return full.groupBy("group", "low", "high").applyInArrow(lambda t: _joined(t, least), "a long, b long").distinct()
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, radius: int = 3, least: float = 0.8, bucket: int = BUCKET) -> DataFrame:
     """One row of ``docs`` for each class of near-duplicates, with all its columns: that of the smallest id.
 
     Linked are texts with a similarity of ``least`` or more of their sets of shingles. Candidates are texts whose SimHash
     differs in ``radius`` bits at most, and, as SimHash alone finds few of the pairs that are asked for (at a similarity
-    of 0.8 some ten bits differ), texts that share the set of a thinned class of shingles, each with the first and the
-    last text of that class. All are compared by their sketches. Equal sets are one text from the start. Null ids come
+    of 0.8 some ten bits differ), texts that share the set of a thinned class of shingles: each with the first and the
+    last text of that class and, where these don't join the class, with every text that is still apart. All are compared
+    by their sketches. Equal sets are one text from the start. Null ids come
     last; a tie is decided by position. Texts without words are one class. An empty table stays empty.
     """
     names, kinds = docs.columns, docs.schema
@@ -227,8 +284,18 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
             yield b.select([0, 1]).filter(near)
 
     alike = met.join(of("a"), "a").join(of("b"), "b").select("a", "b", "s_a", "s_b").mapInArrow(compare, "a long, b long")
-    roots = components(alike)
-    classes = texts.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
+    roots = cut(texts.select("node").join(components(alike), "node", "left").select("node", F.coalesce("root", "node").alias("root")))
+
+    # groups whose first and last text did not join all: every pair that is still apart
+    members = keyed.select("node", F.col("key").alias("group")).join(roots, "node")
+    apart = members.groupBy("group").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).where("n > 3 and low <> high")
+    groups = cut(members.join(apart.select("group"), "group").select("group", "node", "root"))
+    if not groups.isEmpty():
+        every = base.select(F.col("_at").alias("node"), "_sketch")
+        sketches = cut(every.join(groups.select("node").distinct(), "node", "left_semi"))
+        merged = components(join_groups(groups, sketches, least)).select(F.col("node").alias("root"), F.col("root").alias("top"))
+        roots = roots.join(merged, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    classes = texts.join(roots, "node").groupBy("root").agg(F.min("first").alias("first"))
     kept = cut(classes.select(F.col("first._at").alias("_at")))
     # a merge join at any size, as what is kept grows with the table
     return base.join(kept.hint("merge"), "_at", "left_semi").select(*(F.col(f"c{i}").alias(f.name, metadata=f.metadata) for i, f in enumerate(kinds.fields)))
