@@ -108,6 +108,15 @@ def test_copies_join_an_original_in_the_middle(spark, monkeypatch, block):
     assert [r.doc_id for r in simhash.keep_one(table(spark, rows).coalesce(1)).collect()] == [0, 100]
 
 
+def test_texts_of_one_fingerprint_are_compared_with_each_other(spark):
+    heavy = [f"h{i}" for i in range(31)] * 64  # decides every bit; the pairs share no thinned class
+    of = lambda k, *edits: " ".join(heavy + ["edit" if i in edits else f"u{k}w{i}" for i in range(60)])
+    texts = [of(1), *(t for k in (168, 529, 547, 812, 872) for t in (of(k), of(k, 20, 40)))]
+    assert len({simhash.shingle_facts(t, 5)[0] for t in texts}) == 1
+    kept = [r.doc_id for r in simhash.keep_one(table(spark, list(enumerate(texts))).coalesce(1)).collect()]
+    assert sorted(kept) == [0, 1, 3, 5, 7, 9]
+
+
 @pytest.mark.parametrize("bucket", [2, 8, 1024])
 def test_links_of_dense_fingerprints(spark, bucket):
     rng = random.Random(bucket)

@@ -90,13 +90,16 @@ def _spanning(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.Rec
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
-def links(fps: DataFrame, radius: int = 3, bucket: int = BUCKET) -> DataFrame:
+def links(fps: DataFrame, radius: int = 3, bucket: int = BUCKET, buckets: list[DataFrame] | None = None) -> DataFrame:
     """(a, b) links whose components are those of all pairs of ``fps`` (fp: distinct longs) within ``radius`` bits.
 
     Buckets of two are compared in place, small ones by one task each. A bucket of more than ``bucket`` fingerprints is
     not compared: each of its fingerprints goes to the buckets of another covering family on the bits still free, which
     keeps every close pair together in one of them. Free bits halve each time and k free bits leave 2^k fingerprints at
     most, so the largest list is bounded whatever the data hold.
+
+    To ``buckets`` the compared buckets (mask, key, fp) are added, in one of which at least each close pair lies: links
+    span components only, and who asks more of a pair than ``radius`` has to look at the pairs themselves.
     """
     rows, out, level = fps.select("fp", F.lit(0).cast("long").alias("mask")), [], 0
     floor = max(3, bucket.bit_length() - 1)  # up to 3 free bits may stay free for good
@@ -107,8 +110,10 @@ def links(fps: DataFrame, radius: int = 3, bucket: int = BUCKET) -> DataFrame:
         full = cut(rows.groupBy("mask", "key").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1"))
         out.append(full.where("n = 2").where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius).select("a", "b"))
         hot = (F.col("n") > bucket) & (F.bit_count("mask") < BITS - floor)
-        dealt = cut(rows.join(full.where("n > 2").select("mask", "key", hot.alias("hot")), ["mask", "key"]))
-        lists = dealt.where("not hot").groupBy("mask", "key").agg(F.collect_list("fp").alias("fps")).select("fps")
+        dealt = cut(rows.join(full.where("n > 2" if buckets is None else "n > 1").select("mask", "key", (F.col("n") > 2).alias("listed"), hot.alias("hot")), ["mask", "key"]))
+        if buckets is not None:
+            buckets.append(dealt.where("not hot").select("mask", "key", "fp"))
+        lists = dealt.where("listed and not hot").groupBy("mask", "key").agg(F.collect_list("fp").alias("fps")).select("fps")
         out.append(lists.mapInArrow(lambda it: _spanning(it, radius), "a long, b long"))
         if full.where(hot).isEmpty():
             break
@@ -240,7 +245,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     """One row of ``docs`` for each class of near-duplicates, with all its columns: that of the smallest id.
 
     Linked are texts with a similarity of ``least`` or more of their sets of shingles. Candidates are texts whose SimHash
-    differs in ``radius`` bits at most, and, as SimHash alone finds few of the pairs that are asked for (at a similarity
+    differs in ``radius`` bits at most (whatever links join, every pair that is still apart is compared too), and, as SimHash alone finds few of the pairs that are asked for (at a similarity
     of 0.8 some ten bits differ), texts that share the set of a thinned class of shingles: each with the first and the
     last text of that class and, where these don't join the class, with every text that is still apart. All are compared
     by their sketches. Equal sets are one text from the start. Null ids come
@@ -264,8 +269,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     order = F.struct(F.col(id_col).isNull().alias("blank"), F.col(id_col).alias("id"), "_at")
     texts = cut(base.groupBy("_set", "_fp").agg(F.min(order).alias("first"), F.first("_keys").alias("keys")).withColumn("node", F.col("first._at")))
     by_fp = texts.groupBy("_fp").agg(F.min("node").alias("head"))
+    buckets: list[DataFrame] = []
     equal = texts.join(by_fp, "_fp").select(F.col("node").alias("a"), F.col("head").alias("b"))
-    close = links(by_fp.select(F.col("_fp").alias("fp")), radius, bucket)
+    close = links(by_fp.select(F.col("_fp").alias("fp")), radius, bucket, buckets)
     heads = lambda name: by_fp.select(F.col("_fp").alias(name), F.col("head").alias(f"{name}_head"))
     close = close.join(heads("a"), "a").join(heads("b"), "b").select(F.col("a_head").alias("a"), F.col("b_head").alias("b"))
 
@@ -286,10 +292,19 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     alike = met.join(of("a"), "a").join(of("b"), "b").select("a", "b", "s_a", "s_b").mapInArrow(compare, "a long, b long")
     roots = cut(texts.select("node").join(components(alike), "node", "left").select("node", F.coalesce("root", "node").alias("root")))
 
-    # groups whose first and last text did not join all: every pair that is still apart
+    # classes, fingerprints and buckets of close ones whose links so far did not join all: every pair that is still apart
     members = keyed.select("node", F.col("key").alias("group")).join(roots, "node")
     apart = members.groupBy("group").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).where("n > 3 and low <> high")
-    groups = cut(members.join(apart.select("group"), "group").select("group", "node", "root"))
+    groups = members.join(apart.select("group"), "group").select("group", "node", "root")
+    found = texts.select("node", "_fp").join(roots, "node")
+    of_fp = cut(found.groupBy("_fp").agg(F.min("root").alias("low"), F.max("root").alias("high")))
+    own = F.xxhash64(F.lit("fp"), "_fp").alias("group")
+    groups = groups.union(found.join(of_fp.where("low <> high").select("_fp"), "_fp").select(own, "node", "root"))
+    for level, x in enumerate(buckets):
+        x = x.select(F.xxhash64(F.lit(level), "mask", "key").alias("group"), F.col("fp").alias("_fp"))
+        apart = x.join(of_fp, "_fp").groupBy("group").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low <> high")
+        groups = groups.union(x.join(apart.select("group"), "group").join(found, "_fp").select("group", "node", "root"))
+    groups = cut(groups)
     if not groups.isEmpty():
         every = base.select(F.col("_at").alias("node"), "_sketch")
         sketches = cut(every.join(groups.select("node").distinct(), "node", "left_semi"))
