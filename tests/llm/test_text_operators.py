@@ -117,6 +117,17 @@ def test_texts_of_one_fingerprint_are_compared_with_each_other(spark):
     assert sorted(kept) == [0, 1, 3, 5, 7, 9]
 
 
+def test_repeats_part_fingerprints_and_no_texts(spark):
+    words = lambda p, n: [f"{p}{i}" for i in range(n)]
+    rows = []
+    for k in range(6):
+        rows += [" ".join(words(f"t{k}w", 400)), " ".join(words(f"t{k}w", 400) + words(f"l{k}x", 5) * 20)]
+        rows += [" ".join(words(f"a{k}x", 6) * 2 + words(f"b{k}x", 6) * 20), " ".join(words(f"a{k}x", 6) * 20 + words(f"b{k}x", 6) * 2)]
+    far = [(simhash.fingerprint(a, 5) ^ simhash.fingerprint(b, 5)) % 2**64 for a, b in zip(rows[::2], rows[1::2])]
+    assert sum(f.bit_count() > 24 for f in far) >= 2
+    assert sorted(r.doc_id for r in simhash.keep_one(table(spark, list(enumerate(rows)))).collect()) == list(range(0, 24, 2))
+
+
 @pytest.mark.parametrize("bucket", [2, 8, 1024])
 def test_links_of_dense_fingerprints(spark, bucket):
     rng = random.Random(bucket)

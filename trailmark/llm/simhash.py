@@ -141,8 +141,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 #: Thinned classes of a text's shingles: about so many shingles in each, so many classes; hashes in a sketch; seeds.
 PER_CLASS, CLASSES, SKETCH = 5, 12, 192
-#: Pairs that differ in more bits than this are not compared; similar ones differ in 10 on average, with a deviation of 3.
-FAR = 24
 #: Rows of a group that are compared with each other by one task.
 BLOCK = 256
 
@@ -248,7 +246,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     differs in ``radius`` bits at most (whatever links join, every pair that is still apart is compared too), and, as SimHash alone finds few of the pairs that are asked for (at a similarity
     of 0.8 some ten bits differ), texts that share the set of a thinned class of shingles: each with the first and the
     last text of that class and, where these don't join the class, with every text that is still apart. All are compared
-    by their sketches. Equal sets are one text from the start. Null ids come
+    by their sketches. Equal sets are one text from the start,
+    whatever their fingerprints. Null ids come
     last; a tie is decided by position. Texts without words are one class. An empty table stays empty.
     """
     names, kinds = docs.columns, docs.schema
@@ -267,19 +266,19 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
 
     base = cut(plain.mapInArrow(run, schema))  # written with its numbering, which a recomputation could change
     order = F.struct(F.col(id_col).isNull().alias("blank"), F.col(id_col).alias("id"), "_at")
-    texts = cut(base.groupBy("_set", "_fp").agg(F.min(order).alias("first"), F.first("_keys").alias("keys")).withColumn("node", F.col("first._at")))
-    by_fp = texts.groupBy("_fp").agg(F.min("node").alias("head"))
+    texts = cut(base.groupBy("_set").agg(F.min(order).alias("first"), F.first("_keys").alias("keys")).withColumn("node", F.col("first._at")))
+    marks = cut(base.select("_set", "_fp").distinct().join(texts.select("_set", "node"), "_set").select("node", "_fp"))  # repeats count in a fingerprint, so a set may have several
+    by_fp = marks.groupBy("_fp").agg(F.min("node").alias("head"))
     buckets: list[DataFrame] = []
-    equal = texts.join(by_fp, "_fp").select(F.col("node").alias("a"), F.col("head").alias("b"))
+    equal = marks.join(by_fp, "_fp").select(F.col("node").alias("a"), F.col("head").alias("b"))
     close = links(by_fp.select(F.col("_fp").alias("fp")), radius, bucket, buckets)
     heads = lambda name: by_fp.select(F.col("_fp").alias(name), F.col("head").alias(f"{name}_head"))
     close = close.join(heads("a"), "a").join(heads("b"), "b").select(F.col("a_head").alias("a"), F.col("b_head").alias("b"))
 
-    keyed = texts.select("node", "_fp", F.explode("keys").alias("key"))
-    ends = F.struct("node", "_fp")
-    shared = cut(keyed.groupBy("key").agg(F.count("*").alias("n"), F.min(ends).alias("low"), F.max(ends).alias("high")).where("n > 1").drop("n"))
-    met = keyed.join(shared, "key").select("node", "_fp", F.explode(F.array("low", "high")).alias("o")).where((F.col("node") != F.col("o.node")) & (F.bit_count(F.col("_fp").bitwiseXOR(F.col("o._fp"))) <= FAR))
-    met = met.select(F.col("node").alias("a"), F.col("o.node").alias("b")).union(equal).union(close).where("a <> b")
+    keyed = texts.select("node", F.explode("keys").alias("key"))
+    shared = cut(keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("low"), F.max("node").alias("high")).where("n > 1").drop("n"))
+    met = keyed.join(shared, "key").select(F.col("node").alias("a"), F.explode(F.array("low", "high")).alias("b"))
+    met = met.union(equal).union(close).where("a <> b")
     met = cut(met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     sketches = cut(base.select(F.col("_at").alias("node"), "_sketch").join(met.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi"))
     of = lambda name: sketches.select(F.col("node").alias(name), F.col("_sketch").alias(f"s_{name}"))
@@ -296,7 +295,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     members = keyed.select("node", F.col("key").alias("group")).join(roots, "node")
     apart = members.groupBy("group").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).where("n > 3 and low <> high")
     groups = members.join(apart.select("group"), "group").select("group", "node", "root")
-    found = texts.select("node", "_fp").join(roots, "node")
+    found = marks.join(roots, "node")
     of_fp = cut(found.groupBy("_fp").agg(F.min("root").alias("low"), F.max("root").alias("high")))
     own = F.xxhash64(F.lit("fp"), "_fp").alias("group")
     groups = groups.union(found.join(of_fp.where("low <> high").select("_fp"), "_fp").select(own, "node", "root"))
