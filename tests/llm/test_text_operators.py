@@ -150,6 +150,18 @@ def test_masks_cover_every_close_pair():
         assert any(not (m % 2**64) & d for m in simhash.masks(3, 0))
 
 
+def test_secrets_of_any_length_and_number():
+    rng = random.Random(9)
+    blob = lambda n: "".join(rng.choices("abcdefghijkmnopqrstuvwxyzABCDEFGHJK23456789", k=n))
+    lexed = lambda text: [(s.start, s.end) for s in secrets.scan(text) if s.kind == "lexed"]
+    value = blob(9000)
+    assert lexed(f'private_key = "{value}"') == [(15, 9015)] and lexed(f"credentials = {value} end") == [(14, 9014)]
+    parts = [blob(24) for _ in range(100)]
+    assert len(lexed("credentials = " + " + ".join(f'"{p}"' for p in parts))) == 100
+    lines = [f'x0 = "{parts[0]}"'] + [f'x{i} = "{p}" + x{i - 1}' for i, p in enumerate(parts) if i]
+    assert len(lexed("\n".join([*lines, "credentials = x99"]))) == 100
+
+
 def slow_base(text):
     kinds = {"assign": (r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 8), "access": (r"AKIA[A-Z0-9]+", 16), "hex": (r"[0-9a-f]+", 32)}
     out = []

@@ -38,9 +38,14 @@ SENSITIVE = {
 #: Literals that stand for a value without being one.
 PLACEHOLDERS = {"true", "false", "none", "null", "changeme", "example", "password", "secret", "token", "undefined", "redacted", "xxxxxxxx"}
 
+#: Literals above this length are scored together where they have one end, so that a long run of them costs one pass.
+LONG = 4096
+_DIGITS, _LETTERS = set("0123456789"), set("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
 _OPERATOR = re.compile(r":=|=>|==|[:=]")
 _NAME = re.compile(r"([A-Za-z_][A-Za-z0-9_.-]{0,99})[\"'\])]{0,2}[ \t]{0,8}$")
-_TERM = re.compile(r"[ \t]{0,8}(?:\"((?:[^\"\\\n]|\\.){0,4096})\"|'((?:[^'\\\n]|\\.){0,4096})'|([^\s\"'`,;(){}\[\]<>|]{1,4096}))")
+_BLANK = re.compile(r"[ \t]{0,8}")
+_QUOTED = re.compile(r"\"((?:[^\"\\\n]++|\\.)*+)\"|'((?:[^'\\\n]++|\\.)*+)'")
+_BARE = re.compile(r"[^\s\"'`,;(){}\[\]<>|]++")
 _PLUS = re.compile(r"[ \t]{0,8}\+")
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 
@@ -64,14 +69,19 @@ def randomness(value: str) -> float:
     n = len(value)
     if n < 8 or value.lower() in PLACEHOLDERS:
         return 0.0
-    entropy = -sum(c / n * math.log2(c / n) for c in Counter(value).values())
-    mixed = 1.0 if re.search(r"[0-9]", value) and re.search(r"[A-Za-z]", value) else 0.5
+    return _randomness(Counter(value), n)
+
+
+def _randomness(counts: Counter, n: int) -> float:
+    entropy = -sum(c / n * math.log2(c / n) for c in counts.values())
+    mixed = 1.0 if counts.keys() & _DIGITS and counts.keys() & _LETTERS else 0.5
     return min(1.0, entropy / min(5.0, math.log2(n))) * mixed * min(1.0, n / 16)
 
 
 def lex(text: str) -> list[tuple[str, list[tuple[int, int]], list[str]]]:
     """Assignments in order: (name, literal spans, names used as values)."""
     found = []
+    run = (0, 0)  # the last run of bare characters: values within it end where it ends
     for op in _OPERATOR.finditer(text):
         at = op.end()
         if op[0] == "==" or text.startswith("//", at):
@@ -79,13 +89,21 @@ def lex(text: str) -> list[tuple[str, list[tuple[int, int]], list[str]]]:
         if not (name := _NAME.search(text, max(0, op.start() - 112), op.start())):
             continue
         literals, names = [], []
-        while term := _TERM.match(text, at):
-            quoted = 1 if term[1] is not None else 2 if term[2] is not None else 3
-            if term[quoted]:
-                literals.append(term.span(quoted))
-            if quoted == 3 and re.fullmatch(r"\$?\{?[A-Za-z_][A-Za-z0-9_.]{0,99}\}?", term[3]):
-                names.append(term[3].strip("${}"))
-            plus = _PLUS.match(text, term.end())
+        while True:
+            at = _BLANK.match(text, at).end()
+            if term := _QUOTED.match(text, at):
+                start, end = term.span(1 if term[1] is not None else 2)
+            else:
+                if not run[0] <= at < run[1]:
+                    if not (bare := _BARE.match(text, at)):
+                        break
+                    run = bare.span()
+                start, end = at, run[1]
+                if end - start <= 103 and re.fullmatch(r"\$?\{?[A-Za-z_][A-Za-z0-9_.]{0,99}\}?", text[start:end]):
+                    names.append(text[start:end].strip("${}"))
+            if end > start:
+                literals.append((start, end))
+            plus = _PLUS.match(text, term.end() if term else end)
             if not plus:
                 break
             at = plus.end()
@@ -94,6 +112,20 @@ def lex(text: str) -> list[tuple[str, list[tuple[int, int]], list[str]]]:
     return found
 
 
+def _scores(text: str, literals: list[tuple[int, int]]) -> dict[tuple[int, int], float]:
+    """``randomness`` of each literal. Long ones with one end are counted once, from the shortest on."""
+    found = {s: randomness(text[slice(*s)]) for s in literals if s[1] - s[0] <= LONG}
+    end, counts = -1, Counter()
+    for s in sorted((s for s in literals if s[1] - s[0] > LONG), key=lambda s: (s[1], -s[0])):
+        if s[1] != end:
+            start = end = s[1]
+            counts = Counter()
+        counts.update(text[s[0] : start])
+        start = s[0]
+        found[s] = _randomness(counts, s[1] - s[0])
+    return found
+
+
 def scan(text: str | None, threshold: float = 0.6) -> list[Span]:
     """All spans (code points, end exclusive) by start, then kind as in ``KINDS``; equal spans of one kind once."""
     text = text or ""
@@ -104,18 +136,24 @@ def scan(text: str | None, threshold: float = 0.6) -> list[Span]:
     if "AKIA" in text:
         spans |= {Span(*m.span(), "access", 1.0) for m in ACCESS.finditer(text) if len(m[0]) >= 16}
     spans |= {Span(*m.span(), "hex", 1.0) for m in HEX.finditer(text)}
-    reach: dict[tuple[int, int], float] = {}
-    constants: dict[str, list[tuple[int, int]]] = {}
+    latest: dict[str, int] = {}  # the last assignment to each name
+    held: list[tuple[list[tuple[int, int]], list[int]]] = []  # own literals, assignments of the names used
+    levels: list[float] = []
     for name, literals, names in lex(text) if "=" in text or ":" in text else ():
-        own = [s for s in literals if text[slice(*s)] not in constants]
-        held = own + [s for n in names for s in constants.get(n, ())]
-        level = sensitivity(name)
-        for s in held[:64]:
-            reach[s] = max(reach.get(s, 0.0), level)
-        constants[name] = held[:64]  # a chain holds its first 64 literals, which bounds what a long chain can grow to
-    for (start, end), level in reach.items():
-        if level and (score := level * randomness(text[start:end])) >= threshold:
-            spans.add(Span(start, end, "lexed", round(score, 4)))
+        own = [s for s in literals if s[1] - s[0] > 100 or text[slice(*s)] not in latest]
+        held.append((own, [latest[n] for n in dict.fromkeys(names) if n in latest]))
+        latest[name] = len(levels)
+        levels.append(sensitivity(name))
+    reach: dict[tuple[int, int], float] = {}
+    for k in range(len(levels) - 1, -1, -1):  # an assignment uses earlier ones only
+        for s in held[k][0]:
+            reach[s] = max(reach.get(s, 0.0), levels[k])
+        for j in held[k][1]:
+            levels[j] = max(levels[j], levels[k])
+    scores = _scores(text, [s for s, level in reach.items() if level])
+    for s, value in scores.items():
+        if (score := reach[s] * value) >= threshold:
+            spans.add(Span(*s, "lexed", round(score, 4)))
     return sorted(spans, key=lambda s: (s.start, KINDS.index(s.kind), s.end))
 
 
