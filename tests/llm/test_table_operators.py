@@ -1,11 +1,14 @@
 """Sharding, substring dedup, mixing, media, packing and the pipeline on small fixtures."""
 
 import hashlib
+import json
 import random
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -186,17 +189,21 @@ def test_plans_place_everything_once_and_pack_tight(capacity, make):
     assert packing.plan({}, capacity) == []
 
 
-def test_packed_pieces_hold_the_tokenizers_ids(spark):
-    tokenizers = pytest.importorskip("tokenizers")
+def tokenizer_file():
+    pytest.importorskip("tokenizers")
     try:
-        path = queries.tokenizer_path()
+        return queries.tokenizer_path()
     except ImportError:
         pytest.skip("no tokenizer files")
+
+
+def test_packed_pieces_hold_the_tokenizers_ids(spark):
+    path = tokenizer_file()
     rng = random.Random(6)
     texts = [None, "", " \n", "Hello, world! it's <|endoftext|> A1b2 été ﬁ\u00a0x\x85y\u3000z don't'll\x1cq", "ΣΑΣ İı ǅ Ⅷ ³ e\u0301 !!!a,,b", prose(rng, 6000), "漢字" * 300] + [prose(rng, rng.randint(1, 300)) for _ in range(60)]
     rows = list(enumerate(texts)) + [(3, "a repeated id"), (3, "a repeated id"), (None, "none")]
     got = packing.pack(packing.pieces(table(spark, rows), path)).toPandas()
-    encode = tokenizers.Tokenizer.from_file(path).encode
+    encode = pytest.importorskip("tokenizers").Tokenizer.from_file(path).encode
     want, total = Counter(), 0
     for i, t in rows:
         ids = encode(t or "", add_special_tokens=False).ids + [1]
@@ -211,6 +218,43 @@ def test_packed_pieces_hold_the_tokenizers_ids(spark):
     assert packing.pack(packing.pieces(table(spark, rows).where("false"), path)).count() == 0
 
 
+def test_ids_of_letters_that_come_apart():
+    """Every character whose class may change on the way (lower case, composition), beside letters and punctuation."""
+    path = tokenizer_file()
+    words = packing.WordTokenizer(path)
+    every = [chr(c) for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000]
+    moved = [c for c in every if c.lower() != c or unicodedata.normalize("NFC", c) != c or unicodedata.combining(c)] + every[:0x3000:7] + every[0x3000::97]
+    texts = [x for c in moved for x in (f"a{c}.", f"{c}! b{c}c,", f"'{c}\u0301 {c}<|endoftext|>")] + ["AL\u0130. geldi AL\u0130, VEL\u0130! x", "\u03a3\u0391\u03a3. \u03a3"]
+    got = [ids[a:b].tolist() for ids, ends in words(pa.array(texts)) for a, b in zip([0, *ends], ends)]
+    want = [e.ids for e in words.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert words.by_words and [t for t, g, w in zip(texts, got, want) if g != w] == []
+
+
+def test_other_tokenizers_get_whole_texts(monkeypatch):
+    path = tokenizer_file()
+    with open(path) as f:
+        spec = json.load(f)
+    assert packing.by_words(spec)
+    for change in ({"normalizer": None}, {"pre_tokenizer": {"type": "Whitespace"}}, {"model": spec["model"] | {"dropout": 0.1}}, {"added_tokens": [spec["added_tokens"][0] | {"content": "a b"}]}):
+        assert not packing.by_words(spec | change)
+    monkeypatch.setattr(packing, "by_words", lambda spec: False)
+    monkeypatch.setattr(packing, "SLICE", 50)
+    whole, texts = packing.WordTokenizer(path), ["some words, a few", None, "", "x" * 200, "\u0130. y"]
+    monkeypatch.undo()
+    split = packing.WordTokenizer(path)
+    of = lambda t: [ids[a:b].tolist() for ids, ends in t(pa.array(texts)) for a, b in zip([0, *ends], ends)]
+    assert not whole.by_words and of(whole) == of(split)
+
+
+def test_packing_with_clashing_names_nulls_and_repeats(spark):
+    rows = spark.createDataFrame([(k % 3 or None, 0, 0, 1 + k % 7, 5, 1, 2, 3, 4, 5, "x", "y") for k in range(200)], "id int, piece int, start long, length long, ids_crc32 long, first long, past long, each long, base long, number long, sequence string, _bucket string")
+    got = packing.pack(rows, capacity=10).toPandas()
+    assert len(got) == 200 and list(got.columns) == ["id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    for _, g in got.groupby("sequence_id"):
+        g = g.sort_values("offset")
+        assert g.offset.tolist() == [0, *g.length.cumsum()[:-1]] and g.length.sum() <= 10
+
+
 def test_pipeline_stages(spark, sf_dir):
     import corpus_pipeline
 

@@ -16,6 +16,9 @@ within their length by a distributed rank and join the plan; the plan's size dep
 from __future__ import annotations
 
 import functools
+import json
+import os
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -23,7 +26,7 @@ from heapq import heapify, heappop
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,73 +36,114 @@ from ._shared import cut, ranked
 CAPACITY, END = 4096, 1
 #: Groups of large lengths, and the share of the capacity (one over) up to which a length is small: tried in turn.
 SCHEMES = ((8, 4), (16, 4), (16, 8), (32, 8))
-#: Words whose ids a worker keeps from batch to batch and task to task; beyond that it starts anew.
-CACHE = 600_000
+#: Words whose ids a worker keeps (beyond that those not met lately are given up), and bytes that are tokenized at once.
+CACHE, SLICE = 600_000, 8 << 20
+#: The steps before the vocabulary under which ids of a text are those of its words in order.
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+SPLIT = {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}
+BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+
+
+def by_words(spec: dict) -> bool:
+    """Whether a tokenizer file has the steps above, then plain BPE, and special tokens that start with ``<`` and hold no space."""
+    before, split, model = spec.get("normalizer") or {}, spec.get("pre_tokenizer") or {}, dict(spec.get("model") or {})
+    plain = {"dropout", "unk_token", "continuing_subword_prefix", "fuse_unk", "byte_fallback", "ignore_merges"}
+    return (
+        before.get("normalizers") == NORMALIZERS
+        and split.get("pretokenizers") == [{"type": "Split", "pattern": SPLIT, "behavior": "Removed", "invert": True}, BYTES]
+        and model.get("type") == "BPE" and not any(model.get(k) for k in plain)
+        and all(t["content"][:1] == "<" and len(t["content"].split()) == 1 and not (t["normalized"] or t["lstrip"] or t["rstrip"]) for t in spec.get("added_tokens", []))
+    )
 
 
 class WordTokenizer:
-    """Ids of texts under a tokenizer that splits at white space, as little-endian unsigned 32-bit numbers.
+    """Ids of texts. If ``by_words`` holds for the tokenizer, words are encoded once and kept; else whole texts are encoded.
 
-    Ids of a text are those of its words in order, so words are encoded once and kept. A word of letters and then
-    punctuation is put together from its two parts, which the tokenizer splits as well.
+    A word goes through the tokenizer's own steps: normalizer, split into pieces, ids of each piece. Letters of Latin-1
+    (which are composed and have lower-case letters of one character) before ASCII punctuation are such pieces, so
+    these words skip the first two steps.
     """
 
-    _simple = regex.compile(r"(\p{L}+)([^\s\p{L}\p{N}'<\p{M}]*)", regex.V1)
+    _latin = re.compile("[\0-\xff]*")
+    _marks = "!\"#$%&()*+,-./:;=>?@[\\]^_`{|}~"  # without ' (short forms) and < (special tokens)
 
     def __init__(self, path: str):
-        import os
-
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        with open(path, encoding="utf-8") as f:
+            self.by_words = by_words(json.load(f))
+        self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        spelt = lambda c: "".join(p for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(c))
+        self.spelling = {k: spelt(chr(k)) for k in range(128, 256) if self.by_words and chr(k).isalpha()}  # bytes as the vocabulary spells them
 
     def _alone(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)] if texts else []
-
-    def _together(self, parts: list[str]) -> list[bytes]:
-        """Ids of each of ``parts``, which the tokenizer takes as one word each, from one call for all."""
-        e = self.tokenizer.encode(" ".join(parts), add_special_tokens=False)
-        of = np.array([-1 if w is None else w for w in e.word_ids])
-        if not len(of) or (of < 0).any() or of[-1] != len(parts) - 1 or (np.diff(of) < 0).any():
-            return self._alone(parts)
-        ids, ends = np.array(e.ids, dtype="<u4"), np.searchsorted(of, np.arange(len(parts) + 1))
-        return [ids[a:b].tobytes() for a, b in zip(ends, ends[1:])]
-
-    def _learn(self, words: set[bytes]) -> None:
-        made, whole, new = {}, [], set()
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
+
+    def _piece(self, piece: str) -> bytes:
+        """Ids of what the tokenizer's split gives out as one piece."""
+        if (ids := self.pieces.get(piece)) is None:
+            ids = self.pieces[piece] = np.array([t.id for t in self.tokenizer.model.tokenize(piece)], dtype="<u4").tobytes()
+        return ids
+
+    def _learn(self, words: list[str]) -> None:
+        normal, split, alone = self.tokenizer.normalizer.normalize_str, self.tokenizer.pre_tokenizer.pre_tokenize_str, []
+        if len(self.pieces) > CACHE:
+            self.pieces.clear()
+        piece, latin, marks, spelling = self._piece, self._latin.fullmatch, self._marks, self.spelling
         for w in words:
-            text = w.decode()
-            m = self._simple.fullmatch(text)
-            if m:
-                made[w] = got = (m[1].lower() if m[1].isascii() else m[1], m[2])
-                new.update(x for x in got if x and x not in self.parts)
+            a = w.rstrip(marks)
+            if a.isascii() and (a.isalpha() or not a):
+                ids = piece(a.lower()) if a else b""
+                self.words[w] = ids + piece(w[len(a) :]) if len(a) < len(w) else ids
+            elif a.isalpha() and latin(a):
+                ids = piece(a.lower().translate(spelling))
+                self.words[w] = ids + piece(w[len(a) :]) if len(a) < len(w) else ids
+            elif "<" in w:
+                alone.append(w)
             else:
-                whole.append(text)
-        self.words.update(zip((t.encode() for t in whole), self._alone(whole)))
-        new = list(new)
-        for k in range(0, len(new), 1000):
-            self.parts.update(zip(new[k : k + 1000], self._together(new[k : k + 1000])))
-        for w, (a, b) in made.items():
-            self.words[w] = self.parts[a] + self.parts[b] if b else self.parts[a]
-
-    def __call__(self, texts: list[str | None]) -> Iterator[bytes]:
-        for k in range(0, len(texts), 256):
-            split = [(t or "").encode().split() for t in texts[k : k + 256]]  # at ASCII white space; the tokenizer knows the rest
-            if missing := {w for ws in split for w in ws if w not in self.words}:
-                self._learn(missing)
-            get = self.words.__getitem__
-            for ws in split:
-                yield b"".join(map(get, ws))
-            for w in missing:
-                if len(w) > 64:  # scripts without spaces make long words, which seldom come back
-                    del self.words[w]
-            if len(self.words) > CACHE:
-                self.words.clear()
-            if len(self.parts) > CACHE:
-                self.parts.clear()
+                self.words[w] = b"".join([self._piece(p) for p, _ in split(normal(w))])
+        self.words.update(zip(alone, self._alone(alone)))
+
+    def _ids(self, distinct: list[str]) -> list[bytes]:
+        """Ids of each of the distinct words of a slice."""
+        if len(self.words) > CACHE // 2:
+            self.words, self.older = {}, self.words
+        words, older = self.words, self.older
+        missing = [w for w in distinct if w not in words]
+        words.update({w: older[w] for w in missing if w in older})
+        missing = [w for w in missing if w not in older]
+        self._learn(missing)
+        out = list(map(words.__getitem__, distinct))
+        for w in missing:
+            if len(w) > 64:  # scripts without spaces make long words, which seldom come back
+                del words[w]
+        return out
+
+    def __call__(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For one slice of ``texts`` (strings) after the other: the ids of its texts, and where each text's end."""
+        ends, at = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)), 0
+        while at < len(texts):
+            past = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLICE, side="right")))
+            part = pc.fill_null(texts.slice(at, past - at), "")
+            at = past
+            if not self.by_words:
+                each = self._alone(part.to_pylist())
+                yield np.frombuffer(b"".join(each), dtype="<u4"), np.cumsum([len(x) // 4 for x in each])
+                continue
+            split = pc.ascii_split_whitespace(part)  # at ASCII white space; the tokenizer knows the rest
+            coded = split.flatten().dictionary_encode()
+            each = self._ids(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+            which, size = coded.indices.to_numpy(), np.fromiter(map(len, each), dtype=np.int64, count=len(each)) // 4
+            ids, first = np.frombuffer(b"".join(each), dtype="<u4"), np.cumsum(size) - size
+            size = size[which]
+            past_word = np.concatenate([[0], np.cumsum(size)])
+            at_id = np.repeat((first[which] - past_word[:-1]).astype(np.int32), size)  # a slice has far fewer than 2^31 ids
+            at_id += np.arange(len(at_id), dtype=np.int32)
+            yield ids[at_id], past_word[np.cumsum(pc.list_value_length(split).to_numpy())]
 
 
 @functools.cache
@@ -108,7 +152,11 @@ def _tokenizer(path: str) -> WordTokenizer:
 
 
 def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end: int = END) -> DataFrame:
-    """(id, piece, start, length, ids_crc32): each document's ids and ``end``, cut at ``capacity``; null texts are empty."""
+    """(id, piece, start, length, ids_crc32): each document's ids and ``end``, cut at ``capacity``.
+
+    Null and empty texts are ``end`` alone. Repeated rows and ids, null ones among them, give the same pieces each time.
+    Only the named columns are read, whatever others are called; of an empty table nothing comes.
+    """
     schema = T.StructType([
         T.StructField("id", docs.schema[id_col].dataType), T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()),
         T.StructField("length", T.LongType()), T.StructField("ids_crc32", T.LongType()),
@@ -119,15 +167,20 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
         encode = _tokenizer(tokenizer)
         for b in batches:
             row, piece, start, length, crc = [], [], [], [], []
-            for k, ids in enumerate(encode(b.column(1).to_pylist())):
-                ids += last
-                for p, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    part = ids[at : at + 4 * capacity]
-                    row.append(k)
-                    piece.append(p)
-                    start.append(at // 4)
-                    length.append(len(part) // 4)
-                    crc.append(zlib.crc32(part))
+            k = -1
+            for ids, ends in encode(b.column(1)):
+                begin, raw = 0, ids.tobytes()
+                for past in ends.tolist():
+                    k += 1
+                    own = raw[4 * begin : 4 * past] + last
+                    begin = past
+                    for p, at in enumerate(range(0, len(own), 4 * capacity)):
+                        part = own[at : at + 4 * capacity]
+                        row.append(k)
+                        piece.append(p)
+                        start.append(at // 4)
+                        length.append(len(part) // 4)
+                        crc.append(zlib.crc32(part))
             columns = [b.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, length, crc))]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
@@ -265,18 +318,26 @@ def plan_by(histogram: dict[int, int], capacity: int, groups: int, small: int) -
 
 
 def pack(tokenized: DataFrame, id_col: str = "id", capacity: int = CAPACITY, schemes: tuple[tuple[int, int], ...] = SCHEMES, per_task: int = 1_000_000) -> DataFrame:
-    """``tokenized`` (id, piece, start, length, ids_crc32) with sequence_id and offset; lengths are 1 to ``capacity``."""
-    spark = tokenized.sparkSession
-    tokenized = cut(tokenized)
+    """``tokenized`` (id, piece, start, length, ids_crc32) with sequence_id and offset; lengths are 1 to ``capacity``.
+
+    Each row gets a place of its own, repeated rows and null ids as well; rows that are equal in all columns share out
+    their places in any order. Of an empty table nothing comes. Other columns are left out, whatever they are called.
+    """
+    spark, names = tokenized.sparkSession, ["piece", "start", "length", "ids_crc32"]
+    tokenized = cut(tokenized.select(F.col(id_col).alias("id"), *names))
     counts = {r["length"]: r["count"] for r in tokenized.groupBy("length").count().collect()}  # at most one row a length
-    places = plan(counts, capacity, schemes)
-    schema = "length long, first long, past long, sequence long, each long, base long"
-    table = spark.createDataFrame(places, schema)
-    row = ranked(tokenized, "length", [id_col, "piece", "start", "ids_crc32"], "number", sum(counts.values()), per_task)
-    return (
-        row.join(F.broadcast(table), "length")  # its size is bounded by the capacity and the numbers of groups
-        .where("number >= first and number < past")
-        .withColumn("sequence_id", F.col("sequence") + F.expr("(number - first) div each"))
-        .withColumn("offset", F.col("base") + (F.col("number") - F.col("first")) % F.col("each") * F.col("length"))
-        .select(*tokenized.columns, "sequence_id", "offset")
-    )
+    places = np.array(sorted(plan(counts, capacity, schemes)), dtype=np.int64).reshape(-1, 6)  # bounded by the capacity and the numbers of groups
+    past = places[:, 0] << 44 | places[:, 2]
+    row = ranked(tokenized, "length", ["id", "piece", "start", "ids_crc32"], "number", sum(counts.values()), per_task)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The run that a row's number within its length falls into, by bisection."""
+        for b in batches:
+            length, number = b.column(3).to_numpy(), b.column(5).to_numpy()
+            _, first, _, sequence, each, offset = places[np.searchsorted(past, length << 44 | number, side="right")].T
+            found = (sequence + (number - first) // each, offset + (number - first) % each * length)
+            yield pa.RecordBatch.from_arrays([*b.columns[:5], *map(pa.array, found)], names=schema.names)
+
+    schema = T.StructType([*tokenized.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
+    placed = row.select("id", *names, "number").mapInArrow(place, schema)
+    return placed if id_col == "id" else placed.withColumnRenamed("id", id_col)
