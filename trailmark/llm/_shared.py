@@ -30,11 +30,15 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` written as Parquet below the shared folder and read again, so that later jobs don't recompute it."""
+def cut(df: DataFrame, by: str | None = None) -> DataFrame:
+    """``df`` written as Parquet below the shared folder and read again, so that later jobs don't recompute it.
+
+    With ``by`` it is written in one folder for each value of that column.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    writer = df.write.option("compression", "zstd")
+    (writer.partitionBy(by) if by else writer).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -39,26 +39,42 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(F.col("id").alias("doc_id"), held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-#: The rules of the URL query, and the words that mark a host as listed.
+#: The rules of the URL query, the words that mark a host as listed, and the words a link that mark it as thin.
 URL_RULES = [url_filter.Rule("net/", "block"), url_filter.Rule("example.net/en/", "allow"), url_filter.Rule("example.com/de/", "block"), url_filter.Rule("org/fr/", "allow")]
-LISTED_HOSTS = "adult|ads|bets|casino|pills|spam"
+LISTED_HOSTS, WORDS_A_LINK = "adult|ads|bets|casino|pills|spam", 40
+
+
+def listed_addresses(pages: DataFrame) -> DataFrame:
+    """(key): the addresses (host and path) of hosts with a listed word between dots and hyphens, and of thin hosts.
+
+    Thin is a host whose pages together show fewer than ``WORDS_A_LINK`` words for each of their links, which no page
+    tells alone.
+    """
+    host, path = url_filter.host_and_path(F.col("url"))
+    html = F.coalesce("html", F.lit(""))
+    links = F.regexp_count(html, F.lit("<a ")).cast("long")
+    words = F.regexp_count(F.regexp_replace(html, "<[^>]*>", " "), F.lit("[A-Za-z]{2,}")).cast("long")
+    hosts = pages.select(host.alias("host"), links.alias("links"), words.alias("words")).groupBy("host").agg(F.sum("links").alias("links"), F.sum("words").alias("words"))
+    listed = hosts.where(F.col("host").rlike(rf"(^|[.-])({LISTED_HOSTS})([.-]|$)") | ((F.col("host") != "") & (F.col("words") < WORDS_A_LINK * F.col("links")))).select("host")
+    return pages.select(host.alias("host"), path.alias("path")).distinct().join(listed, "host").select(F.concat("host", "path").alias("key")).distinct()
 
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Listed are the addresses (host and path) of hosts with a listed word between dots and hyphens."""
     pages = table(spark, sf_dir, "pages")
-    host, path = url_filter.host_and_path(F.col("url"))
-    listed = pages.select(host.alias("host"), path.alias("path")).where(F.col("host").rlike(rf"(^|[.-])({LISTED_HOSTS})([.-]|$)"))
-    judged = url_filter.judge(pages, listed.select(F.concat("host", "path").alias("key")).distinct(), URL_RULES)
-    return judged.withColumnRenamed("id", "page_id")
+    return url_filter.judge(pages, listed_addresses(pages), URL_RULES).withColumnRenamed("id", "page_id")
 
 
 OP4_SQL = f"""
 WITH u AS (
-  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+  SELECT page_id, coalesce(html, '') AS html, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
 ), p AS (
-  SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{url_filter.UPPER}', '{url_filter.LOWER}') AS host,
+  SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{url_filter.UPPER}', '{url_filter.LOWER}') AS host, html,
     regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u
+), h AS (
+  SELECT host FROM p GROUP BY host HAVING regexp_matches(host, '(^|[.-])({LISTED_HOSTS})([.-]|$)')
+    OR host <> '' AND sum(len(regexp_extract_all(regexp_replace(html, '<[^>]*>', ' ', 'g'), '[A-Za-z]{{2,}}'))) < {WORDS_A_LINK} * sum(len(regexp_extract_all(html, '<a ')))
+), k AS (
+  SELECT DISTINCT host || path AS key FROM p WHERE host IN (SELECT host FROM h)
 ), r AS (
   SELECT page_id, host, path, CASE
     WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
@@ -68,7 +84,7 @@ WITH u AS (
 )
 SELECT page_id, host, path, rule, CASE
   WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
-  WHEN regexp_matches(host, '(^|[.-])({LISTED_HOSTS})([.-]|$)') THEN 'block' ELSE 'allow' END AS verdict FROM r
+  WHEN host || path IN (SELECT key FROM k) THEN 'block' ELSE 'allow' END AS verdict FROM r
 """
 
 
