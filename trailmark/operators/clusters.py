@@ -92,16 +92,26 @@ def judge(rows: DataFrame, limits: dict[str, float]) -> DataFrame:
     return out.withColumn("friction_flags", F.concat_ws("|", *(F.nullif(x, F.lit("")) for x in (friction_flags(limits), more))))
 
 
-def hierarchy(rows: DataFrame, margin: float = 0.10) -> DataFrame:
-    """Two tiers: the strict cluster (c_distance within c_limit), else the lenient one (within b_limit, ahead of the second by ``margin``).
-
-    Expects c_cluster, c_distance, c_limit, b_cluster, b_distance, b_limit, b_second; adds assignment_type and effective_key.
+def hierarchy(rows: DataFrame, margin: float = 0.10, recurring: int = 20) -> DataFrame:
+    """Two tiers: the strict cluster (c_distance within c_limit), else the lenient one.
+
+    The lenient one needs b_distance within b_limit, the second centroid farther by ``margin`` of that distance, and
+    b_markov at b_markov_limit or more. What neither takes is recurring (``support`` of its sequence among rows outside
+    the strict clusters, if there is such a column, is ``recurring`` or more), friction (it has behaviour flags, if there
+    is a column friction_flags) or novel. Expects c_cluster, c_distance, c_limit, b_cluster, b_distance, b_limit,
+    b_second, b_markov, b_markov_limit; adds assignment_type and effective_key.
     """
-    first = F.col("c_distance") <= F.col("c_limit")
-    second = (F.col("b_distance") <= F.col("b_limit")) & ((F.col("b_second") - F.col("b_distance")) >= margin * F.col("b_second"))
-    kind = F.when(first, "C_primary").when(second, "B_secondary").otherwise("unassigned")
+    first = F.coalesce(F.col("c_distance") <= F.col("c_limit"), F.lit(False))
+    ahead = (F.col("b_second") - F.col("b_distance")) / F.greatest(F.col("b_distance"), F.lit(1e-12)) >= margin
+    second = F.coalesce((F.col("b_distance") <= F.col("b_limit")) & ahead & (F.col("b_markov") >= F.col("b_markov_limit")), F.lit(False))
+    kind = F.when(first, "C_primary").when(second, "B_secondary_inference")
+    if "support" in rows.columns:
+        kind = kind.when(F.col("support") >= recurring, "unassigned_recurring")
+    if "friction_flags" in rows.columns:
+        own = F.filter(F.split(F.coalesce("friction_flags", F.lit("")), r"\|"), lambda x: ~x.isin("", "far_from_cluster", "unlikely_path"))
+        kind = kind.when(F.size(own) > 0, "unassigned_friction")
     key = F.when(first, F.concat(F.lit("C:"), F.col("c_cluster").cast("string"))).when(second, F.concat(F.lit("B:"), F.col("b_cluster").cast("string"))).otherwise("UNKNOWN")
-    return rows.withColumns({"assignment_type": kind, "effective_key": key})
+    return rows.withColumns({"assignment_type": kind.otherwise("unassigned_novel"), "effective_key": key})
 
 
 def adjusted_rand(rows: DataFrame, a: str, b: str) -> DataFrame:
@@ -129,31 +139,49 @@ def quality(rows: DataFrame, cluster: str, vector: str) -> DataFrame:
     return between.join(worst.agg(F.avg("r").alias("davies_bouldin"))).select(F.col("k").alias("clusters"), "davies_bouldin", ((F.col("between") / (F.col("k") - 1)) / (F.col("within") / (F.col("n") - F.col("k")))).alias("calinski_harabasz"))
 
 
-def silhouette(rows: DataFrame, cluster: str, vector: str, sample: int = 2000) -> float:
-    """Mean silhouette with Euclidean distances over a bounded sample (smallest hashes of the vectors), noise left out."""
-    picked = rows.where(F.col(cluster) != NOISE).select(F.col(cluster).alias("c"), F.col(vector).alias("v")).orderBy(F.xxhash64("v")).limit(sample).toPandas()
-    if picked["c"].nunique() < 2:
-        return float("nan")
-    x, c = np.array(picked["v"].tolist(), dtype=float), picked["c"].to_numpy()
-    d = np.sqrt(np.maximum((x**2).sum(1)[:, None] + (x**2).sum(1) - 2 * x @ x.T, 0))
-    member = (c[:, None] == np.unique(c)).astype(float)
-    sums, sizes = d @ member, member.sum(0)
-    own = member.argmax(1)
-    at = np.arange(len(x))
-    a = sums[at, own] / np.maximum(sizes[own] - 1, 1)
-    means = sums / sizes
-    means[at, own] = np.inf
-    b = means.min(1)
-    return float(np.where(sizes[own] > 1, (b - a) / np.maximum(a, b), 0).mean())
-
-
-def sweep_kmeans(rows: DataFrame, vector: str, grid: tuple[int, ...] = (6, 8, 10, 12, 15, 20, 25, 30), seed: int = 7) -> DataFrame:
-    """(k, inertia) of k-means for each k that the rows allow."""
+def silhouette(rows: DataFrame, cluster: str, vector: str, key: str, sample: int = 10_000) -> DataFrame:
+    """One row (rows, queries, silhouette): the mean over at most ``sample`` rows (smallest hashes of their key), each against all rows.
+
+    Noise is left out. The queries go to every partition, which adds up their distances to its rows by cluster, in
+    blocks; only these sums are shuffled. A row alone in its cluster counts 0; with one cluster there is no value.
+    """
+    inside = rows.where(F.col(cluster) != NOISE).select(F.col(cluster).cast("long").alias("c"), F.col(vector).alias("v"), F.col(key).alias("k"))
+    picked = inside.orderBy(F.xxhash64("k"), "k").limit(sample).collect()
+    x, own = np.array([r["v"] for r in picked], dtype=float), np.array([r["c"] for r in picked], dtype=int)
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total: dict[int, list] = {}
+        for b in batches:
+            v, c = np.array(b["v"].tolist(), dtype=float), b["c"].to_numpy()
+            for k in range(0, len(v), 512):
+                part, of = v[k : k + 512], c[k : k + 512]
+                d = np.sqrt(np.maximum((x**2).sum(1)[:, None] + (part**2).sum(1) - 2 * x @ part.T, 0))
+                for one in np.unique(of):
+                    held = total.setdefault(int(one), [np.zeros(len(x)), 0])
+                    held[0] = held[0] + d[:, of == one].sum(1)
+                    held[1] += int((of == one).sum())
+        for one, (d, n) in total.items():
+            yield pd.DataFrame({"q": np.arange(len(x)), "own": own, "c": one, "d": d, "n": n})
+
+    each = inside.select("c", "v").mapInPandas(sums, "q int, own long, c long, d double, n long").groupBy("q", "own", "c").agg(F.sum("d").alias("d"), F.sum("n").alias("n"))
+    mine = F.col("own") == F.col("c")
+    by = each.groupBy("q").agg(F.max(F.when(mine & (F.col("n") > 1), F.col("d") / (F.col("n") - 1))).alias("a"), F.min(F.when(~mine, F.col("d") / F.col("n"))).alias("b"), F.sum("n").alias("rows"))
+    value = F.when(F.col("b").isNotNull(), F.coalesce((F.col("b") - F.col("a")) / F.greatest("a", "b"), F.lit(0.0)))
+    return by.agg(F.coalesce(F.max("rows"), F.lit(0)).alias("rows"), F.count("*").alias("queries"), F.avg(value).alias("silhouette"))
+
+
+def sweep_kmeans(rows: DataFrame, vector: str, key: str, grid: tuple[int, ...] = (6, 8, 10, 12, 15, 20, 25, 30), seed: int = 7, sample: int = 10_000) -> DataFrame:
+    """(k, inertia, silhouette, davies_bouldin, calinski_harabasz) of k-means for each k that the rows allow."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
-    points = rows.select(array_to_vector(F.col(vector).cast("array<double>")).alias("features")).cache()
+    points = rows.select(F.col(key).alias("key"), F.col(vector).cast("array<double>").alias("v")).withColumn("features", array_to_vector("v")).cache()
     n = points.count()
-    found = [(k, float(KMeans(k=k, seed=seed, maxIter=20).fit(points).summary.trainingCost)) for k in grid if k < n]
+    found = []
+    for k in (k for k in grid if k < n):
+        model = KMeans(k=k, seed=seed, maxIter=20).fit(points)
+        placed = model.transform(points).select("key", "v", F.col("prediction").alias("cluster"))
+        q, s = quality(placed, "cluster", "v").first(), silhouette(placed, "cluster", "v", "key", sample).first()
+        found.append((k, float(model.summary.trainingCost), s["silhouette"], q["davies_bouldin"], q["calinski_harabasz"]))
     points.unpersist()
-    return rows.sparkSession.createDataFrame(found, "k int, inertia double")
+    return rows.sparkSession.createDataFrame(found, "k int, inertia double, silhouette double, davies_bouldin double, calinski_harabasz double")

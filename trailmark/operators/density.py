@@ -6,11 +6,15 @@ over all rows. Centroids and assignment (``clusters``) then run over any number
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..contracts import NOISE
+from . import clusters
 
 
 def _tree(x: np.ndarray, neighbours: int) -> np.ndarray:
@@ -96,6 +100,47 @@ def hdbscan(x: np.ndarray, min_size: int = 100, neighbours: int = 5) -> np.ndarr
     return labels
 
 
+def label_all(rows: DataFrame, key: str, vector: str, sample: int = 20_000, min_size: int = 100, neighbours: int = 5) -> DataFrame:
+    """(key, cluster, fitted) for every row: the fit's own label for the sample, else the nearest cluster's, or noise beyond its farthest fitted member."""
+    found = fit(rows, key, vector, sample, min_size, neighbours)
+    joined = rows.select(key, vector).join(F.broadcast(found), key)  # at most ``sample`` rows
+    centers = clusters.centroids(joined, "cluster", vector)
+    near = clusters.nearest(rows, key, vector, centers)
+    reach = near.join(F.broadcast(found), key).where(F.col("cluster") == F.col("cluster_1")).groupBy("cluster_1").agg(F.max("distance_1").alias("limit"))
+    out = near.join(F.broadcast(found.withColumn("fitted", F.lit(True))), key, "left").join(F.broadcast(reach), "cluster_1", "left")  # a model's clusters
+    far = F.coalesce(F.col("distance_1") > F.col("limit"), F.lit(True))
+    return out.select(key, F.coalesce("cluster", F.when(far, NOISE).otherwise(F.col("cluster_1"))).alias("cluster"), F.coalesce("fitted", F.lit(False)).alias("fitted"))
+
+
+def rand_index(a: np.ndarray, b: np.ndarray) -> float:
+    """Adjusted Rand index of two labellings."""
+    cells = np.unique(np.stack([a, b]), axis=1, return_counts=True)[1]
+    two = lambda n: float((n * (n - 1) / 2).sum())
+    of_a, of_b = two(np.unique(a, return_counts=True)[1]), two(np.unique(b, return_counts=True)[1])
+    expected, top = of_a * of_b / max(1.0, len(a) * (len(a) - 1) / 2), (of_a + of_b) / 2
+    return 1.0 if top == expected else (two(cells) - expected) / (top - expected)
+
+
+def stability(rows: DataFrame, key: str, vector: str, runs: int = 5, share: float = 0.8, sample: int = 20_000, min_size: int = 100, neighbours: int = 5, seed: int = 7) -> DataFrame:
+    """(run, n_clusters, ari_vs_full, noise_share): whether the fit's clusters survive fits to ``share`` of its sample.
+
+    The sample is the one of ``fit``; each run is a task of its own.
+    """
+    picked = rows.select(key, vector).orderBy(F.xxhash64(key), key).limit(sample).collect()
+    x = np.array([r[vector] for r in picked], dtype=float)
+    full = hdbscan(x, min_size, neighbours) if len(x) else np.zeros(0, dtype=int)
+
+    def again(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for run in b["id"]:
+                at = np.random.default_rng([seed, int(run)]).choice(len(x), size=int(len(x) * share), replace=False)
+                own = hdbscan(x[at], min_size, neighbours) if len(at) else np.zeros(0, dtype=int)
+                noise = float((own == NOISE).mean()) if len(at) else 0.0
+                yield pd.DataFrame({"run": [int(run)], "n_clusters": [len(set(own.tolist()) - {NOISE})], "ari_vs_full": [round(rand_index(full[at], own), 4)], "noise_share": [round(noise, 4)]})
+
+    return rows.sparkSession.range(runs).repartition(runs).mapInPandas(again, "run int, n_clusters int, ari_vs_full double, noise_share double")
+
+
 def fit(rows: DataFrame, key: str, vector: str, sample: int = 20_000, min_size: int = 100, neighbours: int = 5) -> DataFrame:
     """(key, cluster) of at most ``sample`` rows, those with the smallest hashes of their key."""
     picked = rows.select(key, vector).orderBy(F.xxhash64(key), key).limit(sample).collect()

@@ -6,7 +6,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .vocabulary import ngrams
@@ -36,8 +36,8 @@ class Tfidf:
         """(key, term, w): weights (1 + ln tf) * idf, of length 1 a row; rows without a known n-gram are left out."""
         tf = rows.select(key, F.explode(ngrams(F.col(sequence), self.low, self.high)).alias("ngram")).groupBy(key, "ngram").agg(F.count("*").alias("tf"))
         w = tf.join(self.terms, "ngram").select(key, "term", ((1 + F.ln("tf")) * F.col("idf")).alias("w"))
-        norm = w.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-        return w.join(norm, key).select(key, "term", (F.col("w") / F.col("norm")).alias("w"))
+        norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))  # a row's own terms
+        return w.select(key, "term", (F.col("w") / norm).alias("w"))
 
 
 def fit_tfidf(rows: DataFrame, key: str, sequence: str, low: int = 1, high: int = 2, least: int = 5, most: int = 4000) -> Tfidf:
@@ -105,6 +105,29 @@ def join_channels(parts: dict[str, Column], numeric: Column | None = None, weigh
     return F.concat(*blocks, *([times(numeric, NUMERIC_WEIGHT)] if numeric is not None else []))
 
 
+def pattern_vectors(rows: DataFrame, key: str, sequence: str, patterns: DataFrame, k: int = 64, numeric: Column | None = None, most: int = 5000) -> DataFrame:
+    """(key, matched, v): rows as vectors of the frequent patterns that they contain, in place of n-grams.
+
+    Which of ``patterns`` (tokens; a bounded list, its size is checked) a row contains, reduced to ``k`` dimensions and
+    brought to length 1, with the behaviour block ``numeric`` behind. A row without any pattern has zeros there.
+    """
+    from .patterns import contains
+
+    listed = [r["tokens"] for r in patterns.select("tokens").orderBy(F.size("tokens"), "tokens").limit(most + 1).collect()]
+    if len(listed) > most:
+        raise ValueError(f"more than {most} patterns")
+    k = max(1, min(k, len(listed)))
+    held = F.broadcast(rows.sparkSession.createDataFrame([([(i, p) for i, p in enumerate(listed)],)], "ps array<struct<term:int,tokens:array<string>>>"))  # one row
+    hits = rows.join(held).select(key, F.transform(F.filter("ps", lambda p: contains(F.col(sequence), p["tokens"])), lambda p: p["term"]).alias("terms"))
+    weights = hits.select(key, F.explode("terms").alias("term"), F.lit(1.0).alias("w"))
+    placed = project(weights, key, fit_svd(weights, key, len(listed), k)) if listed else weights.select(key, F.array().cast("array<double>").alias("v")).where("false")
+    zero = F.array_repeat(F.lit(0.0), k)
+    out = rows.join(hits, key).join(placed, key, "left").withColumn("v", unit(F.coalesce("v", zero)))
+    if numeric is not None:
+        out = out.withColumn("v", F.concat("v", F.transform(numeric, lambda x: x * NUMERIC_WEIGHT)))
+    return out.select(key, F.size("terms").alias("matched"), "v")
+
+
 def reduce(rows: DataFrame, vector: str, k: int) -> DataFrame:
     """``rows`` with ``vector`` centred and projected on its first ``k`` principal components, of length 1."""
     from pyspark.ml.feature import PCA

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..contracts import ALIASES, ORDER, STREAM
+from ..contracts import ALIASES, MISSING, ORDER, STREAM
 from ..functions import names as N
 
 
@@ -103,3 +103,26 @@ def previous_view(events: DataFrame) -> DataFrame:
     view = F.when(F.col("event_type") == "view", F.struct("segment_name", "event_time"))
     out = events.withColumn("_view", F.last(view, ignorenulls=True).over(w))
     return out.withColumns({"previous_view": F.col("_view.segment_name"), "seconds_since_view": seconds(F.col("event_time"), F.col("_view.event_time"))}).drop("_view")
+
+
+def platforms_present(rows: DataFrame, wanted: tuple[str, ...] = ("android", "ios")) -> list[str]:
+    """Which of ``wanted`` platforms a day's events have, in that order: steps of the others can be skipped."""
+    found = {r[0] for r in rows.where(F.col("platform").isin(*wanted)).select("platform").distinct().collect()}  # at most as many as wanted
+    return [p for p in wanted if p in found]
+
+
+def exact_tokens(rows: DataFrame, columns: tuple[str, ...] = ("event_type", "segment_name", "screen_name"), sentinel: str = MISSING) -> DataFrame:
+    """``rows`` with exact_token, a JSON array of ``columns`` that can be read back; ``sentinel`` stands for a null.
+
+    ValueError if a value equals ``sentinel``, as the array couldn't tell it from a null.
+    """
+    hits = rows.agg(*(F.count_if(F.col(c) == sentinel).alias(c) for c in columns)).first().asDict()
+    if clash := {c: n for c, n in hits.items() if n}:
+        raise ValueError(f"values that equal the mark of missing ones: {clash}")
+    return rows.withColumn("exact_token", F.to_json(F.array(*(F.coalesce(F.col(c).cast("string"), F.lit(sentinel)) for c in columns))))
+
+
+def read_exact_tokens(token: Column, columns: tuple[str, ...] = ("event_type", "segment_name", "screen_name"), sentinel: str = MISSING) -> list[Column]:
+    """The columns that ``exact_tokens`` put together."""
+    parts = F.from_json(token, "array<string>")
+    return [F.nullif(F.get(parts, i), F.lit(sentinel)).alias(c) for i, c in enumerate(columns)]

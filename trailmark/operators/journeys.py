@@ -223,3 +223,8 @@ def with_gap_events(segmented: DataFrame) -> DataFrame:
     """Seconds between kept neighbours of a journey."""
     w = Window.partitionBy(*STREAM, "journey_no").orderBy("journey_pos")
     return segmented.withColumn("gap_in_journey", seconds(F.col("event_time"), F.lag("event_time").over(w)))
+
+
+def eligible(rows: DataFrame, sequence: str = "sequence_tokens", least: int = 3) -> DataFrame:
+    """``rows`` with model_eligible: whether the cleaned sequence has ``least`` tokens or more; models are fitted to and score those alone."""
+    return rows.withColumn("model_eligible", F.coalesce(F.size(sequence) >= least, F.lit(False)))

@@ -8,16 +8,26 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..contracts import NOISE
+from ..contracts import BOS, EOS, MISSING, NOISE
 
-#: Targets of actions that say nothing of their own.
-GENERIC = r"(?i)^(btn_|button|icon_|click|back|close|cancel|confirm|ok|next|popup|select|continue)"
+#: Last parts of targets that only navigate or dismiss, so that they say nothing of their own.
+GENERIC_TARGETS = (
+    "btn_back", "back", "backbutton", "handleback", "pop_back", "adsview", "view_os_noti", "popup", "pop_up_close", "close", "show", "button", "buttons", "body", "tab", "more", "null",
+    "unknown", "<missing>", "nav_home", "nav_payement", "nav_payment", "nav_profile", "nav_support", "nav_promotion", "call_api_get_action",
+)
 
 
 def evidence_text(token: Column) -> Column:
-    """A view by its screen; an action by its target, or by its screen where the target is generic."""
-    screen, target = F.regexp_extract(token, r"^[^@]*@([^#]*)", 1), F.regexp_extract(token, r"#(.*)$", 1)
-    return F.when(F.startswith(token, F.lit("view@")) | (target == "") | target.rlike(GENERIC), screen).otherwise(target)
+    """What a token says: a view its screen; an action its target, or its screen where the target is generic.
+
+    Marks of start and end and missing screens say nothing; a token of another make-up stands for itself.
+    """
+    rest = F.regexp_extract(token, r"^[^@]*@(.*)$", 1)
+    screen, target = F.substring_index(rest, "#", 1), F.regexp_extract(rest, r"#(.*)$", 1)
+    generic = F.lower(F.substring_index(target, "/", -1)).isin(*GENERIC_TARGETS)
+    said = F.when(F.startswith(token, F.lit("action@")) & F.contains(rest, F.lit("#")), F.when(generic, screen).otherwise(target)).otherwise(rest)
+    said = F.when(token.isin(BOS, EOS), "").when(~F.contains(token, F.lit("@")), token).otherwise(said)
+    return F.when(said == MISSING, "").otherwise(said)
 
 
 def deepest_match(tokens: DataFrame, token: str, patterns: dict[str, str]) -> DataFrame:
@@ -134,3 +144,20 @@ def edit_taxonomy(leaves: DataFrame, edits: DataFrame, named: DataFrame) -> tupl
     clusters = named.join(audit.select("taxonomy_id", "change", F.col("new").alias("_to")), "taxonomy_id", "left")
     clusters = clusters.select(*(F.when(F.col("change") == "update", F.col(f"_to.{c}")).otherwise(F.col(c)).alias(c) if c in levels else F.col(c) for c in named.columns), (F.coalesce(F.col("change") == "delete", F.lit(False))).alias("needs_review"))
     return after, clusters, audit
+
+
+def named_catalog(names: DataFrame, rows: DataFrame, cluster: str, platform: str) -> DataFrame:
+    """Each named cluster of ``names`` (cluster, ...) with the platform, its number of ``rows`` and its share of those in named clusters; absent clusters have 0."""
+    counts = rows.groupBy(F.col(cluster).alias("cluster")).agg(F.count("*").alias("size"))
+    out = names.join(counts, "cluster", "left").withColumn("size", F.coalesce("size", F.lit(0).cast("long")))
+    total = F.greatest(counts.agg(F.coalesce(F.sum("size"), F.lit(0))).scalar(), F.lit(1))
+    return out.withColumns({"share": F.round(F.col("size") / total, 8), "platform": F.lit(platform)})
+
+
+def label_columns(rows: DataFrame, english: bool = True) -> DataFrame:
+    """``rows`` with type_label and family_label: journey_type and business_family, in English their codes where there are any, else a dash."""
+    of = lambda c: F.col(c) if c in rows.columns else F.lit(None).cast("string")
+    kind, family = F.coalesce(of("journey_type"), F.lit("-")), F.coalesce(of("business_family"), F.lit("-"))
+    if english:
+        kind, family = F.coalesce(of("journey_type_en"), kind), F.initcap(F.replace(F.coalesce(of("business_family_code"), family), F.lit("_"), F.lit(" ")))
+    return rows.withColumns({"type_label": kind, "family_label": family})

@@ -164,3 +164,16 @@ def stability_index(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     share = lambda n, t: F.greatest(F.coalesce(n, F.lit(0)) / F.coalesce(t, F.lit(1)), F.lit(1e-6))
     out = both.join(F.broadcast(totals)).select(key, share(F.col("a"), F.col("ta")).alias("p"), share(F.col("b"), F.col("tb")).alias("q"))
     return out.withColumn("psi", (F.col("q") - F.col("p")) * F.ln(F.col("q") / F.col("p")))
+
+
+def between(rows: DataFrame, column: str, first: str | None, last: str | None) -> DataFrame:
+    """Rows of the days ``first`` to ``last``, both included; an open end has no bound, and without that column all rows stay.
+
+    What is no date is left out once there is a bound. On a partition column the scan is pruned.
+    """
+    if column not in rows.columns or first is None and last is None:
+        return rows
+    day = F.col(column) if rows.schema[column].dataType.typeName() == "date" else F.try_to_date(F.col(column).cast("string"))
+    for bound, keep in ((first, lambda b: day >= b), (last, lambda b: day <= b)):
+        rows = rows if bound is None else rows.where(keep(F.lit(bound).cast("date")))
+    return rows

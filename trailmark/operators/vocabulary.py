@@ -24,6 +24,30 @@ def vocabulary_report(events: DataFrame, channels: list[str], top: int = 100) ->
     )
 
 
+#: Rows of a table that is broadcast at most; larger ones are joined by a shuffle.
+BROADCAST_ROWS = 100_000
+
+
+def sized(table: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """``table`` marked for a broadcast if it has at most ``most`` rows; it is counted for that, up to there."""
+    return F.broadcast(table) if table.limit(most + 1).count() <= most else table
+
+
+def map_tokens(rows: DataFrame, key: str, sequence: str, known: DataFrame) -> DataFrame:
+    """(key, _map): for each row the values of its distinct tokens, from ``known`` (token, value); a token without a value is left out.
+
+    Tokens are joined once a row, however often they occur in it.
+    """
+    each = rows.select(key, F.explode_outer(F.array_distinct(sequence)).alias("token")).join(sized(known), "token", "left")
+    pairs = F.collect_list(F.when(F.col("value").isNotNull(), F.struct("token", "value")))
+    return each.groupBy(key).agg(F.map_from_entries(pairs).alias("_map"))
+
+
+def add_token_ids(rows: DataFrame, token: str, dictionary: DataFrame) -> DataFrame:
+    """``rows`` with the token_id of ``dictionary`` (token, token_id; each token once), null for a token that it lacks."""
+    return rows.join(sized(dictionary.select(F.col("token").alias(token), "token_id")), token, "left")
+
+
 def document_frequency(rows: DataFrame, sequence: str) -> DataFrame:
     return rows.select(F.explode(F.array_distinct(sequence)).alias("token")).groupBy("token").agg(F.count("*").alias("df"))
 
@@ -31,15 +55,20 @@ def document_frequency(rows: DataFrame, sequence: str) -> DataFrame:
 def fold_rare(rows: DataFrame, key: str, sequence: str, coarse: str, least: int = 3) -> DataFrame:
     """(key, folded, n_backed_off, n_rare): tokens in fewer than ``least`` rows become their coarse form, or ``<rare>`` if that is rare too.
 
-    Document frequencies are joined to the exploded tokens, so the vocabulary may be of any size.
+    Only frequent tokens are looked up, each once a row and kind, so the vocabulary may be of any size.
     """
-    fine, rough = document_frequency(rows, sequence), document_frequency(rows, coarse)
-    each = rows.select(key, F.posexplode(F.arrays_zip(F.col(sequence).alias("t"), F.col(coarse).alias("c")))).select(key, "pos", "col.t", "col.c")
-    each = each.join(fine.select(F.col("token").alias("t"), F.col("df").alias("df_t")), "t").join(rough.select(F.col("token").alias("c"), F.col("df").alias("df_c")), "c")
-    kept, backed = F.col("df_t") >= least, F.col("df_c") >= least
-    each = each.select(key, "pos", F.when(kept, F.col("t")).when(backed, F.col("c")).otherwise(RARE).alias("token"), (~kept & backed).alias("backed"), (~kept & ~backed).alias("rare"))
-    out = each.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "token"))).alias("s"), F.count_if("backed").alias("n_backed_off"), F.count_if("rare").alias("n_rare"))
-    return out.select(key, F.col("s.token").alias("folded"), "n_backed_off", "n_rare")
+    often = lambda c, name: document_frequency(rows, c).where(F.col("df") >= least).select("token", F.lit(name).alias("kind"))
+    known = often(sequence, "t").union(often(coarse, "c"))
+    both = F.concat(F.transform(F.array_distinct(sequence), lambda t: F.struct(t.alias("token"), F.lit("t").alias("kind"))), F.transform(F.array_distinct(coarse), lambda c: F.struct(c.alias("token"), F.lit("c").alias("kind"))))
+    each = rows.select(key, F.inline_outer(both)).join(sized(known).withColumn("known", F.lit(True)), ["token", "kind"], "left")
+    held = lambda kind: F.collect_list(F.when((F.col("kind") == kind) & F.col("known"), F.col("token")))
+    found = rows.select(key, sequence, coarse).join(each.groupBy(key).agg(held("t").alias("_t"), held("c").alias("_c")), key)
+    fold = F.zip_with(sequence, coarse, lambda t, c: F.struct(
+        F.when(F.array_contains("_t", t), t).when(F.array_contains("_c", c), c).otherwise(RARE).alias("token"),
+        F.when(F.array_contains("_t", t), 0).when(F.array_contains("_c", c), 1).otherwise(2).alias("how"),
+    ))
+    count = lambda how: F.size(F.filter("_f", lambda x: x["how"] == how)).cast("long")
+    return found.select(key, fold.alias("_f")).select(key, F.col("_f.token").alias("folded"), count(1).alias("n_backed_off"), count(2).alias("n_rare"))
 
 
 def ngrams(sequence: Column, low: int = 1, high: int = 2, ends: bool = True) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import exploration as X
+from ..operators import review
 from ..operators import vocabulary as V
 from .journey_queries import EVENTS_SQL, stream
 from .model_queries import _roles
@@ -83,10 +84,9 @@ def noise_support(spark: SparkSession, sf_dir: str) -> DataFrame:
     return X.sequence_support(rows, "cluster", "s").groupBy("cluster", "s").agg(F.max("noise_support").alias("noise_support"))
 
 
-@query("""SELECT p_partkey, p_name FROM part WHERE contains(lower(concat_ws(' ', p_name, p_brand)), 'a') AND p_partkey % 2 = 0""")
+@query("""SELECT p_partkey, p_name FROM part WHERE contains(lower(concat_ws(' ', p_name, p_brand)), 'a')""")
 def keyword_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "part").where("p_partkey % 2 = 0")
-    return X.search(rows, ["p_name", "p_brand"], "A", [F.col("p_name"), F.col("p_partkey")]).select("p_partkey", "p_name")
+    return X.search(table(spark, sf_dir, "part"), ["p_name", "p_brand"], "A", [F.col("p_name"), F.col("p_partkey")]).select("p_partkey", "p_name")
 
 
 @query("""SELECT label, least(count(*), 20) AS n FROM embeddings GROUP BY label""")
@@ -102,13 +102,13 @@ def final_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return X.final_names(n, of(4, F.upper), of(2, F.col), of(3, F.lower))
 
 
-@query("""SELECT l_returnflag AS scope, n_name FROM (SELECT DISTINCT l_returnflag, s_nationkey FROM lineitem JOIN supplier ON s_suppkey = l_suppkey WHERE year(l_shipdate) = 1993 UNION ALL SELECT DISTINCT 'old', s_nationkey FROM supplier WHERE s_suppkey % 5 = 0) JOIN nation ON n_nationkey = s_nationkey""")
+@query("""SELECT l_returnflag AS scope, n_name FROM (SELECT DISTINCT l_returnflag, s_nationkey FROM lineitem JOIN supplier ON s_suppkey = l_suppkey UNION ALL SELECT DISTINCT CASE WHEN s_acctbal < 0 THEN 'debt' ELSE 'credit' END, s_nationkey FROM supplier) JOIN nation ON n_nationkey = s_nationkey""")
 def union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two sources of unlike columns united by name, then named by a dimension."""
     supplier = table(spark, sf_dir, "supplier")
-    lines = table(spark, sf_dir, "lineitem").where(F.year("l_shipdate") == 1993).join(supplier, F.col("s_suppkey") == F.col("l_suppkey")).select(F.col("l_returnflag").alias("scope"), "s_nationkey").distinct()
-    old = supplier.where("s_suppkey % 5 = 0").select("s_nationkey", F.lit("old").alias("scope")).distinct()
-    return lines.unionByName(old).join(table(spark, sf_dir, "nation"), F.col("n_nationkey") == F.col("s_nationkey")).select("scope", "n_name")
+    lines = table(spark, sf_dir, "lineitem").join(supplier, F.col("s_suppkey") == F.col("l_suppkey")).select(F.col("l_returnflag").alias("scope"), "s_nationkey").distinct()
+    own = supplier.select("s_nationkey", F.when(F.col("s_acctbal") < 0, "debt").otherwise("credit").alias("scope")).distinct()
+    return lines.unionByName(own).join(table(spark, sf_dir, "nation"), F.col("n_nationkey") == F.col("s_nationkey")).select("scope", "n_name")
 
 
 @query()
@@ -158,3 +158,11 @@ def assignment_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""WITH n AS (SELECT label, vec_id % 4 AS old, count(*) AS n FROM embeddings GROUP BY ALL) SELECT label, old, n, round(n / sum(n) OVER (PARTITION BY label), 6) AS share FROM n""")
 def cluster_crosstab(spark: SparkSession, sf_dir: str) -> DataFrame:
     return X.crosstab(table(spark, sf_dir, "embeddings").withColumn("old", F.col("vec_id") % 4), "label", "old")
+
+
+@query("""WITH c AS (SELECT c_custkey AS id, c_nationkey AS v FROM customer), s AS (SELECT s_suppkey AS id, s_nationkey + 100 AS v FROM supplier) SELECT id, v FROM s UNION ALL SELECT id, v FROM c WHERE id NOT IN (SELECT id FROM s)""")
+def upserted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of one table put in the place of those of another with equal keys."""
+    current = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_nationkey").alias("v"))
+    changes = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), (F.col("s_nationkey") + 100).alias("v"))
+    return review.upsert(current, changes, ["id"])

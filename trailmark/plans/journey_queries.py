@@ -230,3 +230,14 @@ def stream_journeys(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = E.from_event_table(raw, gaps=False)
     closed = journey_stream.closed_journeys(events, work_folder(spark), RULES)
     return closed.where("kind = 'journey'").select("platform", "session_id", "journey_no", "n_events", "start_reason")
+
+
+@query(f"""WITH RECURSIVE {ROLLUP_SQL} SELECT platform, n_events_final >= 3 AS model_eligible, count(*) AS journeys FROM r GROUP BY ALL""")
+def eligible_journeys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return J.eligible(rolled(spark, sf_dir)).groupBy("platform", "model_eligible").agg(F.count("*").alias("journeys"))
+
+
+@query(f"""WITH {EVENTS_SQL} SELECT event_id, '["' || event_type || '","' || segment_name || '","' || CASE WHEN event_type = 'view' THEN segment_name ELSE '<missing>' END || '"]' AS exact_token FROM ev""")
+def exact_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = stream(spark, sf_dir).withColumn("screen_name", F.when(F.col("event_type") == "view", F.col("segment_name")))
+    return E.exact_tokens(rows).select(F.col("source_row_number").alias("event_id"), "exact_token")

@@ -14,11 +14,13 @@ from .model_queries import _ROLES, _roles
 from .registry import kept, query, table
 
 
-@query(f"""WITH s AS ({_ROLES}), a AS (SELECT DISTINCT conv_id, s[i] AS x FROM s, generate_series(1, len(s)) t(i)), b AS (SELECT DISTINCT conv_id, s[i] AS x, s[j] AS y FROM s, generate_series(1, len(s)) t(i), generate_series(i + 1, len(s)) u(j)),
-n AS (SELECT count(*) AS n FROM s), p AS (SELECT x AS pattern, 1 AS length, count(*) AS k FROM a GROUP BY x UNION ALL SELECT x || ' -> ' || y, 2, count(*) FROM b GROUP BY x, y)
-SELECT pattern, length, k AS support_count, round(k / n, 4) AS support FROM p, n WHERE k >= greatest(2, round(0.05 * n))""")
+@query(f"""WITH RECURSIVE s AS ({_ROLES}), a AS (SELECT DISTINCT unnest(s) AS x FROM s), n AS (SELECT count(*) AS n FROM s), p AS (
+  SELECT conv_id, s, x AS pattern, 1 AS length, list_position(s, x) AS pos FROM s, a WHERE list_contains(s, x)
+  UNION ALL SELECT conv_id, s, pattern || ' -> ' || x, length + 1, pos + list_position(s[pos + 1 :], x) FROM p, a WHERE length < 5 AND list_contains(s[pos + 1 :], x)
+), c AS (SELECT pattern, length, count(*) AS k FROM p GROUP BY ALL)
+SELECT pattern, length, k AS support_count, round(k / n, 4) AS support FROM c, n WHERE k >= greatest(2, round(0.05 * n))""")
 def prefixspan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = P.mine(_roles(spark, sf_dir), "s", 0.05, longest=2)
+    found = P.mine(_roles(spark, sf_dir), "s", 0.05)
     return found.select(F.array_join("tokens", " -> ").alias("pattern"), "length", "support_count", "support")
 
 
@@ -36,17 +38,47 @@ def view_families(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy(F.col("business_family").alias("around"), "event_type").agg(F.count("*").alias("events"))
 
 
-@query()
+#: The labels of the event table's events under its small taxonomy: of a screen, and of an action on it.
+SEMANTIC_SQL = f"""{JOURNEY_SQL}, v(screen, family, module, thing) AS (VALUES ('k0', 'home', 'general', 'unknown'), ('k1', 'shop', 'catalog', 'product'), ('k2', 'shop', 'basket', 'unknown'), ('k3', 'support', 'general', 'unknown')),
+a(action, family, module, thing, operation, stage) AS (VALUES ('purchase', 'payment', 'checkout', 'order', 'pay', 'commit'), ('signup', 'account', 'registration', NULL, 'register', 'commit'), ('click', NULL, NULL, NULL, 'select', 'browse'), ('scroll', NULL, NULL, NULL, 'browse', 'browse')),
+lab AS (SELECT event_type, coalesce(a.family, v.family, 'unknown') AS family, coalesce(a.module, v.module, 'unknown') AS module,
+  CASE WHEN a.family IS NULL AND v.family IS NULL THEN 'unknown' ELSE coalesce(a.thing, v.thing, 'unknown') END AS thing,
+  CASE WHEN a.family IS NULL AND v.family IS NULL THEN 'unknown' WHEN event_type = 'view' THEN 'view' ELSE coalesce(a.operation, 'unknown') END AS operation,
+  CASE WHEN a.family IS NULL AND v.family IS NULL THEN 'unknown' WHEN event_type = 'view' THEN 'entry' ELSE coalesce(a.stage, 'unknown') END AS stage,
+  CASE WHEN a.family IS NULL AND v.family IS NULL THEN 0 ELSE round(
+    CASE WHEN a.family IS NOT NULL THEN 0.40 WHEN event_type <> 'view' THEN 0.15 WHEN v.screen = 'k3' THEN 0.20 ELSE 0.40 END
+    + CASE WHEN a.family IS NOT NULL THEN 0.20 WHEN event_type <> 'view' THEN 0.08 WHEN v.module = 'general' THEN 0.05 ELSE 0.20 END
+    + CASE WHEN a.thing IS NOT NULL OR event_type = 'view' AND v.thing <> 'unknown' THEN 0.15 WHEN event_type <> 'view' AND coalesce(v.thing, 'unknown') <> 'unknown' THEN 0.07 ELSE 0 END
+    + CASE WHEN event_type = 'view' THEN 0.10 WHEN a.operation IS NOT NULL THEN 0.25 ELSE 0 END, 3) END AS confidence
+  FROM je LEFT JOIN v ON v.screen = je.screen_context LEFT JOIN a ON a.action = je.segment_name AND je.event_type = 'action')"""
+
+
+@query(f"""WITH RECURSIVE {SEMANTIC_SQL} SELECT family || '/' || module || '/' || thing || '/' || operation AS token_l3, family || '/' || module AS token_l2, family AS token_l1, stage || ':' || operation AS token_operation,
+  confidence AS semantic_confidence, count(*) AS events FROM lab GROUP BY ALL""")
 def semantic_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = semantics.token_ladder(semantics.annotate(journeys(spark, sf_dir), semantics.EVENT_TABLE))
     return rows.groupBy("token_l3", "token_l2", "token_l1", "token_operation", "semantic_confidence").agg(F.count("*").alias("events"))
 
 
-@query()
+_KNOWN = ", ".join(f"round(avg(CAST({a} <> 'unknown' AS INT)), 6) AS known_{b}" for a, b in (("family", "business_family"), ("module", "business_module"), ("thing", "business_object"), ("operation", "operation"), ("stage", "operation_stage")))
+
+
+@query(f"""WITH RECURSIVE {SEMANTIC_SQL} SELECT count(*) AS events, {_KNOWN}, round(avg(confidence), 6) AS mean_confidence FROM lab""")
 def semantic_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return semantics.coverage(semantics.annotate(journeys(spark, sf_dir), semantics.EVENT_TABLE))
 
 
+@query(f"""WITH RECURSIVE {ROLLUP_SQL}, t AS (SELECT platform || '::' || session_id || '::' || journey_no AS journey_id, generate_subscripts(string_split(sequence, ' -> '), 1) AS i, unnest(string_split(sequence, ' -> ')) AS token FROM r),
+f AS (SELECT *, regexp_extract(token, '@([^#]*)', 1) AS screen, regexp_extract(token, '#(.*)$', 1) AS action FROM t), x AS (SELECT *, CASE screen WHEN 'k0' THEN 'home/general' WHEN 'k1' THEN 'shop/catalog' WHEN 'k2' THEN 'shop/basket' WHEN 'k3' THEN 'support/general' ELSE 'unknown/unknown' END AS around FROM f)
+SELECT journey_id, string_agg(CASE action WHEN 'purchase' THEN 'payment/checkout' WHEN 'signup' THEN 'account/registration' ELSE around END, ' ' ORDER BY i) AS coarse,
+  string_agg(split_part(CASE action WHEN 'purchase' THEN 'payment/checkout' WHEN 'signup' THEN 'account/registration' ELSE around END, '/', 1), ' ' ORDER BY i) AS family FROM x GROUP BY journey_id""")
+def rebuilt_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coarser channels of journeys that were kept as exact sequences alone."""
+    rows = kept(rolled(spark, sf_dir).select("journey_id", "sequence_tokens"))
+    out = semantics.channels_from_sequences(rows, "journey_id", "sequence_tokens", ("coarse", "family"), semantics.EVENT_TABLE)
+    return out.select("journey_id", F.array_join("coarse", " ").alias("coarse"), F.array_join("family", " ").alias("family"))
+
+
 #: Nodes of a small taxonomy for the event table, by the text that speaks for them.
 NODES = {"M01.01.01": "k0$", "M02.01.01": "k1$", "M02.02.01": "k2$", "M03.01.01": "purchase", "M04.01.01": "signup", "M05.01.01": "k3$"}
 
@@ -61,12 +93,15 @@ def name_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return naming.cascade(scores, lifts)
 
 
-@query("""WITH p AS (SELECT o_custkey % 20 AS "new", CAST(o_orderkey % 7 AS INT) AS old, count(*) AS n FROM orders WHERE o_orderkey % 7 < 2 + o_custkey % 3 GROUP BY ALL), c AS (SELECT "new", sum(n) AS sampled, sum(CASE WHEN old > 0 THEN n ELSE 0 END) AS covered, max(CASE WHEN old > 0 THEN n END) AS top FROM p GROUP BY "new")
+_OLD = "CAST(CASE WHEN o_custkey % 20 < 8 THEN 1 + o_custkey % 5 WHEN o_custkey % 20 > 15 AND o_orderkey % 3 > 0 OR o_orderkey % 7 = 0 THEN -1 ELSE o_orderkey % 7 END AS INT)"
+
+
+@query(f"""WITH p AS (SELECT o_custkey % 20 AS "new", {_OLD} AS old, count(*) AS n FROM orders GROUP BY ALL), c AS (SELECT "new", sum(n) AS sampled, sum(CASE WHEN old > 0 THEN n ELSE 0 END) AS covered, max(CASE WHEN old > 0 THEN n END) AS top FROM p GROUP BY "new")
 SELECT "new", round(covered / sampled, 4) AS coverage, CASE WHEN covered / sampled < 0.5 THEN 'new' WHEN top / covered >= 0.7 THEN 'old_cluster' ELSE 'module' END AS step FROM c""")
 def carry_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A new grouping of orders against an old one: most of a group in one old cluster, or spread over one module."""
-    orders = table(spark, sf_dir, "orders").where("o_orderkey % 7 < 2 + o_custkey % 3")
-    pairs = orders.groupBy((F.col("o_custkey") % 20).alias("new"), F.when(F.col("o_orderkey") % 7 == 0, -1).otherwise(F.col("o_orderkey") % 7).cast("int").alias("old")).agg(F.count("*").alias("n"))
+    """A new grouping of all orders against an old one: groups within one old cluster, spread over one module, or mostly outside."""
+    orders = table(spark, sf_dir, "orders")
+    pairs = orders.groupBy((F.col("o_custkey") % 20).alias("new"), F.expr(_OLD).alias("old")).agg(F.count("*").alias("n"))
     names = pairs.select("old").distinct().where("old > 0").select("old", F.concat(F.lit("M01.0"), "old", F.lit(".01")).alias("taxonomy_id"))
     return naming.carry_names(pairs, names).select("new", "coverage", "step")
 
@@ -104,10 +139,25 @@ def numeric_block(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def density_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Density clusters of a bounded sample of the embeddings, against their labels."""
+    """Density clusters of the embeddings, fitted to a sample of the reference's size and given to every row, against their labels."""
     rows = table(spark, sf_dir, "embeddings")
-    found = density.fit(rows, "vec_id", "embedding", sample=3000, min_size=20)
-    return rows.join(found, "vec_id").groupBy("label", "cluster").agg(F.count("*").alias("rows"))
+    found = kept(density.label_all(rows, "vec_id", "embedding", min_size=20))
+    return rows.join(found, "vec_id").groupBy("label", "cluster", "fitted").agg(F.count("*").alias("rows"))
+
+
+@query()
+def cluster_stability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return density.stability(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", min_size=20)
+
+
+@query()
+def pattern_route(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Journeys as vectors of the closed patterns that they contain: rows by patterns matched and dimension."""
+    rows = kept(rolled(spark, sf_dir).where("n_events_final > 1"))
+    ranked = kept(P.rank(P.close(P.mine(rows, "sequence_tokens", 0.02, longest=3)), 300))
+    numeric = embedding.fit_numeric(rows, ("n_events_final", "action_ratio", "span_seconds")).transform(("n_events_final", "action_ratio", "span_seconds"))
+    v = embedding.pattern_vectors(rows, "journey_id", "sequence_tokens", ranked, 16, numeric)
+    return v.groupBy("matched", F.size("v").alias("dimensions")).agg(F.count("*").alias("rows"))
 
 
 @query(f"""WITH RECURSIVE {ROLLUP_SQL} SELECT '2026-01-01_' || platform || '::' || session_id || '::' || journey_no AS journey_id, session_id AS customer_id, n_events_raw, n_events_final, replace(sequence, ' -> ', ',') AS sequence, CASE WHEN n_events_final % 3 = 0 THEN 'UNKNOWN' ELSE 'C:' || n_events_final % 3 END AS effective_cluster_key

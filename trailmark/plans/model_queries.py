@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..contracts import STREAM
 from ..operators import clusters as C
 from ..operators import markov as M
+from ..operators import naming
 from ..operators import vocabulary as V
 from .journey_queries import JOURNEY_SQL, ROLLUP_SQL, journeys, rolled
 from .registry import kept, query, table
@@ -153,13 +154,15 @@ def cluster_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def kmeans_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.sweep_kmeans(table(spark, sf_dir, "embeddings"), "embedding", (6, 10, 15))
+    return C.sweep_kmeans(table(spark, sf_dir, "embeddings"), "embedding", "vec_id")
 
 
-@query()
+@query("""WITH d AS (SELECT a.vec_id, a.label AS own, b.label AS c, sum(list_distance(a.embedding::DOUBLE[], b.embedding::DOUBLE[])) AS d, count(*) AS n FROM embeddings a, embeddings b GROUP BY ALL),
+s AS (SELECT vec_id, max(CASE WHEN own = c AND n > 1 THEN d / (n - 1) END) AS a, min(CASE WHEN own <> c THEN d / n END) AS b, CAST(sum(n) AS BIGINT) AS rows FROM d GROUP BY vec_id)
+SELECT max(rows) AS rows, count(*) AS queries, round(avg(CASE WHEN b IS NOT NULL THEN coalesce((b - a) / greatest(a, b), 0) END), 6) AS silhouette FROM s""")
 def silhouette(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = C.silhouette(table(spark, sf_dir, "embeddings"), "label", "embedding")
-    return table(spark, sf_dir, "embeddings").groupBy().agg(F.count("*").alias("rows"), F.lit(round(s, 6)).alias("silhouette"))
+    s = C.silhouette(table(spark, sf_dir, "embeddings"), "label", "embedding", "vec_id")
+    return s.withColumn("silhouette", F.round("silhouette", 6))
 
 
 _LIMITS = {"back_p90": ("back_rate", 0.9), "loops_p90": ("n_loop_removed", 0.9), "revisit_p90": ("revisit_ratio", 0.9), "span_p95": ("span_seconds", 0.95)}
@@ -173,17 +176,21 @@ def friction_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("platform", C.friction_flags(limits).alias("flags")).agg(F.count("*").alias("n"))
 
 
-@query(f"""WITH {_NEAREST}, q AS (SELECT cluster, quantile_cont(d, 0.5) AS lim FROM nn WHERE r = 1 GROUP BY cluster), p AS (SELECT a.vec_id, a.cluster, a.d, b.d AS d2 FROM nn a JOIN nn b ON a.vec_id = b.vec_id AND a.r = 1 AND b.r = 2)
-SELECT vec_id, CASE WHEN d <= lim THEN 'C_primary' WHEN d <= lim * 1.02 AND d2 - d >= 0.10 * d2 THEN 'B_secondary' ELSE 'unassigned' END AS assignment_type,
-  CASE WHEN d <= lim THEN 'C:' || p.cluster WHEN d <= lim * 1.02 AND d2 - d >= 0.10 * d2 THEN 'B:' || p.cluster ELSE 'UNKNOWN' END AS effective_key FROM p JOIN q ON q.cluster = p.cluster""")
+_SECOND = "d <= lim * 1.02 AND (d2 - d) / greatest(d, 1e-12) >= 0.01 AND -d2 >= lim2"
+
+
+@query(f"""WITH {_NEAREST}, p AS (SELECT a.vec_id, a.cluster, a.d, b.d AS d2 FROM nn a JOIN nn b ON a.vec_id = b.vec_id AND a.r = 1 AND b.r = 2), q AS (SELECT cluster, quantile_cont(d, 0.5) AS lim, quantile_cont(-d2, 0.25) AS lim2 FROM p GROUP BY cluster)
+SELECT vec_id, CASE WHEN d <= lim THEN 'C_primary' WHEN {_SECOND} THEN 'B_secondary_inference' ELSE 'unassigned_novel' END AS assignment_type,
+  CASE WHEN d <= lim THEN 'C:' || p.cluster WHEN {_SECOND} THEN 'B:' || p.cluster ELSE 'UNKNOWN' END AS effective_key FROM p JOIN q ON q.cluster = p.cluster""")
 def hierarchy_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
-    near = C.nearest(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", _centers(spark, sf_dir))
-    limits = C.cluster_quantiles(near, "cluster_1", "distance_1", 0.5)
+    """Two tiers over one set of centroids; the negative second distance stands in for the transitions' likelihood."""
+    near = C.nearest(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", _centers(spark, sf_dir)).withColumn("markov", -F.col("distance_2"))
+    limits = near.groupBy("cluster_1").agg(F.percentile("distance_1", F.lit(0.5)).alias("limit"), F.percentile("markov", F.lit(0.25)).alias("markov_limit"))
     rows = near.join(F.broadcast(limits), "cluster_1").select(  # one limit a cluster
         "vec_id", F.col("cluster_1").alias("c_cluster"), F.col("distance_1").alias("c_distance"), F.col("limit").alias("c_limit"), F.col("cluster_1").alias("b_cluster"), F.col("distance_1").alias("b_distance"),
-        (F.col("limit") * 1.02).alias("b_limit"), F.col("distance_2").alias("b_second"),
+        (F.col("limit") * 1.02).alias("b_limit"), F.col("distance_2").alias("b_second"), F.col("markov").alias("b_markov"), F.col("markov_limit").alias("b_markov_limit"),
     )
-    return C.hierarchy(rows).select("vec_id", "assignment_type", "effective_key")
+    return C.hierarchy(rows, margin=0.01).select("vec_id", "assignment_type", "effective_key")
 
 
 @query(f"""WITH RECURSIVE {_CLUSTERED}, v AS (SELECT count(DISTINCT t) AS v FROM (SELECT src AS t FROM p UNION ALL SELECT dst FROM p)), t AS (SELECT cluster, src, sum(n) AS total FROM e GROUP BY ALL),
@@ -198,3 +205,19 @@ def frozen_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = _LIMITS | {"markov_p05": ("markov_logprob", 0.05), "markov_p01": ("markov_logprob", 0.01), "distance_p95": ("distance", 0.95)}
     limits = C.thresholds(rows, at).first().asDict()
     return C.judge(rows, limits).groupBy("cluster", "generative_anomaly", "severe_anomaly").agg(F.count("*").alias("n"))
+
+
+@query(f"""WITH RECURSIVE {JOURNEY_SQL}, d AS (SELECT event_token, row_number() OVER (ORDER BY count(*) DESC, event_token) AS token_id FROM je GROUP BY event_token) SELECT event_id, token_id FROM je JOIN d USING (event_token)""")
+def token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = kept(journeys(spark, sf_dir).select("event_token", "source_row_number", *STREAM, "event_time"))
+    d = V.token_dictionary(rows, "event_token", list(STREAM), "event_time").withColumnRenamed("event_token", "token")
+    return V.add_token_ids(rows, "event_token", d).select(F.col("source_row_number").alias("event_id"), "token_id")
+
+
+@query("""WITH n AS (SELECT label AS cluster, 'cluster ' || label AS name FROM embeddings GROUP BY label UNION ALL SELECT 1000, 'unused'), c AS (SELECT label AS cluster, count(*) AS size FROM embeddings GROUP BY label)
+SELECT cluster, name, coalesce(size, 0) AS size, round(coalesce(size, 0) / (SELECT count(*) FROM embeddings), 8) AS share, 'all' AS platform FROM n LEFT JOIN c USING (cluster)""")
+def named_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    names = rows.select(F.col("label").alias("cluster")).distinct().union(spark.range(1).select(F.lit(1000)))
+    names = names.withColumn("name", F.when(F.col("cluster") == 1000, "unused").otherwise(F.concat(F.lit("cluster "), "cluster")))
+    return naming.named_catalog(names, rows, "label", "all")

@@ -178,3 +178,8 @@ def ordered_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each conversation's turns in order; a conversation is bounded by its own length."""
     rows = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role"))).alias("t"), F.count("*").alias("turns"), F.sum(F.length("text")).alias("chars"))
     return rows.select("conv_id", F.array_join("t.role", ">").alias("roles"), "turns", "chars")
+
+
+@query("""SELECT o_orderstatus, count(*) AS orders FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1994-03-01' AND DATE '1996-02-29' GROUP BY o_orderstatus""")
+def date_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.between(table(spark, sf_dir, "orders"), "o_orderdate", "1994-03-01", "1996-02-29").groupBy("o_orderstatus").agg(F.count("*").alias("orders"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -79,9 +81,19 @@ EVENT = "session_id string, platform string, key string, segmentation_name strin
 
 
 def parse_events(rows: DataFrame, column: str, form: str = "json") -> DataFrame:
-    """Events in a text column, as JSON objects or CSV lines; bad ones come out with nulls."""
-    parsed = F.from_json(column, EVENT) if form == "json" else F.from_csv(F.col(column), EVENT)
-    return rows.select(parsed.alias("e")).select("e.*")
+    """Events in a text column, as JSON (one object, or an array of them) or CSV lines; bad ones come out with nulls.
+
+    A CSV text may hold many records; a line end within quotes belongs to its field. Times in seconds become milliseconds.
+    """
+    if form == "json":
+        array = F.startswith(F.ltrim(column), F.lit("["))
+        parsed = F.when(array, F.from_json(column, f"array<struct<{EVENT.replace(' string', ':string')}>>")).otherwise(F.array(F.from_json(column, EVENT)))
+    else:
+        lines = F.filter(F.regexp_extract_all(column, F.lit(r'((?:[^"\r\n]|"(?:[^"]|"")*")+)'), F.lit(1)), lambda x: F.trim(x) != "")
+        parsed = F.transform(lines, lambda x: F.from_csv(x, EVENT, {"multiLine": "true", "escape": '"'}))
+    out = rows.select(F.explode(parsed).alias("e")).select("e.*")
+    time = F.col("client_time")
+    return out.withColumn("client_time", F.when(time.rlike(r"^\d{10}$"), F.concat(time, F.lit("000"))).otherwise(time))
 
 
 def taxonomy(spark: SparkSession, path: str) -> DataFrame:
@@ -104,3 +116,36 @@ def journey(scored: DataFrame, journey_id: str) -> DataFrame:
     part = journey_id.partition("::")[0]
     rows = scored.where(F.col("source_partition") == part) if "source_partition" in scored.columns else scored
     return rows.where(F.col("journey_id") == journey_id)
+
+
+#: Columns of an export that say nothing, its names and its values under their own names.
+EXPORT_DROPS = ("segmentation.class_name", "segmentation.external_id", "segmentation.$stable", "segmentation.visit", "segmentation.stable", "segmentation.platform")
+EXPORT_NAMES = {"_id.$oid": "record_id", "created_at.$date": "created_at", "dur": "duration"}
+EXPORT_VALUES = {"key": {"[CLY]_view": "View", "action": "Action"}}
+
+
+def clean_export(rows: DataFrame, drops: tuple[str, ...] = EXPORT_DROPS, names: dict[str, str] = EXPORT_NAMES, values: dict[str, dict[str, str]] = EXPORT_VALUES) -> DataFrame:
+    """``rows`` without ``drops``, renamed, and with ``values`` put in other words; a value without a word of its own becomes null."""
+    rows = rows.drop(*(F.col(f"`{c}`") for c in drops if c in rows.columns)).withColumnsRenamed({a: b for a, b in names.items() if a in rows.columns})
+    for c, words in values.items():
+        if c in rows.columns:
+            rows = rows.withColumn(c, F.try_element_at(F.create_map(*(F.lit(x) for kv in words.items() for x in kv)), F.col(f"`{c}`")))
+    return rows
+
+
+def split_by(rows: DataFrame, column: str, values: tuple[str, ...] = ("Android", "iOS")) -> list[DataFrame]:
+    """``rows`` by the values of a column, one table each; others are in none."""
+    return [rows.where(F.col(f"`{column}`") == v) for v in values]
+
+
+def bundles(spark: SparkSession, root: str, platforms: tuple[str, ...] = ("android", "ios"), summary: str = "summary") -> DataFrame:
+    """(bundle, label, platforms, has_summary) of the scored runs below ``root``: summaries first, then by name.
+
+    Paths alone are looked at: a run has ``<run>/<platform>/...`` or ``<run>/<summary>/...``.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select(F.col("path"))
+    below = re.sub(r"^[A-Za-z0-9+.-]+:/*", "/", root.rstrip("/")) + "/"  # the root without its scheme
+    rest = F.split(F.expr(f"substring(path, instr(path, '{below}') + {len(below)})"), "/")
+    parts = files.select(F.get(rest, 0).alias("bundle"), F.get(rest, 1).alias("part")).where(F.col("part").isin(*platforms, summary)).distinct()
+    found = parts.groupBy("bundle").agg(F.array_sort(F.collect_set(F.when(F.col("part") != summary, F.col("part")))).alias("platforms"), F.bool_or(F.col("part") == summary).alias("has_summary"))
+    return found.select("bundle", F.replace("bundle", F.lit("_"), F.lit(" ")).alias("label"), "platforms", "has_summary").orderBy(F.col("has_summary").desc(), "bundle")
