@@ -3,9 +3,9 @@
 A naive Bayes classifier, learnt from a labelled table, gives each document a posterior over domains. Rates r >= 0, one
 a document, are then fitted so that expected domain totals, the sums of rate * tokens * posterior, match target token
 totals: least squares by projected gradient. Each step is one aggregation over the compact table of posteriors, whose
-result is one number a domain; the residual is whitened by the domains' own second moments, so a step of 1 converges.
+result is a few numbers; the residual is whitened by the domains' own second moments, so a step of 1 converges.
 
-Everything is DataFrame expressions: the classifier's tables and the steps' multipliers are a few hundred literals.
+Everything is DataFrame expressions: the classifier's tables and the way of the steps are a few hundred literals.
 """
 
 from __future__ import annotations
@@ -23,8 +23,9 @@ LABELLED = 20_000
 #: Marker words of a domain: at most so many, in that share of its documents at least, so many times as frequent as elsewhere.
 MARKERS, MARKER_SHARE, MARKER_LIFT = 40, 0.01, 5.0
 BINS = 8
-#: Steps at most, and the largest error of a domain's total as a share of all tokens.
-STEPS, TOLERANCE = 60, 1e-4
+#: The largest error of a domain's total as a share of all tokens, the least gain of a step where targets can't be met
+#: (as a share of the present residual), and the steps after which the fit gives up with an error.
+TOLERANCE, GAIN, STEPS = 1e-4, 5e-3, 500
 
 
 def _shape(docs: DataFrame, id_col: str, text_col: str, carried: list[str] | None = None) -> DataFrame:
@@ -109,38 +110,58 @@ def fit(docs: DataFrame, labels: DataFrame, domains: list[str], id_col: str = "d
     return found
 
 
-def rate(p: Column, multipliers: list[list[float]]) -> Column:
-    """The rate of a document with posterior ``p`` after the steps ``multipliers``; p stands in it once, however many there are."""
-    if not multipliers:
-        return F.lit(1.0)
-    steps = F.array(*(F.array(*map(F.lit, by)) for by in multipliers))
-    dot = lambda by: F.aggregate(F.zip_with(p, by, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-    return F.aggregate(steps, F.lit(1.0), lambda r, by: F.greatest(F.lit(0.0), r - dot(by)))
+def rate(p: Column, way: list[float], least: Column | None = None, most: Column | None = None) -> Column:
+    """The rate of a document with posterior ``p`` after a descent of ``way``, within ``least`` (0 if not given) and ``most`` (no bound)."""
+    dot = F.aggregate(F.zip_with(p, F.array(*map(F.lit, way)), lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    r = 1.0 - dot
+    return F.greatest(F.lit(0.0) if least is None else least, r if most is None else F.least(most, r))
 
 
-def fit_rates(members: DataFrame, targets: list[float], steps: int = STEPS, tolerance: float = TOLERANCE) -> tuple[list[list[float]], list[float]]:
-    """Steps' multipliers for ``rate`` and the domain totals that they give over ``members`` (n_tokens, p); ``targets`` are token totals.
+def fit_rates(members: DataFrame, targets: list[float], least: Column | None = None, most: Column | None = None, steps: int = STEPS, tolerance: float = TOLERANCE) -> tuple[list[float], list[float]]:
+    """The ``way`` for ``rate`` and the domain totals that it gives over ``members`` (n_tokens, p); ``targets`` are token totals.
 
-    From rates of 1, r <- max(0, r - p . M (totals - targets)), M the inverse of the second moments of p over the
-    tokens of documents whose rate is above 0: the projected gradient of the whitened residual.
+    Least squares by projected gradient with lazy projection: the way w adds up all steps, and the rates are 1 - p . w
+    put back within their bounds. A step is M (totals - targets). With M the inverse of the second moments of p over the
+    tokens of all documents that the bounds leave free, no step raises the residual (as weighed by that M). The moments
+    of the documents strictly inside their bounds give longer steps, which are taken as long as they pay. The fit ends
+    when the targets are met or, where bounds or posteriors don't allow it, when a step gains nothing more;
+    RuntimeError after ``steps``.
     """
     k = len(targets)
     p, weight = [F.col("p")[d] for d in range(k)], F.col("n_tokens").cast("double")
-    now = members.select("n_tokens", "p", F.lit(1.0).alias("rate"))
-    multipliers: list[list[float]] = []
-    scale = None
-    while True:
-        sums = [F.sum(F.col("rate") * weight * p[d]).alias(f"s{d}") for d in range(k)]
-        moments = [F.sum(F.when(F.col("rate") > 0, weight) * p[a] * p[b]).alias(f"m{a}_{b}") for a in range(k) for b in range(a, k)]
-        r = now.agg(F.sum(weight).alias("all"), *sums, *moments).first()
-        scale = scale or float(r["all"] or 1.0)
-        totals = [r[f"s{d}"] or 0.0 for d in range(k)]
-        error = np.array(totals) - np.array(targets)
-        if len(multipliers) == steps or np.abs(error).max() <= tolerance * scale:
-            return multipliers, totals
-        m = np.array([[r[f"m{min(a, b)}_{max(a, b)}"] or 0.0 for b in range(k)] for a in range(k)])
-        multipliers.append(np.linalg.solve(m + np.eye(k) * 1e-9 * scale, error).tolist())
-        now = members.select("n_tokens", "p", rate(F.col("p"), multipliers).alias("rate"))
+    low = F.lit(0.0) if least is None else least
+    free = F.lit(True) if most is None else low < most
+    inside = (F.col("rate") > low) & (F.lit(True) if most is None else F.col("rate") < most)
+    pairs = [(a, b) for a in range(k) for b in range(a, k)]
+    sums = [F.sum(F.col("rate") * weight * p[d]).alias(f"s{d}") for d in range(k)]
+    moments = [F.sum(F.when(c, weight) * p[a] * p[b]).alias(f"{n}{a}_{b}") for n, c in (("i", inside), ("f", free)) for a, b in pairs]
+
+    def look(way: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+        """Totals, moments of the documents strictly inside their bounds and of all free ones, and all tokens."""
+        r = members.withColumn("rate", rate(F.col("p"), way.tolist(), least, most)).agg(F.sum(weight).alias("all"), *sums, *moments).first()
+        of = lambda n: np.array([[r[f"{n}{min(a, b)}_{max(a, b)}"] or 0.0 for b in range(k)] for a in range(k)])
+        return np.array([r[f"s{d}"] or 0.0 for d in range(k)]), of("i"), of("f"), float(r["all"] or 1.0)
+
+    way = np.zeros(k)
+    totals, inner, outer, scale = look(way)
+    ridge = np.eye(k) * 1e-9 * scale
+    safe = np.linalg.inv(outer + ridge)
+    longer = True
+    for _ in range(steps):
+        error = totals - np.array(targets)
+        if np.abs(error).max() <= tolerance * scale:
+            return way.tolist(), totals.tolist()
+        longer = longer and inner.any()
+        then = way + (np.linalg.solve(inner + ridge, error) if longer else safe @ error)
+        found = look(then)
+        left = found[0] - np.array(targets)
+        if left @ safe @ left < (error @ safe @ error) * (1 - GAIN):
+            way, totals, inner, longer = then, found[0], found[1], True
+        elif longer:
+            longer = False  # once more from here, with a step that is short enough
+        else:
+            return way.tolist(), totals.tolist()
+    raise RuntimeError(f"rates did not settle in {steps} steps")
 
 
 def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float], anchor: str | None = None, id_col: str = "doc_id", text_col: str = "text", labelled: int = LABELLED) -> DataFrame:
@@ -149,22 +170,25 @@ def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float], anchor: s
     ``weights`` are the domains' target shares of tokens. The total is such that the domain ``anchor`` keeps its tokens
     (None: that the tokens of all stay as many). ``copies`` is the rate rounded up or down at random, by a hash of the
     id, so that its expectation is the rate; rows that repeat an id are rounded alike. A null or empty text has no
-    tokens and a posterior like any other. Without labels posteriors are flat. Only the named columns are read.
+    tokens and a posterior like any other. Without labels posteriors are flat. If no rates meet the targets, the nearest
+    totals are kept. Only the named columns are read; an empty table gives an empty result.
     """
     return _mixed(docs, labels, weights, anchor, id_col, text_col, labelled, [])
 
 
 def resample(docs: DataFrame, labels: DataFrame, weights: dict[str, float], anchor: str | None = None, id_col: str = "doc_id", text_col: str = "text", labelled: int = LABELLED) -> DataFrame:
-    """The rows of ``docs`` that ``mix`` gives a copy to, once each, so that unique documents stay unique.
+    """The rows of ``docs`` that ``mix`` would keep, once each, so that unique documents stay unique.
 
-    Documents whose likeliest domain is ``anchor`` all stay: the target keeps their tokens.
+    Rates are fitted within the bounds that this sets: 1 at most, and 1 for all documents whose likeliest domain is
+    ``anchor``. If the targets can't be met within them, the nearest totals are. Null and empty texts, null and repeated
+    ids and ties are treated as in ``mix``; all columns are carried, whatever their names; an empty table stays empty.
     """
     found = _mixed(docs, labels, weights, anchor, id_col, text_col, labelled, docs.columns)
-    stays = F.col("_mix.copies") > 0
-    return found.where(stays if anchor is None else stays | (F.col("_mix.domain") == anchor)).select(*(F.col(f"_row.`{c}`") for c in docs.columns))
+    return found.where(F.col("_mix.copies") > 0).select(*(F.col(f"_row.`{c}`") for c in docs.columns))
 
 
 def _mixed(docs: DataFrame, labels: DataFrame, weights: dict[str, float], anchor: str | None, id_col: str, text_col: str, labelled: int, carried: list[str]) -> DataFrame:
+    """The columns of ``mix``; with ``carried`` a struct _row of these and a struct _mix, at rates bounded as in ``resample``."""
     domains = list(weights)
     model = fit(docs, labels, domains, id_col, text_col, labelled)
     members = cut(model.posteriors(_shape(docs, id_col, text_col, carried), carried))  # computed once, as it is used often
@@ -172,11 +196,12 @@ def _mixed(docs: DataFrame, labels: DataFrame, weights: dict[str, float], anchor
     have = compact.agg(*(F.coalesce(F.sum(F.col("n_tokens") * F.col("p")[d]), F.lit(0.0)).alias(f"s{d}") for d in range(len(domains)))).first()
     share = {d: w / sum(weights.values()) for d, w in weights.items()}
     total = sum(have) if anchor is None else have[domains.index(anchor)] / share[anchor]
-    multipliers, _ = fit_rates(compact, [total * share[d] for d in domains])
+    top = F.element_at(_strings(domains), F.array_position("p", F.array_max("p")).cast("int"))
+    least, most = (F.when(top == anchor, 1.0).otherwise(0.0) if anchor else F.lit(0.0), F.lit(1.0)) if carried else (None, None)
+    way, _ = fit_rates(compact, [total * share[d] for d in domains], least, most)
     luck = F.pmod(F.xxhash64("id", F.lit("mix")), F.lit(1 << 20)) / float(1 << 20)
-    top = F.element_at(_strings(domains), F.array_position("p", F.array_max("p")).cast("int")).alias("domain")
-    rated = members.withColumn("rate", rate(F.col("p"), multipliers))
+    rated = members.withColumn("rate", rate(F.col("p"), way, least, most))
     copies = F.floor(F.col("rate") + luck).alias("copies")
     if carried:
-        return rated.select("_row", F.struct(top, copies).alias("_mix"))
-    return rated.select("id", "n_tokens", top, "p", "rate", copies)
+        return rated.select("_row", F.struct(top.alias("domain"), copies).alias("_mix"))
+    return rated.select("id", "n_tokens", top.alias("domain"), "p", "rate", copies)
