@@ -23,8 +23,8 @@ from ._shared import SPACE, cut
 FEATURES, RIDGE, WIDTH, SEED, BINS = 128, 1e-4, 4.0, 20, 512
 #: Raw scores are binned over this range; those outside fall into the end bins.
 LOW, HIGH = -0.5, 1.5
-#: With fewer rows in the calibration part, all training rows calibrate.
-LEAST = 200
+#: Parts of the labelled rows, each calibrated by a fit to the others.
+FOLDS = 5
 
 STATISTICS = (
     "log_bytes", "log_words", "mean_word", "log_longest_word", "upper", "digit", "symbol", "exclaim", "punctuation", "newline", "non_ascii",
@@ -100,54 +100,77 @@ def _stats(batch: pa.RecordBatch, at: int) -> np.ndarray:
 def fit(stats: DataFrame, labels: DataFrame) -> Model | None:
     """A model from ``stats`` (id, stats) and ``labels`` (id, label: 0 or 1, others and nulls ignored); None without both labels.
 
-    About a fifth of the labelled rows, by hash of the id, is kept from the ridge fit for calibration.
+    The ridge fit is made on all labelled rows, and ``FOLDS`` times on those outside one fold (by hash of the id); the
+    calibration sees each row through the fit that left it out.
     """
-    rows = cut(stats.join(labels.where("label in (0, 1)").select("id", F.col("label").cast("double").alias("y")), "id").withColumn("late", F.pmod(F.xxhash64("id"), F.lit(5)) == 0))
+    fold = F.coalesce(F.pmod(F.xxhash64("id"), F.lit(FOLDS)), F.lit(0)).cast("int").alias("fold")
+    rows = cut(stats.join(labels.where("label in (0, 1)").select("id", F.col("label").cast("double").alias("y")), "id").select("stats", "y", fold))
     moments = [f(F.col("stats")[i]).alias(f"{n}{i}") for i in range(len(STATISTICS)) for n, f in (("m", F.avg), ("s", F.stddev_pop))]
-    about = rows.agg(F.count("*").alias("n"), F.sum("y").alias("ones"), F.count_if("late").alias("late"), *moments).first()
+    about = rows.agg(F.count("*").alias("n"), F.sum("y").alias("ones"), *moments).first()
     if not about["n"] or not 0 < about["ones"] < about["n"]:
         return None
     model = Model(np.array([about[f"m{i}"] for i in range(len(STATISTICS))]), np.array([about[f"s{i}"] or 1.0 for i in range(len(STATISTICS))]) + 1e-9, np.zeros(FEATURES + 1), [])
-    every = about["late"] < LEAST
     size = FEATURES + 2
     upper = np.triu_indices(size)
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, any_ = np.zeros((size, size)), False
+        total: dict[int, np.ndarray] = {}
         for b in batches:
             z = np.concatenate([model.features(_stats(b, 0)), np.array(b.column(1), dtype=float)[:, None]], axis=1)
-            total, any_ = total + z.T @ z, any_ or len(z) > 0
-        if any_:
-            yield pa.RecordBatch.from_arrays([pa.array(range(len(upper[0])), pa.int32()), pa.array(total[upper])], names=["at", "v"])
-
-    used = (rows if every else rows.where("not late")).select("stats", "y")
-    found = used.mapInArrow(sums, "at int, v double").groupBy("at").agg(F.sum("v").alias("v")).collect()  # as many rows as the system has numbers
-    equations = np.zeros((size, size))
+            of = b.column(2).to_numpy()
+            for k in np.unique(of):
+                total[k] = total.get(k, 0) + z[of == k].T @ z[of == k]
+        for k, t in total.items():
+            yield pa.RecordBatch.from_arrays([pa.array([k] * len(upper[0]), pa.int32()), pa.array(range(len(upper[0])), pa.int32()), pa.array(t[upper])], names=["fold", "at", "v"])
+
+    found = rows.mapInArrow(sums, "fold int, at int, v double").groupBy("fold", "at").agg(F.sum("v").alias("v")).collect()  # as many rows as the systems have numbers
+    equations = np.zeros((FOLDS, size, size))
     for r in found:
-        equations[upper[0][r["at"]], upper[1][r["at"]]] = equations[upper[1][r["at"]], upper[0][r["at"]]] = r["v"]
-    penalty = np.diag([RIDGE * about["n"]] * FEATURES + [1e-9])
-    model.weights = np.linalg.solve(equations[:-1, :-1] + penalty, equations[:-1, -1])
-    raw = _raw(rows.select("id", "stats", "y", "late"), model).where(F.lit(every) | F.col("late"))
-    bins = raw.groupBy(_bin(F.col("raw")).cast("int").alias("bin")).agg(F.count("*").alias("n"), F.sum("y").alias("y")).collect()
+        i, j = upper[0][r["at"]], upper[1][r["at"]]
+        equations[r["fold"], i, j] = equations[r["fold"], j, i] = r["v"]
+    every = equations.sum(axis=0)
+    model.weights = solve(every)
+    left_out = [Model(model.mean, model.scale, solve(every - e), []) for e in equations]
+
+    def raw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            of, x = b.column(2).to_numpy(), _stats(b, 0)
+            z = model.features(x)
+            out = (z * np.array([m.weights for m in left_out])[of]).sum(axis=1) if len(of) else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([b.column(1), pa.array(out)], names=["y", "raw"])
+
+    bins = rows.mapInArrow(raw, "y double, raw double").groupBy(_bin(F.col("raw")).cast("int").alias("bin")).agg(F.count("*").alias("n"), F.sum("y").alias("y")).collect()
     model.grid = isotonic([(r["bin"], r["n"], r["y"]) for r in bins])
     return model
 
 
+def solve(equations: np.ndarray) -> np.ndarray:
+    """Ridge weights from the sums of products of (features, 1, y); the penalty is ``RIDGE`` a row, and none on the constant."""
+    penalty = np.diag([RIDGE * equations[-2, -2]] * FEATURES + [0.0]) + np.eye(FEATURES + 1) * 1e-9
+    return np.linalg.solve(equations[:-1, :-1] + penalty, equations[:-1, -1])
+
+
 def _bin(raw):
     return F.least(F.greatest((raw - LOW) / (HIGH - LOW) * BINS, F.lit(0.0)), F.lit(BINS - 1e-6))
 
 
-def isotonic(bins: list[tuple[int, int, float]]) -> list[float]:
-    """Pool adjacent violators over (bin, rows, ones); the fit at the bins' edges, linear between the pools' middles."""
-    pools: list[list[float]] = []  # [rows, ones, rows * position]
+def pools(bins: list[tuple[int, int, float]]) -> list[list[float]]:
+    """Pool adjacent violators over (bin, rows, ones): pools of [rows, ones, rows * position, bins] with rising shares of ones."""
+    out: list[list[float]] = []
     for at, n, ones in sorted(bins):
-        pools.append([n, ones, n * (at + 0.5)])
-        while len(pools) > 1 and pools[-2][1] * pools[-1][0] >= pools[-1][1] * pools[-2][0]:
-            last = pools.pop()
-            pools[-1] = [a + b for a, b in zip(pools[-1], last)]
-    n = sum(p[0] for p in pools)
-    at = [p[2] / p[0] for p in pools]
-    value = [(p[1] + 0.5 * p[0] / n) / (p[0] + p[0] / n) for p in pools]  # drawn a little towards 1/2, by one row over all
+        out.append([n, ones, n * (at + 0.5), 1])
+        while len(out) > 1 and out[-2][1] * out[-1][0] >= out[-1][1] * out[-2][0]:
+            last = out.pop()
+            out[-1] = [a + b for a, b in zip(out[-1], last)]
+    return out
+
+
+def isotonic(bins: list[tuple[int, int, float]]) -> list[float]:
+    """The isotonic fit over (bin, rows, ones) at the bins' edges, linear between the middles of its pools."""
+    found = pools(bins)
+    n = sum(p[0] for p in found)
+    at = [p[2] / p[0] for p in found]
+    value = [(p[1] + 0.5 * p[0] / n) / (p[0] + p[0] / n) for p in found]  # drawn a little towards 1/2, by one row over all
     return np.clip(np.interp(np.arange(BINS + 1), at, value) + (np.arange(BINS + 1) - BINS / 2) * 1e-6, 0, 1).tolist()
 
 
