@@ -24,6 +24,8 @@ PACKET, RATE, SERIALS = 25 * FRAME, 8000, (1, 2)
 #: Each stream's first packet: magic, samples a second.
 HEAD = struct.Struct("<8sI")
 MAGIC = b"rawpcm8 "
+#: How the first packets of streams begin.
+HEADS = {"pcm8": MAGIC, "opus": b"OpusHead", "vorbis": b"\x01vorbis", "flac": b"\x7fFLAC"}
 
 _PAGE = struct.Struct("<4sBBqIIIB")
 _REVERSED = bytes(int(f"{i:08b}"[::-1], 2) for i in range(256))
@@ -85,15 +87,53 @@ class Stream:
     ended: bool = False
     partial: bytes = b""
 
+    @property
+    def codec(self) -> str:
+        """What the first packet says the stream is: pcm8 (this module's own), opus, vorbis, flac, or empty."""
+        head = self.packets[0] if self.packets else b""
+        return next((name for name, magic in HEADS.items() if head.startswith(magic)), "")
+
     @property
     def rate(self) -> int:
-        return HEAD.unpack(self.packets[0])[1] if self.packets and self.packets[0].startswith(MAGIC) else 0
+        """Granules a second, from the identification header; 0 if it isn't known."""
+        head, codec = self.packets[0] if self.packets else b"", self.codec
+        if codec == "opus":
+            return 48000  # whatever the input's rate was
+        if codec == "flac" and len(head) >= 30:
+            return int.from_bytes(head[27:30], "big") >> 4  # after 9 bytes of mapping, "fLaC" and a block's head: 20 bits
+        if codec == "vorbis" and len(head) >= 16:
+            return int.from_bytes(head[12:16], "little")
+        return HEAD.unpack(head[: HEAD.size])[1] if codec == "pcm8" and len(head) >= HEAD.size else 0
+
+    @property
+    def headers(self) -> int:
+        """Packets before the first one of media; FLAC says how many follow its first."""
+        head, codec = self.packets[0] if self.packets else b"", self.codec
+        return {"pcm8": 1, "opus": 2, "vorbis": 3, "flac": 1 + int.from_bytes(head[7:9], "big") if len(head) >= 9 else 1}.get(codec, 0)
+
+    @property
+    def skipped(self) -> int:
+        """Granules before time 0: Opus streams begin with so many that aren't played."""
+        return int.from_bytes(self.packets[0][10:12], "little") if self.codec == "opus" and len(self.packets[0]) >= 12 else 0
+
+    def times(self) -> list[float]:
+        """The time at the end of each packet of media in seconds; empty without a rate or granules.
+
+        Granules are known where a packet ends a page; those between two such ends are shared out evenly by packets, and
+        those after the last known one keep its time.
+        """
+        known = [(0, 0), *((k + 1, g) for k, g in enumerate(self.granules[self.headers :]) if g >= 0)]
+        if not self.rate or len(known) == 1:
+            return []
+        out: list[float] = []
+        for (a, x), (b, y) in zip(known, known[1:]):
+            out += [(x + (y - x) * (k - a) / (b - a) - self.skipped) / self.rate for k in range(a + 1, b + 1)]
+        return out + out[-1:] * (len(self.packets) - self.headers - len(out))
 
     @property
     def seconds(self) -> float:
-        """Time of the stream's last known granule position."""
-        known = [g for g in self.granules if g >= 0]
-        return known[-1] / self.rate if known and self.rate else 0.0
+        """Time at the end of the stream."""
+        return max(self.times(), default=0.0)
 
 
 def decode(data: bytes) -> dict[int, Stream]:
@@ -143,7 +183,10 @@ def padded(text: str | None) -> bytes:
 
 
 def to_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_bytes, media) for every row: its text as an Ogg file; null texts count as empty. Equal texts, equal files."""
+    """(id, n_bytes, media) for every row: its text as an Ogg file; null texts count as empty. Equal texts, equal files.
+
+    Repeated rows, null and repeated ids are rows of their own. Only the named columns are read; an empty table stays empty.
+    """
     schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("n_bytes", T.LongType()), T.StructField("media", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,25 +201,34 @@ def to_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def read_media(media: DataFrame, id_col: str = "id", media_col: str = "media") -> DataFrame:
-    """The rows of ``media`` with payload (samples read back), streams, packets, pages, seconds and error.
+    """The rows of ``media`` with what their files hold.
 
-    A null or damaged file gives null in all of these but ``error``, which says what is wrong. Columns of ``media`` with
-    one of these names are replaced.
+    payload (samples read back, in packets taken from the streams in turn), streams, packets, pages, first_time and
+    seconds (ends of the earliest packet and of the last one), widest_gap (the longest time that one packet spans) and
+    error. A null or damaged file gives null in all of these but ``error``, which says what is wrong; times are 0 where
+    no stream tells its rate. Columns of ``media`` with one of these names are replaced, all others carried. Repeated
+    rows and null ids come back as they are; an empty table stays empty.
     """
-    more = [("payload", T.BinaryType()), ("streams", T.IntegerType()), ("packets", T.IntegerType()), ("pages", T.IntegerType()), ("seconds", T.DoubleType()), ("error", T.StringType())]
+    more = [
+        ("payload", T.BinaryType()), ("streams", T.IntegerType()), ("packets", T.IntegerType()), ("pages", T.IntegerType()), ("first_time", T.DoubleType()), ("seconds", T.DoubleType()),
+        ("widest_gap", T.DoubleType()), ("error", T.StringType()),
+    ]
     media = media.drop(*(n for n, _ in more))
     at = media.columns.index(media_col)
     schema = T.StructType([*media.schema.fields, *(T.StructField(n, t) for n, t in more)])
-    types = [pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.float64(), pa.string()]
+    types = [pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.float64(), pa.string()]
 
     def read(data: bytes | None) -> tuple:
         try:
             s = decode(data) if data is not None else {}
             if not s:
                 raise ValueError("no media")
-            return payload(s), len(s), sum(len(x.packets) for x in s.values()), sum(x.pages for x in s.values()), max(x.seconds for x in s.values()), None
+            ends = [t for x in s.values() if (t := x.times())]
+            gaps = [b - a for t in ends for a, b in zip([0.0, *t], t)]
+            times = min((t[0] for t in ends), default=0.0), max((t[-1] for t in ends), default=0.0), max(gaps, default=0.0)
+            return payload(s), len(s), sum(len(x.packets) for x in s.values()), sum(x.pages for x in s.values()), *times, None
         except ValueError as e:
-            return None, None, None, None, None, str(e)
+            return (None,) * (len(more) - 1) + (str(e),)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -187,9 +239,9 @@ def read_media(media: DataFrame, id_col: str = "id", media_col: str = "media") -
 
 
 def digest(read: DataFrame) -> DataFrame:
-    """The digest columns of ``read_media`` over ``to_media``."""
+    """The digest columns of ``read_media`` over ``to_media``, for every row; a damaged file has nulls in those read back."""
     tail = F.expr("substring(payload, -16, 16)")
-    feature = F.concat_ws(" ", F.format_string("streams=%d packets=%d pages=%d seconds=%.6f", "streams", "packets", "pages", "seconds"))
+    feature = F.concat_ws(" ", F.format_string("streams=%d packets=%d pages=%d first=%.6f seconds=%.6f gap=%.6f", "streams", "packets", "pages", "first_time", "seconds", "widest_gap"))
     return read.select(
         F.col("id").alias("doc_id"), "n_bytes", F.length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_sha256"),
         F.crc32(tail).alias("tail_crc32"), F.length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"), feature.alias("feature"),
