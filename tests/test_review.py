@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from trailmark.operators import density, events, naming, review, semantics, serving
+from trailmark.operators import density, events, naming, review, scoring, semantics, serving
 from trailmark.operators import vocabulary as V
 from trailmark.sources import readers
 
@@ -112,3 +112,42 @@ def test_density_labels_every_row_and_is_stable(spark):
     runs = density.stability(rows, "k", "v", min_size=15).collect()
     assert sorted(r.run for r in runs) == list(range(5)) and all(r.n_clusters == 2 and r.ari_vs_full > 0.9 for r in runs)
     assert density.rand_index(np.array([0, 0, 1, 1]), np.array([1, 1, 0, 0])) == 1.0
+
+
+def test_scoring_end_to_end_against_numpy(spark, tmp_path):
+    rng = np.random.default_rng(4)
+    make = lambda i: (["a", "b", "c"] if i % 2 else ["x", "y", "z"]) * int(rng.integers(1, 4)) + (["q"] if rng.random() < 0.3 else [])
+    rows = [(f"j{i}", s := make(i), len(s), 0.1 * (i % 5), float(i), 0.0, 0, 0.2) for i in range(60)] + [("new", ["never", "seen"], 2, 0.0, 1.0, 0.0, 0, 0.0), ("empty", [], 0, 0.0, 0.0, 0.0, 0, 0.0)]
+    df = spark.createDataFrame(rows, "k string, s array<string>, n_events_final int, action_ratio double, span_seconds double, back_rate double, n_loop_removed int, revisit_ratio double")
+    fitted = scoring.fit(df.where("k like 'j%'"), "k", "s", k=2, dimensions=4, columns=("n_events_final", "action_ratio"))
+    fitted.save(str(tmp_path / "m"))
+    model = scoring.load(spark, str(tmp_path / "m"))
+    got = {r.k: r for r in model.score(df, "k", "s").collect()}
+    assert set(got) == {r[0] for r in rows}
+    terms = {r.ngram: (r.term, r.idf) for r in model.terms.collect()}
+    centers = {r.cluster: np.array(r.centroid) for r in model.centers.collect()}
+    counts = {}
+    for k, s, *_ in rows[:60]:
+        for a, b in zip(s, s[1:]):
+            counts.setdefault((got[k].nearest_cluster, a), {}).setdefault(b, 0)
+            counts[got[k].nearest_cluster, a][b] += 1
+    for k, s, n, action, *_ in rows:
+        grams = {}
+        padded = ["<bos>", *s, "<eos>"]
+        for g in padded + [" ".join(p) for p in zip(padded, padded[1:])]:
+            grams[g] = grams.get(g, 0) + 1
+        w = np.zeros(len(terms))
+        for g, c in grams.items():
+            if g in terms:
+                w[terms[g][0]] = (1 + np.log(c)) * terms[g][1]
+        v = (w / (np.linalg.norm(w) or 1)) @ model.basis
+        z = (np.array([np.log1p(n), action]) - model.numeric.means) / model.numeric.scales
+        v = np.concatenate([v / (np.linalg.norm(v) or 1), 0.35 * z / (np.linalg.norm(z) or 1)])
+        d = {c: np.linalg.norm(v - x) for c, x in centers.items()}
+        assert abs(d[got[k].nearest_cluster] - min(d.values())) < 1e-6 and abs(got[k].distance - min(d.values())) < 1e-6
+        assert got[k].cluster == (-1 if got[k].distance > model.limits["distance_p95"] else got[k].nearest_cluster)
+        after = counts.get((got[k].nearest_cluster, s[-1] if s else None))
+        if after:
+            assert got[k].next_action == min(after, key=lambda t: (-after[t], t))
+    assert got["new"].next_action is None and got["empty"].next_action is None
+    assert len({got[f"j{i}"].nearest_cluster for i in range(0, 60, 2)}) == 1

@@ -9,7 +9,7 @@ from ..operators import exploration as X
 from ..operators import review
 from ..operators import vocabulary as V
 from .journey_queries import EVENTS_SQL, stream
-from .model_queries import _roles
+from .model_queries import LIFT_SQL, _roles
 from .registry import query, table
 
 
@@ -111,7 +111,7 @@ def union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.unionByName(own).join(table(spark, sf_dir, "nation"), F.col("n_nationkey") == F.col("s_nationkey")).select("scope", "n_name")
 
 
-@query()
+@query(LIFT_SQL)
 def nested_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """N-gram evidence nested by cluster and taken apart again."""
     rows = V.ngram_lift(_roles(spark, sf_dir), "cluster", "s")

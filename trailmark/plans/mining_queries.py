@@ -83,10 +83,23 @@ def rebuilt_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
 NODES = {"M01.01.01": "k0$", "M02.01.01": "k1$", "M02.02.01": "k2$", "M03.01.01": "purchase", "M04.01.01": "signup", "M05.01.01": "k3$"}
 
 
-@query()
+_EVIDENCE = " ".join(f"WHEN {test} THEN '{node}'" for test, node in (("e LIKE '%k0'", "M01.01.01"), ("e LIKE '%k1'", "M02.01.01"), ("e LIKE '%k2'", "M02.02.01"), ("e = 'purchase'", "M03.01.01"), ("e = 'signup'", "M04.01.01"), ("e LIKE '%k3'", "M05.01.01")))
+
+
+@query(f"""WITH RECURSIVE {ROLLUP_SQL}, k AS (SELECT n_events_final % 5 AS cluster, string_split(sequence, ' -> ') AS s FROM r), g AS (SELECT cluster, unnest(s) AS ngram FROM k UNION ALL SELECT cluster, s[i] || ' ' || s[i + 1] FROM k, generate_series(1, len(s) - 1) t(i)),
+c AS (SELECT cluster, ngram, count(*) AS n FROM g GROUP BY ALL), m AS (SELECT *, n / sum(n) OVER (PARTITION BY cluster) AS mass, sum(n) OVER (PARTITION BY ngram) / sum(n) OVER () AS share FROM c), l AS (SELECT *, (mass + 1e-9) / (share + 1e-9) AS lift FROM m),
+top AS (SELECT cluster, rank, ngram, round(lift, 6) AS lift, round(mass, 9) AS mass FROM (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY round(lift, 9) DESC, n DESC, ngram) AS rank FROM l) WHERE rank <= 8),
+w AS (SELECT cluster, rank, lift, mass, unnest(list_distinct(string_split(ngram, ' '))) AS token FROM top), e AS (SELECT *, CASE WHEN token LIKE 'view@%' THEN substr(token, 6) ELSE regexp_extract(token, '#(.*)$', 1) END AS e FROM w),
+nodes AS (SELECT DISTINCT cluster, rank, lift, mass, CASE {_EVIDENCE} END AS node FROM e WHERE CASE {_EVIDENCE} END IS NOT NULL), x AS (SELECT *, mass * greatest(ln(1 + lift), 0.1) / count(*) OVER (PARTITION BY cluster, rank) AS w FROM nodes),
+t AS (SELECT cluster, sum(mass) AS total FROM top GROUP BY cluster), sc AS (SELECT cluster, node, sum(w) AS score, count(*) AS n, sum(mass) / max(total) AS coverage FROM x JOIN t USING (cluster) GROUP BY ALL),
+lv AS (SELECT cluster, size, substr(node, 1, size) AS node, sum(score) AS score, sum(n) AS n, sum(coverage) AS coverage FROM sc, (VALUES (9), (6), (3)) z(size) GROUP BY ALL),
+best AS (SELECT * FROM (SELECT *, score / sum(score) OVER (PARTITION BY cluster, size) AS part, row_number() OVER (PARTITION BY cluster, size ORDER BY score DESC, node) AS r FROM lv) WHERE r = 1 AND n >= 2 AND coverage >= 0.15 AND part >= 0.60),
+pick AS (SELECT cluster, arg_max(node, size) AS node, max(size) AS size, round(arg_max(part, size), 4) AS share FROM best GROUP BY cluster)
+SELECT 'all' AS platform, cluster, node, CASE size WHEN 9 THEN 'feature' WHEN 6 THEN 'submodule' WHEN 3 THEN 'module' ELSE 'unclassified' END AS level, share, CASE size WHEN 9 THEN 'high' WHEN 6 THEN 'medium' WHEN 3 THEN 'medium' ELSE 'low' END AS confidence
+FROM (SELECT DISTINCT cluster FROM top) LEFT JOIN pick USING (cluster)""")
 def name_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names for groups of journeys from the n-grams that set them apart."""
-    rows = rolled(spark, sf_dir).withColumn("cluster", (F.xxhash64("entry_token") % 7).cast("int"))
+    rows = rolled(spark, sf_dir).withColumn("cluster", (F.col("n_events_final") % 5).cast("int"))
     lifts = V.ngram_lift(rows, "cluster", "sequence_tokens", 8).withColumn("platform", F.lit("all"))
     tokens = lifts.select(F.explode(F.split("ngram", " ")).alias("token"))
     scores = naming.evidence_scores(lifts, naming.deepest_match(tokens, "token", NODES))

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from ..contracts import STREAM
 from ..operators import clusters as C
 from ..operators import markov as M
-from ..operators import naming
+from ..operators import naming, scoring
 from ..operators import vocabulary as V
 from .journey_queries import JOURNEY_SQL, ROLLUP_SQL, journeys, rolled
-from .registry import kept, query, table
+from .registry import kept, query, table, work_folder
 
 
 @query(f"""WITH RECURSIVE {JOURNEY_SQL} SELECT event_token, count(*) AS events, count(DISTINCT (platform, session_id)) AS sessions, epoch_us(min(event_time)) AS first_us, epoch_us(max(event_time)) AS last_us,
@@ -51,9 +51,12 @@ def ngram_df(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.ngram_counts(_roles(spark, sf_dir), "s")
 
 
-@query(f"""WITH r AS (SELECT conv_id % 4 AS cluster, s FROM ({_ROLES})), g AS (SELECT cluster, s[i] AS ngram FROM r, generate_series(1, len(s)) t(i) UNION ALL SELECT cluster, s[i] || ' ' || s[i + 1] FROM r, generate_series(1, len(s) - 1) t(i)),
+LIFT_SQL = f"""WITH r AS (SELECT conv_id % 4 AS cluster, s FROM ({_ROLES})), g AS (SELECT cluster, s[i] AS ngram FROM r, generate_series(1, len(s)) t(i) UNION ALL SELECT cluster, s[i] || ' ' || s[i + 1] FROM r, generate_series(1, len(s) - 1) t(i)),
 c AS (SELECT cluster, ngram, count(*) AS n FROM g GROUP BY ALL), m AS (SELECT *, n / sum(n) OVER (PARTITION BY cluster) AS mass, sum(n) OVER (PARTITION BY ngram) / sum(n) OVER () AS share FROM c), l AS (SELECT *, (mass + 1e-9) / (share + 1e-9) AS lift FROM m)
-SELECT cluster, rank, ngram, round(lift, 6) AS lift, round(mass, 9) AS mass FROM (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY round(lift, 9) DESC, n DESC, ngram) AS rank FROM l) WHERE rank <= 8""")
+SELECT cluster, rank, ngram, round(lift, 6) AS lift, round(mass, 9) AS mass FROM (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY round(lift, 9) DESC, n DESC, ngram) AS rank FROM l) WHERE rank <= 8"""
+
+
+@query(LIFT_SQL)
 def ngram_lift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.ngram_lift(_roles(spark, sf_dir), "cluster", "s")
 
@@ -221,3 +224,13 @@ def named_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = rows.select(F.col("label").alias("cluster")).distinct().union(spark.range(1).select(F.lit(1000)))
     names = names.withColumn("name", F.when(F.col("cluster") == 1000, "unused").otherwise(F.concat(F.lit("cluster "), "cluster")))
     return naming.named_catalog(names, rows, "label", "all")
+
+
+@query()
+def scored_journeys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fit, save, load and score: vectors, centroids, transitions, thresholds, flags and next actions, end to end."""
+    rows = kept(rolled(spark, sf_dir))
+    root = work_folder(spark)
+    scoring.fit(rows, "journey_id", "sequence_tokens").save(f"{root}/model")
+    scored = scoring.load(spark, f"{root}/model").score(rows, "journey_id", "sequence_tokens")
+    return scored.groupBy("cluster", "severe_anomaly", "friction_flags", "next_action").agg(F.count("*").alias("journeys"), F.round(F.avg("distance"), 4).alias("mean_distance"))
