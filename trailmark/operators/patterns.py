@@ -29,10 +29,15 @@ def contains(sequence: Column, pattern: Column) -> Column:
 
 
 def close(patterns: DataFrame) -> DataFrame:
-    """Patterns without a longer one of the same support that contains them."""
-    a, b = patterns.alias("a"), patterns.select("tokens", "length", "support_count").alias("b")
-    inside = (F.col("a.support_count") == F.col("b.support_count")) & (F.col("a.length") < F.col("b.length")) & contains(F.col("b.tokens"), F.col("a.tokens"))
-    return a.join(b, inside, "left_anti")
+    """Patterns without a longer one of the same support that contains them.
+
+    If there is one, there is one that is longer by a single token, as support never grows with length and all frequent
+    patterns are given. So each pattern rules out those that it becomes without one of its tokens.
+    """
+    t = F.col("tokens")
+    shorter = F.transform(F.sequence(F.lit(1), F.size(t)), lambda i: F.concat(F.slice(t, 1, i - 1), F.slice(t, i + 1, F.size(t))))
+    covered = patterns.where(F.size(t) > 1).select(F.explode(F.array_distinct(shorter)).alias("tokens"), "support_count").distinct()
+    return patterns.join(covered, ["tokens", "support_count"], "left_anti")
 
 
 def rank(patterns: DataFrame, most: int = 200, shortest: int = 2) -> DataFrame:

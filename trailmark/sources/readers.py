@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,13 +16,14 @@ def csv_folder(spark: SparkSession, root: str) -> DataFrame:
     """All CSV files below ``root`` as strings, columns united by name, with _source_file; archive litter is skipped."""
     here = F.input_file_name()
     rows = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").option("header", True).option("multiLine", True).option("escape", '"').option("enforceSchema", False).csv
-    files = [r[0] for r in spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(root).select("path").orderBy("path").collect()]
-    files = [f for f in files if "/__MACOSX/" not in f and not f.rsplit("/", 1)[-1].startswith("._")]
-    if not files:
+    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(root).select("_metadata.file_path", "_metadata.file_name", "value", F.monotonically_increasing_id().alias("at"))
+    own = ~F.contains("file_path", F.lit("/__MACOSX/")) & ~F.startswith("file_name", F.lit("._"))
+    heads = lines.where(own).groupBy("file_path").agg(F.min_by("value", "at").alias("head"))  # one row a file, from one pass
+    by_header: dict[str, list[str]] = {}
+    for r in heads.orderBy("file_path").collect():  # files of one first line are read together
+        by_header.setdefault(r["head"], []).append(unquote(r["file_path"]))
+    if not by_header:
         raise ValueError(f"no CSV files below {root}")
-    by_header: dict[tuple, list[str]] = {}
-    for f in files:  # one look at each header; files of one header are read together
-        by_header.setdefault(tuple(rows(f).columns), []).append(f)
     out = None
     for same in by_header.values():
         part = rows(same).withColumn("_source_file", here)

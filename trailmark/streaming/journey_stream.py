@@ -6,6 +6,7 @@ boundaries as in batch; a session that stays idle is closed by an event-time tim
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -34,7 +35,7 @@ class Session:
     journey_no: int = 1
     reason: str = "session_start"
     tolerance_ms: int = TOLERANCE_MS
-    buffer: int = 1000
+    buffer: int | None = None  # events held at most; not given: 1000, or as many as the longest journey has
 
     def _auth(self, e: tuple) -> bool:
         return e[2] == "action" and any(m in e[3].lower() for m in self.rules.auth_markers)
@@ -73,8 +74,8 @@ class Session:
         out = []
         if last is not None and e[0] >= last and (why := self.boundary(e)):
             out.append(self.close(why))
-        self.events = sorted([*self.events, e], key=lambda x: x[:2])
-        if len(self.events) > self.buffer:
+        bisect.insort(self.events, e, key=lambda x: x[:2])
+        if len(self.events) > (self.buffer or max(1000, self.rules.longest)):
             out.append(self.close("buffer_cap"))
         return out
 
