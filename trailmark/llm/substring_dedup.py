@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -220,7 +220,7 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
                 at = pa.array(at, pa.int64())
                 yield pa.RecordBatch.from_arrays([part.column(0).take(at), part.column(1).take(at), pa.array(first, pa.int32()), pa.array(h, pa.int64()), pa.array(single, pa.bool_()), pa.array(hot, pa.bool_()), pa.array(data, pa.binary())], names=schema_c.names)
 
-    near = near.mapInArrow(contexts, schema_c)
+    near = cut(near.mapInArrow(contexts, schema_c))  # texts are looked into once; the contexts are read for two ends
     schema_s = T.StructType([*who, *ints("first", "last")])
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -275,14 +275,14 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
         return rows.mapInArrow(blocks, schema_s)
 
     # Contexts of an anchor that has too many for a block are cut anew around finer anchors, counted, and met again. What
-    # even then has too many is counted window by window. It is all one plan: texts are shuffled once, for all of it.
+    # even then has too many is counted window by window. Counts by anchor are added up before they are joined, and what
+    # they are joined to is written first, so that the contexts of a hot anchor needn't meet in one task.
     last = (F.col("first") + F.octet_length("bytes") - length).alias("last")
-    fine = near.where("hot").mapInArrow(split, schema_f).withColumn("n", F.when(F.col("single"), 1).otherwise(2))
-    whole = fine.groupBy("h", "c").agg(F.sum("n").alias("in_c")).where("in_c > 1").select("h", "c")
-    spans = spans.union(fine.where("single").join(whole, ["h", "c"]).select("id", "tag", "first", last))
-    per_anchor = Window.partitionBy("h")
-    met = fine.groupBy("h", "c").agg(F.sum("n").alias("in_c"), F.min(F.struct("id", "tag", "first", "bytes")).alias("at")).withColumn("contexts", F.count("*").over(per_anchor)).where("contexts > 1")
-    met = met.select("at.id", "at.tag", "at.first", "h", (F.col("in_c") == 1).alias("single"), "at.bytes", (F.col("contexts") > bucket).alias("hot"))
+    fine = cut(near.where("hot").mapInArrow(split, schema_f).withColumn("n", F.when(F.col("single"), 1).otherwise(2)))
+    met = cut(fine.groupBy("h", "c").agg(F.sum("n").alias("in_c"), F.min(F.struct("id", "tag", "first", "bytes")).alias("at")))
+    spans = spans.union(fine.where("single").join(cut(met.where("in_c > 1").select("h", "c")), ["h", "c"]).select("id", "tag", "first", last))
+    sizes = cut(met.groupBy("h").agg(F.count("*").alias("contexts")).where("contexts > 1"))
+    met = met.join(sizes, "h").select("at.id", "at.tag", "at.first", "h", (F.col("in_c") == 1).alias("single"), "at.bytes", (F.col("contexts") > bucket).alias("hot"))
     spans = spans.union(in_blocks(near.where("not hot"))).union(in_blocks(met.where("not hot")))
     each = met.where("hot").select("id", "tag", "first", "h", "single", "bytes").mapInArrow(windows, T.StructType([*who, T.StructField("single", T.BooleanType()), *ints("first"), *longs("w")]))
     often = each.groupBy("w").agg(F.count("*").alias("n")).where("n > 1").select("w")
