@@ -140,7 +140,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 #: Thinned classes of a text's shingles: about so many shingles in each, so many classes; hashes in a sketch; seeds.
-PER_CLASS, CLASSES, SKETCH = 5, 12, 192
+PER_CLASS, CLASSES, SKETCH = 5, 16, 192
+#: Pairs whose sketches are that near to the limit (four deviations) are compared by their whole sets.
+NEAR = 0.12
 #: Rows of a group that are compared with each other by one task.
 BLOCK = 256
 
@@ -154,9 +156,10 @@ def _scramble(h: np.ndarray, seed: int) -> np.ndarray:
 def shingle_facts(text: str | None, shingle: int) -> tuple[int, int, list[int], bytes]:
     """SimHash, hash of the set of shingles, keys of thinned classes, and a bottom-k sketch of a text.
 
-    The shingles are dealt into K classes by hash, K a power of two near their number over ``PER_CLASS``; of 12 classes
-    (of several dealings, where there are fewer) the sets are hashed to keys. Texts at a similarity of 0.8 have one such
-    set in common almost surely. Around a change of K both values are used, so that similar texts share one.
+    The shingles are dealt into K classes by hash, K a power of two near their number over ``PER_CLASS``; of ``CLASSES``
+    classes (of several dealings, where there are fewer) the sets are hashed to keys. Two texts at a similarity of 0.8
+    share the set of a class with a probability of about 0.29, so they miss all sixteen in 1 of 200 cases, and at 0.85 in
+    1 of 5,000. Around a change of K both values are used, so that similar texts share one.
     """
     words = (text or "").encode().lower().split()
     joined = [b" ".join(words[i : i + shingle]) for i in range(max(1, len(words) - shingle + 1))] if words else []
@@ -180,9 +183,28 @@ def shingle_facts(text: str | None, shingle: int) -> tuple[int, int, list[int],
 
 def similarity(a: bytes, b: bytes) -> float:
     """Jaccard similarity of two shingle sets from their sketches: exact where they have up to ``SKETCH`` shingles together."""
+    return _similarity(a, b)[0]
+
+
+def _similarity(a: bytes, b: bytes) -> tuple[float, bool]:
+    """``similarity`` and whether it is exact."""
     x, y = np.frombuffer(a, dtype="<u4"), np.frombuffer(b, dtype="<u4")
-    union = np.union1d(x, y)[:SKETCH]
-    return float(np.isin(union, np.intersect1d(x, y)).sum() / len(union)) if len(union) else 1.0
+    union = np.union1d(x, y)
+    exact, union = len(union) <= SKETCH and len(x) < SKETCH and len(y) < SKETCH, union[:SKETCH]
+    return (float(np.isin(union, np.intersect1d(x, y)).sum() / len(union)) if len(union) else 1.0), exact
+
+
+def shingle_set(text: str | None, shingle: int) -> bytes:
+    """The sorted 64-bit hashes of a text's distinct shingles."""
+    words = (text or "").encode().lower().split()
+    joined = {b" ".join(words[i : i + shingle]) for i in range(max(1, len(words) - shingle + 1))} if words else ()
+    return np.sort(np.array([xxhash.xxh64_intdigest(s, 42) for s in joined], dtype="<u8")).tobytes()
+
+
+def _overlap(a: bytes, b: bytes) -> float:
+    x, y = np.frombuffer(a, dtype="<u8"), np.frombuffer(b, dtype="<u8")
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    return common / (len(x) + len(y) - common) if len(x) or len(y) else 1.0
 
 
 def _joined(table: pa.Table, least: float) -> pa.Table:
@@ -243,12 +265,15 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     """One row of ``docs`` for each class of near-duplicates, with all its columns: that of the smallest id.
 
     Linked are texts with a similarity of ``least`` or more of their sets of shingles. Candidates are texts whose SimHash
-    differs in ``radius`` bits at most (whatever links join, every pair that is still apart is compared too), and, as SimHash alone finds few of the pairs that are asked for (at a similarity
-    of 0.8 some ten bits differ), texts that share the set of a thinned class of shingles: each with the first and the
-    last text of that class and, where these don't join the class, with every text that is still apart. All are compared
-    by their sketches. Equal sets are one text from the start,
-    whatever their fingerprints. Null ids come
-    last; a tie is decided by position. Texts without words are one class. An empty table stays empty.
+    differs in ``radius`` bits at most (whatever links join, every pair that is still apart is compared too), and, as
+    SimHash alone finds few of the pairs that are asked for (at a similarity of 0.8 some ten bits differ), texts that
+    share the set of a thinned class of shingles: each with the first and the last text of that class and, where these
+    don't join the class, with every text that is still apart. The former are compared by their sketches and, near the
+    limit, by their whole sets; the latter by their sketches. Equal sets are one text from the start, whatever their
+    fingerprints.
+
+    Null ids come last; a tie is decided by position. Null and empty texts and those without words are one class.
+    Repeated rows are copies of each other. Columns may have any names. An empty table stays empty.
     """
     names, kinds = docs.columns, docs.schema
     docs = docs.toDF(*(f"c{i}" for i in range(len(names))))  # whatever the columns are called
@@ -284,11 +309,30 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     of = lambda name: sketches.select(F.col("node").alias(name), F.col("_sketch").alias(f"s_{name}"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pairs that are similar enough by their sketches (sure), or so near to the limit that the sketches can't tell."""
         for b in batches:
-            near = pa.array([similarity(x.as_py(), y.as_py()) >= least for x, y in zip(b.column(2), b.column(3))], pa.bool_())
-            yield b.select([0, 1]).filter(near)
+            found = [_similarity(x.as_py(), y.as_py()) for x, y in zip(b.column(2), b.column(3))]
+            sure = [v >= (least if exact else least + NEAR) for v, exact in found]
+            near = [not exact and abs(v - least) < NEAR for v, exact in found]
+            keep = pa.array([s or n for s, n in zip(sure, near)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sure, pa.bool_())], names=["a", "b", "sure"]).filter(keep)
 
-    alike = met.join(of("a"), "a").join(of("b"), "b").select("a", "b", "s_a", "s_b").mapInArrow(compare, "a long, b long")
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k in range(0, b.num_rows, 256):
+                part = b.slice(k, 256)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([shingle_set(t.as_py(), shingle) for t in part.column(1)], pa.binary())], names=["node", "held"])
+
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.select([0, 1]).filter(pa.array([_overlap(x.as_py(), y.as_py()) >= least for x, y in zip(b.column(2), b.column(3))], pa.bool_()))
+
+    rough = cut(met.join(of("a"), "a").join(of("b"), "b").select("a", "b", "s_a", "s_b").mapInArrow(compare, "a long, b long, sure boolean"))
+    unsure = rough.where("not sure").select("a", "b")
+    few = base.select(F.col("_at").alias("node"), text_col).join(unsure.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi")
+    sets = cut(few.mapInArrow(whole, "node long, held binary"))
+    held = lambda name: sets.select(F.col("node").alias(name), F.col("held").alias(f"h_{name}"))
+    alike = rough.where("sure").select("a", "b").union(unsure.join(held("a"), "a").join(held("b"), "b").select("a", "b", "h_a", "h_b").mapInArrow(decide, "a long, b long"))
     roots = cut(texts.select("node").join(components(alike), "node", "left").select("node", F.coalesce("root", "node").alias("root")))
 
     # classes, fingerprints and buckets of close ones whose links so far did not join all: every pair that is still apart
