@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, ogg, packing, quality_classifier, quality_rules, secrets, sharding, simhash, substring_dedup, url_filter
+from . import mixing, neighbours, ogg, packing, quality_classifier, quality_rules, secrets, sharding, simhash, substring_dedup, url_filter
 from ._shared import table
 
 SHARDS = 40
@@ -152,10 +152,18 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select(F.col("id").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+#: Which rows of the query ask, and how many neighbours they get.
+ASKS_EVERY, NEIGHBOURS = 20, 20
+
+
+def op12_collision_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), lambda i: i % ASKS_EVERY == 0, NEIGHBOURS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_simhash_near_dedup, op2_secret_scan, op3_quality_classifier, op4_url_filter, op5_kd_tree_shards, op6_quality_rules, op7_suffix_array_dedup, op8_soft_mixing,
-        op9_ogg_media, op10_best_fit_packing,
+        op9_ogg_media, op10_best_fit_packing, op12_collision_counting,
     )
 }
 
