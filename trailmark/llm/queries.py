@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, neighbours, ogg, packing, quality_classifier, quality_rules, secrets, sharding, simhash, substring_dedup, url_filter
+from . import conversation_trie, filter_audit, mixing, neighbours, ogg, packing, quality_classifier, quality_rules, secrets, sharding, simhash, substring_dedup, url_filter
 from ._shared import table
 
 SHARDS = 40
@@ -152,6 +152,46 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select(F.col("id").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = conversation_trie.numbered(table(spark, sf_dir, "conversations"))
+    found = conversation_trie.nodes(conversation_trie.rebuilt(turns, period=20, most=4))
+    return found.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
+OP11_SQL = r"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), c AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS source, xor(list_reduce(
+    list_concat([4294967295::BIGINT], list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+    lambda crc, b: list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, _: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)
+  ), 4294967295::BIGINT) % 4 AS h FROM (SELECT DISTINCT conv_id FROM t)
+), r AS (
+  SELECT c.conv_id, pos AS place, 0 AS own, role, text FROM c JOIN t ON t.conv_id = c.source AND pos < h
+  UNION ALL SELECT conv_id, pos, 1, role, text FROM c JOIN t USING (conv_id) WHERE pos >= h
+), q AS (
+  SELECT c.conv_id, coalesce(list({'role': role, 'text': text} ORDER BY own, place) FILTER (WHERE text IS NOT NULL), []) AS s FROM c LEFT JOIN r USING (conv_id) GROUP BY 1
+), p AS (
+  SELECT conv_id, d AS depth, s[:d] AS k, d = len(s) AS ended FROM (SELECT *, unnest(generate_series(0, len(s))) AS d FROM q)
+), n AS (
+  SELECT k, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ended), '')) AS ends_sha256,
+    (count(*) - 1) * len(regexp_extract_all(coalesce(k[depth].text, ''), '[^\x20\x09-\x0D]+')) AS saved FROM p GROUP BY k, depth
+), kids AS (
+  SELECT k[: depth - 1] AS k, depth - 1 AS depth, count(*) AS n FROM n WHERE depth > 0 GROUP BY ALL
+), below AS (
+  SELECT k[:d] AS k, d AS depth, sum(saved) AS saved, sum(leaf) AS leaves FROM (
+    SELECT n.k, saved, (kids.n IS NULL)::INT AS leaf, unnest(generate_series(0, n.depth)) AS d FROM n LEFT JOIN kids ON kids.k = n.k AND kids.depth = n.depth
+  ) GROUP BY ALL
+)
+SELECT n.conv_id, n.depth, up.conv_id AS parent_conv_id, n.n_convs, coalesce(kids.n, 0) AS n_children, leaves::BIGINT AS n_leaves, below.saved::BIGINT AS saved_tokens, n.ends_sha256
+FROM n JOIN below ON below.k = n.k AND below.depth = n.depth LEFT JOIN kids ON kids.k = n.k AND kids.depth = n.depth
+LEFT JOIN n up ON n.depth > 0 AND up.k = n.k[: n.depth - 1] AND up.depth = n.depth - 1
+"""
+
+
 #: Which rows of the query ask, and how many neighbours they get.
 ASKS_EVERY, NEIGHBOURS = 20, 20
 
@@ -160,11 +200,49 @@ def op12_collision_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), lambda i: i % ASKS_EVERY == 0, NEIGHBOURS)
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    filters = filter_audit.text_filters(F.coalesce("text", F.lit("")))
+    counted = filter_audit.cells(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), filters)
+    return filter_audit.audit(counted, "ABCDE")
+
+
+_A = filter_audit
+OP13_SQL = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS w FROM documents
+), f AS (
+  SELECT part, coalesce(l.good, 0) AS good, coalesce(l.toxic, 0) AS toxic,
+    (len(w) < {_A.MIN_WORDS})::INT + 2 * (100 * len(list_distinct(w)) < {_A.DISTINCT_PERCENT} * len(w))::INT
+    + 4 * (100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > {_A.UPPER_PERCENT} * length(t))::INT
+    + 8 * regexp_matches(t, '{_A.SYMBOLS}')::INT + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)::INT AS mask
+  FROM d LEFT JOIN (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id) l USING (doc_id)
+), cells AS (
+  SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY ALL
+), letters(letter, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+orders(o) AS (SELECT '' UNION ALL SELECT o || letter FROM orders JOIN letters ON NOT contains(o, letter)),
+prefixes AS (
+  SELECT o, letter, bit, (SELECT coalesce(sum(bit), 0) FROM letters WHERE contains(o[: length(o) - 1], letter))::BIGINT AS before
+  FROM orders JOIN letters ON letter = o[-1] WHERE o <> ''
+), m AS (
+  SELECT part, o, letter, sum(CASE WHEN mask & (before + bit) = 0 THEN n ELSE 0 END) AS kept, sum(CASE WHEN mask & before = 0 AND mask & bit > 0 THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN mask & before > 0 AND mask & bit > 0 THEN n ELSE 0 END) AS redundant, sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN mask & before = 0 AND mask & bit > 0 THEN good ELSE 0 END) AS good_lost, sum(CASE WHEN mask & before = 0 AND mask & bit > 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM cells, prefixes GROUP BY ALL
+), s AS (
+  SELECT m.part, f.o AS filter_order, length(m.o) AS step, letter, kept, removed, redundant, unique_fails, good_lost, toxic_lost
+  FROM m JOIN orders f ON length(f.o) = 5 AND starts_with(f.o, m.o)
+)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails,
+  good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley FROM s
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_simhash_near_dedup, op2_secret_scan, op3_quality_classifier, op4_url_filter, op5_kd_tree_shards, op6_quality_rules, op7_suffix_array_dedup, op8_soft_mixing,
-        op9_ogg_media, op10_best_fit_packing, op12_collision_counting,
+        op9_ogg_media, op10_best_fit_packing, op11_conversation_trie, op12_collision_counting, op13_filter_audit,
     )
 }
 
-ORACLES: dict[str, str] = {"op4_url_filter": OP4_SQL, "op6_quality_rules": OP6_SQL}
+ORACLES: dict[str, str] = {"op4_url_filter": OP4_SQL, "op6_quality_rules": OP6_SQL, "op11_conversation_trie": OP11_SQL, "op13_filter_audit": OP13_SQL}
