@@ -8,9 +8,10 @@ the radius lies in a window with the known probability of a Gaussian, so the bin
 ``MISS`` at the radius itself, and by less inside it. A query stops once it has verified enough points within the radius.
 
 Equal vectors are one point with the ids of its first members, so copies cost nothing and never crowd a block. Blocks are
-cells around sampled pivots, dealt further by hash where a cell is large. Each query searches its own block first; its
-worst kept distance is the radius for all other blocks, save those of cells whose ranges of projections the windows meet
-too seldom to reach the threshold.
+cells around sampled pivots, dealt further by hash where a cell is large. Each query searches its own block first, then
+the blocks that follow in rounds, each ``WIDER`` times as many as before. Its worst kept distance is the radius of the
+next round, so each round gains a few lists a query; blocks of cells whose ranges of projections the windows meet too
+seldom to reach the threshold are left out.
 """
 
 from __future__ import annotations
@@ -27,8 +28,8 @@ from pyspark.sql import functions as F
 from ._shared import cut
 
 PROJECTIONS, HALF_WIDTH, MISS = 48, 1.0, 0.02
-#: Points a block, queries a task, cells, and queries searched at once; all bound memory, not results.
-BLOCK, QUERIES, CELLS, BATCH = 4096, 16384, 256, 256
+#: Points a block, queries a task, cells, queries searched at once, growth of a round; they bound memory, not results.
+BLOCK, QUERIES, CELLS, BATCH, WIDER = 4096, 16384, 256, 256, 4
 #: Radii on the unit sphere (its points are at most 2 apart), then all points.
 RADII = (*(2.0**i for i in range(-5, 2)), math.inf)
 SEED = 20
@@ -221,52 +222,70 @@ def nearest(vectors: DataFrame, wanted, k: int, id: str = "vec_id", vector: str
         block = _block(table, dimensions, longest)
         asks = table.filter(table.column("asks"))
         found = block.search(_matrix(asks.column("v"), dimensions), most, RADII)
-        return pa.table({
-            "point": asks.column("point"), "v": asks.column("v"), "block": asks.column("block"), "worst": pa.array([f[2] for f in found], pa.float64()),
-            "ids": pa.array([f[0] for f in found], pa.list_(pa.int64())), "scores": pa.array([f[1] for f in found], pa.list_(pa.float64())),
-        })
-
-    shape = "point long, v array<double>, block long, worst double, ids array<long>, scores array<double>"
-    home = cut(in_blocks.groupBy("block").applyInArrow(at_home, shape))
-    need = threshold()
-
-    def elsewhere(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            at = asked(_matrix(pa.chunked_array([b.column("v")]), dimensions)) @ lines(dimensions).T
-            reach = b.column("worst").to_numpy()[:, None] * HALF_WIDTH
-            own, out = b.column("block").to_numpy(), [[], []]
-            for c in range(cells):
-                met = ((at - reach <= high[c]) & (at + reach >= low[c])).sum(axis=1) >= need
-                for block in range(first[c], first[c + 1]):
-                    rows_ = np.flatnonzero(met & (own != block))
-                    out[0].append(rows_)
-                    out[1].append(np.full(len(rows_), block))
-            rows_ = np.concatenate(out[0])
-            yield pa.RecordBatch.from_arrays([*(b.column(c).take(pa.array(rows_)) for c in ("point", "v", "worst")), pa.array(np.concatenate(out[1]), pa.int64())], ["point", "v", "worst", "block"])
-
-    chunks = -(-home.count() // QUERIES)
-    going = home.select("point", "v", "worst", "block").mapInArrow(elsewhere, "point long, v array<double>, worst double, block long")
-    going = going.withColumn("chunk", F.pmod(F.xxhash64("point"), F.lit(max(1, chunks))).cast("long"))
-    dealt = in_blocks.select("block", "point", "v", "ids", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max(1, chunks) - 1).cast("long"))).alias("chunk"))
+        lists = {"ids": pa.array([f[0] for f in found], pa.list_(pa.int64())), "scores": pa.array([f[1] for f in found], pa.list_(pa.float64()))}
+        return pa.table({c: asks.column(c) for c in ("point", "v", "block")} | lists)
+
+    need, total = threshold(), int(first[-1])
+
+    def visits(since: int, until: int):
+        """Which of the blocks that follow a query's own, from number ``since`` on to before ``until``, it can gain from."""
+
+        def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                at = asked(_matrix(pa.chunked_array([b.column("v")]), dimensions)) @ lines(dimensions).T
+                reach = b.column("worst").to_numpy()[:, None] * HALF_WIDTH
+                own, picked = b.column("block").to_numpy(), []
+                for c in range(cells):
+                    met = ((at - reach <= high[c]) & (at + reach >= low[c])).sum(axis=1) >= need
+                    for block in range(first[c], first[c + 1]):
+                        after = (block - own) % total
+                        rows_ = np.flatnonzero(met & (after >= since) & (after < until))
+                        picked.append((rows_, np.full(len(rows_), block)))
+                rows_, to = (np.concatenate(x) for x in zip(*picked))
+                columns = [b.column(c).take(pa.array(rows_)) for c in ("point", "v", "worst", "least")]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(to, pa.int64())], ["point", "v", "worst", "least", "block"])
+
+        return rows_of
 
     def away(stored: pa.Table, queries_: pa.Table) -> pa.Table:
         if not len(stored):
             queries_ = queries_.slice(0, 0)
-        found = []
+        found, points_ = [], queries_.column("point").to_pylist()
         if len(queries_):
             radii = queries_.column("worst").to_numpy() * (1 + 1e-9)
-            found = _block(stored, dimensions, longest).search(_matrix(queries_.column("v"), dimensions), most, radii)
+            searched = _block(stored, dimensions, longest).search(_matrix(queries_.column("v"), dimensions), most, radii)
+            better = [scores >= least for (_, scores, _), least in zip(searched, queries_.column("least").to_numpy())]
+            found = [(p, f[0][b], f[1][b]) for p, f, b in zip(points_, searched, better) if b.any()]
         return pa.table({
-            "point": queries_.column("point").cast(pa.int64()), "ids": pa.array([f[0] for f in found], pa.list_(pa.int64())), "scores": pa.array([f[1] for f in found], pa.list_(pa.float64())),
+            "point": pa.array([f[0] for f in found], pa.int64()), "ids": pa.array([f[1] for f in found], pa.list_(pa.int64())),
+            "scores": pa.array([f[2] for f in found], pa.list_(pa.float64())),
         })
 
-    keys = ["block", "chunk"]
-    others = dealt.groupBy(*keys).cogroup(going.groupBy(*keys)).applyInArrow(away, "point long, ids array<long>, scores array<double>")
-    all_ = home.select("point", "ids", "scores").union(others.where(F.size("ids") > 0))
-    ranks = Window.partitionBy("point").orderBy(F.col("score").desc(), "vec_id")
-    best = all_.select("point", F.explode(F.arrays_zip("ids", "scores")).alias("x")).select("point", F.col("x.ids").alias("vec_id"), F.col("x.scores").alias("score"))
-    best = best.withColumn("n", F.row_number().over(ranks)).where(F.col("n") <= most)
-    lists = best.groupBy("point").agg(F.array_sort(F.collect_list(F.struct("n", "vec_id", "score"))).alias("list"))
-    kept = F.slice(F.filter("list", lambda x: x["vec_id"] != F.col("query_id")), 1, k)
+    def merged(rows_: DataFrame) -> DataFrame:
+        """One row a point: the ``most`` best of its lists, the last one's score and distance once there are so many."""
+        pairs = F.transform(F.arrays_zip("ids", "scores"), lambda x: F.struct((-x["scores"]).alias("minus"), x["ids"].alias("id")))
+        best = F.slice(F.array_sort(F.flatten(F.collect_list(pairs))), 1, most)
+        out = rows_.groupBy("point").agg(F.max("v").alias("v"), F.max("block").alias("block"), best.alias("best"))
+        scale = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + (x / top) * (x / top))) * top * longest
+        full, last = F.size("best") >= most, -F.element_at("best", -1)["minus"]
+        worst = F.when(full, F.sqrt(F.greatest(F.lit(0.0), 2.0 - 2.0 * last / scale))).otherwise(float("inf"))
+        ids, scores = F.transform("best", lambda x: x["id"]), F.transform("best", lambda x: -x["minus"])
+        return out.select("point", "v", "block", worst.alias("worst"), F.when(full, last).otherwise(float("-inf")).alias("least"), ids.alias("ids"), scores.alias("scores"))
+
+    own = in_blocks.groupBy("block").applyInArrow(at_home, "point long, v array<double>, block long, ids array<long>, scores array<double>")
+    now = cut(merged(own))
+    chunks = max(1, -(-now.count() // QUERIES))
+    each = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long")))
+    dealt = in_blocks.select("block", "point", "v", "ids", each.alias("chunk"))
+    keys, since = ["block", "chunk"], 1
+    while since < total:
+        until = since * WIDER
+        going = now.mapInArrow(visits(since, until), "point long, v array<double>, worst double, least double, block long")
+        going = going.withColumn("chunk", F.pmod(F.xxhash64("point"), F.lit(chunks)).cast("long"))
+        gained = dealt.groupBy(*keys).cogroup(going.groupBy(*keys)).applyInArrow(away, "point long, ids array<long>, scores array<double>")
+        now = cut(merged(now.select("point", "v", "block", "ids", "scores").unionByName(gained, allowMissingColumns=True)))
+        since = until
+    lists = now.select("point", F.arrays_zip("ids", "scores").alias("list"))
+    kept = F.slice(F.filter("list", lambda x: x["ids"] != F.col("query_id")), 1, k)
     ranked = members.join(lists, "point").select("query_id", F.posexplode(kept).alias("p", "x"))
-    return ranked.select("query_id", (F.col("p") + 1).cast("int").alias("rank"), F.col("x.vec_id").alias("vec_id"), F.col("x.score").alias("score"))
+    return ranked.select("query_id", (F.col("p") + 1).cast("int").alias("rank"), F.col("x.ids").alias("vec_id"), F.col("x.scores").alias("score"))
