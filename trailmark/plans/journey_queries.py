@@ -12,6 +12,8 @@ from ..operators import journeys as J
 from ..streaming import journey_stream
 from .registry import query, table, work_folder
 
+#: Triggers that the event table is read in as a stream.
+TRIGGERS = 3
 #: The table's users pause for hours, so journeys end after half a day.
 RULES = SegmentRules(idle_seconds=43200.0, roots=("k0",), auth_markers=("signup",))
 CLEAN = CleanRules(cycles=False, drop_chrome=False, drop_boot=False)
@@ -220,16 +222,24 @@ def client_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", F.unix_millis(N.client_time(millis)).alias("from_millis"), F.unix_millis(N.client_time_by_shape(secs)).alias("from_seconds"))
 
 
-@query(f"""WITH RECURSIVE {SEGMENT_SQL}, z AS (SELECT platform, session_id, journey_no, count(*) AS n_events, max(CASE WHEN journey_pos = 0 THEN boundary_reason END) AS start_reason, epoch_us(max(ts)) // 1000 AS end_ms
-FROM seg JOIN events USING (event_id) GROUP BY platform, session_id, journey_no), l AS (SELECT *, max(journey_no) OVER (PARTITION BY platform, session_id) AS newest FROM z), w AS (SELECT epoch_us(max(ts)) // 1000 - 2000 AS mark FROM events)
-SELECT platform, session_id, journey_no, n_events, start_reason FROM l, w WHERE journey_no < newest OR end_ms + 43200001 < mark""")
+@query(f"""WITH RECURSIVE {SEGMENT_SQL}, z AS (
+  SELECT platform, session_id, journey_no, count(*) AS n_events, max(CASE WHEN journey_pos = 0 THEN boundary_reason END) AS start_reason, epoch_us(max(ts)) // 1000 AS end_ms
+  FROM seg JOIN events USING (event_id) GROUP BY platform, session_id, journey_no
+), l AS (SELECT *, max(journey_no) OVER (PARTITION BY platform, session_id) AS newest FROM z), w AS (SELECT epoch_us(max(ts)) // 1000 - 2000 AS mark FROM events)
+SELECT platform, session_id, journey_no, n_events, start_reason, CASE WHEN journey_no < newest OR end_ms + 43200001 <= mark THEN 'closed' ELSE 'open' END AS state FROM l, w""")
 def stream_journeys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The event table as a stream: journeys that are closed by a boundary, or by the time that has passed since."""
-    schema = table(spark, sf_dir, "events").schema
-    raw = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    events = E.from_event_table(raw, gaps=False)
-    closed = journey_stream.closed_journeys(events, work_folder(spark), RULES)
-    return closed.where("kind = 'journey'").select("platform", "session_id", "journey_no", "n_events", "start_reason")
+    """The event table as a stream of ``TRIGGERS`` triggers in the order of time: journeys closed by then, and the open tails."""
+    whole, folder = table(spark, sf_dir, "events"), work_folder(spark)
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    first, last = whole.agg(F.min(micros), F.max(micros)).first()
+    at = F.floor((micros - first) * TRIGGERS / max(1, last - first + 1))
+    for i in range(TRIGGERS):  # files that are written one after the other are read so
+        whole.where(at == i).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    raw = spark.readStream.schema(whole.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    closed = journey_stream.closed_journeys(E.from_event_table(raw, gaps=False), folder, RULES).where("kind = 'journey'")
+    tails = journey_stream.open_tails(spark, folder)
+    columns = ["platform", "session_id", "journey_no", F.col("n_events").cast("long").alias("n_events"), "start_reason"]
+    return closed.select(*columns, F.lit("closed").alias("state")).union(tails.select(*columns, F.lit("open").alias("state")))
 
 
 @query(f"""WITH RECURSIVE {ROLLUP_SQL} SELECT platform, n_events_final >= 3 AS model_eligible, count(*) AS journeys FROM r GROUP BY ALL""")

@@ -1,18 +1,25 @@
-"""Journeys out of an unbounded stream: per-session state, late events, idle timeouts, fixed durations.
+"""Journeys out of an unbounded stream, by typed per-session state with event-time timers; fixed windows beside them.
 
-One session's state is its open journey, so it is bounded by the rules' length cap. A journey closes at the same
-boundaries as in batch; a session that stays idle is closed by an event-time timeout.
+A session's state is its open journey, bounded by the rules' length cap, and a head: the number of that journey and why
+it began. A journey closes at the same boundaries as in batch; a timer closes one that stays idle. The head outlives it
+by ``remember_seconds``, so that journeys of one session are numbered on across silences, as they are in batch; after
+that a second timer forgets the session. Control rows flush or reset a session at their place in time. Open tails can be
+read from a stream's checkpoint as a table, and control rows for all of them made from it.
+
+Needs Spark's RocksDB state store, which the starting functions here set for their own query.
 """
 
 from __future__ import annotations
 
 import bisect
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..contracts import STREAM, SegmentRules
 
@@ -23,7 +30,10 @@ OUTPUT = (
     "platform string, session_id string, kind string, journey_no long, start_reason string, close_reason string, n_events int, start_ms long, end_ms long, "
     "tokens array<string>, error string"
 )
-_STATE = "ms array<long>, number array<long>, type array<string>, name array<string>, journey_no long, reason string"
+_EVENT, _HEAD = "ms long, number long, kind string, name string", "journey_no long, reason string"
+#: The event type of control rows; their segment_name says what to do.
+CONTROL, FLUSH, RESET = "control", "flush", "reset"
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 @dataclass
@@ -60,7 +70,10 @@ class Session:
         for _, _, kind, name in self.events:
             screen = name if kind == "view" else screen
             tokens.append(f"view@{name}" if kind == "view" else f"{kind}@{screen or '<missing>'}#{name}")
-        row = {"kind": "journey", "journey_no": self.journey_no, "start_reason": self.reason, "close_reason": reason, "n_events": len(tokens), "start_ms": self.events[0][0], "end_ms": self.events[-1][0], "tokens": tokens, "error": None}
+        row = {
+            "kind": "journey", "journey_no": self.journey_no, "start_reason": self.reason, "close_reason": reason, "n_events": len(tokens),
+            "start_ms": self.events[0][0], "end_ms": self.events[-1][0], "tokens": tokens, "error": None,
+        }
         self.events, self.journey_no, self.reason = [], self.journey_no + 1, reason
         return row
 
@@ -89,51 +102,168 @@ def error(code: str) -> dict:
     return {"kind": "error", "journey_no": None, "start_reason": None, "close_reason": None, "n_events": None, "start_ms": None, "end_ms": None, "tokens": None, "error": code}
 
 
-def journeys(events: DataFrame, rules: SegmentRules = SegmentRules(), late_seconds: int = 2, provisional: bool = False) -> DataFrame:
+def _ms(t) -> int | None:
+    return None if pd.isna(t) else t.value // 1_000_000
+
+
+class JourneyProcessor(StatefulProcessor):
+    """One session: its open journey as a list, its head as a value, one timer at a time."""
+
+    def __init__(self, rules: SegmentRules, remember_seconds: float, provisional: bool) -> None:
+        self.rules, self.remember_ms, self.provisional = rules, int(remember_seconds * 1000), provisional
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.open = handle.getListState("open", _EVENT)
+        self.head = handle.getValueState("head", _HEAD)
+
+    def _session(self) -> Session:
+        head = self.head.get() if self.head.exists() else (1, "session_start")
+        return Session(self.rules, [tuple(e) for e in self.open.get()] if self.open.exists() else [], head[0], head[1])
+
+    def _keep(self, s: Session, now_ms: int) -> None:
+        self.head.update((s.journey_no, s.reason))
+        self.open.put(s.events) if s.events else self.open.clear()
+        last = s.events[-1][0] + int(self.rules.idle_seconds * 1000) + 1 if s.events else now_ms + self.remember_ms
+        for t in list(self.handle.listTimers()):
+            self.handle.deleteTimer(t)
+        self.handle.registerTimer(max(last, now_ms + 1))
+
+    def _forget(self) -> None:
+        self.open.clear()
+        self.head.clear()
+        for t in list(self.handle.listTimers()):
+            self.handle.deleteTimer(t)
+
+    def _rows(self, key: tuple, rows: list[dict | None]) -> Iterator[pd.DataFrame]:
+        yield pd.DataFrame([dict(zip(STREAM, key)) | r for r in rows if r], columns=[f.split()[0] for f in OUTPUT.split(", ")])
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        arrived = pd.concat(list(rows)).sort_values(["event_time", "source_row_number"], kind="stable")  # rows of one trigger have no order of arrival
+        if not (key[1] or "").strip():
+            yield from self._rows(key, [error("missing_session_id")] * len(arrived))
+            return
+        s, out, known = self._session(), [], True
+        for t, n, kind, name in zip(arrived["event_time"], arrived["source_row_number"], arrived["event_type"], arrived["segment_name"]):
+            if kind == CONTROL and name == RESET:
+                s, known = Session(self.rules), False
+            elif kind == CONTROL:
+                out.append(s.close(FLUSH))
+            else:
+                out += s.append((_ms(t), 0 if pd.isna(n) else int(n), kind, name))
+            known = known or bool(s.events)
+        if self.provisional and s.events:
+            out.append(s.snapshot(self.rules.shortest))
+        if known:
+            self._keep(s, timerValues.getCurrentWatermarkInMs())
+        else:
+            self._forget()
+        yield from self._rows(key, out)
+
+    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        s = self._session()
+        row = s.close("idle_timeout")
+        if row:
+            s.reason = "idle_gap"  # what the next event will find in batch
+            self._keep(s, max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs()))
+        else:
+            self._forget()
+        yield from self._rows(key, [row])
+
+
+def journeys(events: DataFrame, rules: SegmentRules = SegmentRules(), late_seconds: int = 2, provisional: bool = False, remember_seconds: float = 7 * 86400.0) -> DataFrame:
     """A stream of canonical events as a stream of closed journeys (and error rows; with ``provisional`` also open ones).
 
-    Sessions without an id come out as errors of the session ````. ``events`` need platform, session_id, event_time,
-    event_type, segment_name and source_row_number.
+    Rows without a session id come out as errors. ``events`` need platform, session_id, event_time, event_type,
+    segment_name and source_row_number; rows of the event type ``CONTROL`` flush or reset their session. Events behind the
+    watermark are dropped by Spark, events too far behind their own session come out as errors. A table works as well as
+    a stream; all its events are then one trigger.
     """
-    columns = [f.split()[0] for f in OUTPUT.split(", ")]
-
-    def advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        saved = state.getOption
-        s = Session(rules, list(zip(*saved[:4])), saved[4], saved[5]) if saved else Session(rules)
-        rows = []
-        if state.hasTimedOut:
-            rows.append(s.close("idle_timeout"))
-            state.remove()
-        else:
-            arrived = pd.concat(list(batches)).sort_values(["event_time", "source_row_number"])  # rows of one trigger have no order of arrival
-            for t, n, kind, name in zip(arrived["event_time"], arrived["source_row_number"], arrived["event_type"], arrived["segment_name"]):
-                rows += s.append((None if pd.isna(t) else t.value // 1_000_000, int(n), kind, name)) if (key[1] or "").strip() else [error("missing_session_id")]
-            if provisional and s.events:
-                rows.append(s.snapshot(rules.shortest))
-            ms, number, kinds, names = map(list, zip(*s.events)) if s.events else ([], [], [], [])
-            state.update((ms, number, kinds, names, s.journey_no, s.reason))
-            if ms:
-                state.setTimeoutTimestamp(max(ms[-1] + int(rules.idle_seconds * 1000) + 1, state.getCurrentWatermarkMs() + 1))
-        rows = [dict(zip(STREAM, key)) | r for r in rows if r]
-        yield pd.DataFrame(rows, columns=columns)
-
-    marked = events.withWatermark("event_time", f"{late_seconds} seconds")
-    return marked.groupBy(*STREAM).applyInPandasWithState(advance, OUTPUT, _STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    marked = events.select(*STREAM, "event_time", "event_type", "segment_name", "source_row_number").withWatermark("event_time", f"{late_seconds} seconds")
+    return marked.groupBy(*STREAM).transformWithStateInPandas(JourneyProcessor(rules, remember_seconds, provisional), OUTPUT, "append", "EventTime")
+
+
+WINDOWS = "platform string, session_id string, window_index long, start_ms long, end_ms long, n_events long, n_arrived long"
+
+
+class WindowProcessor(StatefulProcessor):
+    """Windows of one session: each starts at an event and ends at the first event of a given time later, which starts the next."""
+
+    def __init__(self, seconds: float) -> None:
+        self.ms = int(seconds * 1000)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.window = handle.getValueState("window", "window_index long, start_ms long, n_events long, n_arrived long")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        arrived = pd.concat(list(rows)).sort_values(["event_time", "source_row_number"], kind="stable")
+        index, start, n, since = self.window.get() if self.window.exists() else (1, None, 0, 0)
+        out = []
+        for t in map(_ms, arrived["event_time"]):
+            if t is None or t <= 0:
+                continue
+            start = t if start is None else start
+            if t - start >= self.ms:
+                out.append((*key, index, start, t, n, since + 1))
+                index, start, n, since = index + 1, t, 1, 0
+            else:
+                n, since = n + 1, since + 1
+        if start is not None:
+            self.window.update((index, start, n, since))
+        yield pd.DataFrame(out, columns=[f.split()[0] for f in WINDOWS.split(", ")])
+
+
+def fixed_durations(events: DataFrame, seconds: float = 30.0) -> DataFrame:
+    """A stream (or table) of canonical events as its closed windows of ``seconds``, by session and driven by the data.
+
+    ``n_events`` counts from the window's first event on, ``n_arrived`` what has come since the window before was given
+    out, the closing event included. Events without a time are passed over.
+    """
+    rows = events.select(*STREAM, "event_time", "source_row_number")
+    return rows.groupBy(*STREAM).transformWithStateInPandas(WindowProcessor(seconds), WINDOWS, "append", "None")
+
+
+@contextmanager
+def rocks(spark: SparkSession):
+    """Queries that start inside keep their state in RocksDB, as typed state needs; the session's setting comes back after."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    was = spark.conf.get(key)
+    spark.conf.set(key, ROCKS)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, was)
+
+
+def finished(rows: DataFrame, folder: str, schema: str = OUTPUT) -> DataFrame:
+    """Runs a stream over all that its source holds now, into Parquet below ``folder``, and reads what it has written."""
+    out = f"{folder}/rows"
+    with rocks(rows.sparkSession):
+        writer = rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{folder}/state")
+        writer.outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    return rows.sparkSession.read.schema(schema).parquet(out)
 
 
 def closed_journeys(events: DataFrame, folder: str, rules: SegmentRules = SegmentRules()) -> DataFrame:
-    """Runs ``journeys`` over all that a stream holds now, into Parquet below ``folder``, and reads the result."""
-    out = f"{folder}/journeys"
-    query = journeys(events, rules).writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{folder}/state").outputMode("append").trigger(availableNow=True).start()
-    query.awaitTermination()
-    return events.sparkSession.read.schema(OUTPUT).parquet(out)
-
-
-def fixed_durations(events: list[tuple[int, str]], seconds: float = 30.0) -> list[list[tuple[int, str]]]:
-    """Windows that start at their first event and end before the first event ``seconds`` or more later."""
-    out: list[list[tuple[int, str]]] = []
-    for e in events:
-        if not out or e[0] - out[-1][0][0] >= seconds * 1000:
-            out.append([])
-        out[-1].append(e)
-    return out
+    """Runs ``journeys`` over all that a stream holds now, with its state below ``folder``, and reads the result."""
+    return finished(journeys(events, rules), folder)
+
+
+def open_tails(spark: SparkSession, folder: str, operator: int = 0) -> DataFrame:
+    """(platform, session_id, journey_no, start_reason, n_events, start_ms, end_ms) of the journeys that a stream left open.
+
+    Read from the state below ``folder`` by Spark's reader of state, partition by partition; the stream may be stopped.
+    """
+    read = lambda name: spark.read.format("statestore").option("path", f"{folder}/state").option("operatorId", operator).option("stateVarName", name)
+    key = [F.col(f"key.{c}").alias(c) for c in STREAM]
+    events = read("open").option("flattenCollectionTypes", True).load().select(*key, "list_element.*")
+    tails = events.groupBy(*STREAM).agg(F.count("*").alias("n_events"), F.min("ms").alias("start_ms"), F.max("ms").alias("end_ms"))
+    heads = read("head").load().select(*key, F.col("value.journey_no").alias("journey_no"), F.col("value.reason").alias("start_reason"))
+    return heads.join(tails, list(STREAM)).select(*STREAM, "journey_no", "start_reason", "n_events", "start_ms", "end_ms")
+
+
+def flush_rows(tails: DataFrame, action: str = FLUSH) -> DataFrame:
+    """A control row for each session of ``open_tails``, after its last event: put into the stream it flushes (or resets) all."""
+    return tails.select(
+        *STREAM, F.timestamp_millis("end_ms").alias("event_time"), F.lit(CONTROL).alias("event_type"), F.lit(action).alias("segment_name"), F.lit(2**62).alias("source_row_number"),
+    )
