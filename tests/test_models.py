@@ -101,18 +101,34 @@ T = semantics.Taxonomy(
 )
 
 
+def test_automaton_finds_every_phrase():
+    rnd = random.Random(3)
+    phrases = {" ".join(rnd.choices("abc", k=rnd.randint(1, 4))) for _ in range(60)}
+    t = semantics.Taxonomy(strong={p: (p, "m") for p in phrases})
+    m = semantics.Matcher(t)
+    for _ in range(200):
+        words = tuple(rnd.choices("abcd", k=rnd.randint(0, 12)))
+        want = sorted((" ".join(words[a:b]), b - a, b) for b in range(len(words) + 1) for a in range(b) if " ".join(words[a:b]) in phrases)
+        assert sorted((h[3], h[4], h[5]) for h in m.hits(words)) == want
+
+
 def test_words_and_labels(spark):
     for path in ("manage_modem", "ManageModemVC", "manage/modem", "hi.example/manage_modem?x=1"):
         assert semantics.words_of(path, T)[-2:] == ("manage", "modem")
     assert semantics.words_of("action_wifi_5GHz", T) == ("action", "wifi", "5ghz")
     assert semantics.words_of("a/{id}/v920/12345", T) == ("a",)
     assert all(semantics.words_of(p, T) == () for p in ("<missing>", "", None, "nan"))
-    view = semantics.label("view", "ManageModemVC", None, T)
-    assert view[:5] == ("internet", "modem", "modem", "manage", "configure")
-    assert semantics.label("action", "ManageModemVC", "btn_back", T)[:5] == ("internet", "modem", "modem", "back", "abort")
-    assert semantics.label("action", "HomeVC", "Home/Nav_payement", T)[:2] == ("payment", "general")
-    assert semantics.label("action", "<missing>", "zzz_unmapped", T) == ("unknown",) * 5 + (0.0, "")
-    assert semantics.label("view", "<missing>", None, T)[0] == "unknown"
+    asked = [("view", "ManageModemVC", None), ("action", "ManageModemVC", "btn_back"), ("action", "HomeVC", "Home/Nav_payement"), ("action", "<missing>", "zzz_unmapped"), ("view", "<missing>", None), ("view", "btn/12345", None), (None, "modem", "x")]
+    rows = spark.createDataFrame(asked, "event_type string, screen_context string, segment_name string")
+    got = {tuple(r)[:3]: tuple(r)[3:] for r in semantics.annotate(rows, T).collect()}
+    modem = "family=internet<-{0}:modem;module=modem<-{0}:modem;object=modem<-{0}:modem".format("screen")
+    assert got[asked[0]] == ("internet", "modem", "modem", "manage", "configure", 1.0, f"{modem};operation=manage<-screen:manage")
+    around = "family=internet<-context:screen_context;module=modem<-context:screen_context;object=modem<-context:screen_context"
+    assert got[asked[1]] == ("internet", "modem", "modem", "back", "abort", 0.55, f"{around};operation=back<-target:back")
+    assert got[asked[2]] == ("payment", "general", "unknown", "unknown", "unknown", 0.45, "family=payment<-target:payment;module=general<-target:payment")
+    assert got[asked[3]] == got[asked[4]] == ("unknown",) * 5 + (0.0, "")
+    assert got[asked[5]] == ("chrome", "container", "unknown", "view", "entry", 0.5, "family=chrome<-screen:container_only;module=container<-screen:container_only;operation=view<-screen:event_type")
+    assert got[asked[6]][:5] == ("internet", "modem", "modem", "unknown", "unknown")
     assert T.problems() == [] and semantics.Taxonomy(strong={"screen x": ("a", "b")}, infrastructure=frozenset({"screen"})).problems()
     rows = spark.createDataFrame([("view", "ManageModemVC", "x"), ("view", None, None), ("action", "ManageModemVC", "btn_back")] * 3, "event_type string, screen_context string, segment_name string")
     assert semantics.annotate(rows, T).count() == 9

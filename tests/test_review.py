@@ -41,8 +41,10 @@ def test_taxonomy_from_a_table(spark):
     rows = [("strong", "payment_method", "payment", "method"), ("strong", "payment", "payment", None), ("weak", "home", "home", None), ("object", "card", "card", None), ("operation", "pay", "pay", None),
             ("operation", "choose", "select", None), ("alias", "payement", "payment", None), ("alias", "go to", "goto", None), ("infrastructure", "screen", None, None), ("generic", "back", None, None)]
     t = semantics.Taxonomy.from_rows(spark.createDataFrame(rows, "section string, phrase string, value string, module string"))
-    assert semantics.label("view", "android/home/payementMethod/cardScreen", None, t)[:5] == ("payment", "method", "card", "view", "entry")
-    assert semantics.label("action", "payment", "btn/back", t)[:2] == ("payment", "general") and semantics.label("action", "home", "choose_card", t)[3:5] == ("select", "browse")
+    asked = [("view", "android/home/payementMethod/cardScreen", None), ("action", "payment", "btn/back"), ("action", "home", "choose_card")]
+    got = {tuple(r)[:3]: tuple(r)[3:] for r in semantics.annotate(spark.createDataFrame(asked, "event_type string, screen_context string, segment_name string"), t).collect()}
+    assert got[asked[0]][:5] == ("payment", "method", "card", "view", "entry")
+    assert got[asked[1]][:2] == ("payment", "general") and got[asked[2]][3:5] == ("select", "browse")
     for bad in (("strong", "payment", "other", None), ("weak", "payment", "home", None), ("object", "screen", "screen", None), ("alias", "x", "payement", None), ("alias", "y", "y", None), ("operation", "fly", "fly", None)):
         with pytest.raises(ValueError):
             semantics.Taxonomy.from_rows(spark.createDataFrame([*rows, bad], "section string, phrase string, value string, module string"))
