@@ -1,16 +1,18 @@
 """Nearest neighbours by largest inner product: collision counting over sorted projections.
 
-Vectors are put on the unit sphere: a stored vector x becomes (x / M, sqrt(1 - |x|^2 / M^2)) with M the longest length, a
-query q becomes (q / |q|, 0), so that the nearest point is the one of the largest inner product. Each block of vectors
+Vectors are put on the unit sphere: a stored vector x becomes (x / M, sqrt(1 - |x|^2 / M^2)), a query q becomes
+(q / |q|, 0), so that the nearest point is the one of the largest inner product. M is the upper edge of the band of
+lengths that x lies in: with one M for all, short vectors would differ from queries in the last coordinate alone. A band
+with M |q| below what a query has found can't better it and is left out. Each block of vectors
 holds ``PROJECTIONS`` arrays of its points' projections on random lines, sorted. A query opens a window around its own
 projection in each array; windows grow with the radius (virtual rehashing). A point that lies in at least ``threshold()`` windows is verified by its exact inner product. A point within
 the radius lies in a window with the known probability of a Gaussian, so the binomial tail bounds what is missed by
 ``MISS`` at the radius itself, and by less inside it. A query stops once it has verified enough points within the radius.
 
 Equal vectors are one point with the ids of its first members, so copies cost nothing and never crowd a block. Blocks are
-cells around sampled pivots, dealt further by hash where a cell is large. Each query searches its own block first, then
-the blocks that follow in rounds, each ``WIDER`` times as many as before. Its worst kept distance is the radius of the
-next round, so each round gains a few lists a query; blocks of cells whose ranges of projections the windows meet too
+cells of a band around sampled pivots, dealt further by hash where a cell is large. Each query searches its own block
+first, then the blocks that follow in rounds, each ``WIDER`` times as many as before. Its worst kept score sets the radius
+of the next round, so each round gains a few lists a query; blocks of cells whose ranges of projections the windows meet too
 seldom to reach the threshold are left out.
 """
 
@@ -30,6 +32,8 @@ from ._shared import cut
 PROJECTIONS, HALF_WIDTH, MISS = 48, 1.0, 0.02
 #: Points a block, queries a task, cells, queries searched at once, growth of a round; they bound memory, not results.
 BLOCK, QUERIES, CELLS, BATCH, WIDER = 4096, 16384, 256, 256, 4
+#: Lengths of a band, as a share of its upper edge, and bands at most; the last holds all shorter vectors.
+BAND, BANDS = 0.9, 32
 #: Radii on the unit sphere (its points are at most 2 apart), then all points.
 RADII = (*(2.0**i for i in range(-5, 2)), math.inf)
 SEED = 20
@@ -58,9 +62,19 @@ def on_sphere(vectors: np.ndarray, longest: float) -> np.ndarray:
     return np.column_stack([scaled, np.sqrt(np.maximum(0.0, 1.0 - np.einsum("ij,ij->i", scaled, scaled)))])
 
 
+def lengths(vectors: np.ndarray) -> np.ndarray:
+    top = np.abs(vectors).max(axis=1, initial=0.0)
+    return np.sqrt(((vectors / top[:, None]) ** 2).sum(axis=1)) * top
+
+
 def asked(vectors: np.ndarray) -> np.ndarray:
-    unit = vectors / np.abs(vectors).max(axis=1, keepdims=True)
-    return np.column_stack([unit / np.sqrt(np.einsum("ij,ij->i", unit, unit))[:, None], np.zeros(len(unit))])
+    return np.column_stack([vectors / lengths(vectors)[:, None], np.zeros(len(vectors))])
+
+
+def distances(scores: np.ndarray, length: np.ndarray, longest: float) -> np.ndarray:
+    """On the sphere of vectors up to ``longest``, from queries of that ``length``; none has a higher score than the product."""
+    with np.errstate(invalid="ignore"):
+        return np.where(np.isneginf(scores), np.inf, np.sqrt(np.maximum(0.0, 2.0 - 2.0 * scores / (length * longest))))
 
 
 class Block:
@@ -74,26 +88,25 @@ class Block:
         self.rank = np.empty(seen.shape, np.uint16 if len(vectors) < 1 << 15 else np.uint32)
         np.put_along_axis(self.rank, order, np.arange(len(vectors), dtype=self.rank.dtype)[None], axis=1)
 
-    def search(self, queries: np.ndarray, k: int, radii: tuple[float, ...] | np.ndarray) -> list[tuple[np.ndarray, np.ndarray, float]]:
-        """For each query (ids, scores) of its ``k`` best in the order of score and id, and the last one's distance.
+    def search(self, queries: np.ndarray, k: int, least: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each query (ids, scores) of its ``k`` best in the order of score and id.
 
-        That is infinite if fewer are found. ``radii`` are the steps of all queries, as a tuple, or one radius for each.
+        With ``least``, a score for each query, it takes one step at the radius of that score instead of all ``RADII``.
         """
         out = []
         for a in range(0, len(queries), BATCH):
             now = queries[a : a + BATCH]
-            steps = np.tile(radii, (len(now), 1)) if isinstance(radii, tuple) else radii[a : a + BATCH, None]
-            out += self._batch(now, k, steps)
+            one = None if least is None else distances(least[a : a + BATCH], lengths(now), self.longest)[:, None] * (1 + 1e-9)
+            out += self._batch(now, k, np.tile(RADII, (len(now), 1)) if one is None else one)
         return out
 
-    def _batch(self, queries: np.ndarray, k: int, steps: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, float]]:
+    def _batch(self, queries: np.ndarray, k: int, steps: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         at = lines(queries.shape[1]) @ asked(queries).T
         window = lambda x, side: np.array([np.searchsorted(row, y, side) for row, y in zip(self.sorted, x)]).T
         seen = np.zeros((len(queries), len(self.vectors)), bool)
         found, scores = [np.empty(0, np.int64)] * len(queries), [np.empty(0)] * len(queries)
         worst = np.full(len(queries), math.inf)
-        top = np.abs(queries).max(axis=1)
-        lengths = np.sqrt(((queries / top[:, None]) ** 2).sum(axis=1)) * top
+        length = lengths(queries)
         going = np.arange(len(queries))
         for step in steps.T:
             radius = np.minimum(step, worst * (1 + 1e-9))  # at that radius what is kept is within it
@@ -112,11 +125,11 @@ class Block:
                     scores[i] = np.concatenate([scores[i], np.einsum("ij,j->i", self.vectors[new], queries[i])])
                     found[i], scores[i], last = self._best(found[i], scores[i], k)
                     if last is not None:
-                        worst[i] = math.sqrt(max(0.0, 2.0 - 2.0 * last / (lengths[i] * self.longest)))
+                        worst[i] = distances(np.float64(last), length[i], self.longest)
             going = going[worst[going] > radius[going]]
             if not len(going):
                 break
-        return [(*self._first(f, s, k), float(w)) for f, s, w in zip(found, scores, worst)]
+        return [self._first(f, s, k) for f, s in zip(found, scores)]
 
     def _best(self, found: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, float | None]:
         """The points that hold the ``k`` best ids, with all that tie, and the last score; None if there are fewer ids."""
@@ -139,11 +152,11 @@ def _matrix(column: pa.ChunkedArray, dimensions: int) -> np.ndarray:
     return column.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dimensions)
 
 
-def _block(table: pa.Table, dimensions: int, longest: float) -> Block:
+def _block(table: pa.Table, dimensions: int, edges: np.ndarray) -> Block:
     table = table.sort_by("point")  # so that equal scores are met in one order, however rows arrive
     ids = table.column("ids").combine_chunks()
     starts = np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
-    return Block(_matrix(table.column("v"), dimensions), ids.flatten().to_numpy(zero_copy_only=False), starts, longest)
+    return Block(_matrix(table.column("v"), dimensions), ids.flatten().to_numpy(zero_copy_only=False), starts, edges[table.column("cell")[0].as_py()])
 
 
 def points(rows: DataFrame, k: int) -> DataFrame:
@@ -176,22 +189,27 @@ def nearest(vectors: DataFrame, wanted, k: int, id: str = "vec_id", vector: str
     dimensions = sizes[0]
     if sizes[1] < dimensions:
         rows = rows.withColumn("v", F.concat("v", F.array_repeat(F.lit(0.0), F.lit(dimensions) - F.size("v")))).withColumn("h", F.xxhash64("v"))
-    most = k + 1  # a query may find itself
-    base = cut(points(rows.distinct(), most))
-    queries = rows.where(wanted(F.col("id"))).select(F.col("id").alias("query_id"), "h", "v").distinct()
+    rows = rows.distinct()
+    queries = rows.where(wanted(F.col("id"))).select(F.col("id").alias("query_id"), "h", "v")
+    own = queries.groupBy("query_id").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+    most = k + (own or 1)  # a query may find itself, with each of its vectors
+    base = cut(points(rows, most))
     members = cut(queries.join(base.select("h", "v", "point"), ["h", "v"]).select("query_id", "point"))
 
     greatest = F.array_max(F.transform("v", F.abs))
     top, n = base.agg(F.max(greatest), F.count("*")).first()
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + (x / top) * (x / top)))
     longest = float(base.agg(F.max(norm)).first()[0]) * top * (1 + 1e-12)
-    cells = max(1, min(CELLS, n // BLOCK))
-    pivots = on_sphere(np.array([r["v"] for r in base.orderBy(F.xxhash64("point"), "h").limit(cells).select("v").collect()]), longest)
+    kinds = max(1, min(CELLS // BANDS, n // BLOCK))
+    cells = BANDS * kinds
+    edges = np.repeat(longest * BAND ** np.arange(BANDS), kinds)
+    pivots = asked(np.array([r["v"] for r in base.orderBy(F.xxhash64("point"), "h").limit(kinds).select("v").collect()]))[:, :-1]
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sphere = on_sphere(_matrix(pa.chunked_array([b.column("v")]), dimensions), longest)
-            yield b.append_column("cell", pa.array(np.argmax(sphere @ pivots.T, axis=1), pa.int32()))
+        for b in filter(len, batches):
+            v = _matrix(pa.chunked_array([b.column("v")]), dimensions)
+            band = np.clip(np.floor(np.log(lengths(v) / longest) / math.log(BAND)), 0, BANDS - 1).astype(np.int32)
+            yield b.append_column("cell", pa.array(band * kinds + np.argmax(v @ pivots.T, axis=1), pa.int32()))
 
     asking = members.select("point").distinct().withColumn("asks", F.lit(True))
     in_cells = base.select("point", "v", "ids").mapInArrow(placed, "point long, v array<double>, ids array<long>, cell int")
@@ -199,11 +217,11 @@ def nearest(vectors: DataFrame, wanted, k: int, id: str = "vec_id", vector: str
 
     def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in filter(len, batches):
-            seen = on_sphere(_matrix(pa.chunked_array([b.column("v")]), dimensions), longest) @ lines(dimensions).T
             cell = b.column("cell").to_numpy()
-            kinds = np.unique(cell)
-            low, high, count = (np.array([f(seen[cell == c]) for c in kinds]) for f in (lambda x: x.min(0), lambda x: x.max(0), len))
-            yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(list(low)), pa.array(list(high)), pa.array(count, pa.int64())], ["cell", "low", "high", "n"])
+            seen = on_sphere(_matrix(pa.chunked_array([b.column("v")]), dimensions), edges[cell][:, None]) @ lines(dimensions).T
+            present = np.unique(cell)
+            low, high, count = (np.array([f(seen[cell == c]) for c in present]) for f in (lambda x: x.min(0), lambda x: x.max(0), len))
+            yield pa.RecordBatch.from_arrays([pa.array(present, pa.int32()), pa.array(list(low)), pa.array(list(high)), pa.array(count, pa.int64())], ["cell", "low", "high", "n"])
 
     # one row a batch and cell, summed by cell and line: at most CELLS x PROJECTIONS rows come back
     parts = in_cells.select("v", "cell").mapInArrow(ranges, "cell int, low array<double>, high array<double>, n long")
@@ -219,9 +237,8 @@ def nearest(vectors: DataFrame, wanted, k: int, id: str = "vec_id", vector: str
     in_blocks = in_cells.withColumn("block", (F.element_at(start, F.col("cell") + 1) + spread).cast("long"))
 
     def at_home(table: pa.Table) -> pa.Table:
-        block = _block(table, dimensions, longest)
         asks = table.filter(table.column("asks"))
-        found = block.search(_matrix(asks.column("v"), dimensions), most, RADII)
+        found = _block(table, dimensions, edges).search(_matrix(asks.column("v"), dimensions), most) if len(asks) else []
         lists = {"ids": pa.array([f[0] for f in found], pa.list_(pa.int64())), "scores": pa.array([f[1] for f in found], pa.list_(pa.float64()))}
         return pa.table({c: asks.column(c) for c in ("point", "v", "block")} | lists)
 
@@ -232,18 +249,20 @@ def nearest(vectors: DataFrame, wanted, k: int, id: str = "vec_id", vector: str
 
         def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                at = asked(_matrix(pa.chunked_array([b.column("v")]), dimensions)) @ lines(dimensions).T
-                reach = b.column("worst").to_numpy()[:, None] * HALF_WIDTH
-                own, picked = b.column("block").to_numpy(), []
-                for c in range(cells):
+                v, least = _matrix(pa.chunked_array([b.column("v")]), dimensions), b.column("least").to_numpy()
+                at, length, own = asked(v) @ lines(dimensions).T, lengths(v), b.column("block").to_numpy()
+                picked = [(np.empty(0, np.int64), np.empty(0, np.int64))]
+                for c in np.flatnonzero(np.diff(first)):
+                    reach = distances(least, length, edges[c])[:, None] * HALF_WIDTH * (1 + 1e-9)
                     met = ((at - reach <= high[c]) & (at + reach >= low[c])).sum(axis=1) >= need
+                    met &= least <= length * edges[c] * (1 + 1e-9)
                     for block in range(first[c], first[c + 1]):
                         after = (block - own) % total
                         rows_ = np.flatnonzero(met & (after >= since) & (after < until))
                         picked.append((rows_, np.full(len(rows_), block)))
                 rows_, to = (np.concatenate(x) for x in zip(*picked))
-                columns = [b.column(c).take(pa.array(rows_)) for c in ("point", "v", "worst", "least")]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(to, pa.int64())], ["point", "v", "worst", "least", "block"])
+                columns = [b.column(c).take(pa.array(rows_)) for c in ("point", "v", "least")]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(to, pa.int64())], ["point", "v", "least", "block"])
 
         return rows_of
 
@@ -252,9 +271,9 @@ def nearest(vectors: DataFrame, wanted, k: int, id: str = "vec_id", vector: str
             queries_ = queries_.slice(0, 0)
         found, points_ = [], queries_.column("point").to_pylist()
         if len(queries_):
-            radii = queries_.column("worst").to_numpy() * (1 + 1e-9)
-            searched = _block(stored, dimensions, longest).search(_matrix(queries_.column("v"), dimensions), most, radii)
-            better = [scores >= least for (_, scores, _), least in zip(searched, queries_.column("least").to_numpy())]
+            least = queries_.column("least").to_numpy()
+            searched = _block(stored, dimensions, edges).search(_matrix(queries_.column("v"), dimensions), most, least)
+            better = [scores >= x for (_, scores), x in zip(searched, least)]
             found = [(p, f[0][b], f[1][b]) for p, f, b in zip(points_, searched, better) if b.any()]
         return pa.table({
             "point": pa.array([f[0] for f in found], pa.int64()), "ids": pa.array([f[1] for f in found], pa.list_(pa.int64())),
@@ -262,25 +281,23 @@ def nearest(vectors: DataFrame, wanted, k: int, id: str = "vec_id", vector: str
         })
 
     def merged(rows_: DataFrame) -> DataFrame:
-        """One row a point: the ``most`` best of its lists, the last one's score and distance once there are so many."""
+        """One row a point: the ``most`` best of its lists, and the last one's score once there are so many."""
         pairs = F.transform(F.arrays_zip("ids", "scores"), lambda x: F.struct((-x["scores"]).alias("minus"), x["ids"].alias("id")))
         best = F.slice(F.array_sort(F.flatten(F.collect_list(pairs))), 1, most)
         out = rows_.groupBy("point").agg(F.max("v").alias("v"), F.max("block").alias("block"), best.alias("best"))
-        scale = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + (x / top) * (x / top))) * top * longest
-        full, last = F.size("best") >= most, -F.element_at("best", -1)["minus"]
-        worst = F.when(full, F.sqrt(F.greatest(F.lit(0.0), 2.0 - 2.0 * last / scale))).otherwise(float("inf"))
+        least = F.when(F.size("best") >= most, -F.element_at("best", -1)["minus"]).otherwise(float("-inf"))
         ids, scores = F.transform("best", lambda x: x["id"]), F.transform("best", lambda x: -x["minus"])
-        return out.select("point", "v", "block", worst.alias("worst"), F.when(full, last).otherwise(float("-inf")).alias("least"), ids.alias("ids"), scores.alias("scores"))
+        return out.select("point", "v", "block", least.alias("least"), ids.alias("ids"), scores.alias("scores"))
 
     own = in_blocks.groupBy("block").applyInArrow(at_home, "point long, v array<double>, block long, ids array<long>, scores array<double>")
     now = cut(merged(own))
     chunks = max(1, -(-now.count() // QUERIES))
     each = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long")))
-    dealt = in_blocks.select("block", "point", "v", "ids", each.alias("chunk"))
+    dealt = in_blocks.select("block", "cell", "point", "v", "ids", each.alias("chunk"))
     keys, since = ["block", "chunk"], 1
     while since < total:
         until = since * WIDER
-        going = now.mapInArrow(visits(since, until), "point long, v array<double>, worst double, least double, block long")
+        going = now.mapInArrow(visits(since, until), "point long, v array<double>, least double, block long")
         going = going.withColumn("chunk", F.pmod(F.xxhash64("point"), F.lit(chunks)).cast("long"))
         gained = dealt.groupBy(*keys).cogroup(going.groupBy(*keys)).applyInArrow(away, "point long, ids array<long>, scores array<double>")
         now = cut(merged(now.select("point", "v", "block", "ids", "scores").unionByName(gained, allowMissingColumns=True)))
