@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..contracts import NOISE
+from . import quantiles
 
 
 def centroids(rows: DataFrame, cluster: str, vector: str) -> DataFrame:
@@ -23,6 +24,26 @@ def distance(a: Column, b: Column) -> Column:
     return F.sqrt(F.aggregate(F.zip_with(a, b, lambda x, y: (x.cast("double") - y.cast("double")) * (x.cast("double") - y.cast("double"))), F.lit(0.0), lambda s, x: s + x))
 
 
+def _two_nearest(x: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places and distances of each row's two nearest of ``c``, ties to the first.
+
+    A matrix product brings each row's centroids into the order of nearness up to rounding; those whose order it can't
+    tell, by the bound of its error, are compared by the differences themselves, so that distances and ties are exact.
+    """
+    few = min(2, len(c))
+    squares, own = (c**2).sum(1), (x**2).sum(1)
+    rough = own[:, None] + squares - 2 * x @ c.T
+    slack = 4 * (x.shape[1] + 2) * np.finfo(float).eps * (own + squares.max())
+    near = rough <= (np.partition(rough, few - 1, axis=1)[:, few - 1] + slack)[:, None]
+    order, d = np.empty((len(x), few), dtype=int), np.empty((len(x), few))
+    for i, row in enumerate(near):
+        at = np.flatnonzero(row)
+        exact = np.sqrt(((x[i] - c[at]) ** 2).sum(1))
+        best = np.argsort(exact, kind="stable")[:few]
+        order[i], d[i] = at[best], exact[best]
+    return order, d
+
+
 def nearest(rows: DataFrame, key: str, vector: str, centers: DataFrame, most: int = 20_000) -> DataFrame:
     """(key, cluster_1, distance_1, cluster_2, distance_2): the two nearest centroids, ties to the smaller id.
 
@@ -41,11 +62,9 @@ def nearest(rows: DataFrame, key: str, vector: str, centers: DataFrame, most: in
                 yield pd.DataFrame({"k": b["k"], **{f"{n}_{i}": [None] * len(b) for i in (1, 2) for n in ("cluster", "distance")}})
                 continue
             x = np.array(b["v"].tolist(), dtype=float)
-            d = np.concatenate([np.sqrt(((x[k : k + 256, None, :] - c[None, :, :]) ** 2).sum(-1)) if c.size < 65536 else np.sqrt(np.maximum((x[k : k + 256] ** 2).sum(1)[:, None] + (c**2).sum(1) - 2 * x[k : k + 256] @ c.T, 0)) for k in range(0, len(x), 256)])
-            order = np.argsort(d, axis=1, kind="stable")[:, :2]
-            at = np.arange(len(x))
+            order, d = (np.concatenate(part) for part in zip(*(_two_nearest(x[k : k + 256], c) for k in range(0, len(x), 256))))
             two = order.shape[1] > 1
-            yield pd.DataFrame({"k": b["k"], "cluster_1": ids[order[:, 0]], "distance_1": d[at, order[:, 0]], "cluster_2": ids[order[:, 1]] if two else None, "distance_2": d[at, order[:, 1]] if two else None})
+            yield pd.DataFrame({"k": b["k"], "cluster_1": ids[order[:, 0]], "distance_1": d[:, 0], "cluster_2": ids[order[:, 1]] if two else None, "distance_2": d[:, 1] if two else None})
 
     out = rows.select(F.col(key).alias("k"), F.col(vector).alias("v")).mapInPandas(assign, f"k {kind}, cluster_1 int, distance_1 double, cluster_2 int, distance_2 double")
     return out.withColumnRenamed("k", key)
@@ -56,18 +75,22 @@ def catalog(rows: DataFrame, cluster: str, key: str, vector: str, centers: DataF
     total = rows.agg(F.count("*").alias("total"))
     near = rows.join(F.broadcast(centers.select("cluster", "centroid")), rows[cluster] == F.col("cluster")).withColumn("d", distance(F.col(vector), F.col("centroid")))
     out = near.groupBy("cluster").agg(
-        F.count("*").alias("size"), F.round(F.percentile(value, F.lit(0.5)), 6).alias("median"), F.round(F.avg(value), 6).alias("mean"), F.mode(kind, True).alias("top_kind"), F.min_by(key, F.struct(F.round("d", 9), key)).alias("medoid")
+        F.count("*").alias("size"), F.round(F.avg(value), 6).alias("mean"), F.mode(kind, True).alias("top_kind"), F.min_by(key, F.struct(F.round("d", 9), key)).alias("medoid")
     )
+    out = quantiles.beside(out, near, ["cluster"], {"_q": (value, (0.5,))}, dear=True).withColumn("median", F.round(F.col("_q")[0], 6))
     return out.join(F.broadcast(total)).select("cluster", "size", F.round(F.col("size") / F.col("total"), 6).alias("share"), "median", "mean", "top_kind", "medoid")
 
 
 def cluster_quantiles(rows: DataFrame, cluster: str, value: str, q: float) -> DataFrame:
-    return rows.where((F.col(cluster) != NOISE) & F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).groupBy(cluster).agg(F.percentile(value, F.lit(q)).alias("limit"))
+    return quantiles.one(rows.where(F.col(cluster) != NOISE), [cluster], value, q, "limit", dear=True)
 
 
 def thresholds(rows: DataFrame, at: dict[str, tuple[str, float]]) -> DataFrame:
     """One row of quantiles: name -> (column, q)."""
-    return rows.agg(*(F.percentile(c, F.lit(q)).alias(n) for n, (c, q) in at.items()))
+    metric = F.inline(F.array(*(F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in sorted({c for c, _ in at.values()}))))
+    qs = tuple(sorted({q for _, q in at.values()}))
+    found = quantiles.exact(rows.select(metric), ["metric"], "value", qs, dear=True)
+    return found.agg(*(F.max(F.when(F.col("metric") == c, F.col("q")[qs.index(q)])).alias(n) for n, (c, q) in at.items()))
 
 
 #: Behavioural flags: name, column, threshold name; a flag is set above its threshold.

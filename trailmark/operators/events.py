@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..contracts import ALIASES, MISSING, ORDER, STREAM
 from ..functions import names as N
+from . import ranges
 
 
 def stream_window() -> Window:
@@ -82,8 +83,7 @@ def from_event_table(events: DataFrame, gaps: bool = True) -> DataFrame:
 
 def out_of_order(events: DataFrame, key: str, order: str, time: str) -> DataFrame:
     """Rows whose time lies before that of the row before them in source order."""
-    before = F.lag(time).over(Window.partitionBy(key).orderBy(order))
-    return events.withColumn("previous_time", before).where(F.col(time) < F.col("previous_time"))
+    return ranges.lag(events, [F.col(order)], {"previous_time": time}, [key]).where(F.col(time) < F.col("previous_time"))
 
 
 def clean_sessions(events: DataFrame, session: str, order: list[str], time: str, pause_minutes: float, identities: list[str]) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..contracts import NOISE
+from . import quantiles
 from .events import seconds
 
 UNITS = {"s": 1_000_000, "ms": 1000, "us": 1}
@@ -17,7 +18,8 @@ def epoch_unit(rows: DataFrame, value: str, reference: str) -> DataFrame:
     us = lambda k: (number * k).try_cast("long")
     near = [F.struct(F.lit(u).alias("unit"), (F.abs(us(k) - F.unix_micros(F.col(reference).cast("timestamp"))) / F.lit(86_400_000_000.0)).alias("days")) for u, k in UNITS.items()]
     each = rows.select(F.inline(F.array(*near)))
-    return each.groupBy("unit").agg(F.count("days").alias("valid"), F.round(F.percentile("days", F.lit(0.5)), 6).alias("median_days")).orderBy("median_days", "unit")
+    out = quantiles.beside(each.groupBy("unit").agg(F.count("days").alias("valid")), each, ["unit"], {"_q": ("days", (0.5,))})
+    return out.select("unit", "valid", F.round(F.col("_q")[0], 6).alias("median_days")).orderBy("median_days", "unit")
 
 
 def primary_clock(rows: DataFrame, clocks: list[str]) -> DataFrame:
@@ -30,8 +32,8 @@ def primary_clock(rows: DataFrame, clocks: list[str]) -> DataFrame:
 def duration_flags(rows: DataFrame, value: str, q: float = 0.99) -> DataFrame:
     """``rows`` with is_missing, is_zero, is_negative, log1p of positive values, and is_outlier: above quantile ``q`` of the positive ones."""
     x = F.col(value).cast("double")
-    top = rows.where(x > 0).agg(F.percentile(x, F.lit(q)).alias("_top"))
-    out = rows.join(F.broadcast(top)).withColumns({"is_missing": x.isNull(), "is_zero": F.coalesce(x == 0, F.lit(False)), "is_negative": F.coalesce(x < 0, F.lit(False)), "log_value": F.when(x > 0, F.log1p(x)), "is_outlier": F.coalesce(x > F.col("_top"), F.lit(False))})
+    top = quantiles.one(rows.where(x > 0), [], x, q, "_top")
+    out = rows.join(F.broadcast(top), how="left").withColumns({"is_missing": x.isNull(), "is_zero": F.coalesce(x == 0, F.lit(False)), "is_negative": F.coalesce(x < 0, F.lit(False)), "log_value": F.when(x > 0, F.log1p(x)), "is_outlier": F.coalesce(x > F.col("_top"), F.lit(False))})
     return out.drop("_top")  # one row
 
 
@@ -58,7 +60,7 @@ def vocabulary_signals(rows: DataFrame, name: str) -> DataFrame:
 
 def representatives(sessions: DataFrame, key: str, length: str, repeats: str) -> DataFrame:
     """(reason, key): the shortest, the nearest to the median, the longest session and the one with most repeats; ties by key."""
-    middle = sessions.agg(F.percentile(length, F.lit(0.5)).alias("_m"))
+    middle = quantiles.one(sessions, [], length, 0.5, "_m")
     rows = sessions.join(F.broadcast(middle))  # one row
     by = {"shortest": F.struct(F.col(length), key), "median": F.struct(F.abs(F.col(length) - F.col("_m")), key), "longest": F.struct(-F.col(length), key), "most_repeats": F.struct(-F.col(repeats), key)}
     one = rows.agg(*(F.min_by(key, o).alias(n) for n, o in by.items()))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,11 +14,38 @@ from pyspark.sql import types as T
 
 from ..contracts import MISSING, STREAM, CleanRules, SegmentRules
 from ..functions import names as N
+from ..store import kept
+from . import quantiles
 from .events import seconds, stream_window
 
 _REASONS = np.array(["", "session_start", "idle_gap", "length_cap", "root_return", "auth_change"], dtype=object)
 
 
+def _flags(events: DataFrame, rules: SegmentRules) -> Column:
+    """What each event of the sorted streams may cut: 1 a stream's start, else 2 a pause, and 8 a sign-in change, 16 a root screen."""
+    w, kind, name = stream_window(), F.col("event_type"), F.col("segment_name")
+    auth = N.is_auth(kind, name, rules.auth_markers) & ~N.is_auth(F.lag(kind).over(w), F.lag(name).over(w), rules.auth_markers) if rules.cut_on_auth else F.lit(False)
+    root = (kind == "view") & N.is_root(name, rules.roots) & ~N.is_root(F.lag(name).over(w), rules.roots) if rules.cut_on_root else F.lit(False)
+    first = F.row_number().over(w) == 1
+    idle = F.coalesce(seconds(F.col("event_time"), F.lag("event_time").over(w)), F.lit(0.0)) > rules.idle_seconds
+    return F.when(first, 1).when(idle, 2).otherwise(0) + F.when(auth, 8).otherwise(0) + F.when(root, 16).otherwise(0)
+
+
+def _lengths(f: np.ndarray, since: int, longest: int, after: int) -> tuple[list[int], int]:
+    """Lengths of the journeys that end in a batch of flags, and of the one left open; ``since`` events were open before it."""
+    n, out, at = len(f), [], 0
+    hard, roots = np.append(np.flatnonzero(f & 11), n), np.append(np.flatnonzero(f & 16), n)
+    while at < n:
+        cut = min(hard[np.searchsorted(hard, at)], at + max(0, longest - since), roots[np.searchsorted(roots, min(at + max(0, after - since), n))])
+        cut = int(min(cut, n))
+        since += cut - at
+        if cut < n:
+            out += [since] if since else []
+            since, cut = 1, cut + 1
+        at = cut
+    return out, since
+
+
 def segment(events: DataFrame, rules: SegmentRules = SegmentRules()) -> DataFrame:
     """``events`` with journey_no (from 1 in each stream), journey_pos (from 0), boundary_reason and journey_id.
 
@@ -25,12 +53,7 @@ def segment(events: DataFrame, rules: SegmentRules = SegmentRules()) -> DataFram
     a root screen depend on the last cut. That is a fold over the sorted partitions of the same shuffle which holds one
     number from row to row and jumps from cut to cut, so a stream may be of any length.
     """
-    w, kind, name = stream_window(), F.col("event_type"), F.col("segment_name")
-    auth = N.is_auth(kind, name, rules.auth_markers) & ~N.is_auth(F.lag(kind).over(w), F.lag(name).over(w), rules.auth_markers) if rules.cut_on_auth else F.lit(False)
-    root = (kind == "view") & N.is_root(name, rules.roots) & ~N.is_root(F.lag(name).over(w), rules.roots) if rules.cut_on_root else F.lit(False)
-    first = F.row_number().over(w) == 1
-    idle = F.coalesce(seconds(F.col("event_time"), F.lag("event_time").over(w)), F.lit(0.0)) > rules.idle_seconds
-    flags = F.when(first, 1).when(idle, 2).otherwise(0) + F.when(auth, 8).otherwise(0) + F.when(root, 16).otherwise(0)
+    flags = _flags(events, rules)
     marked = events.withColumn("_flags", flags.cast("int"))
     schema = T.StructType([*events.schema.fields, T.StructField("journey_no", T.LongType()), T.StructField("journey_pos", T.IntegerType()), T.StructField("boundary_reason", T.StringType())])
     longest, after = rules.longest, rules.root_after
@@ -152,29 +175,52 @@ def quantile_of(sorted_: Column, q: float) -> Column:
 
 def segmentation_report(segmented: DataFrame, shortest: int = 3) -> DataFrame:
     """(metric, value): sessions, journeys, events, lengths, short journeys, and cuts by reason."""
-    sizes = segmented.groupBy(*STREAM, "journey_no").agg(F.count("*").alias("n"))
+    cut = segmented.groupBy(*STREAM, "journey_no").agg(F.count("*").alias("n"), F.min_by("boundary_reason", "journey_pos").alias("reason"))
+    sizes = kept(cut)
     facts = sizes.agg(
         F.count_distinct("session_id").cast("double").alias("sessions"), F.count("*").cast("double").alias("journeys"), F.sum("n").cast("double").alias("events"), F.round(F.avg("n"), 2).alias("mean_journey_length"),
-        F.percentile("n", F.lit(0.5)).alias("median_journey_length"), F.percentile("n", F.lit(0.9)).alias("p90_journey_length"), F.max("n").cast("double").alias("max_journey_length"),
+        F.max("n").cast("double").alias("max_journey_length"),
         F.count_if(F.col("n") < shortest).cast("double").alias("journeys_below_min_length"),
     )
+    ends = {"median_journey_length": F.col("_q")[0], "p90_journey_length": F.col("_q")[1]}
+    facts = quantiles.beside(facts, sizes, [], {"_q": ("n", (0.5, 0.9))}).withColumns(ends).drop("_q")
     stacked = facts.select(F.inline(F.array(*(F.struct(F.lit(c).alias("metric"), F.col(c).alias("value")) for c in facts.columns))))
-    cuts = segmented.where("boundary_reason <> ''").groupBy("boundary_reason").agg(F.count("*").cast("double").alias("value"))
-    return stacked.union(cuts.select(F.concat(F.lit("cut_reason::"), "boundary_reason"), "value"))
+    cuts = sizes.where("reason <> ''").groupBy("reason").agg(F.count("*").cast("double").alias("value"))  # a cut begins a journey
+    return stacked.union(cuts.select(F.concat(F.lit("cut_reason::"), "reason"), "value"))
 
 
 def sweep_idle_gap(events: DataFrame, grid: list[float], rules: SegmentRules) -> DataFrame:
-    """Journeys and their lengths by idle threshold: one segmentation for each value of ``grid``."""
-    out = None
-    for tau in grid:
-        trial = SegmentRules(**{**rules.__dict__, "idle_seconds": tau})
-        sizes = segment(events, trial).groupBy(*STREAM, "journey_no").agg(F.count("*").alias("n"))
-        row = sizes.agg(
-            F.lit(float(tau)).alias("idle_gap_seconds"), F.count("*").alias("journeys"), F.round(F.avg("n"), 2).alias("mean_length"), F.percentile("n", F.lit(0.5)).alias("median_length"),
-            F.round(F.avg((F.col("n") < 3).cast("int")), 4).alias("share_len_lt_3"), F.round(F.avg((F.col("n") > 50).cast("int")), 4).alias("share_len_gt_50"),
-        )
-        out = row if out is None else out.union(row)
-    return out
+    """Journeys and their lengths for each idle threshold of ``grid``, from one pass over the sorted streams.
+
+    A fold carries one counter a threshold from row to row, jumps from cut to cut, and gives out how many journeys of
+    each length it has closed; these counts, a row a length and partition, are all that is shuffled after the sort.
+    """
+    flags = _flags(events, SegmentRules(**{**rules.__dict__, "idle_seconds": float("inf")}))
+    gap = F.coalesce(seconds(F.col("event_time"), F.lag("event_time").over(stream_window())), F.lit(0.0))
+    marked = events.select(flags.cast("int").alias("_f"), gap.alias("_gap"))
+    taus = np.array(grid, dtype=float)
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        since, closed = [0] * len(taus), [Counter() for _ in taus]
+        for b in batches:
+            f, gaps = b.column(0).to_numpy(), b.column(1).to_numpy()
+            for k, tau in enumerate(taus):
+                own = np.where((f & 1 == 0) & (gaps > tau), f | 2, f)
+                lengths, since[k] = _lengths(own, since[k], rules.longest, rules.root_after)
+                closed[k].update(lengths)
+        rows = [(float(t), n, c) for t, counts, rest in zip(taus, closed, since) for n, c in (counts + Counter([rest])).items() if n]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.float64(), pa.int64(), pa.int64()))], ["tau", "n", "c"])
+
+    counts = marked.mapInArrow(fold, "tau double, n long, c long").groupBy("tau", "n").agg(F.sum("c").alias("c"))
+    up = F.sum("c").over(Window.partitionBy("tau").orderBy("n"))
+    ranked = counts.withColumns({"up": up, "all": F.sum("c").over(Window.partitionBy("tau"))})  # a row a length
+    at = lambda half: F.min(F.when(F.col("up") > half, F.col("n")))
+    share = lambda hit: F.round(F.sum(F.when(hit, F.col("c")).otherwise(0)) / F.sum("c"), 4)
+    return ranked.groupBy(F.col("tau").alias("idle_gap_seconds")).agg(
+        F.sum("c").alias("journeys"), F.round(F.sum(F.col("n") * F.col("c")) / F.sum("c"), 2).alias("mean_length"),
+        ((at(F.floor((F.col("all") - 1) / 2)) + at(F.ceil((F.col("all") - 1) / 2))) / 2).alias("median_length"),
+        share(F.col("n") < 3).alias("share_len_lt_3"), share(F.col("n") > 50).alias("share_len_gt_50"),
+    )
 
 
 def run_lengths(events: DataFrame, key: list[str], order: list[str], token: str) -> DataFrame:
@@ -209,9 +255,10 @@ def refine_with_entropy(segmented: DataFrame, percentile: float = 0.9, order: in
     known = branching_entropy(segmented, order, token)
     scored = contexts(segmented, order, token).join(known.select("k", "context", "entropy"), ["k", "context"]).groupBy(*STREAM, "journey_no", "journey_pos").agg(F.max_by("entropy", "k").alias("entropy_score"))
     out = segmented.join(scored, [*STREAM, "journey_no", "journey_pos"], "left").withColumn("entropy_score", F.coalesce("entropy_score", F.lit(0.0)))
-    high = out.where("entropy_score > 0").agg(F.percentile("entropy_score", F.lit(percentile)).alias("v")).first()["v"]
+    high = quantiles.one(out.where("entropy_score > 0"), [], "entropy_score", percentile, "v", dear=True).first()
     if high is None:
         return out
+    high = high["v"]
     places = F.sort_array(F.collect_list(F.when(F.col("entropy_score") >= high, F.col("journey_pos"))))
     cuts = F.aggregate(places, F.array().cast("array<int>"), lambda a, p: F.when(p - F.coalesce(F.try_element_at(a, F.lit(-1)), F.lit(0)) >= shortest, F.array_append(a, p)).otherwise(a))
     per = out.groupBy(*STREAM, "journey_no").agg(cuts.alias("cuts"))

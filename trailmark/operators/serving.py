@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import quantiles
 from .events import seconds
 
 
@@ -17,7 +18,8 @@ def coverage(rows: DataFrame, by: list[str], distinct: list[str], flags: dict[st
 
 def quantile_table(rows: DataFrame, by: list[str], value: str, at: tuple[float, ...] = (0.25, 0.5, 0.75, 0.9, 0.95, 0.99)) -> DataFrame:
     """Mean, linear quantiles and maximum by group."""
-    q = rows.groupBy(*by).agg(F.count(value).alias("n"), F.round(F.avg(value), 6).alias("mean"), F.percentile(value, F.array(*map(F.lit, at))).alias("q"), F.max(value).alias("max"))
+    q = rows.groupBy(*by).agg(F.count(value).alias("n"), F.round(F.avg(value), 6).alias("mean"), F.max(value).alias("max"))
+    q = quantiles.beside(q, rows, by, {"q": (value, at)})
     return q.select(*by, "n", "mean", *(F.round(F.col("q")[i], 6).alias(f"p{round(100 * x)}") for i, x in enumerate(at)), "max")
 
 
@@ -94,7 +96,9 @@ def customer_metrics(rows: DataFrame, customer: str, time: str, kind: str) -> Da
     t = F.col(time).cast("timestamp")
     gaps = rows.withColumn("_h", seconds(t, F.lag(t).over(Window.partitionBy(customer).orderBy(t))) / 3600)
     months = F.count_distinct(F.date_trunc("month", t))
-    return gaps.groupBy(customer).agg(F.count("*").alias("rows"), F.count_distinct(kind).alias("kinds"), months.alias("months"), F.round(F.percentile("_h", F.lit(0.5)), 4).alias("median_gap_h"), F.round(F.count("*") / months, 4).alias("per_month"))
+    out = gaps.groupBy(customer).agg(F.count("*").alias("rows"), F.count_distinct(kind).alias("kinds"), months.alias("months"), F.round(F.count("*") / months, 4).alias("per_month"))
+    out = quantiles.beside(out, gaps, [customer], {"_q": ("_h", (0.5,))}, dear=True)
+    return out.select(customer, "rows", "kinds", "months", F.round(F.col("_q")[0], 4).alias("median_gap_h"), "per_month")
 
 
 def post_anchor(rows: DataFrame, key: str, time: str, what: str, anchor: Column, edges_h: list[float]) -> DataFrame:

@@ -6,19 +6,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..contracts import BOS, EOS, RARE
+from . import ranges
 
 
 def token_dictionary(events: DataFrame, token: str, session: list[str], time: str) -> DataFrame:
     """Each token's events, sessions, first and last time, and its rank by events (ties by token)."""
     d = events.groupBy(token).agg(F.count("*").alias("events"), F.count_distinct(*session).alias("sessions"), F.min(time).alias("first_time"), F.max(time).alias("last_time"))
-    return d.withColumn("token_id", F.row_number().over(Window.orderBy(F.col("events").desc(), token)))  # the vocabulary is one partition's worth
+    return ranges.number(d, [F.col("events").desc(), F.col(token)], "token_id")
 
 
 def vocabulary_report(events: DataFrame, channels: list[str], top: int = 100) -> DataFrame:
     """Per channel: distinct tokens, those seen once, and the share of events that the ``top`` most frequent cover."""
     stacked = events.select(F.inline(F.array(*(F.struct(F.lit(c).alias("channel"), F.col(c).alias("token")) for c in channels))))
     counts = stacked.groupBy("channel", "token").agg(F.count("*").alias("n"))
-    ranked = counts.withColumn("r", F.row_number().over(Window.partitionBy("channel").orderBy(F.col("n").desc(), "token")))
+    ranked = ranges.number(counts, [F.col("n").desc(), F.col("token")], "r", ["channel"])
     return ranked.groupBy("channel").agg(
         F.count("*").alias("vocabulary"), F.count_if(F.col("n") == 1).alias("singletons"), F.round(F.sum(F.when(F.col("r") <= top, F.col("n")).otherwise(0)) / F.sum("n"), 6).alias("top_coverage")
     )
@@ -88,10 +89,10 @@ def ngram_counts(rows: DataFrame, sequence: str, low: int = 1, high: int = 2, en
 def ngram_lift(rows: DataFrame, group: str, sequence: str, top: int = 8, low: int = 1, high: int = 2, ends: bool = False) -> DataFrame:
     """Each group's n-grams of largest lift: share of the group's n-grams over share of all, each plus 1e-9."""
     counts = rows.select(group, F.explode(ngrams(F.col(sequence), low, high, ends)).alias("ngram")).groupBy(group, "ngram").agg(F.count("*").alias("n"))
-    mass = F.col("n") / F.sum("n").over(Window.partitionBy(group))
+    own = counts.groupBy(group).agg(F.sum("n").alias("_own"))
     every = counts.groupBy("ngram").agg(F.sum("n").alias("all"))
     total = every.agg(F.sum("all").alias("total"))
-    scored = counts.withColumn("mass", mass).join(every, "ngram").join(F.broadcast(total))  # total: one row
+    scored = counts.join(sized(own), group).withColumn("mass", F.col("n") / F.col("_own")).join(every, "ngram").join(F.broadcast(total))  # total: one row
     scored = scored.withColumn("lift", (F.col("mass") + 1e-9) / (F.col("all") / F.col("total") + 1e-9))
     ranked = scored.withColumn("rank", F.row_number().over(Window.partitionBy(group).orderBy(F.round("lift", 9).desc(), F.col("n").desc(), "ngram")))
     return ranked.where(F.col("rank") <= top).select(group, "rank", "ngram", F.round("lift", 6).alias("lift"), F.round("mass", 9).alias("mass"))

@@ -9,8 +9,9 @@ from ..contracts import STREAM, CleanRules, SegmentRules
 from ..functions import names as N
 from ..operators import events as E
 from ..operators import journeys as J
+from ..operators import quantiles
 from ..streaming import journey_stream
-from .registry import query, table, work_folder
+from .registry import kept, query, table, work_folder
 
 #: Triggers that the event table is read in as a stream.
 TRIGGERS = 3
@@ -76,10 +77,14 @@ SELECT boundary_reason, count(*) AS journeys, sum(n_events_raw) AS events, round
   round(sum(span_seconds), 2) AS span_seconds, round(quantile_cont(median_gap_s, 0.5), 3) AS median_gap_s FROM r JOIN raw USING (platform, session_id, journey_no) GROUP BY boundary_reason""")
 def journey_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: streams to journeys to one summary a boundary reason."""
-    return rolled(spark, sf_dir).groupBy("boundary_reason").agg(
+    facts = ["boundary_reason", "n_events_raw", "n_events_final", "action_ratio", "n_unique_tokens", "span_seconds", "median_gap_s"]
+    rows = kept(rolled(spark, sf_dir).select(*facts))
+    out = rows.groupBy("boundary_reason").agg(
         F.count("*").alias("journeys"), F.sum("n_events_raw").alias("events"), F.round(F.avg("n_events_final"), 4).alias("mean_length"), F.round(F.avg("action_ratio"), 4).alias("action_ratio"),
-        F.max("n_unique_tokens").alias("most_tokens"), F.round(F.sum("span_seconds"), 2).alias("span_seconds"), F.round(F.percentile("median_gap_s", F.lit(0.5)), 3).alias("median_gap_s"),
+        F.max("n_unique_tokens").alias("most_tokens"), F.round(F.sum("span_seconds"), 2).alias("span_seconds"),
     )
+    out = quantiles.beside(out, rows, ["boundary_reason"], {"_q": ("median_gap_s", (0.5,))})
+    return out.withColumn("median_gap_s", F.round(F.col("_q")[0], 3)).drop("_q")
 
 
 @query(f"""WITH RECURSIVE {ROLLUP_SQL}
@@ -105,11 +110,12 @@ def segment_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return J.segmentation_report(J.segment(stream(spark, sf_dir), RULES))
 
 
-_SWEEP = [21600.0, 43200.0, 86400.0]
+#: The seven thresholds, from an hour to three days: the table's users pause for hours.
+_SWEEP = [3600.0, 10800.0, 21600.0, 43200.0, 86400.0, 129600.0, 259200.0]
 
 
 @query(f"""WITH {EVENTS_SQL}, g AS (SELECT *, coalesce((epoch_us(event_time) - epoch_us(lag(event_time) OVER w)) / 1e6, 0) AS gap, row_number() OVER w AS rn FROM ev WINDOW w AS (PARTITION BY platform, session_id ORDER BY event_time, event_id)),
-t AS (SELECT unnest([21600.0, 43200.0, 86400.0])::DOUBLE AS tau), s AS (SELECT tau, platform, session_id, sum(CAST(rn = 1 OR gap > tau AS INT)) OVER (PARTITION BY tau, platform, session_id ORDER BY rn) AS no FROM g, t),
+t AS (SELECT unnest([3600.0, 10800.0, 21600.0, 43200.0, 86400.0, 129600.0, 259200.0])::DOUBLE AS tau), s AS (SELECT tau, platform, session_id, sum(CAST(rn = 1 OR gap > tau AS INT)) OVER (PARTITION BY tau, platform, session_id ORDER BY rn) AS no FROM g, t),
 z AS (SELECT tau, platform, session_id, no, count(*) AS n FROM s GROUP BY ALL)
 SELECT tau AS idle_gap_seconds, count(*) AS journeys, round(avg(n), 2) AS mean_length, quantile_cont(n, 0.5) AS median_length, round(avg(CAST(n < 3 AS INT)), 4) AS share_len_lt_3, round(avg(CAST(n > 50 AS INT)), 4) AS share_len_gt_50 FROM z GROUP BY tau""")
 def idle_gap_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..contracts import STREAM
 from ..operators import clusters as C
 from ..operators import markov as M
-from ..operators import naming, scoring
+from ..operators import naming, quantiles, scoring
 from ..operators import vocabulary as V
 from .journey_queries import JOURNEY_SQL, ROLLUP_SQL, journeys, rolled
 from .registry import kept, query, table, work_folder
@@ -188,7 +188,9 @@ SELECT vec_id, CASE WHEN d <= lim THEN 'C_primary' WHEN {_SECOND} THEN 'B_second
 def hierarchy_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two tiers over one set of centroids; the negative second distance stands in for the transitions' likelihood."""
     near = C.nearest(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", _centers(spark, sf_dir)).withColumn("markov", -F.col("distance_2"))
-    limits = near.groupBy("cluster_1").agg(F.percentile("distance_1", F.lit(0.5)).alias("limit"), F.percentile("markov", F.lit(0.25)).alias("markov_limit"))
+    near = kept(near)
+    limits = quantiles.beside(near.select("cluster_1").distinct(), near, ["cluster_1"], {"l": ("distance_1", (0.5,)), "m": ("markov", (0.25,))})
+    limits = limits.select("cluster_1", F.col("l")[0].alias("limit"), F.col("m")[0].alias("markov_limit"))
     rows = near.join(F.broadcast(limits), "cluster_1").select(  # one limit a cluster
         "vec_id", F.col("cluster_1").alias("c_cluster"), F.col("distance_1").alias("c_distance"), F.col("limit").alias("c_limit"), F.col("cluster_1").alias("b_cluster"), F.col("distance_1").alias("b_distance"),
         (F.col("limit") * 1.02).alias("b_limit"), F.col("distance_2").alias("b_second"), F.col("markov").alias("b_markov"), F.col("markov_limit").alias("b_markov_limit"),

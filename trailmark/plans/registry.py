@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..store import kept, work_folder
+
+__all__ = ["ORACLES", "QUERIES", "kept", "query", "table", "work_folder"]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -26,20 +28,3 @@ def query(sql: str | None = None) -> Callable:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def work_folder(spark: SparkSession) -> str:
-    """A new folder that driver and executors share: below ``spark.checkpoint.dir``, or a temporary one in a local session."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared}/work-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    return tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-
-
-def kept(df: DataFrame) -> DataFrame:
-    """``df`` written as Parquet and read again, for queries that use it several times."""
-    path = f"{work_folder(df.sparkSession)}/kept"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
