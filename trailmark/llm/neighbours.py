@@ -160,10 +160,10 @@ def _block(table: pa.Table, dimensions: int, edges: np.ndarray) -> Block:
 
 
 def points(rows: DataFrame, k: int) -> DataFrame:
-    """(h, v, point, ids): distinct vectors, each with its ``k`` smallest ids; point is the smallest."""
+    """(h, v, point, ids): distinct vectors, numbered, each with its ``k`` smallest ids. To be written before it is used."""
     own = Window.partitionBy("h", "v").orderBy("id")
     few = rows.withColumn("n", F.row_number().over(own)).where(F.col("n") <= k)
-    return few.groupBy("h", "v").agg(F.array_sort(F.collect_list("id")).alias("ids")).select("h", "v", F.col("ids")[0].alias("point"), "ids")
+    return few.groupBy("h", "v").agg(F.array_sort(F.collect_list("id")).alias("ids")).select("h", "v", F.monotonically_increasing_id().alias("point"), "ids")
 
 
 def usable(vectors: DataFrame, id: str, vector: str) -> DataFrame:
@@ -203,7 +203,7 @@ def nearest(vectors: DataFrame, wanted, k: int, id: str = "vec_id", vector: str
     kinds = max(1, min(CELLS // BANDS, n // BLOCK))
     cells = BANDS * kinds
     edges = np.repeat(longest * BAND ** np.arange(BANDS), kinds)
-    pivots = asked(np.array([r["v"] for r in base.orderBy(F.xxhash64("point"), "h").limit(kinds).select("v").collect()]))[:, :-1]
+    pivots = asked(np.array([r["v"] for r in base.orderBy("h", "v").limit(kinds).select("v").collect()]))[:, :-1]
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in filter(len, batches):
