@@ -176,3 +176,16 @@ def test_samples_and_holdouts(spark):
     assert {r.s for r in split.where("split = 'test'").collect()} == {"s4"}
     with pytest.raises(ValueError, match="two sessions"):
         serving.chronological_holdout(events.where("s = 's1'"), "s", "t", 0.25)
+
+
+def test_singular_values_equal_numpy(spark, monkeypatch):
+    monkeypatch.setattr(embedding, "_TERMS", 7)
+    rng = np.random.default_rng(4)
+    x = (rng.random((150, 60)) < 0.1) * rng.standard_normal((150, 60)) * np.exp(-np.arange(60) / 8)
+    rows = spark.createDataFrame([(int(i), int(j), float(x[i, j])) for i, j in zip(*np.nonzero(x))], "k int, term int, w double").repartition(5)
+    basis, values = embedding.svd(rows, "k", 60, 8)
+    _, s, vt = np.linalg.svd(x)
+    assert values == pytest.approx(s[:8], rel=1e-6) and np.abs(np.abs((basis * vt[:8].T).sum(axis=0)) - 1).max() < 1e-5
+    got = {r.k: r.v for r in embedding.project(rows, "k", basis).collect()}
+    assert got.keys() == {i for i in range(150) if x[i].any()} and all(v == pytest.approx(x[i] @ basis, abs=1e-12) for i, v in got.items())
+    assert embedding.svd(rows, "k", 60, 100)[0].shape == (60, 60)

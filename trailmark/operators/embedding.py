@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..store import kept
 from .vocabulary import ngrams
 
 #: Channel weights, and the weight of the behaviour block.
@@ -40,41 +43,108 @@ class Tfidf:
         return w.select(key, "term", (F.col("w") / norm).alias("w"))
 
 
-def fit_tfidf(rows: DataFrame, key: str, sequence: str, low: int = 1, high: int = 2, least: int = 5, most: int = 4000) -> Tfidf:
+def fit_tfidf(rows: DataFrame, key: str, sequence: str, low: int = 1, high: int = 2, least: int = 5, most: int = 20_000) -> Tfidf:
     """The ``most`` most frequent n-grams of those in ``least`` rows or more."""
     n = rows.count()
     grams = rows.select(key, F.explode(ngrams(F.col(sequence), low, high)).alias("ngram")).groupBy(key, "ngram").agg(F.count("*").alias("tf"))
     df = grams.groupBy("ngram").agg(F.count("*").alias("df"), F.sum("tf").alias("total")).where(F.col("df") >= least)
-    kept = df.orderBy(F.col("total").desc(), "ngram").limit(most).withColumn("idf", F.ln((1 + F.lit(n)) / (1 + F.col("df"))) + 1)
-    ids = {r["ngram"]: (i, r["idf"]) for i, r in enumerate(kept.orderBy("ngram").collect())}  # bounded by ``most``
+    chosen = df.orderBy(F.col("total").desc(), "ngram").limit(most).withColumn("idf", F.ln((1 + F.lit(n)) / (1 + F.col("df"))) + 1)
+    ids = {r["ngram"]: (i, r["idf"]) for i, r in enumerate(chosen.orderBy("ngram").collect())}  # bounded by ``most``
     terms = rows.sparkSession.createDataFrame([(g, i, x) for g, (i, x) in ids.items()], "ngram string, term int, idf double")
     return Tfidf(F.broadcast(terms), low, high)
 
 
-def fit_svd(weights: DataFrame, key: str, terms: int, k: int, seed: int = 7) -> np.ndarray:
-    """The first ``k`` right singular vectors (terms by k), uncentred, by subspace iteration.
+#: Weights that are multiplied at once, terms in a block of sums, and tasks that hold sums, at most.
+_SLICE, _TERMS, _TASKS = 50_000, 512, 64
+
+
+def _by_row(weights: DataFrame, key: str) -> DataFrame:
+    """(key, terms, ws): each row's terms and weights as arrays; a row's terms are bounded by its length."""
+    return weights.groupBy(key).agg(F.collect_list(F.struct("term", "w")).alias("s")).select(key, F.col("s.term").cast("array<int>").alias("terms"), F.col("s.w").cast("array<double>").alias("ws"))
+
+
+def _slices(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(first weight of each row, terms, weights) of some rows at a time; every row has a term."""
+    terms = batch.column("terms")
+    starts = terms.offsets.to_numpy() - terms.offsets[0].as_py()
+    flat, ws = terms.flatten().to_numpy(zero_copy_only=False), batch.column("ws").flatten().to_numpy(zero_copy_only=False)
+    row = 0
+    while row < batch.num_rows:
+        end = max(row + 1, int(np.searchsorted(starts, starts[row] + _SLICE, "right")) - 1)
+        a, b = starts[row], starts[end]
+        yield starts[row:end] - a, flat[a:b], ws[a:b]
+        row = end
+
+
+def _products(starts: np.ndarray, terms: np.ndarray, ws: np.ndarray, basis: np.ndarray) -> np.ndarray:
+    return np.add.reduceat(basis[terms] * ws[:, None], starts, axis=0)
+
 
-    Each step is one aggregation of (row, term) weights with a matrix of terms by k, which the vocabulary bounds.
+def svd(weights: DataFrame, key: str, terms: int, k: int, seed: int = 7, steps: int = 6, extra: int = 10) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``k`` right singular vectors (terms by k) of the rows' weights, uncentred, and their singular values.
+
+    A randomised range finder: a random subspace of ``extra`` more dimensions is multiplied by X'X ``steps`` times and made
+    orthonormal in between, then turned to its own singular vectors. X'X q is a sum over rows, of which each task adds up
+    its own in one matrix of terms by k; blocks of these are all that is shuffled, and terms by k numbers come back.
     """
-    k = max(1, min(k, terms))
-    q = np.linalg.qr(np.random.default_rng(seed).normal(size=(terms, k)))[0]
-    for _ in range(8):
-        scores = project(weights, key, q)
-        back = weights.join(scores, key).select("term", F.posexplode(F.transform("v", lambda x: x * F.col("w"))).alias("j", "x")).groupBy("term", "j").agg(F.sum("x").alias("x"))
-        z = np.zeros((terms, k))
-        for r in back.collect():  # terms by k numbers
-            z[r["term"], r["j"]] = r["x"]
-        q = np.linalg.qr(z)[0]
-    return q
+    spark = weights.sparkSession
+    k, wide = max(1, min(k, terms)), max(1, min(k + extra, terms))
+    rows = kept(_by_row(weights, key).select("terms", "ws"))
+    rows = rows.coalesce(min(_TASKS, max(1, rows.rdd.getNumPartitions())))
+
+    def times(q: np.ndarray) -> np.ndarray:
+        shared = spark.sparkContext.broadcast(q)
+
+        def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            basis = shared.value
+            z = np.zeros_like(basis)
+            for b in filter(len, batches):
+                for starts, at, ws in _slices(b):
+                    y = np.repeat(_products(starts, at, ws, basis), np.diff(np.append(starts, len(at))), axis=0) * ws[:, None]
+                    order = np.argsort(at, kind="stable")
+                    first = np.flatnonzero(np.diff(at[order], prepend=-1))
+                    z[at[order][first]] += np.add.reduceat(y[order], first, axis=0)
+            for i in range(0, len(z), _TERMS):
+                if (part := z[i : i + _TERMS]).any():
+                    yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([part.tobytes()], pa.binary())], ["first", "block"])
+
+        def added(table: pa.Table) -> pa.Table:
+            total = sum(np.frombuffer(x.as_buffer(), dtype=float) for x in table.column("block"))
+            return pa.table({"first": table.column("first").slice(0, 1), "block": pa.array([total.tobytes()], pa.binary())})
+
+        sums = rows.mapInArrow(partial, "first long, block binary").groupBy("first").applyInArrow(added, "first long, block binary")
+        z = np.zeros_like(q)
+        for r in sums.collect():  # terms by k numbers
+            part = np.frombuffer(r["block"], dtype=float).reshape(-1, q.shape[1])
+            z[r["first"] : r["first"] + len(part)] = part
+        shared.unpersist()
+        return z
+
+    q = np.linalg.qr(np.random.default_rng(seed).normal(size=(terms, wide)))[0]
+    for _ in range(steps):
+        q = np.linalg.qr(times(q))[0]
+    values, turn = np.linalg.eigh(q.T @ times(q))
+    first = np.argsort(-values)[:k]
+    basis = q @ turn[:, first]
+    return basis * np.where(basis[np.abs(basis).argmax(axis=0), np.arange(k)] < 0, -1.0, 1.0), np.sqrt(np.maximum(values[first], 0.0))
+
+
+def fit_svd(weights: DataFrame, key: str, terms: int, k: int, seed: int = 7) -> np.ndarray:
+    """The basis of ``svd``; each vector's largest component is positive."""
+    return svd(weights, key, terms, k, seed)[0]
 
 
 def project(weights: DataFrame, key: str, basis: np.ndarray) -> DataFrame:
-    """(key, v): each row's weights times ``basis`` (terms by k)."""
-    spark = weights.sparkSession
-    table = F.broadcast(spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(basis)], "term int, b array<double>"))  # the model's size
-    each = weights.join(table, "term").select(key, F.posexplode(F.transform("b", lambda x: x * F.col("w"))).alias("j", "x"))
-    sums = each.groupBy(key, "j").agg(F.sum("x").alias("x"))
-    return sums.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("j", "x"))).alias("s")).select(key, F.col("s.x").alias("v"))
+    """(key, v): each row's weights times ``basis`` (terms by k), a product a batch of rows."""
+    shared = weights.sparkSession.sparkContext.broadcast(basis)
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in filter(len, batches):
+            v = np.concatenate([_products(*part, shared.value) for part in _slices(b)])
+            lists = pa.ListArray.from_arrays(np.arange(0, v.size + 1, v.shape[1], dtype=np.int32), v.ravel())
+            yield pa.RecordBatch.from_arrays([b.column(0), lists], [key, "v"])
+
+    return _by_row(weights, key).mapInArrow(placed, f"{key} {weights.schema[key].dataType.simpleString()}, v array<double>")
 
 
 @dataclass

@@ -78,14 +78,14 @@ def load(spark: SparkSession, root: str) -> Model:
     return Model(read("terms"), np.array([r["b"] for r in basis]), embedding.Numeric(list(s["means"]), list(s["scales"])), tuple(s["columns"]), read("centers"), read("edges"), dict(s["limits"]))
 
 
-def fit(rows: DataFrame, key: str, sequence: str, k: int = 8, dimensions: int = 16, most: int = 4000, columns: tuple[str, ...] = embedding.NUMERIC, seed: int = 7) -> Model:
+def fit(rows: DataFrame, key: str, sequence: str, k: int = 8, dimensions: int = 16, most: int = 20_000, columns: tuple[str, ...] = embedding.NUMERIC, seed: int = 7) -> Model:
     """A model of ``rows``: vectors, k-means clusters, transitions by cluster, and thresholds over the rows themselves."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
     tfidf = embedding.fit_tfidf(rows, key, sequence, most=most)
     n = tfidf.terms.count()
-    basis = embedding.fit_svd(tfidf.transform(rows, key, sequence).cache(), key, n, dimensions)
+    basis = embedding.fit_svd(tfidf.transform(rows, key, sequence), key, n, dimensions)
     model = Model(tfidf.terms, basis, embedding.fit_numeric(rows, columns), columns, None, None, {})
     v = model.vectors(rows, key, sequence).withColumn("features", array_to_vector("v")).cache()
     placed = KMeans(k=k, seed=seed, maxIter=20).fit(v).transform(v).select(key, "v", F.col("prediction").alias("cluster"))

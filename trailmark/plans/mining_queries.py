@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import density, embedding, naming, semantics
+from ..operators import journeys as J
 from ..operators import patterns as P
 from ..operators import vocabulary as V
 from ..sources import writers
@@ -24,12 +25,39 @@ def prefixspan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.array_join("tokens", " -> ").alias("pattern"), "length", "support_count", "support")
 
 
-@query()
+#: Patterns of the query: in that share of the journeys that models take, to that length, so many at most.
+SUPPORT, LONGEST, PATTERNS = 0.01, 5, 300
+PATTERN_SQL = f"""{ROLLUP_SQL}, s AS (
+  SELECT platform || '::' || session_id || '::' || journey_no AS journey_id, string_split(sequence, ' -> ') AS s FROM r WHERE n_events_final >= 3
+), n AS (SELECT count(*) AS n FROM s), p AS (
+  SELECT journey_id, s, [x] AS tokens, list_position(s, x) AS pos FROM (SELECT *, unnest(list_distinct(s)) AS x FROM s)
+  UNION ALL
+  SELECT journey_id, s, list_append(tokens, x), pos + list_position(s[pos + 1 :], x) FROM (SELECT *, unnest(list_distinct(s[pos + 1 :])) AS x FROM p WHERE len(tokens) < {LONGEST})
+), f AS (
+  SELECT tokens, len(tokens) AS length, count(*) AS k FROM p GROUP BY tokens HAVING count(*) >= greatest(2, round({SUPPORT} * (SELECT n FROM n)))
+), covered AS (
+  SELECT DISTINCT list_concat(tokens[: i - 1], tokens[i + 1 :]) AS tokens, k FROM f, generate_series(1, {LONGEST}) g(i) WHERE i <= length AND length > 1
+), closed AS (
+  SELECT *, array_to_string(tokens, ' -> ') AS name FROM f WHERE NOT EXISTS (SELECT 1 FROM covered c WHERE c.tokens = f.tokens AND c.k = f.k) AND length >= 2
+), quota AS (SELECT ceil({PATTERNS} / count(DISTINCT length)) AS quota FROM closed), few AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY length ORDER BY k DESC, name) AS i FROM closed), quota WHERE i <= quota
+), ranked AS (
+  SELECT *, printf('P%04d', no) AS pattern_id FROM (SELECT *, row_number() OVER (ORDER BY k DESC, length DESC, name) AS no FROM few) WHERE no <= {PATTERNS}
+), held AS (
+  SELECT journey_id, pattern_id, length, k FROM p JOIN ranked USING (tokens)
+)"""
+
+
+def _ranked(rows: DataFrame) -> DataFrame:
+    return kept(P.rank(P.close(kept(P.mine(rows, "sequence_tokens", SUPPORT, longest=LONGEST))), PATTERNS))
+
+
+@query(f"""WITH RECURSIVE {PATTERN_SQL}
+SELECT s.journey_id, count(pattern_id)::INT AS matched, arg_min(pattern_id, (-length, k, pattern_id)) AS candidate FROM s LEFT JOIN held USING (journey_id) GROUP BY s.journey_id""")
 def pattern_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Closed, ranked patterns of journeys, and each journey's own."""
-    rows = kept(rolled(spark, sf_dir).where("n_events_final > 1"))
-    ranked = P.rank(P.close(P.mine(rows, "sequence_tokens", 0.02, longest=3)), 60)
-    return P.candidates(rows, "journey_id", "sequence_tokens", ranked)
+    """Closed, ranked patterns of the journeys that models take, and each journey's own."""
+    rows = kept(J.eligible(rolled(spark, sf_dir)).where("model_eligible"))
+    return P.candidates(rows, "journey_id", "sequence_tokens", _ranked(rows))
 
 
 @query(f"""WITH RECURSIVE {JOURNEY_SQL} SELECT CASE WHEN seen = 'k0' THEN 'home' WHEN seen IN ('k1', 'k2') THEN 'shop' WHEN seen = 'k3' THEN 'support' ELSE 'unknown' END AS around, event_type, count(*) AS events FROM je WHERE event_type = 'view' GROUP BY ALL""")
@@ -131,23 +159,30 @@ def tfidf_norms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def svd_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Journeys in eight dimensions: rows, dimension and length of the vectors."""
+    """Journeys in 64 dimensions of 20,000 n-grams at most: rows, dimension and length of the vectors."""
     rows = kept(rolled(spark, sf_dir))
-    model = embedding.fit_tfidf(rows, "journey_id", "sequence_tokens", most=300)
+    model = embedding.fit_tfidf(rows, "journey_id", "sequence_tokens")
     weights = kept(model.transform(rows, "journey_id", "sequence_tokens"))
-    basis = embedding.fit_svd(weights, "journey_id", model.terms.count(), 8)
+    basis = embedding.fit_svd(weights, "journey_id", model.terms.count(), 64)
     v = embedding.project(weights, "journey_id", basis).withColumn("v", embedding.unit(F.col("v")))
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
     return v.groupBy(F.size("v").alias("dimensions"), F.round(norm, 4).alias("norm")).agg(F.count("*").alias("rows"))
 
 
-@query(f"""WITH RECURSIVE {ROLLUP_SQL}, x AS (SELECT platform || '::' || session_id || '::' || journey_no AS journey_id, ln(1 + greatest(n_events_final, 0)) AS a, action_ratio AS b, ln(1 + greatest(span_seconds, 0)) AS c FROM r),
-z AS (SELECT journey_id, (a - avg(a) OVER ()) / stddev_pop(a) OVER () AS a, (b - avg(b) OVER ()) / stddev_pop(b) OVER () AS b, (c - avg(c) OVER ()) / stddev_pop(c) OVER () AS c FROM x)
-SELECT journey_id, round(a / sqrt(a * a + b * b + c * c), 6) AS events, round(b / sqrt(a * a + b * b + c * c), 6) AS actions, round(c / sqrt(a * a + b * b + c * c), 6) AS span FROM z""")
+#: The behaviour block in SQL; back_rate and n_loop_removed are 0 throughout, as no name goes back and cycles stay.
+_BLOCK = {c: (c if c in ("action_ratio", "revisit_ratio") else f"ln(1 + greatest({c}, 0))") if c not in ("back_rate", "n_loop_removed") else "0.0" for c in embedding.NUMERIC}
+_SCALED = ", ".join(f"(x{i} - avg(x{i}) OVER ()) / coalesce(nullif(stddev_pop(x{i}) OVER (), 0), 1) AS z{i}" for i in range(len(_BLOCK)))
+_LENGTH = "sqrt(" + " + ".join(f"z{i} * z{i}" for i in range(len(_BLOCK))) + ")"
+
+
+@query(f"""WITH RECURSIVE {ROLLUP_SQL}, x AS (
+  SELECT platform || '::' || session_id || '::' || journey_no AS journey_id, {", ".join(f"{x} AS x{i}" for i, x in enumerate(_BLOCK.values()))} FROM r JOIN raw USING (platform, session_id, journey_no)
+), z AS (SELECT journey_id, {_SCALED} FROM x)
+SELECT journey_id, {", ".join(f"round(z{i} / {_LENGTH}, 6) AS {c}" for i, c in enumerate(_BLOCK))} FROM z""")
 def numeric_block(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, columns = kept(rolled(spark, sf_dir)), ("n_events_final", "action_ratio", "span_seconds")
-    v = embedding.fit_numeric(rows, columns).transform(columns)
-    return rows.select("journey_id", v.alias("v")).select("journey_id", *(F.round(F.col("v")[i], 6).alias(n) for i, n in enumerate(("events", "actions", "span"))))
+    rows = kept(rolled(spark, sf_dir))
+    v = embedding.fit_numeric(rows).transform()
+    return rows.select("journey_id", v.alias("v")).select("journey_id", *(F.round(F.col("v")[i], 6).alias(c) for i, c in enumerate(embedding.NUMERIC)))
 
 
 @query()
@@ -163,13 +198,12 @@ def cluster_stability(spark: SparkSession, sf_dir: str) -> DataFrame:
     return density.stability(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", min_size=20)
 
 
-@query()
+@query(f"""WITH RECURSIVE {PATTERN_SQL}, w AS (SELECT journey_id, count(pattern_id)::INT AS matched FROM s LEFT JOIN held USING (journey_id) GROUP BY journey_id)
+SELECT matched, (least(64, (SELECT count(*) FROM ranked)) + {len(embedding.NUMERIC)})::INT AS dimensions, count(*) AS rows FROM w GROUP BY matched""")
 def pattern_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Journeys as vectors of the closed patterns that they contain: rows by patterns matched and dimension."""
-    rows = kept(rolled(spark, sf_dir).where("n_events_final > 1"))
-    ranked = kept(P.rank(P.close(P.mine(rows, "sequence_tokens", 0.02, longest=3)), 300))
-    numeric = embedding.fit_numeric(rows, ("n_events_final", "action_ratio", "span_seconds")).transform(("n_events_final", "action_ratio", "span_seconds"))
-    v = embedding.pattern_vectors(rows, "journey_id", "sequence_tokens", ranked, 16, numeric)
+    rows = kept(J.eligible(rolled(spark, sf_dir)).where("model_eligible"))
+    v = embedding.pattern_vectors(rows, "journey_id", "sequence_tokens", _ranked(rows), 64, embedding.fit_numeric(rows).transform())
     return v.groupBy("matched", F.size("v").alias("dimensions")).agg(F.count("*").alias("rows"))
 
 
