@@ -1,24 +1,24 @@
-"""Density clustering of a bounded sample (HDBSCAN); the rest is assigned to its clusters' centroids.
+"""Density clusters (HDBSCAN): a spanning tree of mutual reachability, condensed; the rest is assigned to centroids.
 
-The sample's size is a documented parameter: the method needs all its distances, so it is a model fit and no operator
-over all rows. Centroids and assignment (``clusters``) then run over any number of rows.
+Vectors stay on the cluster: ``spanning`` finds exact neighbours and joins components in rounds. What is then read in order
+is the tree's edges, three numbers each, one task a tree; their number is bounded by ``sample``, a documented parameter
+of the model's fit. Centroids and assignment (``clusters``) run over any number of rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..contracts import NOISE
-from . import clusters
+from ..store import kept
+from . import clusters, spanning
 
 
-def _tree(x: np.ndarray, neighbours: int) -> np.ndarray:
-    """Minimum spanning tree of mutual reachability distances (Prim, one row of distances at a time): (a, b, distance)."""
+def tree_of(x: np.ndarray, neighbours: int) -> np.ndarray:
+    """Minimum spanning tree of mutual reachability distances of a few points (Prim, one row of distances at a time): (a, b, distance)."""
     n = len(x)
     square = (x**2).sum(1)
     row = lambda i: np.sqrt(np.maximum(square + square[i] - 2 * x @ x[i], 0))
@@ -36,8 +36,12 @@ def _tree(x: np.ndarray, neighbours: int) -> np.ndarray:
 
 
 def hdbscan(x: np.ndarray, min_size: int = 100, neighbours: int = 5) -> np.ndarray:
-    """Labels of the most stable clusters of the condensed tree; -1 is noise."""
-    n = len(x)
+    """Labels of a few points in memory; -1 is noise."""
+    return condense(len(x), tree_of(x, neighbours), min_size) if len(x) >= 2 * min_size else np.full(len(x), NOISE)
+
+
+def condense(n: int, edges: np.ndarray, min_size: int = 100) -> np.ndarray:
+    """Labels of the most stable clusters of the condensed tree of ``n`` points, from the ``edges`` (a, b, distance) in order."""
     if n < 2 * min_size:
         return np.full(n, NOISE)
     parent = list(range(2 * n - 1))
@@ -49,7 +53,7 @@ def hdbscan(x: np.ndarray, min_size: int = 100, neighbours: int = 5) -> np.ndarr
         return i
 
     size, kids, birth = [1] * n + [0] * (n - 1), {}, {}
-    for k, (a, b, d) in enumerate(_tree(x, neighbours)):
+    for k, (a, b, d) in enumerate(edges):
         a, b = root(int(a)), root(int(b))
         parent[a] = parent[b] = n + k
         size[n + k], kids[n + k], birth[n + k] = size[a] + size[b], (a, b), 1 / max(d, 1e-12)
@@ -112,6 +116,33 @@ def label_all(rows: DataFrame, key: str, vector: str, sample: int = 20_000, min_
     return out.select(key, F.coalesce("cluster", F.when(far, NOISE).otherwise(F.col("cluster_1"))).alias("cluster"), F.coalesce("fitted", F.lit(False)).alias("fitted"))
 
 
+def labels(points: DataFrame, min_size: int = 100, neighbours: int = 5) -> DataFrame:
+    """(run, id, cluster) of each run of ``points`` (run, id, v)."""
+    edges = spanning.tree(points, neighbours)
+
+    def cut(t: pd.DataFrame) -> pd.DataFrame:
+        t = t.sort_values(["d", "a", "b"])
+        ids, at = np.unique(np.concatenate([t["a"], t["b"]]), return_inverse=True)
+        found = condense(len(ids), np.column_stack([at[: len(t)], at[len(t) :], t["d"]]), min_size)
+        return pd.DataFrame({"run": np.full(len(ids), t["run"].iloc[0]), "id": ids, "cluster": found})
+
+    found = edges.groupBy("run").applyInPandas(cut, "run int, id long, cluster int")
+    return points.select("run", "id").join(found, ["run", "id"], "left").select("run", "id", F.coalesce("cluster", F.lit(NOISE)).alias("cluster"))
+
+
+def _picked(rows: DataFrame, key: str, vector: str, sample: int) -> DataFrame:
+    """(key, id, v) of at most ``sample`` rows, those with the smallest hashes of their key; written once, so that ids stay."""
+    few = rows.select(key, F.col(vector).cast("array<double>").alias("v")).orderBy(F.xxhash64(key), key).limit(sample)
+    return kept(few.withColumn("id", F.monotonically_increasing_id()))
+
+
+def fit(rows: DataFrame, key: str, vector: str, sample: int = 20_000, min_size: int = 100, neighbours: int = 5) -> DataFrame:
+    """(key, cluster) of at most ``sample`` rows, those with the smallest hashes of their key."""
+    picked = _picked(rows, key, vector, sample)
+    found = labels(picked.select(F.lit(0).alias("run"), "id", "v"), min_size, neighbours)
+    return kept(picked.select(key, "id").join(found, "id").select(key, "cluster"))
+
+
 def rand_index(a: np.ndarray, b: np.ndarray) -> float:
     """Adjusted Rand index of two labellings."""
     cells = np.unique(np.stack([a, b]), axis=1, return_counts=True)[1]
@@ -124,25 +155,21 @@ def rand_index(a: np.ndarray, b: np.ndarray) -> float:
 def stability(rows: DataFrame, key: str, vector: str, runs: int = 5, share: float = 0.8, sample: int = 20_000, min_size: int = 100, neighbours: int = 5, seed: int = 7) -> DataFrame:
     """(run, n_clusters, ari_vs_full, noise_share): whether the fit's clusters survive fits to ``share`` of its sample.
 
-    The sample is the one of ``fit``; each run is a task of its own.
+    The sample is the one of ``fit``; the fit and all runs, each a draw by its own hashes, are one set of trees.
     """
-    picked = rows.select(key, vector).orderBy(F.xxhash64(key), key).limit(sample).collect()
-    x = np.array([r[vector] for r in picked], dtype=float)
-    full = hdbscan(x, min_size, neighbours) if len(x) else np.zeros(0, dtype=int)
-
-    def again(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for run in b["id"]:
-                at = np.random.default_rng([seed, int(run)]).choice(len(x), size=int(len(x) * share), replace=False)
-                own = hdbscan(x[at], min_size, neighbours) if len(at) else np.zeros(0, dtype=int)
-                noise = float((own == NOISE).mean()) if len(at) else 0.0
-                yield pd.DataFrame({"run": [int(run)], "n_clusters": [len(set(own.tolist()) - {NOISE})], "ari_vs_full": [round(rand_index(full[at], own), 4)], "noise_share": [round(noise, 4)]})
-
-    return rows.sparkSession.range(runs).repartition(runs).mapInPandas(again, "run int, n_clusters int, ari_vs_full double, noise_share double")
-
-
-def fit(rows: DataFrame, key: str, vector: str, sample: int = 20_000, min_size: int = 100, neighbours: int = 5) -> DataFrame:
-    """(key, cluster) of at most ``sample`` rows, those with the smallest hashes of their key."""
-    picked = rows.select(key, vector).orderBy(F.xxhash64(key), key).limit(sample).collect()
-    labels = hdbscan(np.array([r[vector] for r in picked], dtype=float), min_size, neighbours) if picked else []
-    return rows.sparkSession.createDataFrame([(r[key], int(c)) for r, c in zip(picked, labels)], f"{key} {rows.schema[key].dataType.simpleString()}, cluster int")
+    picked = _picked(rows, key, vector, sample)
+    n = picked.count()
+    drawn = picked.withColumn("run", F.explode(F.sequence(F.lit(0), F.lit(runs))))
+    luck = F.row_number().over(Window.partitionBy("run").orderBy(F.xxhash64("id", "run", F.lit(seed)), "id"))  # ``sample`` rows at most
+    points = kept(drawn.withColumn("_n", luck).where((F.col("run") == 0) | (F.col("_n") <= int(n * share))).select("run", "id", "v"))
+    found = kept(labels(points, min_size, neighbours))
+    full = found.where("run = 0").select("id", F.col("cluster").alias("full"))
+    cells = found.where("run > 0").join(full, "id").groupBy("run", "cluster", "full").agg(F.count("*").alias("n"))
+    two = lambda c: F.sum(F.col(c) * (F.col(c) - 1) / 2)
+    of = lambda c: cells.groupBy("run", c).agg(F.sum("n").alias("m")).groupBy("run").agg(two("m").alias(f"in_{c}"))
+    whole = cells.groupBy("run").agg(two("n").alias("same"), F.sum("n").alias("all"), F.sum(F.when(F.col("cluster") == NOISE, F.col("n")).otherwise(0)).alias("noise"), F.count_distinct(F.nullif("cluster", F.lit(NOISE))).alias("k"))
+    both = whole.join(of("cluster"), "run").join(of("full"), "run")
+    expected = F.col("in_cluster") * F.col("in_full") / F.greatest(F.lit(1.0), F.col("all") * (F.col("all") - 1) / 2)
+    top = (F.col("in_cluster") + F.col("in_full")) / 2
+    ari = F.when(top == expected, 1.0).otherwise((F.col("same") - expected) / F.nullif(top - expected, F.lit(0.0)))
+    return both.select((F.col("run") - 1).alias("run"), F.col("k").cast("int").alias("n_clusters"), F.round(ari, 4).alias("ari_vs_full"), F.round(F.col("noise") / F.col("all"), 4).alias("noise_share"))
