@@ -88,6 +88,47 @@ def semantic_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("token_l3", "token_l2", "token_l1", "token_operation", "semantic_confidence").agg(F.count("*").alias("events"))
 
 
+#: A taxonomy out of the parts: their names with brands (of large parts), their names (of small ones), brands, nouns, types.
+PART_OPERATIONS = {"economy": "view", "large": "list", "medium": "select", "promo": "share", "small": "search", "standard": "open"}
+PART_PHRASES_SQL = f"""b AS (
+  SELECT p_partkey, p_size, lower(p_name) AS name, lower(replace(p_brand, '#', '')) AS brand, lower(p_type) AS kind FROM part
+), phrases AS (
+  SELECT DISTINCT 'strong' AS section, name || ' ' || brand AS phrase, split_part(name, ' ', 2) AS value, brand AS module FROM b WHERE p_size >= 15
+  UNION ALL SELECT DISTINCT 'weak', name, split_part(name, ' ', 2), 'general' FROM b WHERE p_size < 5
+  UNION ALL SELECT DISTINCT 'fallback', brand, 'branded', brand FROM b WHERE p_size % 2 = 0
+  UNION ALL SELECT DISTINCT 'object', split_part(name, ' ', 2), split_part(name, ' ', 2), NULL FROM b
+  UNION ALL SELECT * FROM (VALUES {", ".join(f"('operation', '{k}', '{v}', NULL)" for k, v in PART_OPERATIONS.items())}) o(section, phrase, value, module)
+)"""
+
+
+@query(f"""WITH {PART_PHRASES_SQL}, spans AS (
+  SELECT p_partkey, i, j, array_to_string(w[i:j], ' ') AS phrase FROM (SELECT p_partkey, string_split(name || ' ' || brand || ' ' || kind, ' ') AS w FROM b), generate_series(1, 4) x(i), generate_series(1, 4) y(j) WHERE i <= j AND j <= len(w)
+), hits AS (
+  SELECT *, row_number() OVER (PARTITION BY p_partkey, CASE WHEN section IN ('object', 'operation') THEN section END ORDER BY CASE section WHEN 'strong' THEN 1 WHEN 'weak' THEN 2 ELSE 3 END, module = 'general', j DESC, i) AS r FROM spans JOIN phrases USING (phrase)
+), best AS (
+  SELECT p_partkey, max(CASE WHEN section NOT IN ('object', 'operation') THEN {{'section': section, 'value': value, 'module': module, 'phrase': replace(phrase, ' ', '_')}} END) AS s,
+    max(CASE WHEN section = 'object' THEN value END) AS o, max(CASE WHEN section = 'operation' THEN {{'value': value, 'phrase': phrase}} END) AS p FROM hits WHERE r = 1 GROUP BY p_partkey
+)
+SELECT b.p_partkey, coalesce(s.value, 'unknown') AS business_family, coalesce(s.module, 'unknown') AS business_module, CASE WHEN s IS NULL THEN 'unknown' ELSE coalesce(o, 'unknown') END AS business_object,
+  CASE WHEN s IS NULL THEN 'unknown' ELSE coalesce(p.value, 'view') END AS operation,
+  CASE WHEN s IS NULL THEN 'unknown' ELSE CASE coalesce(p.value, 'view') WHEN 'view' THEN 'entry' WHEN 'open' THEN 'entry' WHEN 'share' THEN 'commit' ELSE 'browse' END END AS operation_stage,
+  CASE WHEN s IS NULL THEN 0 ELSE round(CASE s.section WHEN 'strong' THEN 0.40 ELSE 0.20 END + CASE s.module WHEN 'general' THEN 0.05 ELSE 0.20 END + CASE WHEN o IS NULL THEN 0 ELSE 0.15 END + CASE WHEN p IS NULL THEN 0.10 ELSE 0.25 END, 3) END AS semantic_confidence,
+  CASE WHEN s IS NULL THEN '' ELSE concat_ws(';', 'family=' || s.value || '<-screen:' || s.phrase, 'module=' || s.module || '<-screen:' || s.phrase, 'object=' || o || '<-screen:' || o, coalesce('operation=' || p.value || '<-screen:' || p.phrase, 'operation=view<-screen:event_type')) END AS semantic_evidence
+FROM b LEFT JOIN best USING (p_partkey)""")
+def part_meanings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every part as a view whose path is its name, brand and type, labelled by a taxonomy table of over a thousand phrases."""
+    part = table(spark, sf_dir, "part")
+    name, brand, noun = F.lower("p_name"), F.lower(F.replace("p_brand", F.lit("#"), F.lit(""))), F.lower(F.substring_index("p_name", " ", -1))
+    rows = lambda section, where, phrase, value, module: part.where(where).select(F.lit(section).alias("section"), phrase.alias("phrase"), value.alias("value"), module.alias("module")).distinct()
+    phrases = rows("strong", "p_size >= 15", F.concat_ws(" ", name, brand), noun, brand).union(rows("weak", "p_size < 5", name, noun, F.lit("general")))
+    phrases = phrases.union(rows("fallback", "p_size % 2 = 0", brand, F.lit("branded"), brand)).union(rows("object", "true", noun, noun, F.lit(None)))
+    operations = spark.createDataFrame([("operation", k, v, None) for k, v in PART_OPERATIONS.items()], "section string, phrase string, value string, module string")
+    taxonomy = semantics.Taxonomy.from_rows(phrases.union(operations))
+    path = F.concat_ws("/", "p_name", F.replace("p_brand", F.lit("#"), F.lit("")), F.concat(F.lower("p_type"), F.lit("VC?x=1")))
+    seen = part.select("p_partkey", F.lit("view").alias("event_type"), path.alias("screen_context"), F.lit(None).cast("string").alias("segment_name"))
+    return semantics.annotate(seen, taxonomy).select("p_partkey", *semantics.COLUMNS)
+
+
 _KNOWN = ", ".join(f"round(avg(CAST({a} <> 'unknown' AS INT)), 6) AS known_{b}" for a, b in (("family", "business_family"), ("module", "business_module"), ("thing", "business_object"), ("operation", "operation"), ("stage", "operation_stage")))
 
 
