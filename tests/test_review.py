@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from trailmark.operators import density, events, naming, review, scoring, semantics, serving
+from trailmark.operators import density, drift, events, naming, review, scoring, semantics, serving
 from trailmark.operators import vocabulary as V
 from trailmark.sources import readers
 
@@ -153,3 +153,36 @@ def test_scoring_end_to_end_against_numpy(spark, tmp_path):
             assert got[k].next_action == min(after, key=lambda t: (-after[t], t))
     assert got["new"].next_action is None and got["empty"].next_action is None
     assert len({got[f"j{i}"].nearest_cluster for i in range(0, 60, 2)}) == 1
+
+
+def test_drift_signals_against_exact_counts(spark):
+    rng = np.random.default_rng(6)
+    rows = []
+    for day in range(5):
+        for _ in range(400):
+            tokens = [f"t{x}" for x in rng.integers(0, 900 + 300 * (day == 4), 12)]
+            rows.append((day, tokens, float(rng.exponential(1 + 0.5 * (day == 4))), int(rng.choice([-1, 0, 1, 2], p=[0.05, 0.5, 0.3, 0.15] if day < 4 else [0.2, 0.2, 0.3, 0.3]))))
+    rows += [(4, ["t1"], None, None)]
+    days = drift.sketches(spark.createDataFrame(rows, "d int, s array<string>, x double, c int"), "d", "s", "x", "c")
+    got = {(r.day, r.signal): r for r in drift.signals(drift.united(days.where("day < 3")), days.where("day >= 3")).collect()}
+    old, seen = [r for r in rows if r[0] < 3], {t for r in rows if r[0] < 3 for t in r[1]}
+    for day in (3, 4):
+        own = [r for r in rows if r[0] == day]
+        tokens = {t for r in own for t in r[1]}
+        assert got[day, "new_token_rate"].value == pytest.approx(len(tokens - seen) / len(tokens), abs=0.03)
+        assert got[day, "unassigned_rate"].value == pytest.approx(np.mean([r[3] in (-1, None) for r in own]))
+        change = np.median([r[2] for r in own if r[2] is not None]) / np.median([r[2] for r in old]) - 1
+        assert got[day, "median_distance_change"].value == pytest.approx(change, abs=0.06)
+        share = lambda part, c: max(1e-6, np.mean([(r[3] if r[3] is not None else -1) == c for r in part]))
+        assert got[day, "psi"].value == pytest.approx(sum((share(own, c) - share(old, c)) * np.log(share(own, c) / share(old, c)) for c in (-1, 0, 1, 2)))
+    assert {s for (d, s), r in got.items() if d == 4 and r.alarm} == set(drift.LIMITS) and not any(r.alarm for (d, _), r in got.items() if d == 3)
+
+
+def test_shared_levels_and_reviewed_rules(spark):
+    rows = [(1, "M01.01.01"), (1, "M01.01.01"), (2, "M01.01.01"), (2, "M01.01.02"), (3, "M01.01.01"), (3, "M01.02"), (4, "M01.01.01"), (4, "M02.01.01"), (5, None), (6, "M03"), (6, None), (7, "M01.01"), (7, "M01.01.05")]
+    got = {r.cluster: (r.node, r.level, r.agreed) for r in naming.shared_level(spark.createDataFrame(rows, "c int, n string"), "c", "n").collect()}
+    assert got == {1: ("M01.01.01", "feature", 2), 2: ("M01.01", "submodule", 2), 3: ("M01", "module", 2), 4: (None, "unclassified", 2), 5: (None, "unclassified", 0), 6: ("M03", "module", 1), 7: ("M01.01", "submodule", 2)}
+    tokens = spark.createDataFrame([(1, "home"), (1, "pay"), (2, "home"), (2, "home"), (3, "pay"), (3, "bill"), (4, "else")], "cluster int, token string")
+    rules = spark.createDataFrame([("home", "M09.01.01"), ("pay", "M01.01.01"), ("bill", "M01.01.02")], "token string, node string")
+    got = {r.cluster: (r.node, r.level, r.source) for r in naming.reviewed(tokens, rules, ("home",)).collect()}
+    assert got == {1: ("M01.01.01", "feature", "rule"), 2: ("M09.01.01", "feature", "hub"), 3: ("M01.01", "submodule", "rule"), 4: (None, "unclassified", "none")}

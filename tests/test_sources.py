@@ -1,11 +1,12 @@
 """Sources and sinks."""
 
 import json
+import sqlite3
 
 import pytest
 from pyspark.sql import functions as F
 
-from trailmark.sources import readers, writers
+from trailmark.sources import readers, tables, writers
 
 
 def test_csv_folder_unites_columns_and_skips_litter(spark, tmp_path):
@@ -76,3 +77,43 @@ def test_summary_shape(spark):
     assert (a.journey_id, a.customer_id, a.sequence, a.severe_anomaly, a.effective_cluster_key, a.taxonomy_id) == ("2026-03-25_android::J1", "6039276", "a,b", 1, "C:3", "M01.01.01")
     assert (a.start_time, a.end_time) == ("2026-03-25 00:00:00.123", "2026-03-25 00:00:00")
     assert (b.effective_cluster_key, b.taxonomy_id, b.severe_anomaly) == ("UNKNOWN", None, 0)
+
+
+def test_large_buckets_are_split_by_session(spark, tmp_path):
+    rows = spark.createDataFrame([(f"s{i % 50}", "ios", i) for i in range(500)], "session_id string, platform string, n int")
+    writers.event_store(rows, str(tmp_path / "store"), 2, rows_per_file=60)
+    back = readers.parquet(spark, str(tmp_path / "store")).withColumn("file", F.input_file_name())
+    files = back.groupBy("bucket", "file").agg(F.count("*").alias("n")).collect()
+    assert len(files) > 4 and sum(r.n for r in files) == 500
+    assert back.groupBy("session_id").agg(F.count_distinct("file").alias("n")).where("n > 1").count() == 0
+    writers.event_store(rows.where("n < 0"), str(tmp_path / "none"))
+
+
+def rows_of(database):
+    with sqlite3.connect(database) as c:
+        return sorted(c.execute("SELECT batch_date, version, id, name FROM summary")), [r[0] for r in c.execute("SELECT name FROM sqlite_master WHERE name LIKE '%stage%'")]
+
+
+def test_batches_are_replaced_all_or_nothing(spark, tmp_path):
+    path = str(tmp_path / "t.db")
+    with sqlite3.connect(path) as c:
+        c.execute("CREATE TABLE summary (batch_date TEXT, version TEXT, id INTEGER, name TEXT)")
+    connect = {"database": path, "timeout": 60}
+    batch = lambda day, ids: spark.createDataFrame([(day, "v1", i, f"n{i}" if i % 2 else None) for i in ids], "batch_date string, version string, id int, name string").repartition(3)
+    put = lambda day, ids: tables.replace_batch(batch(day, ids), "summary", {"batch_date": day, "version": "v1"}, "sqlite3", connect, 2)
+    put("d1", range(7))
+    put("d2", range(3))
+    put("d1", range(5))
+    put("d1", range(5))  # a rerun
+    want = sorted([("d1", "v1", i, f"n{i}" if i % 2 else None) for i in range(5)] + [("d2", "v1", i, f"n{i}" if i % 2 else None) for i in range(3)], key=repr)
+    found, stages = rows_of(path)[0], rows_of(path)[1]
+    assert sorted(found, key=repr) == want and stages == []
+    mixed = batch("d1", range(50, 60)).union(batch("d2", [99]))  # one task fails
+    with pytest.raises(Exception, match="another batch"):
+        tables.replace_batch(mixed, "summary", {"batch_date": "d1", "version": "v1"}, "sqlite3", connect)
+    assert sorted(rows_of(path)[0], key=repr) == want and rows_of(path)[1] == []
+    put("d2", [])
+    assert {r[0] for r in rows_of(path)[0]} == {"d1"}
+    for table, replace in (("sum mary", {"version": "v1"}), ("summary", {"x": "1"}), ("summary", {})):
+        with pytest.raises(Exception, match="not a name|replace is empty"):
+            tables.replace_batch(batch("d1", [1]), table, replace, "sqlite3", connect)

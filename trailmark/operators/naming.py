@@ -161,3 +161,37 @@ def label_columns(rows: DataFrame, english: bool = True) -> DataFrame:
     if english:
         kind, family = F.coalesce(of("journey_type_en"), kind), F.initcap(F.replace(F.coalesce(of("business_family_code"), family), F.lit("_"), F.lit(" ")))
     return rows.withColumns({"type_label": kind, "family_label": family})
+
+
+def shared_level(evidence: DataFrame, cluster: str, node: str) -> DataFrame:
+    """(cluster, node, level, agreed): the deepest level of the taxonomy on which all of a cluster's nodes agree.
+
+    Nodes are ids like ``M01.02.03``; the levels are their prefixes of 9, 6 and 3 characters. A prefix is agreed on if its
+    least and its greatest are the same and no node is shorter, so ties decide nothing and only two values a level and
+    cluster are kept. Null nodes say nothing; a cluster without a node, or whose nodes share no module, has none.
+    """
+    known = evidence.groupBy(cluster)
+    sizes = {"feature": 9, "submodule": 6, "module": 3}
+    prefix = lambda n: F.substring(node, 1, n)
+    one = lambda n: F.when((F.min(F.length(node)) >= n) & (F.min(prefix(n)) == F.max(prefix(n))), F.min(prefix(n)))
+    found = known.agg(*(one(n).alias(level) for level, n in sizes.items()), F.count(node).alias("agreed"))
+    level = F.lit("unclassified")
+    for name in reversed(sizes):
+        level = F.when(F.col(name).isNotNull(), name).otherwise(level)
+    return found.select(F.col(cluster).alias("cluster"), F.coalesce(*sizes).alias("node"), level.alias("level"), "agreed")
+
+
+def reviewed(tokens: DataFrame, rules: DataFrame, hubs: tuple[str, ...] = ()) -> DataFrame:
+    """(cluster, node, source) of clusters from their ``tokens`` (cluster, token) by reviewed ``rules`` (token, node).
+
+    Tokens of ``hubs`` (home pages and the like) lead everywhere, so their rules count only where a cluster has no other
+    rule. All of a cluster's rules together give the deepest level that they share (``shared_level``); source is rule, hub
+    if only hubs spoke, or none.
+    """
+    hits = tokens.select("cluster", "token").distinct().join(rules.select("token", "node").distinct(), "token", "left")
+    hub = F.col("token").isin(*hubs) & F.col("node").isNotNull() if hubs else F.lit(False)
+    hits = hits.withColumns({"own": F.when(~hub, F.col("node")), "hub": F.when(hub, F.col("node"))})
+    speaks = hits.groupBy("cluster").agg(F.count("own").alias("n_own"), F.count("hub").alias("n_hub"))
+    chosen = hits.join(speaks, "cluster").select("cluster", F.when(F.col("n_own") > 0, F.col("own")).otherwise(F.col("hub")).alias("node"))
+    found = shared_level(chosen, "cluster", "node").join(speaks, "cluster")
+    return found.select("cluster", "node", "level", F.when(F.col("n_own") > 0, "rule").when(F.col("n_hub") > 0, "hub").otherwise("none").alias("source"))

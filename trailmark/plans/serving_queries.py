@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import drift, naming
 from ..operators import serving as S
 from .journey_queries import EVENTS_SQL, stream
-from .registry import query, table
+from .registry import kept, query, table
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -183,3 +184,31 @@ def ordered_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT o_orderstatus, count(*) AS orders FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1994-03-01' AND DATE '1996-02-29' GROUP BY o_orderstatus""")
 def date_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.between(table(spark, sf_dir, "orders"), "o_orderdate", "1994-03-01", "1996-02-29").groupBy("o_orderstatus").agg(F.count("*").alias("orders"))
+
+
+@query("""WITH t AS (SELECT n_regionkey AS cluster, printf('M%02d.%02d.%02d', CASE WHEN n_regionkey = 4 THEN n_nationkey % 3 ELSE n_regionkey END, CASE WHEN n_regionkey = 1 THEN n_nationkey % 2 ELSE 7 END, n_nationkey % (1 + n_regionkey)) AS node FROM nation),
+l AS (SELECT cluster, count(*) AS agreed, count(DISTINCT node) AS f, count(DISTINCT substr(node, 1, 6)) AS s, count(DISTINCT substr(node, 1, 3)) AS m, min(node) AS node FROM t GROUP BY cluster)
+SELECT cluster, CASE WHEN f = 1 THEN node WHEN s = 1 THEN substr(node, 1, 6) WHEN m = 1 THEN substr(node, 1, 3) END AS node,
+  CASE WHEN f = 1 THEN 'feature' WHEN s = 1 THEN 'submodule' WHEN m = 1 THEN 'module' ELSE 'unclassified' END AS level, agreed FROM l""")
+def shared_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The deepest level that all nations of a region share, each nation given a node of a taxonomy."""
+    region, n = F.col("n_regionkey"), F.col("n_nationkey")
+    node = F.format_string("M%02d.%02d.%02d", F.when(region == 4, n % 3).otherwise(region), F.when(region == 1, n % 2).otherwise(7), n % (1 + region))
+    return naming.shared_level(table(spark, sf_dir, "nation").select(region.alias("cluster"), node.alias("node")), "cluster", "node")
+
+
+@query("""WITH o AS (SELECT year(o_orderdate) AS y, CASE WHEN o_orderkey % 11 = 0 THEN -1 ELSE (o_custkey + year(o_orderdate) // 1999) % 4 END AS c, o_totalprice AS d, 'k' || (o_custkey % (year(o_orderdate) - 1985)) AS t FROM orders),
+b AS (SELECT * FROM o WHERE y <= 1996), yc AS (SELECT y, c, count(*) AS n FROM o WHERE y > 1996 GROUP BY ALL), bc AS (SELECT c, count(*) AS n FROM b GROUP BY c),
+p AS (SELECT y, coalesce(greatest(n / sum(n) OVER (PARTITION BY y), 1e-6), 1e-6) AS q, (SELECT greatest(bc.n / (SELECT count(*) FROM b), 1e-6) FROM bc WHERE bc.c = yc.c) AS p FROM yc)
+SELECT y AS day, 'psi' AS signal, round(sum((q - p) * ln(q / p)), 6) AS value FROM p GROUP BY y
+UNION ALL SELECT y, 'unassigned_rate', round(avg((c = -1)::INT), 6) FROM o WHERE y > 1996 GROUP BY y
+UNION ALL SELECT y, 'new_token_rate', round(count(DISTINCT t) FILTER (WHERE t NOT IN (SELECT t FROM b)) / count(DISTINCT t), 6) FROM o WHERE y > 1996 GROUP BY y""")
+def drift_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Years of orders as days of scored journeys against the first years; few tokens, which the sketch counts without error."""
+    year = F.year("o_orderdate")
+    cluster = F.when(F.col("o_orderkey") % 11 == 0, -1).otherwise((F.col("o_custkey") + F.floor(year / 1999)) % 4)
+    token = F.concat(F.lit("k"), (F.col("o_custkey") % (year - 1985)).cast("string"))
+    rows = table(spark, sf_dir, "orders").select(year.alias("day"), F.array(token).alias("s"), F.col("o_totalprice").alias("d"), cluster.cast("int").alias("c"))
+    days = kept(drift.sketches(rows, "day", "s", "d", "c"))
+    found = drift.signals(drift.united(days.where("day <= 1996")), days.where("day > 1996"))
+    return found.where("signal <> 'median_distance_change'").select("day", "signal", F.round("value", 6).alias("value"))

@@ -9,10 +9,19 @@ from ..contracts import NOISE
 from ..functions import names as N
 
 
-def event_store(rows: DataFrame, path: str, buckets: int = 64) -> None:
-    """Raw events by platform and session bucket; an output that exists is an error. One shuffle puts a bucket together."""
+def event_store(rows: DataFrame, path: str, buckets: int = 64, rows_per_file: int = 20_000_000) -> None:
+    """Raw events by platform and session bucket; an output that exists is an error.
+
+    One shuffle puts a bucket's sessions together, in as many files as its rows need; a session is in one of them. Rows
+    are counted by bucket first (platforms times ``buckets`` numbers), so no task writes more than its share at any size.
+    """
     keyed = rows.withColumn("platform", N.platform(F.col("platform"))).withColumn("bucket", N.session_bucket(F.col("platform"), F.col("session_id").cast("string"), buckets))
-    keyed.repartition("platform", "bucket").write.option("compression", "zstd").partitionBy("platform", "bucket").mode("errorifexists").parquet(path)
+    name = F.concat_ws("/", F.coalesce("platform", F.lit("")), "bucket")
+    files = {r["k"]: -(-r["n"] // rows_per_file) for r in keyed.groupBy(name.alias("k")).agg(F.count("*").alias("n")).collect()}
+    many = F.coalesce(F.element_at(F.create_map(*(F.lit(x) for kv in files.items() for x in kv)), name), F.lit(1)) if files else F.lit(1)
+    salted = keyed.withColumn("_file", F.pmod(F.xxhash64("session_id", F.lit(11)), many))
+    dealt = salted.repartition(max(1, sum(files.values())), "platform", "bucket", "_file").drop("_file")
+    dealt.write.option("compression", "zstd").partitionBy("platform", "bucket").mode("errorifexists").parquet(path)
 
 
 def daily_summary(rows: DataFrame, path: str) -> None:
