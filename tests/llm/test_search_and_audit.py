@@ -194,19 +194,6 @@ def test_filter_audit_bounds_and_empty_tables(spark, tmp_path):
     assert {(r.filter_order, r.step, r.kept, r.removed) for r in got} == {("AE", 1, 0, 1), ("AE", 2, 0, 0), ("EA", 1, 1, 0), ("EA", 2, 0, 1)}
 
 
-@pytest.mark.parametrize("name", ["op11_conversation_trie", "op13_filter_audit"])
-def test_new_queries_equal_their_sql(spark, sf_dir, name):
-    duckdb = pytest.importorskip("duckdb")
-    con = duckdb.connect()
-    for t in ("conversations", "documents", "labels"):
-        con.execute(f"create view {t} as select * from '{sf_dir}/{t}.parquet'")
-    got = queries.QUERIES[name](spark, sf_dir)
-    want = con.execute(queries.ORACLES[name])
-    names = [d[0] for d in want.description]
-    assert sorted(names) == sorted(got.columns)
-    assert sorted((tuple(r[n] for n in names) for r in got.collect()), key=repr) == sorted(want.fetchall(), key=repr)
-
-
 def test_neighbour_query_recall(spark, sf_dir):
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()]
     want, got = brute(rows, 20, 20), {}

@@ -410,7 +410,10 @@ def test_stages_take_nulls_repeats_ties_clashing_names_and_empty_tables(spark, s
 
 def test_every_query_runs_on_whole_tables(spark, sf_dir):
     rows = spark.read.parquet(f"{sf_dir}/documents.parquet").count()
+    others = {"op11_conversation_trie", "op12_collision_counting", "op13_filter_audit"}  # no row a document: test_search_and_audit.py
     for name, query in queries.QUERIES.items():
+        if name in others:
+            continue
         out = query(spark, sf_dir)
         n = out.count()
         assert n >= rows if name.startswith("op10") else n == (spark.read.parquet(f"{sf_dir}/pages.parquet").count() if name.startswith("op4") else rows), name
@@ -419,7 +422,7 @@ def test_every_query_runs_on_whole_tables(spark, sf_dir):
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_same_rows_as_sql(spark, sf_dir, name):
     duck = pytest.importorskip("duckdb").connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "labels", "conversations"):
         duck.execute(f"create view {t} as select * from '{sf_dir}/{t}.parquet'")
     got = queries.QUERIES[name](spark, sf_dir)
     want = duck.execute(queries.ORACLES[name])
