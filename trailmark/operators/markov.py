@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..contracts import GLOBAL
+from ..store import kept
+from .vocabulary import sized
 
 
 def pairs(rows: DataFrame, keep: list[str], sequence: str) -> DataFrame:
@@ -32,17 +34,22 @@ def score(rows: DataFrame, key: str, cluster: str, sequence: str, edges: DataFra
 
     ln((count + s) / (total of src + s * vocabulary)); pairs with a token that training never saw are skipped; a cluster
     without transitions is scored under the table of all.
+
+    Each distinct transition is looked up once; the rows' own pairs then take one join, with a broadcast where the
+    transitions are few.
     """
     v = vocabulary_size(edges)
     known = edges.where(F.col("cluster") == GLOBAL).select(F.explode(F.array("src", "dst")).alias("t")).distinct()
     have = edges.select("cluster").distinct().withColumn("_own", F.lit(True))
-    each = pairs(rows.select(key, F.col(cluster).alias("cluster"), sequence), [key, "cluster"], sequence).groupBy(key, "cluster", "src", "dst").agg(F.count("*").alias("w"))
-    each = each.join(known.withColumnRenamed("t", "src"), "src").join(known.withColumnRenamed("t", "dst"), "dst")
-    each = each.join(have, "cluster", "left").withColumn("cluster", F.when(F.col("_own"), F.col("cluster")).otherwise(GLOBAL))
     totals = edges.groupBy("cluster", "src").agg(F.sum("n").alias("total"))
-    each = each.join(edges, ["cluster", "src", "dst"], "left").join(totals, ["cluster", "src"], "left")
+    each = pairs(rows.select(key, F.coalesce(F.col(cluster), F.lit(GLOBAL)).alias("_c"), sequence), [key, "_c"], sequence)
+    seen = each.select("_c", "src", "dst").distinct()
+    seen = seen.join(known.withColumnRenamed("t", "src"), "src").join(known.withColumnRenamed("t", "dst"), "dst")
+    seen = seen.join(have, F.col("_c") == F.col("cluster"), "left").withColumn("cluster", F.when(F.col("_own"), F.col("_c")).otherwise(GLOBAL))
+    seen = seen.join(edges, ["cluster", "src", "dst"], "left").join(totals, ["cluster", "src"], "left")
     log = F.ln((F.coalesce("n", F.lit(0)) + smoothing) / (F.coalesce("total", F.lit(0)) + smoothing * v))
-    got = each.groupBy(key).agg((F.sum(log * F.col("w")) / F.sum("w")).alias("markov_logprob"))
+    values = kept(seen.select("_c", "src", "dst", log.alias("log")))
+    got = each.join(sized(values), ["_c", "src", "dst"]).groupBy(key).agg(F.avg("log").alias("markov_logprob"))
     return rows.select(key).join(got, key, "left")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..contracts import STREAM, CleanRules, SegmentRules
+from ..contracts import BACK_MARKERS, BOOT_SCREENS, CHROME_SCREENS, STREAM, CleanRules, SegmentRules
 from ..functions import names as N
 from ..operators import events as E
 from ..operators import journeys as J
@@ -102,6 +102,50 @@ def segment_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return journeys(spark, sf_dir).select(F.col("source_row_number").alias("event_id"), "journey_no", "journey_pos", "boundary_reason", "screen_context", "event_token")
 
 
+#: Names under which the table's screens and one of its actions stand for a container, a start and a way back.
+STAND_INS = {"k4": "WebViewActivity", "k3": "SplashVC", "error": "btn_back"}
+_NAMED = EVENTS_SQL.replace("ev AS (", "plain AS (", 1) + f""", ev AS (
+  SELECT * REPLACE (CASE segment_name {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in STAND_INS.items())} ELSE segment_name END AS segment_name) FROM plain
+)"""
+_AGAIN = "len(list_filter(range(0, len(u)), lambda k: list_aggregate(list_transform(range(0, k + 1), lambda m: u[pos + 1 + m * {p} : pos + (m + 1) * {p}] = u[pos + 1 : pos + {p}]), 'bool_and')))"
+#: From je on: containers and starts dropped, runs collapsed, then cycles of two to four tokens, the shortest first.
+_COLLAPSE = f""", d AS (
+  SELECT *, screen_context IN ({", ".join(f"'{n}'" for n in (*CHROME_SCREENS, *BOOT_SCREENS))}) AS dropped, regexp_matches(lower(segment_name), '{"|".join(BACK_MARKERS)}') AS back FROM je
+), e AS (
+  SELECT platform, session_id, journey_no, count(*) AS n_events_raw, count_if(dropped) AS n_dropped_screens, min(event_time) AS first, max(event_time) AS last,
+    coalesce(list({{'t': event_token, 'a': event_type = 'action', 'b': back, 'ts': event_time}} ORDER BY journey_pos) FILTER (WHERE NOT dropped), []) AS s FROM d GROUP BY ALL
+), runs AS (
+  SELECT *, list_filter(range(1, len(s) + 1), lambda i: i = 1 OR s[i].t <> s[i - 1].t) AS places FROM e
+), f AS (
+  SELECT platform, session_id, journey_no, list_transform(places, lambda i: s[i].t) AS u, 0 AS pos, []::BIGINT[] AS kept FROM runs
+  UNION ALL
+  SELECT platform, session_id, journey_no, u, pos + CASE WHEN r2 > 1 THEN 2 * r2 WHEN r3 > 1 THEN 3 * r3 WHEN r4 > 1 THEN 4 * r4 ELSE 1 END,
+    list_concat(kept, range(pos + 1, pos + 1 + CASE WHEN r2 > 1 THEN 2 WHEN r3 > 1 THEN 3 WHEN r4 > 1 THEN 4 ELSE 1 END))
+  FROM (SELECT *, {", ".join(f"CASE WHEN pos + {2 * p} <= len(u) THEN {_AGAIN.format(p=p)} ELSE 0 END AS r{p}" for p in (2, 3, 4))} FROM f WHERE pos < len(u))
+), k AS (
+  SELECT runs.*, list_transform(f.kept, lambda i: s[places[i]]) AS k FROM runs JOIN f USING (platform, session_id, journey_no) WHERE f.pos >= len(f.u)
+)"""
+
+
+@query(f"""WITH RECURSIVE {JOURNEY_SQL.replace(EVENTS_SQL, _NAMED)}{_COLLAPSE}
+SELECT platform, session_id, journey_no, n_events_raw, len(k) AS n_events_final, len(list_distinct(list_transform(k, lambda x: x.t))) AS n_unique_tokens, n_dropped_screens,
+  len(s) - len(places) AS n_dedup_removed, len(places) - len(k) AS n_loop_removed, CASE WHEN len(k) > 0 THEN round(len(list_filter(k, lambda x: x.a)) / len(k), 4) ELSE 0 END AS action_ratio,
+  CASE WHEN len(k) > 0 THEN round(len(list_filter(k, lambda x: x.b)) / len(k), 4) ELSE 0 END AS back_rate,
+  CASE WHEN len(k) > 0 THEN round(1 - len(list_distinct(list_transform(k, lambda x: x.t))) / len(k), 4) ELSE 0 END AS revisit_ratio,
+  round((epoch_us(coalesce(k[-1].ts, last)) - epoch_us(coalesce(k[1].ts, first))) / 1e6, 3) AS span_seconds, array_to_string(list_transform(k, lambda x: x.t), ' -> ') AS sequence FROM k""")
+def cleaned_journeys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The roll-up with all of the default cleaning: containers and starts dropped, runs and cycles collapsed."""
+    named = F.col("segment_name")
+    for k, v in STAND_INS.items():
+        named = F.when(F.col("segment_name") == k, v).otherwise(named)
+    cut = J.with_screens(J.segment(stream(spark, sf_dir).withColumn("segment_name", named), RULES))
+    rows = J.roll_up(cut, CleanRules())
+    return rows.select(
+        *STREAM, "journey_no", "n_events_raw", "n_events_final", "n_unique_tokens", "n_dropped_screens", "n_dedup_removed", "n_loop_removed", "action_ratio", "back_rate", "revisit_ratio",
+        "span_seconds", F.array_join("sequence_tokens", " -> ").alias("sequence"),
+    )
+
+
 @query(f"""WITH RECURSIVE {SEGMENT_SQL}, z AS (SELECT platform, session_id, journey_no, count(*) AS n FROM seg GROUP BY ALL)
 SELECT unnest(['sessions', 'journeys', 'events', 'mean_journey_length', 'median_journey_length', 'p90_journey_length', 'max_journey_length', 'journeys_below_min_length']) AS metric,
   unnest([count(DISTINCT session_id)::DOUBLE, count(*)::DOUBLE, sum(n)::DOUBLE, round(avg(n), 2), quantile_cont(n, 0.5), quantile_cont(n, 0.9), max(n)::DOUBLE, count_if(n < 3)::DOUBLE]) AS value FROM z
@@ -156,9 +200,11 @@ def run_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return J.run_lengths(journeys(spark, sf_dir), ["platform", "session_id", "journey_no"], ["journey_pos"], "event_token")
 
 
-@query()
+@query(f"""WITH RECURSIVE {JOURNEY_SQL}{_COLLAPSE}
+SELECT platform, session_id, journey_no, n_events_raw, len(k) AS n_events_final, len(s) - len(places) AS n_dedup_removed, len(places) - len(k) AS n_loop_removed,
+  array_to_string(list_transform(k, lambda x: x.t), ' -> ') AS sequence FROM k""")
 def cycle_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Journeys with runs and cycles collapsed; the cycle scan is greedy, so tests hold it against its definition."""
+    """Journeys with runs and cycles collapsed."""
     rules = CleanRules(drop_chrome=False, drop_boot=False)
     return J.roll_up(journeys(spark, sf_dir), rules).select(*STREAM, "journey_no", "n_events_raw", "n_events_final", "n_dedup_removed", "n_loop_removed", F.array_join("sequence_tokens", " -> ").alias("sequence"))
 
