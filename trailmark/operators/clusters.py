@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..contracts import NOISE
 from . import quantiles
+from .vocabulary import sized
 
 
 def centroids(rows: DataFrame, cluster: str, vector: str) -> DataFrame:
@@ -73,7 +74,7 @@ def nearest(rows: DataFrame, key: str, vector: str, centers: DataFrame, most: in
 def catalog(rows: DataFrame, cluster: str, key: str, vector: str, centers: DataFrame, value: str, kind: str) -> DataFrame:
     """Each cluster's size, share, median and mean of a value, most frequent kind (ties: smallest), and medoid."""
     total = rows.agg(F.count("*").alias("total"))
-    near = rows.join(F.broadcast(centers.select("cluster", "centroid")), rows[cluster] == F.col("cluster")).withColumn("d", distance(F.col(vector), F.col("centroid")))
+    near = rows.join(sized(centers.select("cluster", "centroid")), rows[cluster] == F.col("cluster")).withColumn("d", distance(F.col(vector), F.col("centroid")))
     out = near.groupBy("cluster").agg(
         F.count("*").alias("size"), F.round(F.avg(value), 6).alias("mean"), F.mode(kind, True).alias("top_kind"), F.min_by(key, F.struct(F.round("d", 9), key)).alias("medoid")
     )
@@ -153,10 +154,10 @@ def quality(rows: DataFrame, cluster: str, vector: str) -> DataFrame:
     """One row: clusters, Davies-Bouldin and Calinski-Harabasz indices of the members (noise left out)."""
     inside = rows.where(F.col(cluster) != NOISE).select(F.col(cluster).alias("cluster"), F.col(vector).alias("v"))
     c = centroids(inside, "cluster", "v")
-    d = inside.join(F.broadcast(c), "cluster").withColumn("d", distance(F.col("v"), F.col("centroid")))
+    d = inside.join(sized(c), "cluster").withColumn("d", distance(F.col("v"), F.col("centroid")))
     spread = c.join(d.groupBy("cluster").agg(F.avg("d").alias("s"), F.sum(F.col("d") * F.col("d")).alias("within")), "cluster")
-    a, b = spread.alias("a"), spread.alias("b")  # clusters by clusters: a model's size
-    worst = a.join(F.broadcast(b), F.col("a.cluster") != F.col("b.cluster")).groupBy(F.col("a.cluster")).agg(F.max((F.col("a.s") + F.col("b.s")) / distance(F.col("a.centroid"), F.col("b.centroid"))).alias("r"))
+    a = spread.alias("a")  # clusters by clusters: a model's size
+    worst = a.join(sized(spread).alias("b"), F.col("a.cluster") != F.col("b.cluster")).groupBy(F.col("a.cluster")).agg(F.max((F.col("a.s") + F.col("b.s")) / distance(F.col("a.centroid"), F.col("b.centroid"))).alias("r"))
     every = centroids(inside.withColumn("cluster", F.lit(0)), "cluster", "v").select(F.col("centroid").alias("center"), F.col("size").alias("n"))
     between = spread.join(F.broadcast(every)).agg(F.sum(F.col("size") * F.pow(distance(F.col("centroid"), F.col("center")), F.lit(2))).alias("between"), F.sum("within").alias("within"), F.count("*").alias("k"), F.max("n").alias("n"))
     return between.join(worst.agg(F.avg("r").alias("davies_bouldin"))).select(F.col("k").alias("clusters"), "davies_bouldin", ((F.col("between") / (F.col("k") - 1)) / (F.col("within") / (F.col("n") - F.col("k")))).alias("calinski_harabasz"))
@@ -186,7 +187,9 @@ def silhouette(rows: DataFrame, cluster: str, vector: str, key: str, sample: int
         for one, (d, n) in total.items():
             yield pd.DataFrame({"q": np.arange(len(x)), "own": own, "c": one, "d": d, "n": n})
 
-    each = inside.select("c", "v").mapInPandas(sums, "q int, own long, c long, d double, n long").groupBy("q", "own", "c").agg(F.sum("d").alias("d"), F.sum("n").alias("n"))
+    # ranges of clusters: a task has few of them, so there is a sum a query for each cluster and border, not for each task
+    dealt = inside.repartitionByRange("c", F.xxhash64("k")).select("c", "v")
+    each = dealt.mapInPandas(sums, "q int, own long, c long, d double, n long").groupBy("q", "own", "c").agg(F.sum("d").alias("d"), F.sum("n").alias("n"))
     mine = F.col("own") == F.col("c")
     by = each.groupBy("q").agg(F.max(F.when(mine & (F.col("n") > 1), F.col("d") / (F.col("n") - 1))).alias("a"), F.min(F.when(~mine, F.col("d") / F.col("n"))).alias("b"), F.sum("n").alias("rows"))
     value = F.when(F.col("b").isNotNull(), F.coalesce((F.col("b") - F.col("a")) / F.greatest("a", "b"), F.lit(0.0)))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..contracts import BOS, EOS, MISSING, NOISE
+from .vocabulary import sized
 
 #: Last parts of targets that only navigate or dismiss, so that they say nothing of their own.
 GENERIC_TARGETS = (
@@ -115,7 +116,7 @@ def apply_names(rows: DataFrame, cluster: str, names: DataFrame, strict: bool =
     if strict and not (lost := clean.select(F.col(cluster).alias("cluster")).distinct().join(names, "cluster", "left_anti").where(F.col("cluster") != NOISE)).isEmpty():
         raise ValueError(f"clusters without a name: {[r[0] for r in lost.limit(5).collect()]}")
     noise = names.where(F.col("cluster") == NOISE).select(*(F.col(c).alias(f"_n_{c}") for c in columns)).limit(1)
-    out = clean.join(F.broadcast(names.withColumnRenamed("cluster", "_c")), F.col(cluster) == F.col("_c"), "left").join(F.broadcast(noise), how="left")  # a model's clusters; one row
+    out = clean.join(sized(names.withColumnRenamed("cluster", "_c")), F.col(cluster) == F.col("_c"), "left").join(F.broadcast(noise), how="left")  # a model's clusters; one row
     return out.select(*clean.columns, *(F.when(F.col("_c").isNull(), F.col(f"_n_{c}")).otherwise(F.col(c)).alias(c) for c in columns))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import quantiles
 from .events import seconds
+from .vocabulary import sized
 
 
 def coverage(rows: DataFrame, by: list[str], distinct: list[str], flags: dict[str, Column]) -> DataFrame:
@@ -69,7 +70,7 @@ def grid_fill(counts: DataFrame, dims: list[str], value: str) -> DataFrame:
     """Every combination of the dimensions' values, 0 where ``counts`` has none. Dimensions are small by nature."""
     grid = counts.select(dims[0]).distinct()
     for d in dims[1:]:
-        grid = grid.join(F.broadcast(counts.select(d).distinct()))
+        grid = grid.join(sized(counts.select(d).distinct()))
     return grid.join(counts, dims, "left").withColumn(value, F.coalesce(value, F.lit(0)))
 
 
