@@ -130,3 +130,12 @@ def test_entropy_cuts_keep_journeys_apart(spark):
     sizes = out.groupBy("journey_id").agg(F.count("*").alias("n")).toPandas()
     assert sizes.n.sum() == 18 and len(sizes) > 1
     assert isinstance(sizes, pd.DataFrame)
+
+
+def test_giving_up_is_told_by_the_stage_where_events_are_labelled(spark):
+    rows = [{"session_id": "s", "platform": "ios", "key": "action", "segmentation_name": n, "client_time": str(1_000_000 + 1000 * i), "source_row_number": i} for i, n in enumerate(["btn_back", "pay", "tap"])]
+    raw = spark.createDataFrame(rows, "session_id string, platform string, key string, segmentation_name string, client_time string, source_row_number long")
+    cut = J.with_screens(J.segment(E.canonicalize(raw)))
+    assert J.roll_up(cut).first().back_rate == pytest.approx(0.3333)
+    staged = cut.withColumn("operation_stage", F.when(F.col("segment_name") != "btn_back", "abort"))
+    assert J.roll_up(staged).first().back_rate == pytest.approx(0.6667)

@@ -107,6 +107,11 @@ def is_back(target: Column) -> Column:
     return _any(target, BACK_MARKERS)
 
 
+def is_abandoned(target: Column, stage: Column | None = None) -> Column:
+    """Whether an event gives up: by its operation's stage where events are labelled, else by its target's name."""
+    return is_back(target) if stage is None else F.coalesce(stage == "abort", F.lit(False))
+
+
 def is_root(screen: Column, roots: tuple[str, ...] = ROOT_SCREENS) -> Column:
     return F.coalesce(screen.isin(*roots), F.lit(False))
 

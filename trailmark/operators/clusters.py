@@ -82,6 +82,35 @@ def catalog(rows: DataFrame, cluster: str, key: str, vector: str, centers: DataF
     return out.join(F.broadcast(total)).select("cluster", "size", F.round(F.col("size") / F.col("total"), 6).alias("share"), "median", "mean", "top_kind", "medoid")
 
 
+def profile(rows: DataFrame, cluster: str) -> DataFrame:
+    """How the journeys of each cluster of rolled-up ``rows`` behave, noise included.
+
+    kind, size, share, n_sessions, n_devices, os_mix (an array of platform and share, the largest first), median length and
+    span, mean rates, loop_journey_share, and the most frequent entry and exit tokens (ties: the smallest). Counts by
+    cluster and value come first, so no cluster's rows are gathered; devices that are null or empty aren't counted.
+    """
+    total = rows.agg(F.count("*").alias("_all"))
+    by = F.col(cluster).alias("cluster")
+    mean = lambda c: F.round(F.avg(c), 4)
+    out = rows.groupBy(by).agg(
+        F.count("*").alias("size"), F.count_distinct("session_id").alias("n_sessions"), F.count_distinct(F.nullif("device_id", F.lit(""))).alias("n_devices"), mean("action_ratio").alias("mean_action_ratio"),
+        mean("back_rate").alias("mean_back_rate"), mean("revisit_ratio").alias("mean_revisit_ratio"), mean((F.col("n_loop_removed") > 0).cast("int")).alias("loop_journey_share"),
+    )
+
+    def most(column: str) -> DataFrame:
+        counts = rows.where(F.col(column).isNotNull()).groupBy(by, column).agg(F.count("*").alias("n"))
+        return counts.groupBy("cluster").agg(F.min_by(column, F.struct(-F.col("n"), F.col(column))).alias(f"top_{column}"))
+
+    mix = rows.groupBy(by, "platform").agg(F.count("*").alias("n")).groupBy("cluster").agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "platform"))).alias("_mix"))
+    out = quantiles.beside(out, rows.select(by, "n_events_final", "span_seconds"), ["cluster"], {"_length": ("n_events_final", (0.5,)), "_span": ("span_seconds", (0.5,))}, dear=True)
+    out = out.join(mix, "cluster").join(most("entry_token"), "cluster", "left").join(most("exit_token"), "cluster", "left").join(F.broadcast(total))  # one row
+    os_mix = F.transform("_mix", lambda x: F.struct(x["platform"].alias("platform"), F.round(-x["n"] / F.col("size"), 3).alias("share")))
+    return out.select(
+        "cluster", F.when(F.col("cluster") == NOISE, "noise").otherwise("cluster").alias("kind"), "size", F.round(F.col("size") / F.col("_all"), 4).alias("share"), "n_sessions", "n_devices", os_mix.alias("os_mix"),
+        F.col("_length")[0].alias("median_length"), F.round(F.col("_span")[0], 6).alias("median_span_s"), "mean_action_ratio", "mean_back_rate", "mean_revisit_ratio", "loop_journey_share", "top_entry_token", "top_exit_token",
+    )
+
+
 def cluster_quantiles(rows: DataFrame, cluster: str, value: str, q: float) -> DataFrame:
     return quantiles.one(rows.where(F.col(cluster) != NOISE), [cluster], value, q, "limit", dear=True)
 

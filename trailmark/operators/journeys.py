@@ -138,7 +138,8 @@ def roll_up(events: DataFrame, rules: CleanRules = CleanRules(), token: str = "e
     is collapsed all is built in; cycles take one vectorised function over the token arrays.
     """
     drop = (F.lit(rules.drop_chrome) & (N.screen_class(F.col("screen_context")) == "chrome")) | (F.lit(rules.drop_boot) & (N.screen_class(F.col("screen_context")) == "boot"))
-    event = F.struct("journey_pos", F.col(token).alias("token"), "event_time", (F.col("event_type") == "action").alias("action"), N.is_back(F.col("segment_name")).alias("back"), drop.alias("dropped"))
+    back = N.is_abandoned(F.col("segment_name"), F.col("operation_stage") if "operation_stage" in events.columns else None)
+    event = F.struct("journey_pos", F.col(token).alias("token"), "event_time", (F.col("event_type") == "action").alias("action"), back.alias("back"), drop.alias("dropped"))
     rows = events.groupBy(*STREAM, "journey_no", "journey_id").agg(
         F.array_sort(F.collect_list(event)).alias("e"), F.max("device_id").alias("device_id"), F.max("customer_id").alias("customer_id"), F.max(F.when(F.col("journey_pos") == 0, F.col("boundary_reason"))).alias("boundary_reason")
     )

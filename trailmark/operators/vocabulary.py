@@ -9,9 +9,16 @@ from ..contracts import BOS, EOS, RARE
 from . import ranges
 
 
-def token_dictionary(events: DataFrame, token: str, session: list[str], time: str) -> DataFrame:
-    """Each token's events, sessions, first and last time, and its rank by events (ties by token)."""
-    d = events.groupBy(token).agg(F.count("*").alias("events"), F.count_distinct(*session).alias("sessions"), F.min(time).alias("first_time"), F.max(time).alias("last_time"))
+def token_dictionary(events: DataFrame, token: str, session: list[str], time: str, first: list[str] | None = None, mean: dict[str, str] | None = None) -> DataFrame:
+    """Each token's events, sessions, first and last time, and its rank by events (ties by token).
+
+    ``first``: columns whose values are taken from the token's first event (ties by the values themselves); ``mean``: means
+    by name of a column, to three digits.
+    """
+    seen = [F.min_by(F.struct(*first), F.struct(time, *first)).alias("_first")] if first else []
+    means = [F.round(F.avg(c), 3).alias(n) for n, c in (mean or {}).items()]
+    d = events.groupBy(token).agg(F.count("*").alias("events"), F.count_distinct(*session).alias("sessions"), F.min(time).alias("first_time"), F.max(time).alias("last_time"), *seen, *means)
+    d = d.select("*", "_first.*").drop("_first") if first else d
     return ranges.number(d, [F.col("events").desc(), F.col(token)], "token_id")
 
 

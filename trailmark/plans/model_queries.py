@@ -15,10 +15,25 @@ from .registry import kept, query, table, work_folder
 
 
 @query(f"""WITH RECURSIVE {JOURNEY_SQL} SELECT event_token, count(*) AS events, count(DISTINCT (platform, session_id)) AS sessions, epoch_us(min(event_time)) AS first_us, epoch_us(max(event_time)) AS last_us,
-  row_number() OVER (ORDER BY count(*) DESC, event_token) AS token_id FROM je GROUP BY event_token""")
+  row_number() OVER (ORDER BY count(*) DESC, event_token) AS token_id, arg_min(event_type, (event_time, event_type, segment_name, platform)) AS event_type, arg_min(segment_name, (event_time, event_type, segment_name, platform)) AS segment_name,
+  arg_min(platform, (event_time, event_type, segment_name, platform)) AS platform, round(avg(journey_pos), 3) AS mean_place FROM je GROUP BY event_token""")
 def token_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = V.token_dictionary(journeys(spark, sf_dir), "event_token", list(STREAM), "event_time")
-    return d.select("event_token", "events", "sessions", F.unix_micros("first_time").alias("first_us"), F.unix_micros("last_time").alias("last_us"), "token_id")
+    first = ["event_type", "segment_name", "platform"]
+    d = V.token_dictionary(journeys(spark, sf_dir), "event_token", list(STREAM), "event_time", first, {"mean_place": "journey_pos"})
+    return d.select("event_token", "events", "sessions", F.unix_micros("first_time").alias("first_us"), F.unix_micros("last_time").alias("last_us"), "token_id", *first, "mean_place")
+
+
+@query(f"""WITH RECURSIVE {ROLLUP_SQL}, k AS (SELECT r.*, n_events_final % 4 - 1 AS cluster FROM r),
+m AS (SELECT cluster, platform, count(*) AS n FROM k GROUP BY ALL), x AS (SELECT cluster, string_agg(platform || '=' || printf('%.3f', round(n / s, 3)), ',' ORDER BY n DESC, platform) AS os_mix FROM (SELECT *, sum(n) OVER (PARTITION BY cluster) AS s FROM m) GROUP BY cluster),
+a AS (SELECT cluster, entry_token AS t, count(*) AS n FROM k GROUP BY ALL), b AS (SELECT cluster, exit_token AS t, count(*) AS n FROM k GROUP BY ALL)
+SELECT k.cluster, CASE WHEN k.cluster = -1 THEN 'noise' ELSE 'cluster' END AS kind, count(*) AS size, round(count(*) / (SELECT count(*) FROM k), 4) AS share, count(DISTINCT session_id) AS n_sessions, 0 AS n_devices, any_value(os_mix) AS os_mix,
+  quantile_cont(n_events_final, 0.5) AS median_length, round(quantile_cont(span_seconds, 0.5), 6) AS median_span_s, round(avg(action_ratio), 4) AS mean_action_ratio, 0.0 AS mean_back_rate, round(avg(revisit_ratio), 4) AS mean_revisit_ratio, 0.0 AS loop_journey_share,
+  (SELECT arg_min(t, (-n, t)) FROM a WHERE a.cluster = k.cluster) AS top_entry_token, (SELECT arg_min(t, (-n, t)) FROM b WHERE b.cluster = k.cluster) AS top_exit_token FROM k JOIN x ON x.cluster = k.cluster GROUP BY k.cluster""")
+def cluster_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How groups of journeys behave; the number of their events stands for a cluster."""
+    rows = kept(rolled(spark, sf_dir).withColumn("cluster", F.col("n_events_final") % 4 - 1))
+    out = C.profile(rows, "cluster")
+    return out.withColumn("os_mix", F.array_join(F.transform("os_mix", lambda x: F.concat(x["platform"], F.lit("="), F.format_number(x["share"], 3))), ","))
 
 
 @query(f"""WITH RECURSIVE {JOURNEY_SQL}, s AS (SELECT 'event_token' AS channel, event_token AS token FROM je UNION ALL SELECT 'segment_name', segment_name FROM je UNION ALL SELECT 'event_type', event_type FROM je),
