@@ -253,3 +253,19 @@ FROM r JOIN raw USING (platform, session_id, journey_no)""")
 def daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = rolled(spark, sf_dir).withColumn("cluster", F.when(F.col("n_events_final") % 3 == 0, -1).otherwise(F.col("n_events_final") % 3))
     return writers.summary(rows, "2026-01-01", "v1").select("journey_id", "customer_id", "n_events_raw", "n_events_final", "sequence", "effective_cluster_key")
+
+
+@query(f"""WITH RECURSIVE {ROLLUP_SQL}, sc AS (SELECT *, n_events_final % 3 - 1 AS c FROM r JOIN raw USING (platform, session_id, journey_no))
+SELECT '2026-01-01' AS batch_date, 'v1' AS model_version, platform, c AS cluster_id, CASE WHEN c = 1 THEN 'M01.01.01' END AS taxonomy_id, '2026-01-01_' || platform || '::' || session_id || '::' || journey_no AS journey_id,
+  session_id, NULL AS device_id, session_id AS customer_id, strftime(start_ts, '%Y-%m-%d %H:%M:%S.%g') AS start_ts, strftime(end_ts, '%Y-%m-%d %H:%M:%S.%g') AS end_ts, boundary_reason, n_events_raw, n_events_final, 0 AS n_loop_removed,
+  action_ratio, 0.0 AS back_rate, revisit_ratio, median_gap_s, p90_gap_s, max_gap_s, entry_token, exit_token, replace(sequence, ' -> ', ',') AS sequence, span_seconds / 2 AS distance_to_centroid, NULL AS markov_logprob,
+  (c = -1)::INT AS geometric_anomaly, 0 AS generative_anomaly, (n_events_final > 5)::INT AS severe_anomaly, CASE WHEN n_events_final > 5 THEN 'long_span' END AS friction_flags, '2026-01-02 03:04:05.000600' AS scored_at FROM sc""")
+def loaded_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The roll-up as rows of the summary table; sizes stand for clusters, spans for distances."""
+    n = F.col("n_events_final")
+    rows = rolled(spark, sf_dir).withColumn("cluster", n % 3 - 1).withColumns({
+        "taxonomy_id": F.when(F.col("cluster") == 1, "M01.01.01").when(F.col("cluster") == 0, ""), "distance_to_centroid": F.col("span_seconds") / 2, "geometric_anomaly": F.col("cluster") == -1,
+        "severe_anomaly": F.when(n > 5, "True").otherwise("no"), "friction_flags": F.lit("far_from_cluster"), "behavioral_friction_flags": F.when(n > 5, "long_span").otherwise(""),
+        "customer_id": F.concat(F.lit(" "), "customer_id", F.lit(".0 ")), "scored_at": F.lit("2026-01-02 03:04:05.0006").cast("timestamp"),
+    })
+    return writers.loaded(rows, "2026-01-01", "v1")
