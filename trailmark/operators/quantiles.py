@@ -59,10 +59,11 @@ def exact(rows: DataFrame, by: list[str], value: str | Column, at: tuple[float,
         state = kept(joined.select("_k", "n", F.when(F.col("more").isNull(), F.col("r")).otherwise(F.concat(F.filter("r", lambda x: ~open_(x)), "more")).alias("r")))
         curved = False
     found = keyed.join(sized(state.select("_k", "r")), "_k").withColumn("x", F.get(F.filter("r", inside), 0)).where("x is not null")
-    counts = found.groupBy("_k", F.col("x.lo").alias("from"), "_v", F.col("x.below").alias("below"), F.col("x.ranks").alias("ranks")).agg(F.count("*").alias("n"))
+    counts = found.groupBy("_k", F.col("x.lo").alias("from"), "_v").agg(F.count("*").alias("n"), F.max("x.below").alias("below"))
     earlier = F.sum("n").over(Window.partitionBy("_k", "from").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1))  # at most FEW rows
     counts = counts.withColumn("below", F.col("below") + F.coalesce(earlier, F.lit(0)))
-    ranks = counts.select("_k", "_v", F.filter("ranks", lambda r: (r >= F.col("below")) & (r < F.col("below") + F.col("n"))).alias("ranks")).where(F.size("ranks") > 0)
+    every = sized(state.select("_k", F.flatten(F.transform("r", lambda x: x["ranks"])).alias("ranks")))
+    ranks = counts.join(every, "_k").select("_k", "_v", F.filter("ranks", lambda r: (r >= F.col("below")) & (r < F.col("below") + F.col("n"))).alias("ranks")).where(F.size("ranks") > 0)
     values = ranks.groupBy("_k").agg(F.map_from_entries(F.flatten(F.collect_list(F.transform("ranks", lambda r: F.struct(r, F.col("_v")))))).alias("m"))
     low, high = (lambda q: F.element_at("m", F.floor(last * q).cast("long"))), (lambda q: F.element_at("m", F.ceil(last * q).cast("long")))
     between = lambda q: low(q) + (high(q) - low(q)) * (last * q - F.floor(last * q))
