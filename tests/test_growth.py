@@ -20,3 +20,12 @@ def test_silhouette_of_copies_far_from_the_origin(spark):
     starts = np.array([0, 7, 60])
     d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
     assert C._distance_sums(x, x, starts) == pytest.approx(np.add.reduceat(d, starts, axis=1), rel=1e-9, abs=1e-12)
+
+
+def test_rows_with_the_smallest_hashes(spark):
+    rows = spark.range(0, 20_000, 1, 8).withColumnRenamed("id", "k")
+    want = [r.k for r in rows.orderBy(F.xxhash64("k"), "k").limit(500).collect()]
+    assert sorted(r.k for r in ranges.smallest(rows, "k", 500).collect()) == sorted(want)
+    assert ranges.smallest(rows, "k", 20_000).count() == 20_000
+    same = rows.withColumn("k", F.lit(1))  # all hashes equal
+    assert ranges.smallest(same, "k", 50).count() == 50
