@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from trailmark.operators import clusters as C
+from trailmark.operators import journeys as J
 from trailmark.operators import ranges
 
 
@@ -29,3 +30,19 @@ def test_rows_with_the_smallest_hashes(spark):
     assert ranges.smallest(rows, "k", 20_000).count() == 20_000
     same = rows.withColumn("k", F.lit(1))  # all hashes equal
     assert ranges.smallest(same, "k", 50).count() == 50
+
+
+def test_entropy_cuts_compute_their_input_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    tokens = "abcabdabeabfabcabd"
+    schema = "platform string, session_id string, journey_no long, journey_pos int, journey_id string, event_token string"
+    rows = spark.createDataFrame([("ios", s, 1, i, f"{s}::1", t) for s in ("x", "y") for i, t in enumerate(tokens)], schema)
+    out = J.refine_with_entropy(rows.mapInPandas(count, schema), percentile=0.5)
+    assert out.count() == 36 and out.columns == [*rows.columns, "entropy_score", "journey_id_rule"]
+    assert seen.value == 36

@@ -17,6 +17,7 @@ from ..functions import names as N
 from ..store import kept
 from . import quantiles
 from .events import seconds, stream_window
+from .vocabulary import sized
 
 _REASONS = np.array(["", "session_start", "idle_gap", "length_cap", "root_return", "auth_change"], dtype=object)
 
@@ -242,7 +243,11 @@ def contexts(segmented: DataFrame, order: int = 3, token: str = "event_token") -
 
 def branching_entropy(segmented: DataFrame, order: int = 3, token: str = "event_token", least: int = 3) -> DataFrame:
     """(context, n, entropy in nats of the next token) for contexts seen ``least`` times or more."""
-    counts = contexts(segmented, order, token).where("next is not null").groupBy("k", "context", "next").agg(F.count("*").alias("c"))
+    return _branching(contexts(segmented, order, token).where("next is not null"), least)
+
+
+def _branching(each: DataFrame, least: int) -> DataFrame:
+    counts = each.groupBy("k", "context", "next").agg(F.count("*").alias("c"))
     n, logs = F.sum("c"), F.sum(F.col("c") * F.ln("c"))
     return counts.groupBy("k", "context").agg(n.alias("n"), (F.ln(n) - logs / n).alias("entropy")).where(F.col("n") >= least)
 
@@ -250,21 +255,31 @@ def branching_entropy(segmented: DataFrame, order: int = 3, token: str = "event_
 def refine_with_entropy(segmented: DataFrame, percentile: float = 0.9, order: int = 3, shortest: int = 3, token: str = "event_token") -> DataFrame:
     """``segmented`` with entropy_score, and journeys cut again where the score reaches the given percentile of positive scores.
 
-    A score is the branching entropy of the longest known context that ends at the event. Scores are joined by context;
-    the second cut is a fold over each journey, whose length is bounded.
+    A score is the branching entropy of the longest known context that ends at the event. Events keep their place: they
+    are written once with their contexts as columns, each of which is looked up among the known ones, with a broadcast
+    where these are few. The second cut is a fold over each journey, whose length is bounded.
     """
-    known = branching_entropy(segmented, order, token)
-    scored = contexts(segmented, order, token).join(known.select("k", "context", "entropy"), ["k", "context"]).groupBy(*STREAM, "journey_no", "journey_pos").agg(F.max_by("entropy", "k").alias("entropy_score"))
-    out = segmented.join(scored, [*STREAM, "journey_no", "journey_pos"], "left").withColumn("entropy_score", F.coalesce("entropy_score", F.lit(0.0)))
-    high = quantiles.one(out.where("entropy_score > 0"), [], "entropy_score", percentile, "v", dear=True).first()
+    journey = Window.partitionBy(*STREAM, "journey_no")
+    w = journey.orderBy("journey_pos")
+    near = {f"_t{i}": F.lag(token, order - 1 - i).over(w) for i in range(order)}
+    whole = lambda k: F.when(F.col(f"_t{order - k}").isNotNull(), F.array(*(F.col(f"_t{i}") for i in range(order - k, order))))
+    rows = segmented.withColumns({**near, "_next": F.lead(token).over(w)}).withColumns({f"_c{k}": whole(k) for k in range(1, order + 1)})
+    rows = kept(rows.drop(*near))
+    each = rows.where("_next is not null").select(F.inline(F.array(*(F.struct(F.lit(k).alias("k"), F.col(f"_c{k}").alias("context"), F.col("_next").alias("next")) for k in range(1, order + 1))))).where("context is not null")
+    known = kept(_branching(each, 3))
+    for k in range(1, order + 1):
+        rows = rows.join(sized(known.where(F.col("k") == k).select(F.col("context").alias(f"_c{k}"), F.col("entropy").alias(f"_e{k}"))), f"_c{k}", "left")
+    score = F.coalesce(*(F.col(f"_e{k}") for k in range(order, 0, -1)), F.lit(0.0))
+    out = kept(rows.select(*segmented.columns, score.alias("entropy_score")))
+    high = quantiles.one(out.where("entropy_score > 0"), [], "entropy_score", percentile, "v").first()
     if high is None:
         return out
     high = high["v"]
-    places = F.sort_array(F.collect_list(F.when(F.col("entropy_score") >= high, F.col("journey_pos"))))
-    cuts = F.aggregate(places, F.array().cast("array<int>"), lambda a, p: F.when(p - F.coalesce(F.try_element_at(a, F.lit(-1)), F.lit(0)) >= shortest, F.array_append(a, p)).otherwise(a))
-    per = out.groupBy(*STREAM, "journey_no").agg(cuts.alias("cuts"))
-    part = F.size(F.filter("cuts", lambda p: p <= F.col("journey_pos")))
-    return out.join(per, [*STREAM, "journey_no"]).withColumn("journey_id_rule", F.col("journey_id")).withColumn("journey_id", F.concat_ws(".", "journey_id", part.cast("string"))).drop("cuts")
+    hits = out.where(F.col("entropy_score") >= high).groupBy(*STREAM, "journey_no").agg(F.sort_array(F.collect_list("journey_pos")).alias("_places"))
+    cuts = F.aggregate("_places", F.array().cast("array<int>"), lambda a, p: F.when(p - F.coalesce(F.try_element_at(a, F.lit(-1)), F.lit(0)) >= shortest, F.array_append(a, p)).otherwise(a))
+    hits = hits.select(*STREAM, "journey_no", cuts.alias("_cuts")).where(F.size("_cuts") > 0)
+    part = F.size(F.filter(F.coalesce("_cuts", F.array().cast("array<int>")), lambda p: p <= F.col("journey_pos")))
+    return out.join(hits, [*STREAM, "journey_no"], "left").withColumn("journey_id_rule", F.col("journey_id")).withColumn("journey_id", F.concat_ws(".", "journey_id", part.cast("string"))).select(*out.columns, "journey_id_rule")
 
 
 def with_gap_events(segmented: DataFrame) -> DataFrame:
