@@ -1,12 +1,16 @@
 """What must hold on larger tables: whole results, and work that grows no faster than they do."""
 
+import math
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from trailmark.operators import clusters as C
 from trailmark.operators import journeys as J
-from trailmark.operators import ranges
+from trailmark.operators import embedding, ranges, scoring
+from trailmark.operators import vocabulary as V
 
 
 def test_silhouette_asks_every_row(spark):
@@ -46,3 +50,41 @@ def test_entropy_cuts_compute_their_input_once(spark):
     out = J.refine_with_entropy(rows.mapInPandas(count, schema), percentile=0.5)
     assert out.count() == 36 and out.columns == [*rows.columns, "entropy_score", "journey_id_rule"]
     assert seen.value == 36
+
+
+def test_weights_of_rows_stay_where_they_are(spark):
+    held = [["a", "b", "a", "b"], [], None, ["c"], ["a", None, "b"], ["a b", "a"]] + [["a", "b"]] * 4
+    rows = spark.createDataFrame(list(enumerate(held)), "k int, s array<string>")
+    model = embedding.fit_tfidf(rows, "k", "s", least=2, most=50)
+    listed = {r.ngram: (r.term, r.idf) for r in model.terms.collect()}
+    grams = {r.k: Counter(r.g) for r in rows.select("k", V.ngrams(F.col("s")).alias("g")).where("g is not null").collect()}
+    df = Counter(g for c in grams.values() for g in c)
+    assert {g: pytest.approx(math.log((1 + len(held)) / (1 + n)) + 1) for g, n in df.items() if n >= 2} == {g: x for g, (_, x) in listed.items()}
+    want = {}
+    for k, c in grams.items():
+        w = {listed[g][0]: (1 + math.log(n)) * listed[g][1] for g, n in c.items() if g in listed}
+        want |= {(k, t): pytest.approx(x / math.sqrt(sum(v * v for v in w.values()))) for t, x in w.items()}
+    out = model.by_row(rows, "k", "s")
+    assert {(r.k, t): w for r in out.collect() for t, w in zip(r.terms, r.ws)} == want
+    assert {(r.k, r.term): r.w for r in model.transform(rows, "k", "s").collect()} == want
+    assert "Exchange" not in out._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("density", [0.05, 0.9])
+def test_singular_vectors_in_one_pass(spark, monkeypatch, density):
+    rng = np.random.default_rng(4)
+    x = (rng.random((150, 60)) < density) * rng.standard_normal((150, 60)) * np.exp(-np.arange(60) / 8)
+    rows = spark.createDataFrame([(int(i), int(j), float(x[i, j])) for i, j in zip(*np.nonzero(x))], "k int, term int, w double").repartition(5)
+    basis, values = embedding.svd(rows, "k", 60, 8)
+    assert values == pytest.approx(np.linalg.svd(x)[1][:8], rel=1e-9)
+    monkeypatch.setattr(embedding, "_SQUARE", 0)
+    other, rough = embedding.svd(rows, "k", 60, 8)
+    assert rough == pytest.approx(values, rel=1e-6) and np.abs(np.abs((basis * other).sum(axis=0)) - 1).max() < 1e-5
+
+
+def test_fitted_tables_are_written_once(spark):
+    columns = ", ".join(f"{c} double" for c in embedding.NUMERIC)
+    rows = [(f"j{i}", ["a", "b", "c", "d"][: 2 + i % 3], *[float((i * (j + 3)) % 11) for j in range(len(embedding.NUMERIC))]) for i in range(60)]
+    model = scoring.fit(spark.createDataFrame(rows, f"k string, s array<string>, {columns}"), "k", "s", k=3, dimensions=2)
+    for table in (model.centers, model.edges):
+        assert "Exchange" not in table._jdf.queryExecution().toString()

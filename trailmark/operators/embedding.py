@@ -7,10 +7,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..contracts import BOS, EOS
 from ..store import kept
 from .vocabulary import ngrams
 
@@ -23,8 +25,9 @@ SKEWED = ("n_events_final", "n_unique_tokens", "n_dedup_removed", "n_loop_remove
 
 def unit(v: Column) -> Column:
     """A vector of doubles of length 1; zero vectors stay as they are."""
-    norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x))
-    return F.when(norm > 0, F.transform(v, lambda x: x / norm)).otherwise(v)
+    once = lambda x, f: F.get(F.transform(F.array(x), f), 0)  # noqa: E731  # a lambda's own variable is computed once, not again for each element
+    norm = lambda y: F.sqrt(F.aggregate(y, F.lit(0.0), lambda s, x: s + x * x))
+    return once(v, lambda y: once(norm(y), lambda n: F.when(n > 0, F.transform(y, lambda x: x / n)).otherwise(y)))
 
 
 @dataclass
@@ -35,19 +38,69 @@ class Tfidf:
     low: int
     high: int
 
+    def by_row(self, rows: DataFrame, key: str, sequence: str) -> DataFrame:
+        """(key, terms, ws) for each row with a known n-gram: weights (1 + ln tf) * idf, of length 1, in arrays; rows stay where they are.
+
+        A batch's n-grams are put together and looked up once for each distinct one; the vocabulary is a model's.
+        """
+        listed = self.terms.select("ngram", "term", "idf").collect()  # as many as the fit chose
+        names, low, high = [r["ngram"] for r in listed], self.low, self.high
+        shared = rows.sparkSession.sparkContext.broadcast((names, np.array([r["term"] for r in listed], dtype=np.int32), np.array([r["idf"] for r in listed], dtype=float)))
+
+        def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            names, term, idf = shared.value
+            known = pa.array(names, pa.string())
+            for b in filter(len, batches):
+                row, at = _grams(b.column(1), known, low, high)
+                pairs, tf = np.unique(row * max(1, len(names)) + at, return_counts=True)
+                row, at = np.divmod(pairs, max(1, len(names)))
+                w = (1 + np.log(tf)) * idf[at]
+                present, starts, sizes = np.unique(row, return_index=True, return_counts=True)
+                w = w / np.repeat(np.sqrt(np.add.reduceat(w * w, starts)), sizes) if len(w) else w
+                offsets = pa.array(np.append(starts, len(w)).astype(np.int32))
+                lists = [pa.ListArray.from_arrays(offsets, x) for x in (pa.array(term[at]), pa.array(w))]
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(present)), *lists], [key, "terms", "ws"])
+
+        return rows.select(key, sequence).mapInArrow(weigh, f"{key} {rows.schema[key].dataType.simpleString()}, terms array<int>, ws array<double>")
+
     def transform(self, rows: DataFrame, key: str, sequence: str) -> DataFrame:
-        """(key, term, w): weights (1 + ln tf) * idf, of length 1 a row; rows without a known n-gram are left out."""
-        tf = rows.select(key, F.explode(ngrams(F.col(sequence), self.low, self.high)).alias("ngram")).groupBy(key, "ngram").agg(F.count("*").alias("tf"))
-        w = tf.join(self.terms, "ngram").select(key, "term", ((1 + F.ln("tf")) * F.col("idf")).alias("w"))
-        norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))  # a row's own terms
-        return w.select(key, "term", (F.col("w") / norm).alias("w"))
+        """(key, term, w): the weights of ``by_row``, a row each; keys are unique."""
+        return self.by_row(rows, key, sequence).select(key, F.inline(F.arrays_zip("terms", "ws"))).toDF(key, "term", "w")
+
+
+def _grams(sequences: pa.Array, known: pa.Array, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row and place in ``known`` of each n-gram of ``vocabulary.ngrams`` that is known."""
+    sizes = pc.list_value_length(sequences)
+    given = np.flatnonzero(sizes.is_valid().to_numpy(zero_copy_only=False))
+    sizes = sizes.drop_null().to_numpy(zero_copy_only=False).astype(np.int64) + 2
+    flat = sequences.flatten().cast(pa.string())
+    ends = np.cumsum(sizes)
+    at = np.empty(int(sizes.sum()), dtype=np.int64)
+    inner = np.ones(len(at), dtype=bool)
+    inner[ends - 1] = inner[ends - sizes] = False
+    at[inner], at[ends - sizes], at[ends - 1] = np.arange(len(flat)), len(flat), len(flat) + 1
+    words = pa.concat_arrays([flat, pa.array([BOS, EOS], pa.string())]).dictionary_encode(null_encoding="encode")
+    code, names = words.indices.to_numpy()[at].astype(np.int64), words.dictionary.to_pylist()
+    row = np.repeat(given, sizes)
+    rows, places = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+    for n in range(low, high + 1):
+        m = max(0, len(code) - n + 1)
+        same = np.flatnonzero(row[:m] == row[n - 1 :])
+        grams, own = np.unique(np.stack([code[same + i] for i in range(n)], axis=1), axis=0, return_inverse=True)
+        joined = pa.array([" ".join(w for w in (names[c] for c in g) if w is not None) for g in grams.tolist()], pa.string())
+        found = pc.index_in(joined, value_set=known).fill_null(-1).to_numpy(zero_copy_only=False)[own.ravel()]
+        rows.append(row[same][found >= 0])
+        places.append(found[found >= 0].astype(np.int64))
+    return np.concatenate(rows), np.concatenate(places)
 
 
 def fit_tfidf(rows: DataFrame, key: str, sequence: str, low: int = 1, high: int = 2, least: int = 5, most: int = 20_000) -> Tfidf:
-    """The ``most`` most frequent n-grams of those in ``least`` rows or more."""
+    """The ``most`` most frequent n-grams of those in ``least`` rows or more; a row counts once in an n-gram's frequency."""
     n = rows.count()
-    grams = rows.select(key, F.explode(ngrams(F.col(sequence), low, high)).alias("ngram")).groupBy(key, "ngram").agg(F.count("*").alias("tf"))
-    df = grams.groupBy("ngram").agg(F.count("*").alias("df"), F.sum("tf").alias("total")).where(F.col("df") >= least)
+    g = ngrams(F.col(sequence), low, high)
+    one = lambda x, df, tf: F.struct(x.alias("ngram"), F.lit(df).alias("df"), F.lit(tf).alias("tf"))
+    grams = rows.select(g.alias("g")).select(F.inline(F.concat(F.transform(F.array_distinct("g"), lambda x: one(x, 1, 0)), F.transform("g", lambda x: one(x, 0, 1)))))
+    df = grams.groupBy("ngram").agg(F.sum("df").alias("df"), F.sum("tf").alias("total")).where(F.col("df") >= least)
     chosen = df.orderBy(F.col("total").desc(), "ngram").limit(most).withColumn("idf", F.ln((1 + F.lit(n)) / (1 + F.col("df"))) + 1)
     ids = {r["ngram"]: (i, r["idf"]) for i, r in enumerate(chosen.orderBy("ngram").collect())}  # bounded by ``most``
     terms = rows.sparkSession.createDataFrame([(g, i, x) for g, (i, x) in ids.items()], "ngram string, term int, idf double")
@@ -56,10 +109,14 @@ def fit_tfidf(rows: DataFrame, key: str, sequence: str, low: int = 1, high: int
 
 #: Weights that are multiplied at once, terms in a block of sums, and tasks that hold sums, at most.
 _SLICE, _TERMS, _TASKS = 50_000, 512, 64
+#: Terms whose products are all added up in one pass; of more of them a random subspace is multiplied pass by pass.
+_SQUARE = 1024
 
 
 def _by_row(weights: DataFrame, key: str) -> DataFrame:
-    """(key, terms, ws): each row's terms and weights as arrays; a row's terms are bounded by its length."""
+    """(key, terms, ws): each row's terms and weights as arrays; a row's terms are bounded by its length. ``weights`` may be that already."""
+    if "terms" in weights.columns:
+        return weights.select(key, "terms", "ws").where(F.size("terms") > 0)
     return weights.groupBy(key).agg(F.collect_list(F.struct("term", "w")).alias("s")).select(key, F.col("s.term").cast("array<int>").alias("terms"), F.col("s.w").cast("array<double>").alias("ws"))
 
 
@@ -76,6 +133,11 @@ def _slices(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.
         row = end
 
 
+def _added(table: pa.Table) -> pa.Table:
+    total = sum(np.frombuffer(x.as_buffer(), dtype=float) for x in table.column("block"))
+    return pa.table({"first": table.column("first").slice(0, 1), "block": pa.array([total.tobytes()], pa.binary())})
+
+
 def _products(starts: np.ndarray, terms: np.ndarray, ws: np.ndarray, basis: np.ndarray) -> np.ndarray:
     return np.add.reduceat(basis[terms] * ws[:, None], starts, axis=0)
 
@@ -83,7 +145,8 @@ def _products(starts: np.ndarray, terms: np.ndarray, ws: np.ndarray, basis: np.n
 def svd(weights: DataFrame, key: str, terms: int, k: int, seed: int = 7, steps: int = 6, extra: int = 10) -> tuple[np.ndarray, np.ndarray]:
     """The first ``k`` right singular vectors (terms by k) of the rows' weights, uncentred, and their singular values.
 
-    A randomised range finder: a random subspace of ``extra`` more dimensions is multiplied by X'X ``steps`` times and made
+    Up to ``_SQUARE`` terms X'X itself is summed, in one pass over the rows, and turned to its vectors. Of more terms, a
+    randomised range finder: a random subspace of ``extra`` more dimensions is multiplied by X'X ``steps`` times and made
     orthonormal in between, then turned to its own singular vectors. X'X q is a sum over rows, of which each task adds up
     its own in one matrix of terms by k; blocks of these are all that is shuffled, and terms by k numbers come back.
     """
@@ -91,6 +154,11 @@ def svd(weights: DataFrame, key: str, terms: int, k: int, seed: int = 7, steps:
     k, wide = max(1, min(k, terms)), max(1, min(k + extra, terms))
     rows = kept(_by_row(weights, key).select("terms", "ws"))
     rows = rows.coalesce(min(_TASKS, max(1, rows.rdd.getNumPartitions())))
+    signed = lambda basis: basis * np.where(basis[np.abs(basis).argmax(axis=0), np.arange(k)] < 0, -1.0, 1.0)
+    if terms <= _SQUARE:
+        values, vectors = np.linalg.eigh(_square(rows, terms))
+        first = np.argsort(-values)[:k]
+        return signed(vectors[:, first]), np.sqrt(np.maximum(values[first], 0.0))
 
     def times(q: np.ndarray) -> np.ndarray:
         shared = spark.sparkContext.broadcast(q)
@@ -108,11 +176,7 @@ def svd(weights: DataFrame, key: str, terms: int, k: int, seed: int = 7, steps:
                 if (part := z[i : i + _TERMS]).any():
                     yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([part.tobytes()], pa.binary())], ["first", "block"])
 
-        def added(table: pa.Table) -> pa.Table:
-            total = sum(np.frombuffer(x.as_buffer(), dtype=float) for x in table.column("block"))
-            return pa.table({"first": table.column("first").slice(0, 1), "block": pa.array([total.tobytes()], pa.binary())})
-
-        sums = rows.mapInArrow(partial, "first long, block binary").groupBy("first").applyInArrow(added, "first long, block binary")
+        sums = rows.mapInArrow(partial, "first long, block binary").groupBy("first").applyInArrow(_added, "first long, block binary")
         z = np.zeros_like(q)
         for r in sums.collect():  # terms by k numbers
             part = np.frombuffer(r["block"], dtype=float).reshape(-1, q.shape[1])
@@ -126,7 +190,37 @@ def svd(weights: DataFrame, key: str, terms: int, k: int, seed: int = 7, steps:
     values, turn = np.linalg.eigh(q.T @ times(q))
     first = np.argsort(-values)[:k]
     basis = q @ turn[:, first]
-    return basis * np.where(basis[np.abs(basis).argmax(axis=0), np.arange(k)] < 0, -1.0, 1.0), np.sqrt(np.maximum(values[first], 0.0))
+    return signed(basis), np.sqrt(np.maximum(values[first], 0.0))
+
+
+def _square(rows: DataFrame, terms: int) -> np.ndarray:
+    """X'X of ``rows`` (terms, ws): each task adds up its own rows, pair by pair or, where rows are full, as matrices."""
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        z = np.zeros((terms, terms))
+        for b in filter(len, batches):
+            for starts, at, ws in _slices(b):
+                sizes = np.diff(np.append(starts, len(at)))
+                if 50 * float((sizes.astype(float) ** 2).sum()) < len(sizes) * float(terms) ** 2:
+                    own = np.repeat(sizes, sizes)  # each weight beside all of its row
+                    left = np.repeat(np.arange(len(at)), own)
+                    right = np.repeat(np.repeat(starts, sizes), own) + np.arange(len(left)) - np.repeat(np.cumsum(own) - own, own)
+                    z += np.bincount(at[left].astype(np.int64) * terms + at[right], ws[left] * ws[right], terms * terms).reshape(terms, terms)
+                    continue
+                for i in range(0, len(starts), 2048):
+                    a, e = starts[i], starts[i + 2048] if i + 2048 < len(starts) else len(at)
+                    x = np.zeros((min(2048, len(starts) - i), terms))
+                    np.add.at(x, (np.repeat(np.arange(len(x)), sizes[i : i + 2048]), at[a:e]), ws[a:e])
+                    z += x.T @ x
+        for i in range(0, terms, _TERMS):
+            yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([z[i : i + _TERMS].tobytes()], pa.binary())], ["first", "block"])
+
+    sums = rows.mapInArrow(partial, "first long, block binary").groupBy("first").applyInArrow(_added, "first long, block binary")
+    z = np.zeros((terms, terms))
+    for r in sums.collect():  # terms by terms numbers, at most 8 MB
+        part = np.frombuffer(r["block"], dtype=float).reshape(-1, terms)
+        z[r["first"] : r["first"] + len(part)] = part
+    return z
 
 
 def fit_svd(weights: DataFrame, key: str, terms: int, k: int, seed: int = 7) -> np.ndarray:
