@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..contracts import GLOBAL, NOISE
+from ..store import kept
 from . import clusters, embedding, markov
 from .vocabulary import sized
 
@@ -35,16 +36,16 @@ class Model:
 
     def vectors(self, rows: DataFrame, key: str, sequence: str) -> DataFrame:
         """(key, v) for every row: its n-grams' projection at length 1 and the behaviour block; zeros for a row without known n-grams."""
-        weights = embedding.Tfidf(F.broadcast(self.terms), 1, 2).transform(rows, key, sequence)
+        weights = embedding.Tfidf(self.terms, 1, 2).by_row(rows, key, sequence)
         placed = embedding.project(weights, key, self.basis)
         zero = F.array_repeat(F.lit(0.0), self.basis.shape[1])
         block = F.transform(self.numeric.transform(self.columns), lambda x: x * embedding.NUMERIC_WEIGHT)
         return rows.join(placed, key, "left").select(key, F.concat(embedding.unit(F.coalesce("v", zero)), block).alias("v"))
 
-    def locate(self, rows: DataFrame, key: str, sequence: str) -> DataFrame:
-        """``rows`` with nearest_cluster, distance and markov_logprob."""
-        near = clusters.nearest(self.vectors(rows, key, sequence), key, "v", self.centers)
-        out = rows.join(near.select(key, F.col("cluster_1").alias("nearest_cluster"), F.col("distance_1").alias("distance")), key)
+    def locate(self, rows: DataFrame, key: str, sequence: str, vectors: DataFrame | None = None) -> DataFrame:
+        """``rows`` with nearest_cluster, distance and markov_logprob; their ``vectors``, if there are any already, aren't computed again."""
+        near = clusters.nearest(self.vectors(rows, key, sequence) if vectors is None else vectors, key, "v", self.centers)
+        out = kept(rows.join(near.select(key, F.col("cluster_1").alias("nearest_cluster"), F.col("distance_1").alias("distance")), key))  # read twice
         return out.join(markov.score(out, key, "nearest_cluster", sequence, self.edges), key)
 
     def score(self, rows: DataFrame, key: str, sequence: str) -> DataFrame:
@@ -85,13 +86,15 @@ def fit(rows: DataFrame, key: str, sequence: str, k: int = 8, dimensions: int =
 
     tfidf = embedding.fit_tfidf(rows, key, sequence, most=most)
     n = tfidf.terms.count()
-    basis = embedding.fit_svd(tfidf.transform(rows, key, sequence), key, n, dimensions)
+    basis = embedding.fit_svd(tfidf.by_row(rows, key, sequence), key, n, dimensions)
     model = Model(tfidf.terms, basis, embedding.fit_numeric(rows, columns), columns, None, None, {})
-    v = model.vectors(rows, key, sequence).withColumn("features", array_to_vector("v")).cache()
-    placed = KMeans(k=k, seed=seed, maxIter=20).fit(v).transform(v).select(key, "v", F.col("prediction").alias("cluster"))
-    model.centers = clusters.centroids(placed, "cluster", "v")
-    model.edges = markov.fit(rows.join(placed.select(key, "cluster"), key), "cluster", sequence)
-    located = model.locate(rows, key, sequence)
+    v = kept(model.vectors(rows, key, sequence))
+    points = v.withColumn("features", array_to_vector("v")).cache()
+    placed = kept(KMeans(k=k, seed=seed, maxIter=20).fit(points).transform(points).select(key, "v", F.col("prediction").alias("cluster")))
+    points.unpersist()
+    model.centers = kept(clusters.centroids(placed, "cluster", "v"))  # both are read several times
+    model.edges = kept(markov.fit(rows.select(key, sequence).join(placed.select(key, "cluster"), key), "cluster", sequence))
+    located = model.locate(rows, key, sequence, v)
     model.limits = {n: float(x or 0.0) for n, x in clusters.thresholds(located, LIMITS).first().asDict().items()}
     return model
 
