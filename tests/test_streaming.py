@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from trailmark.contracts import SegmentRules
 from trailmark.operators import events as E
 from trailmark.operators import journeys as J
+from trailmark.plans import journey_queries as Q
 from trailmark.streaming import journey_stream as S
 
 RULES = SegmentRules(idle_seconds=90, longest=5, root_after=2, roots=("home",), auth_markers=("login",))
@@ -123,3 +124,28 @@ def test_fixed_durations(spark, tmp_path):
     events = ticks(spark, tmp_path / "in", [[("a", 1_000, "view", "x"), ("a", 30_999, "view", "x"), ("b", 5, "view", "x")], [("a", 31_000, "view", "x"), ("a", None, "view", "x")], [("a", 62_000, "view", "x"), ("b", 30_004, "view", "x")]])
     rows = S.finished(S.fixed_durations(events), str(tmp_path), S.WINDOWS).collect()
     assert sorted(tuple(r)[1:] for r in rows) == [("a", 1, 1_000, 31_000, 2, 3), ("a", 2, 31_000, 62_000, 1, 1)]
+
+
+def test_sessions_share_a_value_of_state(spark, tmp_path):
+    rows = [(f"s{i}", 10_000 + i, "view", "home") for i in range(60)]
+    later = [(f"s{i}", 500_000, "action", "tap") for i in range(30)] + [(None, 500_000, "view", "x")]
+    events = ticks(spark, tmp_path / "in", [rows, later, [("z", 500_001, "view", "x")], [("z", 500_002, "view", "x")]])
+    out = S.finished(S.journeys(events, RULES, groups=3), str(tmp_path)).collect()
+    closed = sorted((r.session_id, r.journey_no, r.n_events, r.start_ms) for r in out if r.kind == "journey")
+    assert closed == sorted((f"s{i}", 1, 1, 10_000 + i) for i in range(60))
+    assert [(r.session_id, r.error) for r in out if r.kind == "error"] == [(None, "missing_session_id")]
+    tails = {(r.session_id, r.journey_no, r.start_reason, r.n_events) for r in S.open_tails(spark, str(tmp_path)).collect()}
+    assert tails == {(f"s{i}", 2, "idle_gap", 1) for i in range(30)} | {("z", 1, "session_start", 2)}
+    assert spark.read.format("statestore").option("path", f"{tmp_path}/state").option("stateVarName", "group").load().count() <= 3
+
+
+def test_triggers_of_several_files(spark, tmp_path):
+    late = F.when(F.col("id") < 50, F.col("id") * 100).otherwise(F.col("id") + 5_000)  # 50 rows in the first half, 950 in the last sixth
+    rows = spark.range(0, 1000, 1, 4).select("id", F.timestamp_seconds(late).alias("ts"))
+    stream = Q.arriving(rows, "ts", f"{tmp_path}/in", file_rows=100)
+    sizes = rows.groupBy(F.floor(F.unix_seconds("ts") * Q.TRIGGERS / 6000).alias("at")).count().orderBy("at").collect()
+    query = stream.writeStream.format("noop").option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).start()
+    query.awaitTermination()
+    files = len(spark.read.parquet(f"{tmp_path}/in").inputFiles())
+    assert files > Q.TRIGGERS and files % Q.TRIGGERS == 0
+    assert [p.numInputRows for p in query.recentProgress if p.numInputRows] == [r["count"] for r in sizes]

@@ -13,8 +13,8 @@ from ..operators import quantiles
 from ..streaming import journey_stream
 from .registry import kept, query, table, work_folder
 
-#: Triggers that the event table is read in as a stream.
-TRIGGERS = 3
+#: Triggers that the event table is read in as a stream, and rows of a file of it.
+TRIGGERS, FILE_ROWS = 3, 100_000
 #: The table's users pause for hours, so journeys end after half a day.
 RULES = SegmentRules(idle_seconds=43200.0, roots=("k0",), auth_markers=("signup",))
 CLEAN = CleanRules(cycles=False, drop_chrome=False, drop_boot=False)
@@ -274,6 +274,25 @@ def client_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", F.unix_millis(N.client_time(millis)).alias("from_millis"), F.unix_millis(N.client_time_by_shape(secs)).alias("from_seconds"))
 
 
+def arriving(rows: DataFrame, time: str, folder: str, file_rows: int = FILE_ROWS) -> DataFrame:
+    """``rows`` as a stream of ``TRIGGERS`` triggers, by equal spans of ``time``, out of files that are written below ``folder``.
+
+    A trigger takes a number of files, so each span is dealt over that many, and all of them must have rows: a task deals its
+    rows in turn, so a span needs that many rows for each task that reads it.
+    """
+    micros = F.unix_micros(F.col(time).cast("timestamp"))
+    first, last = rows.agg(F.min(micros), F.max(micros)).first()
+    if first is None:
+        first = last = 0
+    at = F.floor((micros - first) * TRIGGERS / max(1, last - first + 1))
+    sizes = {r["at"]: r["count"] for r in rows.groupBy(at.alias("at")).count().collect()}  # a row a trigger
+    sizes = [sizes.get(i, 0) for i in range(TRIGGERS)]
+    files = max(1, min(max(sizes) // file_rows, min(sizes) // max(1, rows.rdd.getNumPartitions())))
+    for i in range(TRIGGERS):  # files that are written one after the other are read so
+        rows.where(at == i).repartition(files).write.mode("append").parquet(folder)
+    return rows.sparkSession.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(folder)
+
+
 @query(f"""WITH RECURSIVE {SEGMENT_SQL}, z AS (
   SELECT platform, session_id, journey_no, count(*) AS n_events, max(CASE WHEN journey_pos = 0 THEN boundary_reason END) AS start_reason, epoch_us(max(ts)) // 1000 AS end_ms
   FROM seg JOIN events USING (event_id) GROUP BY platform, session_id, journey_no
@@ -281,13 +300,8 @@ def client_times(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT platform, session_id, journey_no, n_events, start_reason, CASE WHEN journey_no < newest OR end_ms + 43200001 <= mark THEN 'closed' ELSE 'open' END AS state FROM l, w""")
 def stream_journeys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event table as a stream of ``TRIGGERS`` triggers in the order of time: journeys closed by then, and the open tails."""
-    whole, folder = table(spark, sf_dir, "events"), work_folder(spark)
-    micros = F.unix_micros(F.col("ts").cast("timestamp"))
-    first, last = whole.agg(F.min(micros), F.max(micros)).first()
-    at = F.floor((micros - first) * TRIGGERS / max(1, last - first + 1))
-    for i in range(TRIGGERS):  # files that are written one after the other are read so
-        whole.where(at == i).coalesce(1).write.mode("append").parquet(f"{folder}/in")
-    raw = spark.readStream.schema(whole.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    folder = work_folder(spark)
+    raw = arriving(table(spark, sf_dir, "events"), "ts", f"{folder}/in")
     closed = journey_stream.closed_journeys(E.from_event_table(raw, gaps=False), folder, RULES).where("kind = 'journey'")
     tails = journey_stream.open_tails(spark, folder)
     columns = ["platform", "session_id", "journey_no", F.col("n_events").cast("long").alias("n_events"), "start_reason"]

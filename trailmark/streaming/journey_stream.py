@@ -1,10 +1,12 @@
-"""Journeys out of an unbounded stream, by typed per-session state with event-time timers; fixed windows beside them.
+"""Journeys out of an unbounded stream, by typed state of groups of sessions with event-time timers; fixed windows beside them.
 
-A session's state is its open journey, bounded by the rules' length cap, and a head: the number of that journey and why
-it began. A journey closes at the same boundaries as in batch; a timer closes one that stays idle. The head outlives it
-by ``remember_seconds``, so that journeys of one session are numbered on across silences, as they are in batch; after
-that a second timer forgets the session. Control rows flush or reset a session at their place in time. Open tails can be
-read from a stream's checkpoint as a table, and control rows for all of them made from it.
+Sessions are dealt over groups by a hash, and a group's state is one value: of each session its open journey, bounded by the
+rules' length cap, that journey's number and why it began, and when it is due; one timer a group stands at the earliest of
+these. So a trigger asks for state and writes it once a group, however many sessions have rows, not a few times a session.
+A journey closes at the same boundaries as in batch; the timer closes those that stay idle. Number and reason outlive it by
+``remember_seconds``, so that journeys of one session are numbered on across silences, as they are in batch; after that the
+session is forgotten. Control rows flush or reset a session at their place in time. Open tails can be read from a stream's
+checkpoint as a table, and control rows for all of them made from it.
 
 Needs Spark's RocksDB state store, which the starting functions here set for their own query.
 """
@@ -30,7 +32,12 @@ OUTPUT = (
     "platform string, session_id string, kind string, journey_no long, start_reason string, close_reason string, n_events int, start_ms long, end_ms long, "
     "tokens array<string>, error string"
 )
-_EVENT, _HEAD = "ms long, number long, kind string, name string", "journey_no long, reason string"
+_STATE = (
+    "due long, sessions array<struct<platform:string,session_id:string,journey_no:long,reason:string,due:long,"
+    "events:array<struct<ms:long,number:long,kind:string,name:string>>>>"
+)
+#: Groups of sessions: many to a core, so that they even out.
+GROUPS = 1024
 #: The event type of control rows; their segment_name says what to do.
 CONTROL, FLUSH, RESET = "control", "flush", "reset"
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -102,125 +109,152 @@ def error(code: str) -> dict:
     return {"kind": "error", "journey_no": None, "start_reason": None, "close_reason": None, "n_events": None, "start_ms": None, "end_ms": None, "tokens": None, "error": code}
 
 
-def _ms(t) -> int | None:
-    return None if pd.isna(t) else t.value // 1_000_000
+def _arrived(rows: Iterator[pd.DataFrame]) -> dict[tuple, list[tuple]]:
+    """Each session's (ms, source number, type, name) of one trigger, whose rows have no order of arrival: by time, then source number, nulls last."""
+    table = pd.concat(list(rows)).sort_values(["timeless", "micros", "unnumbered", "source_row_number"], kind="stable")
+    ms = (table["micros"] // 1000).tolist()
+    found: dict[tuple, list[tuple]] = {}
+    for *session, t, n, kind, name in zip(table["platform"], table["session_id"], ms, table["source_row_number"].tolist(), table["event_type"], table["segment_name"]):
+        found.setdefault(tuple(session), []).append((t, n, kind, name))
+    return found
 
 
 class JourneyProcessor(StatefulProcessor):
-    """One session: its open journey as a list, its head as a value, one timer at a time."""
+    """One group of sessions: their open journeys and what goes with them as a value, one timer at a time."""
 
     def __init__(self, rules: SegmentRules, remember_seconds: float, provisional: bool) -> None:
         self.rules, self.remember_ms, self.provisional = rules, int(remember_seconds * 1000), provisional
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.open = handle.getListState("open", _EVENT)
-        self.head = handle.getValueState("head", _HEAD)
+        self.state = handle.getValueState("group", _STATE)
 
-    def _session(self) -> Session:
-        head = self.head.get() if self.head.exists() else (1, "session_start")
-        return Session(self.rules, [tuple(e) for e in self.open.get()] if self.open.exists() else [], head[0], head[1])
+    def _held(self) -> tuple[int | None, dict[tuple, tuple[Session, int]]]:
+        """When the timer is set to, and each session with when it is due."""
+        due, sessions = self.state.get() or (None, [])
+        return due, {(p, k): (Session(self.rules, [tuple(e) for e in events], no, reason), at) for p, k, no, reason, at, events in sessions}
 
-    def _keep(self, s: Session, now_ms: int) -> None:
-        self.head.update((s.journey_no, s.reason))
-        self.open.put(s.events) if s.events else self.open.clear()
+    def _due(self, s: Session, now_ms: int) -> int:
         last = s.events[-1][0] + int(self.rules.idle_seconds * 1000) + 1 if s.events else now_ms + self.remember_ms
-        for t in list(self.handle.listTimers()):
-            self.handle.deleteTimer(t)
-        self.handle.registerTimer(max(last, now_ms + 1))
-
-    def _forget(self) -> None:
-        self.open.clear()
-        self.head.clear()
-        for t in list(self.handle.listTimers()):
-            self.handle.deleteTimer(t)
+        return max(last, now_ms + 1)
+
+    def _keep(self, held: dict[tuple, tuple[Session, int]], timer: int | None) -> None:
+        then = min((at for _, at in held.values()), default=None)
+        if then != timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            if then is not None:
+                self.handle.registerTimer(then)
+        if held:
+            self.state.update((then, [(*key, s.journey_no, s.reason, at, s.events) for key, (s, at) in held.items()]))
+        else:
+            self.state.clear()
 
-    def _rows(self, key: tuple, rows: list[dict | None]) -> Iterator[pd.DataFrame]:
-        yield pd.DataFrame([dict(zip(STREAM, key)) | r for r in rows if r], columns=[f.split()[0] for f in OUTPUT.split(", ")])
+    def _rows(self, rows: list[tuple[tuple, dict | None]]) -> Iterator[pd.DataFrame]:
+        yield pd.DataFrame([(*key, *r.values()) for key, r in rows if r], columns=[f.split()[0] for f in OUTPUT.split(", ")])
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        arrived = pd.concat(list(rows)).sort_values(["event_time", "source_row_number"], kind="stable")  # rows of one trigger have no order of arrival
-        if not (key[1] or "").strip():
-            yield from self._rows(key, [error("missing_session_id")] * len(arrived))
-            return
-        s, out, known = self._session(), [], True
-        for t, n, kind, name in zip(arrived["event_time"], arrived["source_row_number"], arrived["event_type"], arrived["segment_name"]):
-            if kind == CONTROL and name == RESET:
-                s, known = Session(self.rules), False
-            elif kind == CONTROL:
-                out.append(s.close(FLUSH))
+        (timer, held), now, out = self._held(), timerValues.getCurrentWatermarkInMs(), []
+        for session, arrived in _arrived(rows).items():
+            if not (session[1] or "").strip():
+                out += [(session, error("missing_session_id"))] * len(arrived)
+                continue
+            s, known = held[session][0] if session in held else Session(self.rules), True
+            for event in arrived:
+                kind, name = event[2:]
+                if kind == CONTROL and name == RESET:
+                    s, known = Session(self.rules), False
+                elif kind == CONTROL:
+                    out.append((session, s.close(FLUSH)))
+                else:
+                    out += [(session, r) for r in s.append(event)]
+                known = known or bool(s.events)
+            if self.provisional and s.events:
+                out.append((session, s.snapshot(self.rules.shortest)))
+            if known:
+                held[session] = s, self._due(s, now)
             else:
-                out += s.append((_ms(t), 0 if pd.isna(n) else int(n), kind, name))
-            known = known or bool(s.events)
-        if self.provisional and s.events:
-            out.append(s.snapshot(self.rules.shortest))
-        if known:
-            self._keep(s, timerValues.getCurrentWatermarkInMs())
-        else:
-            self._forget()
-        yield from self._rows(key, out)
+                held.pop(session, None)
+        self._keep(held, timer)
+        yield from self._rows(out)
 
     def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        s = self._session()
-        row = s.close("idle_timeout")
-        if row:
-            s.reason = "idle_gap"  # what the next event will find in batch
-            self._keep(s, max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs()))
-        else:
-            self._forget()
-        yield from self._rows(key, [row])
-
-
-def journeys(events: DataFrame, rules: SegmentRules = SegmentRules(), late_seconds: int = 2, provisional: bool = False, remember_seconds: float = 7 * 86400.0) -> DataFrame:
+        (_, held), out = self._held(), []
+        now = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
+        for session in [k for k, (_, at) in held.items() if at <= now]:
+            s = held.pop(session)[0]
+            if row := s.close("idle_timeout"):
+                s.reason = "idle_gap"  # what the next event will find in batch
+                held[session] = s, self._due(s, now)
+                out.append((session, row))
+        self._keep(held, None)  # Spark deletes the timer that has expired
+        yield from self._rows(out)
+
+
+def _grouped(rows: DataFrame, groups: int):
+    """Nulls of whole numbers would make floats of them in pandas, so they are 0 with a mark; a time of 0 is as wrong as none."""
+    micros, number = F.unix_micros("event_time"), F.col("source_row_number")
+    zero = lambda x: F.coalesce(x, F.lit(0).cast("long"))
+    rows = rows.withColumns({"timeless": micros.isNull(), "micros": zero(micros), "unnumbered": number.isNull(), "source_row_number": zero(number)})
+    return rows.withColumn("session_group", F.pmod(F.xxhash64(*STREAM), F.lit(groups))).groupBy("session_group")
+
+
+def journeys(
+    events: DataFrame, rules: SegmentRules = SegmentRules(), late_seconds: int = 2, provisional: bool = False, remember_seconds: float = 7 * 86400.0, groups: int = GROUPS,
+) -> DataFrame:
     """A stream of canonical events as a stream of closed journeys (and error rows; with ``provisional`` also open ones).
 
     Rows without a session id come out as errors. ``events`` need platform, session_id, event_time, event_type,
     segment_name and source_row_number; rows of the event type ``CONTROL`` flush or reset their session. Events behind the
     watermark are dropped by Spark, events too far behind their own session come out as errors. A table works as well as
-    a stream; all its events are then one trigger.
+    a stream; all its events are then one trigger. A task holds a trigger's rows of one of the ``groups`` at a time; their
+    number can't change while a checkpoint is used.
     """
-    marked = events.select(*STREAM, "event_time", "event_type", "segment_name", "source_row_number").withWatermark("event_time", f"{late_seconds} seconds")
-    return marked.groupBy(*STREAM).transformWithStateInPandas(JourneyProcessor(rules, remember_seconds, provisional), OUTPUT, "append", "EventTime")
+    marked = events.select(*STREAM, "event_time", "source_row_number", "event_type", "segment_name").withWatermark("event_time", f"{late_seconds} seconds")
+    return _grouped(marked, groups).transformWithStateInPandas(JourneyProcessor(rules, remember_seconds, provisional), OUTPUT, "append", "EventTime")
 
 
 WINDOWS = "platform string, session_id string, window_index long, start_ms long, end_ms long, n_events long, n_arrived long"
 
 
 class WindowProcessor(StatefulProcessor):
-    """Windows of one session: each starts at an event and ends at the first event of a given time later, which starts the next."""
+    """Windows of a group of sessions: each starts at an event and ends at the first event of a given time later, which starts the next."""
 
     def __init__(self, seconds: float) -> None:
         self.ms = int(seconds * 1000)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.window = handle.getValueState("window", "window_index long, start_ms long, n_events long, n_arrived long")
+        self.windows = handle.getValueState("windows", "sessions array<struct<platform:string,session_id:string,window_index:long,start_ms:long,n_events:long,n_arrived:long>>")
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        arrived = pd.concat(list(rows)).sort_values(["event_time", "source_row_number"], kind="stable")
-        index, start, n, since = self.window.get() if self.window.exists() else (1, None, 0, 0)
+        held = {(p, k): tuple(rest) for p, k, *rest in (self.windows.get() or ([],))[0]}
         out = []
-        for t in map(_ms, arrived["event_time"]):
-            if t is None or t <= 0:
-                continue
-            start = t if start is None else start
-            if t - start >= self.ms:
-                out.append((*key, index, start, t, n, since + 1))
-                index, start, n, since = index + 1, t, 1, 0
-            else:
-                n, since = n + 1, since + 1
-        if start is not None:
-            self.window.update((index, start, n, since))
+        for session, arrived in _arrived(rows).items():
+            index, start, n, since = held.get(session, (1, None, 0, 0))
+            for t in (r[0] for r in arrived):
+                if t <= 0:
+                    continue
+                start = t if start is None else start
+                if t - start >= self.ms:
+                    out.append((*session, index, start, t, n, since + 1))
+                    index, start, n, since = index + 1, t, 1, 0
+                else:
+                    n, since = n + 1, since + 1
+            if start is not None:
+                held[session] = index, start, n, since
+        if held:
+            self.windows.update(([(*session, *rest) for session, rest in held.items()],))
         yield pd.DataFrame(out, columns=[f.split()[0] for f in WINDOWS.split(", ")])
 
 
-def fixed_durations(events: DataFrame, seconds: float = 30.0) -> DataFrame:
+def fixed_durations(events: DataFrame, seconds: float = 30.0, groups: int = GROUPS) -> DataFrame:
     """A stream (or table) of canonical events as its closed windows of ``seconds``, by session and driven by the data.
 
     ``n_events`` counts from the window's first event on, ``n_arrived`` what has come since the window before was given
     out, the closing event included. Events without a time are passed over.
     """
-    rows = events.select(*STREAM, "event_time", "source_row_number")
-    return rows.groupBy(*STREAM).transformWithStateInPandas(WindowProcessor(seconds), WINDOWS, "append", "None")
+    rows = events.select(*STREAM, "event_time", "source_row_number", F.lit(None).cast("string").alias("event_type"), F.lit(None).cast("string").alias("segment_name"))
+    return _grouped(rows, groups).transformWithStateInPandas(WindowProcessor(seconds), WINDOWS, "append", "None")
 
 
 @contextmanager
@@ -254,12 +288,11 @@ def open_tails(spark: SparkSession, folder: str, operator: int = 0) -> DataFrame
 
     Read from the state below ``folder`` by Spark's reader of state, partition by partition; the stream may be stopped.
     """
-    read = lambda name: spark.read.format("statestore").option("path", f"{folder}/state").option("operatorId", operator).option("stateVarName", name)
-    key = [F.col(f"key.{c}").alias(c) for c in STREAM]
-    events = read("open").option("flattenCollectionTypes", True).load().select(*key, "list_element.*")
-    tails = events.groupBy(*STREAM).agg(F.count("*").alias("n_events"), F.min("ms").alias("start_ms"), F.max("ms").alias("end_ms"))
-    heads = read("head").load().select(*key, F.col("value.journey_no").alias("journey_no"), F.col("value.reason").alias("start_reason"))
-    return heads.join(tails, list(STREAM)).select(*STREAM, "journey_no", "start_reason", "n_events", "start_ms", "end_ms")
+    held = spark.read.format("statestore").option("path", f"{folder}/state").option("operatorId", operator).option("stateVarName", "group").load()
+    ms = F.col("events.ms")
+    return held.select(F.inline("value.sessions")).where(F.size(ms) > 0).select(
+        *STREAM, "journey_no", F.col("reason").alias("start_reason"), F.size(ms).cast("long").alias("n_events"), F.array_min(ms).alias("start_ms"), F.array_max(ms).alias("end_ms"),
+    )
 
 
 def flush_rows(tails: DataFrame, action: str = FLUSH) -> DataFrame:
