@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from trailmark.operators import clusters as C
 from trailmark.operators import journeys as J
 from trailmark.operators import embedding, ranges, scoring
+from trailmark.operators import patterns as P
 from trailmark.operators import vocabulary as V
 
 
@@ -88,3 +89,30 @@ def test_fitted_tables_are_written_once(spark):
     model = scoring.fit(spark.createDataFrame(rows, f"k string, s array<string>, {columns}"), "k", "s", k=3, dimensions=2)
     for table in (model.centers, model.edges):
         assert "Exchange" not in table._jdf.queryExecution().toString()
+
+
+def test_patterns_are_looked_for_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    rng = np.random.default_rng(3)
+    rows = [(f"k{i}", [None if x == 6 else "abcdef"[x] for x in rng.integers(0, 7, rng.integers(0, 9))]) for i in range(80)] + [("none", None), ("empty", [])]
+    rows = spark.createDataFrame(rows, "k string, s array<string>").repartition(3)
+    listed = [["a"], ["a", "b"], ["a", "b", "a"], ["b", "b"], ["c", "a"], ["f", "e", "d", "c"], ["x"], ["a", None], []]
+    patterns = spark.createDataFrame([(f"P{i}", p, len(p), 5 + i % 2) for i, p in enumerate(listed)], "pattern_id string, tokens array<string>, length int, support_count long")
+    pairs = rows.crossJoin(patterns).where(P.contains(F.col("s"), F.col("tokens"))).collect()
+    want = {r.k: sorted(listed.index(p.tokens) for p in pairs if p.k == r.k) for r in rows.collect()}
+    held = P.held(rows, "s", listed)
+    assert {r.k: r.terms for r in held.collect()} == want
+    first = lambda ns: min(((-len(listed[n]), 5 + n % 2, f"P{n}") for n in ns), default=(None,))[-1]
+    assert {r.k: (r.matched, r.candidate) for r in P.candidates(rows, "k", "s", patterns).collect()} == {k: (len(ns), first(ns)) for k, ns in want.items()}
+    out = embedding.pattern_vectors(rows.mapInPandas(count, rows.schema), "k", "s", patterns, 4).collect()
+    assert seen.value == 82
+    assert {r.k: r.matched for r in out} == {k: len(ns) for k, ns in want.items()}
+    assert all(len(r.v) == 4 and np.linalg.norm(r.v) == pytest.approx(1.0 if r.matched else 0.0, abs=1e-9) for r in out)
+    none = embedding.pattern_vectors(rows, "k", "s", patterns.where("false"), 4).collect()
+    assert {(r.matched, tuple(r.v)) for r in none} == {(0, (0.0,))}

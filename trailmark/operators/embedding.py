@@ -275,21 +275,31 @@ def pattern_vectors(rows: DataFrame, key: str, sequence: str, patterns: DataFram
     Which of ``patterns`` (tokens; a bounded list, its size is checked) a row contains, reduced to ``k`` dimensions and
     brought to length 1, with the behaviour block ``numeric`` behind. A row without any pattern has zeros there.
     """
-    from .patterns import contains
+    from .patterns import held
 
     listed = [r["tokens"] for r in patterns.select("tokens").orderBy(F.size("tokens"), "tokens").limit(most + 1).collect()]
     if len(listed) > most:
         raise ValueError(f"more than {most} patterns")
     k = max(1, min(k, len(listed)))
-    held = F.broadcast(rows.sparkSession.createDataFrame([([(i, p) for i, p in enumerate(listed)],)], "ps array<struct<term:int,tokens:array<string>>>"))  # one row
-    hits = rows.join(held).select(key, F.transform(F.filter("ps", lambda p: contains(F.col(sequence), p["tokens"])), lambda p: p["term"]).alias("terms"))
-    weights = hits.select(key, F.explode("terms").alias("term"), F.lit(1.0).alias("w"))
-    placed = project(weights, key, fit_svd(weights, key, len(listed), k)) if listed else weights.select(key, F.array().cast("array<double>").alias("v")).where("false")
-    zero = F.array_repeat(F.lit(0.0), k)
-    out = rows.join(hits, key).join(placed, key, "left").withColumn("v", unit(F.coalesce("v", zero)))
-    if numeric is not None:
-        out = out.withColumn("v", F.concat("v", F.transform(numeric, lambda x: x * NUMERIC_WEIGHT)))
-    return out.select(key, F.size("terms").alias("matched"), "v")
+    block = F.array().cast("array<double>") if numeric is None else F.transform(numeric, lambda x: x * NUMERIC_WEIGHT)
+    hits = kept(held(rows.select(key, sequence, block.alias("_block")), sequence, listed))  # read by the fit and once more
+    basis = np.zeros((1, k))
+    if listed:
+        weights = hits.select(key, "terms", F.transform("terms", lambda t: F.lit(1.0)).alias("ws"))
+        basis = fit_svd(weights, key, len(listed), k)
+    shared = rows.sparkSession.sparkContext.broadcast(basis)
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in filter(len, batches):
+            terms = b.column("terms")
+            sizes = pc.list_value_length(terms).to_numpy(zero_copy_only=False)
+            v = np.zeros((len(b), k))
+            np.add.at(v, np.repeat(np.arange(len(b)), sizes), shared.value[terms.flatten().to_numpy(zero_copy_only=False)])
+            lists = pa.ListArray.from_arrays(np.arange(0, v.size + 1, k, dtype=np.int32), v.ravel())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes.astype(np.int32)), lists, b.column("_block")], [key, "matched", "v", "_block"])
+
+    schema = f"{key} {rows.schema[key].dataType.simpleString()}, matched int, v array<double>, _block array<double>"
+    return hits.mapInArrow(placed, schema).select(key, "matched", F.concat(unit(F.col("v")), "_block").alias("v"))
 
 
 def reduce(rows: DataFrame, vector: str, k: int) -> DataFrame:

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,6 +33,62 @@ def contains(sequence: Column, pattern: Column) -> Column:
     return found == F.size(pattern)
 
 
+def _tree(patterns: list[list[str]]) -> tuple[list[str], dict]:
+    """Tokens, and the patterns as a tree of prefixes: by place of the next token, and under None the numbers of those that end there."""
+    tokens = sorted({t for p in patterns for t in p if t is not None})
+    place, root = {t: i for i, t in enumerate(tokens)}, {}
+    for number, p in enumerate(patterns):
+        if None in p:
+            continue  # equal to nothing
+        node = root
+        for t in p:
+            node = node.setdefault(place[t], {})
+        node.setdefault(None, []).append(number)
+    return tokens, root
+
+
+def _walk(sequences: pa.Array, tokens: list[str], root: dict) -> pa.ListArray:
+    """The numbers of the patterns that each sequence contains, ascending: a prefix is looked for once in all rows that contain what is before it."""
+    sizes = pc.fill_null(pc.list_value_length(sequences), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends = np.cumsum(sizes)
+    code = pc.index_in(sequences.flatten().cast(pa.string()), value_set=pa.array(tokens, pa.string()), skip_nulls=True).fill_null(-1).to_numpy(zero_copy_only=False)
+    places = [np.flatnonzero(code == i) for i in range(len(tokens))]
+    given = np.flatnonzero(sequences.is_valid().to_numpy(zero_copy_only=False))
+    rows, numbers, todo = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)], [(root, given, (ends - sizes)[given])]
+    while todo:
+        node, own, at = todo.pop()
+        for token, below in node.items():
+            if token is None:
+                rows += [own] * len(below)
+                numbers += [np.full(len(own), n, dtype=np.int64) for n in below]
+                continue
+            found = np.searchsorted(places[token], at)
+            where = np.append(places[token], len(code))[found]  # the first place from there on
+            inside = where < ends[own]
+            if inside.any():
+                todo.append((below, own[inside], where[inside] + 1))
+    row, number = np.concatenate(rows), np.concatenate(numbers)
+    order = np.lexsort((number, row))
+    offsets = np.append(0, np.cumsum(np.bincount(row, minlength=len(sizes)))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(number[order].astype(np.int32)))
+
+
+def held(rows: DataFrame, sequence: str, patterns: list[list[str]]) -> DataFrame:
+    """``rows`` with ``terms`` in place of ``sequence``: the numbers of the patterns that it contains, as of ``contains``, ascending.
+
+    The patterns are a model's; rows stay where they are.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(_tree(patterns))
+    others = [c for c in rows.columns if c != sequence]
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in filter(len, batches):
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in others), _walk(b.column(sequence), *shared.value)], [*others, "terms"])
+
+    schema = rows.select(*others).withColumn("terms", F.lit(None).cast("array<int>")).schema
+    return rows.mapInArrow(walk, schema)
+
+
 def close(patterns: DataFrame) -> DataFrame:
     """Patterns without a longer one of the same support that contains them.
 
@@ -56,10 +117,9 @@ def candidates(rows: DataFrame, key: str, sequence: str, patterns: DataFrame, mo
 
     ``patterns`` (pattern_id, tokens, length, support_count) comes out of ``rank`` and is bounded; its size is checked.
     """
-    n = patterns.limit(most + 1).count()
-    if n > most:
+    listed = patterns.select("tokens", "pattern_id").orderBy(F.col("length").desc(), "support_count", "pattern_id").limit(most + 1).collect()
+    if len(listed) > most:
         raise ValueError(f"more than {most} patterns")
-    listed = patterns.agg(F.array_sort(F.collect_list(F.struct((-F.col("length")).alias("l"), "support_count", "pattern_id", "tokens"))).alias("ps"))
-    out = rows.select(key, sequence).join(F.broadcast(listed))  # one row
-    hits = F.filter("ps", lambda p: contains(F.col(sequence), p["tokens"]))
-    return out.select(key, hits.alias("h")).select(key, F.size("h").alias("matched"), F.get("h", 0)["pattern_id"].alias("candidate"))
+    ids = F.lit([r["pattern_id"] for r in listed]) if listed else F.array().cast("array<string>")
+    hits = held(rows.select(key, sequence), sequence, [r["tokens"] for r in listed])
+    return hits.select(key, F.size("terms").alias("matched"), F.get(ids, F.get("terms", 0)).alias("candidate"))
